@@ -1,0 +1,53 @@
+"""Run a query and its SQL on the same tables and compare the rows."""
+
+from __future__ import annotations
+
+import collections
+import math
+
+import duckdb
+import pyarrow as pa
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _bag(table: pa.Table) -> collections.Counter:
+    names = sorted(table.column_names)
+    columns = [table.column(n).to_pylist() for n in names]
+
+    def plain(v):
+        return "nan" if isinstance(v, float) and math.isnan(v) else v
+
+    return collections.Counter(tuple(map(plain, row)) for row in zip(*columns))
+
+
+def _type(t: pa.DataType) -> str:
+    name = str(t)
+    return {"large_string": "string", "date32[day]": "date"}.get(name, name)
+
+
+def differences(spark, con, run, sql: str, sf_dir: str) -> list[str]:
+    got, want = run(spark, sf_dir).toArrow(), con.execute(sql).to_arrow_table()
+    found = []
+    got_types = {n: _type(t) for n, t in zip(got.column_names, got.schema.types)}
+    want_types = {n: _type(t) for n, t in zip(want.column_names, want.schema.types)}
+    if got_types != want_types:
+        odd = {n for n in got_types.keys() | want_types.keys() if got_types.get(n) != want_types.get(n)}
+        found.append(f"types: { {n: (got_types.get(n), want_types.get(n)) for n in sorted(odd)} }")
+    if got.num_rows != want.num_rows:
+        found.append(f"rows: {got.num_rows} against {want.num_rows}")
+    if got_types.keys() == want_types.keys():
+        a, b = _bag(got), _bag(want)
+        if a != b:
+            found.append(f"values: only here {list((a - b))[:2]}, only in SQL {list((b - a))[:2]}")
+    return found
