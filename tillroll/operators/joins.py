@@ -1,4 +1,9 @@
-"""Left join against one batch of a history table."""
+"""Left joins against one batch of a history, and against rows that repeat.
+
+Spark splits a hot key at run time only in a sort-merge join whose two inputs come straight
+from a shuffle, on either side of an inner join but only on the left of a left join. The joins
+here are put so that the side that may be hot is one it can split.
+"""
 
 from __future__ import annotations
 
@@ -8,52 +13,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.casts import align_keys, date_literal
+from tillroll.operators.copies import count_copies, repeat_copies
 
-_LEFT_KEY, _RIGHT_KEY = "__left_key", "__right_key"
+_KEY, _HASH, _PART, _SIZE, _STEP = "__key", "__hash", "__part", "__size", "__step"
 
 
-def batch_matches(
+def left_join_batch(
     left: DataFrame,
     right: DataFrame,
     left_key: str,
     right_key: str,
     right_date: str,
     batch_date: str | datetime.date,
-) -> tuple[DataFrame, DataFrame]:
-    """The two parts of ``left LEFT JOIN right WHERE right_date = batch OR right_date IS NULL``.
+) -> DataFrame:
+    """``left LEFT JOIN right WHERE right_date = batch_date OR right_date IS NULL``.
 
     The filter comes after the join, so a left row whose matches all carry other dates is
-    dropped, and one without any match is kept. Hence
-
-    * matched: inner join with the rows of the batch date (or without a date),
-    * bare: left rows whose key appears nowhere in ``right``, on any date.
+    dropped, and one without any match on any date is kept with NULLs.
 
-    The history outside the batch is read for its key column alone, and de-duplicated before
-    it is shuffled. Spark can split a hot key on either side of an inner join and on the
-    left of an anti join, but not on the right of a left join, which the plain form uses.
+    It is done as one inner join. A left key that is nowhere in ``right`` is given a single
+    empty partner, next to the rows of the batch. To find these keys the history is read for
+    its key column alone, de-duplicated before it is shuffled; its other columns are read for
+    the batch only. Left rows without a key match nothing and are added at the end.
     """
+    _check_names(left, right)
     left_col, right_col = align_keys(left, left_key, right, right_key)
-    keyed = left.withColumn(_LEFT_KEY, left_col)
-    history = right.withColumn(_RIGHT_KEY, right_col)
-    on = F.col(_LEFT_KEY) == F.col(_RIGHT_KEY)
-
-    in_batch = history.filter(
+    in_batch = right.filter(
         (F.col(right_date) == date_literal(batch_date)) | F.col(right_date).isNull()
     )
-    seen = history.select(_RIGHT_KEY).filter(F.col(_RIGHT_KEY).isNotNull()).distinct()
-    matched = keyed.join(in_batch, on, "inner").drop(_LEFT_KEY, _RIGHT_KEY)
-    bare = keyed.join(seen, on, "left_anti").drop(_LEFT_KEY)
-    return matched, bare
+    wanted = left.select(left_col.alias(_KEY)).filter(F.col(_KEY).isNotNull()).distinct()
+    seen = right.select(right_col.alias(_KEY)).filter(F.col(_KEY).isNotNull()).distinct()
+    unseen = wanted.join(seen, _KEY, "left_anti")
+    partners = in_batch.withColumn(_KEY, right_col).unionByName(unseen, allowMissingColumns=True)
+    found = left.join(partners, left_col == F.col(_KEY), "inner").drop(_KEY)
+    return found.unionByName(left.filter(left_col.isNull()), allowMissingColumns=True)
 
 
-def left_join_batch(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    right_date: str,
-    batch_date: str | datetime.date,
+def left_join_repeated(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str
 ) -> DataFrame:
-    """Both parts of :func:`batch_matches` together; the right columns of bare rows are NULL."""
-    matched, bare = batch_matches(left, right, left_key, right_key, right_date, batch_date)
-    return matched.unionByName(bare, allowMissingColumns=True)
+    """Left join with a frame whose rows may repeat; the result repeats as often.
+
+    ``right`` is counted before it is shuffled, so a key with many equal rows arrives as a few
+    rows with a count. It is counted by key and hash of the key, the same groups, because rows
+    counted by the key alone would be joined where they are, not straight from a shuffle.
+    """
+    _check_names(left, right)
+    counted = count_copies(right.withColumn(_HASH, F.xxhash64(right_key)), _PART, _SIZE)
+    left_col, right_col = align_keys(left, left_key, counted, right_key)
+    joined = left.join(counted, left_col == right_col, "left")
+    return repeat_copies(joined, _SIZE, _STEP).drop(_HASH, _PART, _SIZE, _STEP)
+
+
+def _check_names(left: DataFrame, right: DataFrame) -> None:
+    shared = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
+    if shared:
+        raise ValueError(f"columns on both sides: {sorted(shared)}; rename one of them")

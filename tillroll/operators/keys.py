@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_BUCKET, _COPIES, _PART, _SIZE, _END, _OFFSET, _STEP = (
-    "__bucket", "__copies", "__part", "__size", "__end", "__offset", "__step"
+from tillroll.operators.copies import count_copies, repeat_copies
+
+_BUCKET, _PART, _SIZE, _END, _OFFSET, _STEP = (
+    "__bucket", "__part", "__size", "__end", "__offset", "__step"
 )
 
 # Fixed, not taken from the session: another value gives other keys.
 DEFAULT_BUCKETS = 4096
 MAX_BUCKETS = 1_000_000
-COPIES_PER_PART = 10_000
 
 
 def unique_key(df: DataFrame, name: str) -> DataFrame:
@@ -40,8 +41,8 @@ def dense_key(
 
     ``order`` names the natural key, all columns by default. Set ``unique`` if no two rows
     share it, as after ``distinct()``. Otherwise ``order`` must be all columns: equal rows are
-    counted before the shuffle and spread over the buckets in parts of ``COPIES_PER_PART``,
-    so a group of copies of any size does not meet in one task.
+    counted before the shuffle and spread over the buckets in parts of bounded size, so a group
+    of copies of any size does not meet in one task.
 
     ``df`` is evaluated twice and has to give the same rows both times.
     """
@@ -67,20 +68,8 @@ def dense_key(
 def _dense_key_with_copies(
     df: DataFrame, name: str, columns: list[str], buckets: int, bucket: Column | None
 ) -> DataFrame:
-    last_part = F.floor((F.col(_COPIES) - 1) / COPIES_PER_PART).cast("bigint")
-    parts = (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias(_COPIES))
-        .withColumn(_PART, F.explode(F.sequence(F.lit(0).cast("bigint"), last_part)))
-        .withColumn(
-            _SIZE,
-            F.least(
-                F.lit(COPIES_PER_PART).cast("bigint"),
-                F.col(_COPIES) - F.col(_PART) * COPIES_PER_PART,
-            ),
-        )
-        .drop(_COPIES)
-        .withColumn(_BUCKET, _bucket_of([*columns, _PART], buckets, bucket))
+    parts = count_copies(df, _PART, _SIZE).withColumn(
+        _BUCKET, _bucket_of([*columns, _PART], buckets, bucket)
     )
     running = (
         W.partitionBy(_BUCKET)
@@ -89,13 +78,9 @@ def _dense_key_with_copies(
     )
     numbered = parts.withColumn(_END, F.sum(_SIZE).over(running))
     offsets = _offsets(parts.groupBy(_BUCKET).agg(F.sum(_SIZE).alias(_SIZE)))
-    steps = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_SIZE)))
-    return (
-        numbered.join(offsets, _BUCKET, "left")
-        .withColumn(_STEP, steps)
-        .select(
-            (F.col(_OFFSET) + F.col(_END) - F.col(_SIZE) + F.col(_STEP)).alias(name), *columns
-        )
+    placed = numbered.join(offsets, _BUCKET, "left")
+    return repeat_copies(placed, _SIZE, _STEP).select(
+        (F.col(_OFFSET) + F.col(_END) - F.col(_SIZE) + F.col(_STEP)).alias(name), *columns
     )
 
 
