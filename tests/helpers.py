@@ -1,0 +1,69 @@
+"""Shared bits of the tests."""
+
+from __future__ import annotations
+
+import contextlib
+import datetime
+
+D = datetime.date(2021, 7, 25)
+OTHER = datetime.date(2021, 7, 24)
+TS = datetime.datetime(2021, 7, 25, 13, 45, 59)
+
+SB = (
+    "App_Transaction_Id bigint, ACTIVITY_TIMESTAMP timestamp, TRANSACTION_POINT_VALUE int, "
+    "TRANSACTION_RETAIL_VALUE double, TRANSACTION_EXTERNAL_REFERENCE string, ins_dt date"
+)
+OL = (
+    "SBLP_TRANSACTION_ID string, LOYALTY_ID string, PRODUCTS string, BASE_POINT_VALUE string, "
+    "MOBILE_UID string, MOBILE_OS string, RECEIPT_STATUS string, MSG_CODE string, ins_dt date"
+)
+CP = (
+    "REGIS_CNSM_ID string, REGIS_CTY_CODE string, REGIS_ID string, REGIS_LTY_ID string, "
+    "REGIS_DATE string, REGIS_CHANNEL string, REGIS_GENDER string, REGIS_CITY string, "
+    "CHILD_ID string, CHILD_NB string, CHILD_GENDER string, ins_dt date"
+)
+ADDR = "_id string, consumer_id string, address struct<street:string,city:string,state:string>"
+
+
+def txn(id, day=D, ts=TS):
+    return (id, ts, 10, 1.5, "ref", day)
+
+
+def receipt(id, loyalty="c1", products="a,b", code="7", day=D):
+    return (id, loyalty, products, "5", "uid", "ios", "ok", code, day)
+
+
+def consumer(id, country="12", regis_id="1", child="k1", day=D, city="Delft"):
+    return (id, country, regis_id, "lty", "2020", "web", "f", city, child, "1", "m", day)
+
+
+def document(id, street="s"):
+    return (f"doc-{id}", id, (street, "c", "st"))
+
+
+def bag(df):
+    """Rows of a frame in a fixed order."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def assert_same_rows(a, b):
+    assert a.columns == b.columns
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@contextlib.contextmanager
+def settings(spark, **values):
+    """SQL settings for one test; a double underscore stands for a dot."""
+    names = {k.replace("__", "."): str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def physical_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,232 @@
+"""Hand-made rows for the cases the test tables do not hold."""
+
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from helpers import ADDR, CP, D, OL, OTHER, SB, bag, consumer, document, receipt, txn
+from pyspark.sql import functions as F
+
+from tillroll.functions import align_keys, flatten_struct, item_count, null_on_error
+from tillroll.operators import left_join_batch, left_join_repeated, preview, repeated_keys
+from tillroll.plans import child_dim, registration_dim, sql_target, transaction_fact
+
+
+def fact(rows, transactions, receipts, registrations, **options):
+    return transaction_fact(
+        rows(transactions, SB),
+        rows(receipts, OL),
+        rows(registrations, "CNSM_ID string"),
+        D,
+        **options,
+    )
+
+
+def test_product_list_counts(rows):
+    df = rows([("a,b",), ("",), ("a,b,,",), (None,)], "p string")
+    counted = df.select(item_count("p").alias("n"), item_count("p", missing=-1).alias("m"))
+    assert [tuple(r) for r in counted.collect()] == [(2, 2), (1, 1), (4, 4), (None, -1)]
+
+
+def test_item_count_of_null_does_not_follow_the_session(spark, rows):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = rows([(None,)], "p string").select(item_count("p").alias("n"))
+        assert df.first()[0] is None
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_bad_numbers_become_null(rows):
+    texts = ["12", "abc", "99999", "12.7", "", " 5 "]
+    df = rows([(t,) for t in texts], "t string")
+    small = [r[0] for r in df.select(null_on_error("t", "smallint")).collect()]
+    assert small == [12, None, None, None, None, 5]
+    big = [r[0] for r in df.select(null_on_error("t", "bigint")).collect()]
+    assert big == [12, None, 99999, None, None, 5]
+
+
+def test_keys_of_mixed_type_do_not_raise(rows):
+    a, b = rows([(1,), (2,)], "k bigint"), rows([("1",), ("zz",), (None,)], "t string")
+    left, right = align_keys(a, "k", b, "t")
+    assert bag(a.join(b, left == right)) == [(1, "1")]
+    left, right = align_keys(b, "t", a, "k")
+    assert bag(b.join(a, left == right)) == [("1", 1)]
+
+
+def test_null_keys_do_not_match(rows):
+    a, b = rows([(1, None)], "i int, k string"), rows([(None,)], "c string")
+    assert a.join(b, a.k == b.c, "inner").count() == 0
+    assert bag(left_join_repeated(a, b, "k", "c")) == [(1, None, None)]
+
+
+def test_transactions_by_their_receipts(rows):
+    df = fact(
+        rows,
+        [txn(i) for i in (1, 2, 3, 4, 5, 6, None)] + [txn(9, day=OTHER)],
+        [
+            receipt("2", day=OTHER),
+            receipt("3"),
+            receipt("3", day=OTHER),
+            receipt("4", products="x"),
+            receipt("4", products="y"),
+            receipt("5", loyalty=None),
+            receipt("6", day=None),
+            receipt("9"),
+            receipt("zz"),
+            receipt(None),
+        ],
+        [("c1",)],
+    )
+    got = bag(df.select("TXN_ID", "RTL_TXN_EXT_CHAR_3", "CNSM_ID"))
+    assert got == sorted(
+        [
+            ("1", None, None),  # no receipt
+            ("3", "a,b", "c1"),  # receipts of both dates: one row
+            ("4", "x", "c1"),  # two receipts: two rows
+            ("4", "y", "c1"),
+            ("5", "a,b", None),  # no loyalty id
+            ("6", "a,b", "c1"),  # a receipt without a date
+            (None, None, None),  # no transaction id
+        ],
+        key=repr,
+    )
+
+
+def test_fact_values(rows):
+    df = fact(rows, [txn(1)], [receipt("1", products="a,b,,", code="abc")], [("c1",)])
+    assert df.drop("RTL_TXN_KEY").first().asDict() == {
+        "TXN_ID": "1",
+        "TXN_ITEM_QTY": 4,
+        "TXN_LOY_VAL_STD_CCY": 10,
+        "TXN_GROSS_MNY_STD_CCY": 0,
+        "TXN_GROSS_MNY_LCL_CCY": 1.5,
+        "MNY_LCL_CCY_TYPE_KEY": -1,
+        "RTL_TXN_TYPE_KEY": "ref",
+        "TXN_TS": datetime.datetime(2021, 7, 25, 13, 45, 59),
+        "TXN_DT_KEY": D,
+        "TXN_TM_HOUR": 13,
+        "TXN_TM_MINUTE": 45,
+        "TXN_TM_SECOND": 59,
+        "CHNL_KEY": "-1",
+        "CNSM_ID": "c1",
+        "RTL_TXN_EXT_DEC_1": None,
+        "RTL_TXN_EXT_DEC_2": None,
+        "RTL_TXN_EXT_DEC_3": "5",
+        "RTL_TXN_EXT_CHAR_1": "uid",
+        "RTL_TXN_EXT_CHAR_2": "ios",
+        "RTL_TXN_EXT_CHAR_3": "a,b,,",
+        "RTL_TXN_EXT_CHAR_4": "ok",
+        "RTL_TXN_EXT_CHAR_5": None,
+        "INS_DT": D,
+    }
+
+
+def test_compatible_null_marker_and_item_count(rows):
+    df = fact(rows, [txn(1)], [], [], null_marker="@NULL@", missing_item_qty=-1)
+    row = df.first()
+    assert (row.RTL_TXN_EXT_DEC_1, row.RTL_TXN_EXT_DEC_2, row.TXN_ITEM_QTY) == (
+        "@NULL@",
+        "@NULL@",
+        -1,
+    )
+
+
+def test_consumer_twice_in_the_dimension_doubles_the_fact(rows):
+    df = fact(rows, [txn(1)], [receipt("1")], [("c1",), ("c1",)])
+    assert df.count() == 2
+    dim = rows([("c1",), ("c1",), ("c2",)], "CNSM_ID string")
+    assert bag(repeated_keys(dim, "CNSM_ID")) == [("c1", 2)]
+
+
+def test_registrations(rows):
+    consumers = rows(
+        [
+            consumer("c1", child="k1"),
+            consumer("c1", child="k2"),  # differs by the child only
+            consumer("c2", country="abc", regis_id="x"),
+            consumer("c3"),  # no address
+            consumer(None),
+        ],
+        CP,
+    )
+    addresses = rows([document("c1"), document("c2"), document("c4"), document(None)], ADDR)
+    dim = registration_dim(consumers, addresses)
+    assert bag(dim.select("CNSM_ID", "CTY_CODE", "REGIS_ID", "Street", "State")) == sorted(
+        [("c1", 12, 1, "s", "st"), ("c2", None, None, "s", "st")], key=repr
+    )
+    assert sorted(r[0] for r in dim.select("REGIS_KEY").collect()) == [1, 2]
+
+
+def test_registrations_with_numeric_document_ids_and_flattened_addresses(rows):
+    consumers = rows([consumer("1"), consumer("x")], CP)
+    flat = rows([(1, "s", "c", "st")], "consumer_id int, street string, City string, state string")
+    dim = registration_dim(consumers, flat, key="unique")
+    assert bag(dim.select("CNSM_ID", "City")) == [("1", "c")]
+
+
+def test_children(rows):
+    consumers = rows(
+        [
+            consumer("c1"),
+            consumer("c1", city="Leiden"),  # same child
+            consumer("c1", child=None),
+            consumer("c2", day=OTHER),
+            consumer("c3", day=None),
+        ],
+        CP,
+    )
+    dim = child_dim(consumers, D)
+    assert bag(dim.drop("CHILD_KEY")) == [("c1", "12", "k1", "1", "m", D)]
+
+
+def test_flatten_leaves_a_flat_frame_alone(rows):
+    docs = rows([document("c1")], ADDR)
+    once = flatten_struct(docs, "Address", ["street", "city", "state"])
+    assert once.columns == ["_id", "consumer_id", "street", "city", "state"]
+    assert flatten_struct(once, "address", ["street"]).columns == once.columns
+
+
+def test_preview_order(rows):
+    df = rows([(3,), (1,), (2,)], "n int")
+    assert [r[0] for r in preview(df, 2, ["n"]).collect()] == [1, 2]
+    assert preview(df, 2).count() == 2
+
+
+def test_shared_column_names_are_refused(rows):
+    a, b = rows([(1, D)], "id int, ins_dt date"), rows([(1, D)], "rid int, INS_DT date")
+    with pytest.raises(ValueError, match="ins_dt"):
+        left_join_batch(a, b, "id", "rid", "INS_DT", D)
+
+
+def test_sql_over_views_named_after_the_sources(spark, rows):
+    sources = {"SB": rows([txn(1), txn(2, day=OTHER)], SB), "OL": rows([receipt("1")], OL)}
+    sql = """
+        SELECT CAST(SB.app_transaction_id AS STRING) AS id, size(split(ol.PRODUCTS, ',')) AS n
+        FROM SB LEFT JOIN OL ON SB.App_Transaction_Id = try_cast(OL.SBLP_TRANSACTION_ID AS BIGINT)
+        WHERE SB.INS_DT = CAST(:batch_date AS DATE)
+    """
+    assert bag(sql_target(spark, sources, sql, {"batch_date": "2021-07-25"})) == [("1", 2)]
+    plain = "SELECT monotonically_increasing_id() AS k, \"@NULL@\" AS m FROM sb WHERE ins_dt = '2021-07-25'"
+    assert bag(sql_target(spark, sources, plain).select("m")) == [("@NULL@",)]
+
+
+def test_time_zone_decides_the_hour(spark, rows):
+    from tillroll.functions import time_parts
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    df = spark.sql("SELECT TIMESTAMP '2021-07-25 13:45:59 UTC' AS ts")
+    assert df.select(time_parts("ts")["hour"]).first()[0] == 13
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Amsterdam")
+    try:
+        assert df.select(time_parts("ts")["hour"]).first()[0] == 15
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_batch_date_defaults_to_today(spark):
+    from tillroll.functions import with_batch_date
+
+    today = spark.range(1).select(F.current_date()).first()[0]
+    assert with_batch_date(spark.range(1)).select("ins_dt").first()[0] >= today

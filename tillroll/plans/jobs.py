@@ -7,8 +7,10 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.functions import drop_columns, flatten_struct, with_batch_date
+from tillroll.functions import date_literal, drop_columns, flatten_struct, with_batch_date
+from tillroll.operators import repeated_keys
 from tillroll.plans.targets import child_dim, registration_dim, transaction_fact
 from tillroll.session import tune
 from tillroll.sinks.staging import stage
@@ -54,18 +56,27 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """Stage ``SB``, ``OL``, ``CP`` and ``ADDR``, build the targets, load them.
 
-    The fact joins the registration dimension as read back from the warehouse. Running a
-    batch date again leaves the same staged dates and the same tables, keys included.
+    The dimensions are those of the batch: staging keeps earlier dates, and a consumer taken
+    once per date would multiply the fact. Receipts are read on all dates, because a
+    transaction whose receipts came in another batch is not one without receipts. The fact
+    joins the registration dimension as read back from the warehouse. Running a batch date
+    again leaves the same staged dates and the same tables, keys included.
+
+    Returns the loaded tables, and as ``REPEATED_CONSUMERS`` the consumers on several rows of
+    the registration dimension, each of which repeats its facts.
     """
     tune(spark, time_zone)
     paths = stage_sources(sources, staging_root, batch_date)
     staged = {name: read_staged(spark, path) for name, path in paths.items()}
+    in_batch = F.col("ins_dt") == date_literal(batch_date)
+    consumers, addresses = staged["CP"].filter(in_batch), staged["ADDR"].filter(in_batch)
 
-    warehouse.overwrite(registration_dim(staged["CP"], staged["ADDR"]), "REGIS_DIM")
+    warehouse.overwrite(registration_dim(consumers, addresses), "REGIS_DIM")
     warehouse.overwrite(child_dim(staged["CP"], batch_date), "CHILD_DIM")
     registrations = warehouse.read(spark, "REGIS_DIM")
     warehouse.overwrite(
         transaction_fact(staged["SB"], staged["OL"], registrations, batch_date, key=fact_key),
         "RTL_TXN_FCT",
     )
-    return {t: warehouse.read(spark, t) for t in ("REGIS_DIM", "CHILD_DIM", "RTL_TXN_FCT")}
+    loaded = {t: warehouse.read(spark, t) for t in ("REGIS_DIM", "CHILD_DIM", "RTL_TXN_FCT")}
+    return {**loaded, "REPEATED_CONSUMERS": repeated_keys(registrations, "CNSM_ID")}
