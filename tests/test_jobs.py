@@ -9,9 +9,16 @@ from helpers import ADDR, CP, D, OL, OTHER, SB, assert_same_rows, bag, consumer,
 from helpers import physical_plan, receipt, settings, txn
 from pyspark.sql import functions as F
 
-from tillroll.plans import Source, child_dim, registration_dim, run_batch, stage_sources
-from tillroll.plans import transaction_fact
-from tillroll.sinks import PathWarehouse, stage
+from tillroll.plans import (
+    Source,
+    build_targets,
+    child_dim,
+    registration_dim,
+    run_batch,
+    stage_sources,
+    transaction_fact,
+)
+from tillroll.sinks import CatalogWarehouse, PathWarehouse, stage
 from tillroll.sources import read_staged
 
 
@@ -57,6 +64,17 @@ def test_a_batch_run_again_gives_the_same_tables(spark, sources, folder):
     assert bag(staged) == [(OTHER, 6), (D, 6)]
 
 
+def test_targets_can_be_built_apart(spark, sources, folder):
+    warehouse = CatalogWarehouse(f"{folder}/wh")
+    stage_sources(sources, f"{folder}/staging", D)
+    dims = build_targets(spark, f"{folder}/staging", warehouse, D, ["CHILD_DIM", "REGIS_DIM"])
+    assert list(dims) == ["REGIS_DIM", "CHILD_DIM"]
+    fact = build_targets(spark, f"{folder}/staging", warehouse, D, ["RTL_TXN_FCT"])
+    assert fact["RTL_TXN_FCT"].count() == 10
+    with pytest.raises(ValueError):
+        build_targets(spark, f"{folder}/staging", warehouse, D, ["OTHER"])
+
+
 @pytest.mark.parametrize("key", ["dense", "unique"])
 def test_targets_run_again_agree(rows, key):
     consumers = rows([consumer(f"c{i % 7}", child=f"k{i}") for i in range(40)], CP)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillroll.plans import schemas
 from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL
 from tillroll.session import shared_folder
-from tillroll.sinks import JdbcWarehouse, PathWarehouse, stage
+from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage
 from tillroll.sources import (
     column_bounds,
     read_delimited,
@@ -211,6 +211,15 @@ def test_path_warehouse_replaces_a_table(spark, folder):
     assert warehouse.read(spark, "T").count() == 3
 
 
+def test_catalog_warehouse_leaves_the_previous_load_readable(spark, folder):
+    warehouse = CatalogWarehouse(folder)
+    warehouse.overwrite(spark.range(10), "cat_t")
+    before = warehouse.read(spark, "cat_t")
+    warehouse.overwrite(spark.range(3).withColumn("more", F.lit(1)), "cat_t")
+    assert before.count() == 10
+    assert bag(warehouse.read(spark, "cat_t")) == [(0, 1), (1, 1), (2, 1)]
+
+
 def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_folder(spark, "x"), shared_folder(spark, "x")

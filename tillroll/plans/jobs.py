@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,9 @@ from tillroll.sinks.staging import stage
 from tillroll.sinks.warehouse import Warehouse
 from tillroll.sources.files import read_staged
 
+# The targets, dimensions first.
+TARGETS = ("REGIS_DIM", "CHILD_DIM", "RTL_TXN_FCT")
+
 
 @dataclass(frozen=True)
 class Source:
@@ -45,6 +48,44 @@ def stage_sources(
     return paths
 
 
+def build_targets(
+    spark: SparkSession,
+    staging_root: str,
+    warehouse: Warehouse,
+    batch_date: str | datetime.date,
+    targets: Collection[str] = TARGETS,
+    fact_key: str = "dense",
+) -> dict[str, DataFrame]:
+    """Build targets of one batch from the staged sources and load them; returns them read back.
+
+    Dimensions come before the fact, which joins the registrations as read back from the
+    warehouse, whether loaded now or earlier. The dimensions are those of the batch: staging
+    keeps earlier dates, and a consumer taken once per date would multiply the fact. Receipts
+    are read on all dates, because a transaction whose receipts came in another batch is not
+    one without receipts.
+    """
+    unknown = set(targets) - set(TARGETS)
+    if unknown:
+        raise ValueError(f"unknown targets: {sorted(unknown)}")
+
+    def staged(name: str) -> DataFrame:
+        return read_staged(spark, f"{staging_root.rstrip('/')}/{name}")
+
+    in_batch = F.col("ins_dt") == date_literal(batch_date)
+    if "REGIS_DIM" in targets:
+        consumers, addresses = staged("CP").filter(in_batch), staged("ADDR").filter(in_batch)
+        warehouse.overwrite(registration_dim(consumers, addresses), "REGIS_DIM")
+    if "CHILD_DIM" in targets:
+        warehouse.overwrite(child_dim(staged("CP"), batch_date), "CHILD_DIM")
+    if "RTL_TXN_FCT" in targets:
+        registrations = warehouse.read(spark, "REGIS_DIM")
+        fact = transaction_fact(
+            staged("SB"), staged("OL"), registrations, batch_date, key=fact_key
+        )
+        warehouse.overwrite(fact, "RTL_TXN_FCT")
+    return {name: warehouse.read(spark, name) for name in TARGETS if name in targets}
+
+
 def run_batch(
     spark: SparkSession,
     sources: Mapping[str, Source],
@@ -54,29 +95,14 @@ def run_batch(
     time_zone: str = "UTC",
     fact_key: str = "dense",
 ) -> dict[str, DataFrame]:
-    """Stage ``SB``, ``OL``, ``CP`` and ``ADDR``, build the targets, load them.
+    """Stage ``SB``, ``OL``, ``CP`` and ``ADDR``, then build and load all targets.
 
-    The dimensions are those of the batch: staging keeps earlier dates, and a consumer taken
-    once per date would multiply the fact. Receipts are read on all dates, because a
-    transaction whose receipts came in another batch is not one without receipts. The fact
-    joins the registration dimension as read back from the warehouse. Running a batch date
-    again leaves the same staged dates and the same tables, keys included.
+    Running a batch date again leaves the same staged dates and the same tables, keys included.
 
     Returns the loaded tables, and as ``REPEATED_CONSUMERS`` the consumers on several rows of
     the registration dimension, each of which repeats its facts.
     """
     tune(spark, time_zone)
-    paths = stage_sources(sources, staging_root, batch_date)
-    staged = {name: read_staged(spark, path) for name, path in paths.items()}
-    in_batch = F.col("ins_dt") == date_literal(batch_date)
-    consumers, addresses = staged["CP"].filter(in_batch), staged["ADDR"].filter(in_batch)
-
-    warehouse.overwrite(registration_dim(consumers, addresses), "REGIS_DIM")
-    warehouse.overwrite(child_dim(staged["CP"], batch_date), "CHILD_DIM")
-    registrations = warehouse.read(spark, "REGIS_DIM")
-    warehouse.overwrite(
-        transaction_fact(staged["SB"], staged["OL"], registrations, batch_date, key=fact_key),
-        "RTL_TXN_FCT",
-    )
-    loaded = {t: warehouse.read(spark, t) for t in ("REGIS_DIM", "CHILD_DIM", "RTL_TXN_FCT")}
-    return {**loaded, "REPEATED_CONSUMERS": repeated_keys(registrations, "CNSM_ID")}
+    stage_sources(sources, staging_root, batch_date)
+    loaded = build_targets(spark, staging_root, warehouse, batch_date, fact_key=fact_key)
+    return {**loaded, "REPEATED_CONSUMERS": repeated_keys(loaded["REGIS_DIM"], "CNSM_ID")}

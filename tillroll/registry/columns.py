@@ -19,6 +19,9 @@ from tillroll.operators import dense_key, unique_key
 from tillroll.plans.schemas import ADDRESS_FIELDS
 from tillroll.registry import standins
 from tillroll.registry.base import query, table
+from tillroll.session import shared_folder
+from tillroll.sinks import stage
+from tillroll.sources import read_staged
 
 
 @query("proj_batch_date", "SELECT *, DATE '2021-07-25' AS ins_dt FROM orders")
@@ -188,11 +191,20 @@ def cast_ts_to_date(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "filter_batch_date",
-    "SELECT event_id, CAST(ts AS DATE) AS ins_dt FROM events WHERE CAST(ts AS DATE) = '2024-01-15'",
+    """
+    SELECT event_id, user_id, CAST(ts AS DATE) AS ins_dt FROM events
+    WHERE CAST(ts AS DATE) = (SELECT MIN(CAST(ts AS DATE)) FROM events)
+    """,
 )
 def filter_batch_date(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("ins_dt"))
-    return events.filter(F.col("ins_dt") == date_literal("2024-01-15"))
+    """One load date of staged events: only its partition is read."""
+    events, path = table(spark, sf, "events"), shared_folder(spark, "staged")
+    day = events.agg(F.min(F.to_date("ts"))).first()[0]
+    stage(events.withColumn("ins_dt", F.to_date("ts")), path, many_dates=True)
+    staged = read_staged(spark, path, events.schema)
+    return staged.filter(F.col("ins_dt") == date_literal(day)).select(
+        "event_id", "user_id", "ins_dt"
+    )
 
 
 @query(
@@ -218,10 +230,7 @@ def filter_not_null(spark: SparkSession, sf: str) -> DataFrame:
 def filter_and(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "orders")
-        .filter(
-            (standins.year_day("o_orderdate") == date_literal("1998-01-01"))
-            & F.col("o_orderstatus").isNotNull()
-        )
+        .filter(standins.in_year("o_orderdate", 1998) & F.col("o_orderstatus").isNotNull())
         .select("o_orderkey", "o_orderdate")
     )
 

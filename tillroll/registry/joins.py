@@ -109,7 +109,7 @@ def join_mixed_type_key(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def filter_post_join_null_tolerant(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").filter(F.year("o_orderdate") == 1998)
+    orders = table(spark, sf, "orders").filter(standins.in_year("o_orderdate", 1998))
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",

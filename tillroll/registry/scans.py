@@ -12,7 +12,7 @@ from tillroll.plans.targets import child_dim
 from tillroll.registry import standins
 from tillroll.registry.base import query, table, write_delimited, write_documents
 from tillroll.session import shared_folder
-from tillroll.sinks import JdbcWarehouse, PathWarehouse, stage
+from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage
 from tillroll.sources import (
     read_delimited,
     read_documents,
@@ -43,14 +43,15 @@ def database(spark: SparkSession) -> JdbcWarehouse:
 def src_jdbc_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     db = database(spark)
     db.overwrite(table(spark, sf, "orders"), "src_orders")
-    df = read_jdbc_partitioned(spark, db.url, "src_orders", "o_orderkey", 8, db.properties)
+    parts = spark.sparkContext.defaultParallelism
+    df = read_jdbc_partitioned(spark, db.url, "src_orders", "o_orderkey", parts, db.properties)
     return df.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
 @query("src_delimited_landing", "SELECT * FROM lineitem")
 def src_delimited_landing(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem")
-    landing = write_delimited(lines.repartition(4), spark, "landing")
+    landing = write_delimited(lines, spark, "landing")
     raw = read_delimited(spark, f"{landing}/*.csv", text_schema(lines.columns))
     return raw.select(
         *(null_on_error(f.name, f.dataType).alias(f.name) for f in lines.schema)
@@ -94,6 +95,14 @@ def src_warehouse_table(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.read(spark, "customer")
 
 
+@query("src_warehouse_catalog", "SELECT * FROM part")
+def src_warehouse_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    warehouse = CatalogWarehouse(shared_folder(spark, "warehouse"))
+    warehouse.overwrite(table(spark, sf, "supplier"), "wh_part")
+    warehouse.overwrite(table(spark, sf, "part"), "wh_part")
+    return warehouse.read(spark, "wh_part")
+
+
 @query("src_warehouse_jdbc", "SELECT * FROM supplier")
 def src_warehouse_jdbc(spark: SparkSession, sf: str) -> DataFrame:
     db = database(spark)

@@ -17,6 +17,12 @@ def year_day(timestamp: str) -> Column:
     return F.make_date(F.year(timestamp), F.lit(1), F.lit(1))
 
 
+def in_year(timestamp: str, year: int) -> Column:
+    """A range of the column itself, which the scan can check against its statistics."""
+    start, end = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+    return (F.col(timestamp) >= start) & (F.col(timestamp) < end)
+
+
 def order_transactions(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as transactions, in yearly batches."""
     return table(spark, sf, "orders").select(

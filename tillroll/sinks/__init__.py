@@ -1,4 +1,4 @@
 from tillroll.sinks.staging import stage
-from tillroll.sinks.warehouse import JdbcWarehouse, PathWarehouse, Warehouse
+from tillroll.sinks.warehouse import CatalogWarehouse, JdbcWarehouse, PathWarehouse, Warehouse
 
-__all__ = ["JdbcWarehouse", "PathWarehouse", "Warehouse", "stage"]
+__all__ = ["CatalogWarehouse", "JdbcWarehouse", "PathWarehouse", "Warehouse", "stage"]
