@@ -47,6 +47,14 @@ def test_bad_numbers_become_null(rows):
     assert big == [12, None, 99999, None, None, 5]
 
 
+def test_integers_are_recognised_as_the_cast_does(rows):
+    texts = ["7", "-7", "+7", "\t7\n", "\x007\x7f", "7 7", "+-7", "-", "7.", "7e1", "0x7", "７", "\u00a07"]
+    df = rows([(t,) for t in texts + [None, " ", "9" * 30]], "t string")
+    for to in ("smallint", "int", "bigint"):
+        both = df.select(null_on_error("t", to).alias("a"), F.col("t").try_cast(to).alias("b"))
+        assert all(r.a == r.b for r in both.collect())
+
+
 def test_keys_of_mixed_type_do_not_raise(rows):
     a, b = rows([(1,), (2,)], "k bigint"), rows([("1",), ("zz",), (None,)], "t string")
     left, right = align_keys(a, "k", b, "t")

@@ -6,7 +6,7 @@ import pytest
 from helpers import D, OL, OTHER, SB, assert_same_rows, physical_plan, settings
 from pyspark.sql import functions as F
 
-from tillroll.operators import left_join_batch, left_join_repeated
+from tillroll.operators import left_join, left_join_batch, left_join_repeated
 from tillroll.plans import transaction_fact
 from tillroll.plans.targets import registration_dim
 from tillroll.session import tune
@@ -81,6 +81,17 @@ def test_hot_left_key_that_is_nowhere_on_the_right(small):
     assert skewed(got)
 
 
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_left_join(small, hot_side):
+    many = small.range(0, 12_000, 1, 8).select(hot(0.4, F.col("id")).alias("k"), F.col("id").alias("x"))
+    few = small.range(-20, 9000, 1, 8).select((F.col("id") * 2 + 1).alias("k"), F.col("id").alias("y"))
+    left, right = (many, few) if hot_side == "left" else (few, many)
+    left, right = left.toDF("a", "x"), right.toDF("b", "y")
+    got = left_join(left, right, "a", "b")
+    assert_same_rows(got, left.join(right, left.a == right.b, "left"))
+    assert skewed(got)
+
+
 def test_null_keys_on_a_third_of_both_sides(small):
     nulls = F.when(F.col("id") % 3 > 0, F.col("id"))
     left = small.range(6000).select(nulls.alias("a"), F.col("id").alias("x"))

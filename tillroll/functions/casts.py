@@ -9,9 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def null_on_error(column: str | Column, to: str) -> Column:
-    """Cast text to a number, giving NULL where the text is not one."""
-    return (F.col(column) if isinstance(column, str) else column).try_cast(to)
+# The only characters a cast to an integer accepts, blanks at the ends included.
+INTEGER_TEXT = r"^[\x00-\x20\x7F0-9+-]+$"
+INTEGERS = ("tinyint", "smallint", "int", "integer", "bigint")
+
+
+def null_on_error(column: str | Column, to: str | T.DataType) -> Column:
+    """Cast text, giving NULL where it does not parse.
+
+    A cast that fails costs far more than one that works, even if the error is swallowed. Text
+    with other characters than an integer can have is therefore not cast to one at all.
+    """
+    text = F.col(column) if isinstance(column, str) else column
+    name = to.lower() if isinstance(to, str) else to.simpleString()
+    cast = text.try_cast(to)
+    return F.when(text.rlike(INTEGER_TEXT), cast) if name in INTEGERS else cast
 
 
 def date_literal(day: str | datetime.date) -> Column:
@@ -30,7 +42,7 @@ def align_keys(
     right_type = right.select(right_key).schema[0].dataType
     left_col, right_col = F.col(left_key), F.col(right_key)
     if isinstance(left_type, T.StringType) and not isinstance(right_type, T.StringType):
-        left_col = left_col.try_cast(right_type)
+        left_col = null_on_error(left_col, right_type)
     elif isinstance(right_type, T.StringType) and not isinstance(left_type, T.StringType):
-        right_col = right_col.try_cast(left_type)
+        right_col = null_on_error(right_col, left_type)
     return left_col, right_col

@@ -1,5 +1,5 @@
 from tillroll.operators.copies import count_copies, repeat_copies
-from tillroll.operators.joins import left_join_batch, left_join_repeated
+from tillroll.operators.joins import left_join, left_join_batch, left_join_repeated
 from tillroll.operators.keys import add_key, dense_key, repeated_keys, unique_key
 from tillroll.operators.preview import preview
 
@@ -7,6 +7,7 @@ __all__ = [
     "add_key",
     "count_copies",
     "dense_key",
+    "left_join",
     "left_join_batch",
     "left_join_repeated",
     "preview",

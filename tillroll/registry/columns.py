@@ -15,7 +15,7 @@ from tillroll.functions import (
     time_parts,
     with_batch_date,
 )
-from tillroll.operators import dense_key, unique_key
+from tillroll.operators import dense_key, left_join, unique_key
 from tillroll.plans.schemas import ADDRESS_FIELDS
 from tillroll.registry import standins
 from tillroll.registry.base import query, table
@@ -257,7 +257,7 @@ def distinct_after_join(spark: SparkSession, sf: str) -> DataFrame:
 )
 def distinct_multi(spark: SparkSession, sf: str) -> DataFrame:
     orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    joined = left_join(orders, lines, "o_orderkey", "l_orderkey")
     return joined.select(
         "o_custkey", "o_orderstatus", "l_linenumber", "l_returnflag", "l_linestatus"
     ).distinct()

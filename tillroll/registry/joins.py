@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import align_keys
-from tillroll.operators import left_join_batch
+from tillroll.operators import left_join, left_join_batch
 from tillroll.registry import standins
 from tillroll.registry.base import as_text, query, table
 from tillroll.session import shared_folder
@@ -39,7 +39,7 @@ def join_inner(spark: SparkSession, sf: str) -> DataFrame:
 )
 def join_left(spark: SparkSession, sf: str) -> DataFrame:
     orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
+    return left_join(orders, lines, "o_orderkey", "l_orderkey").select(
         "o_orderkey", "o_orderstatus", "l_linenumber", "l_returnflag"
     )
 
@@ -52,8 +52,9 @@ def join_left(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def join_left_unmatched(spark: SparkSession, sf: str) -> DataFrame:
-    documents, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    return documents.join(labels, "doc_id", "left").select("doc_id", "lang", "quality", "toxic")
+    documents = table(spark, sf, "documents").select("doc_id", "lang")
+    labels = table(spark, sf, "labels").withColumnRenamed("doc_id", "labelled_id")
+    return left_join(documents, labels, "doc_id", "labelled_id").drop("labelled_id")
 
 
 CHAIN_SQL = """
@@ -64,11 +65,15 @@ CHAIN_SQL = """
 
 
 def _chain(orders: DataFrame, lines: DataFrame, suppliers: DataFrame) -> DataFrame:
-    return (
-        orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey, "left")
-        .select("o_orderkey", "l_linenumber", "s_suppkey", "s_name")
+    with_lines = left_join(
+        orders.select("o_orderkey"),
+        lines.select("l_orderkey", "l_linenumber", "l_suppkey"),
+        "o_orderkey",
+        "l_orderkey",
     )
+    return with_lines.join(
+        suppliers, with_lines.l_suppkey == suppliers.s_suppkey, "left"
+    ).select("o_orderkey", "l_linenumber", "s_suppkey", "s_name")
 
 
 @query("join_left_chain", CHAIN_SQL)
