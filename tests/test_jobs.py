@@ -18,7 +18,8 @@ from tillroll.plans import (
     stage_sources,
     transaction_fact,
 )
-from tillroll.sinks import CatalogWarehouse, PathWarehouse, stage
+from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL
+from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage
 from tillroll.sources import read_staged
 
 
@@ -75,6 +76,15 @@ def test_targets_can_be_built_apart(spark, sources, folder):
         build_targets(spark, f"{folder}/staging", warehouse, D, ["OTHER"])
 
 
+def test_a_batch_through_a_database(spark, sources, folder):
+    db = JdbcWarehouse(IN_PROCESS_URL, {"driver": IN_PROCESS_DRIVER}, connections=4)
+    paths = PathWarehouse(f"{folder}/wh")
+    tables = [run_batch(spark, sources, f"{folder}/staging", w, D) for w in (db, paths)]
+    for name in ("REGIS_DIM", "CHILD_DIM", "RTL_TXN_FCT"):
+        assert bag(tables[0][name]) == bag(tables[1][name])
+    assert tables[0]["RTL_TXN_FCT"].rdd.getNumPartitions() == 4
+
+
 @pytest.mark.parametrize("key", ["dense", "unique"])
 def test_targets_run_again_agree(rows, key):
     consumers = rows([consumer(f"c{i % 7}", child=f"k{i}") for i in range(40)], CP)

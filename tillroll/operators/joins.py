@@ -36,7 +36,9 @@ def left_join(
     more for its key column alone, de-duplicated before it is shuffled; the other columns are
     read for rows that pass only. Left rows without a key match nothing and are added at the end.
 
-    Against a dimension, with few rows to a key, a plain left join does with less.
+    Against a dimension, with few rows to a key, a plain left join does with less. Both frames
+    are read more than once, so they should be tables or cheap to derive from one, and have to
+    give the same rows each time.
     """
     _check_names(left, right)
     left_col, right_col = align_keys(left, left_key, right, right_key)

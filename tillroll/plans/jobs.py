@@ -17,8 +17,8 @@ from tillroll.sinks.staging import stage
 from tillroll.sinks.warehouse import Warehouse
 from tillroll.sources.files import read_staged
 
-# The targets, dimensions first.
-TARGETS = ("REGIS_DIM", "CHILD_DIM", "RTL_TXN_FCT")
+# The targets, dimensions first, and their keys. Dense keys split evenly.
+TARGETS = {"REGIS_DIM": "REGIS_KEY", "CHILD_DIM": "CHILD_KEY", "RTL_TXN_FCT": "RTL_TXN_KEY"}
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ def build_targets(
     staging_root: str,
     warehouse: Warehouse,
     batch_date: str | datetime.date,
-    targets: Collection[str] = TARGETS,
+    targets: Collection[str] = tuple(TARGETS),
     fact_key: str = "dense",
 ) -> dict[str, DataFrame]:
     """Build targets of one batch from the staged sources and load them; returns them read back.
@@ -71,6 +71,9 @@ def build_targets(
     def staged(name: str) -> DataFrame:
         return read_staged(spark, f"{staging_root.rstrip('/')}/{name}")
 
+    def loaded(name: str) -> DataFrame:
+        return warehouse.read(spark, name, split_on=TARGETS[name])
+
     in_batch = F.col("ins_dt") == date_literal(batch_date)
     if "REGIS_DIM" in targets:
         consumers, addresses = staged("CP").filter(in_batch), staged("ADDR").filter(in_batch)
@@ -78,12 +81,12 @@ def build_targets(
     if "CHILD_DIM" in targets:
         warehouse.overwrite(child_dim(staged("CP"), batch_date), "CHILD_DIM")
     if "RTL_TXN_FCT" in targets:
-        registrations = warehouse.read(spark, "REGIS_DIM")
+        registrations = loaded("REGIS_DIM")
         fact = transaction_fact(
             staged("SB"), staged("OL"), registrations, batch_date, key=fact_key
         )
         warehouse.overwrite(fact, "RTL_TXN_FCT")
-    return {name: warehouse.read(spark, name) for name in TARGETS if name in targets}
+    return {name: loaded(name) for name in TARGETS if name in targets}
 
 
 def run_batch(

@@ -226,39 +226,43 @@ def job_stage_sources(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-# The fact as a user would write it in SQL, over views named after the sources.
-USER_FACT_SQL = """
-    SELECT CAST(t.App_Transaction_Id AS STRING) AS TXN_ID,
-           size(split(r.PRODUCTS, ',')) AS TXN_ITEM_QTY,
-           t.TRANSACTION_POINT_VALUE AS TXN_LOY_VAL_STD_CCY, 0 AS TXN_GROSS_MNY_STD_CCY,
-           t.TRANSACTION_RETAIL_VALUE AS TXN_GROSS_MNY_LCL_CCY, -1 AS MNY_LCL_CCY_TYPE_KEY,
-           t.TRANSACTION_EXTERNAL_REFERENCE AS RTL_TXN_TYPE_KEY, t.ACTIVITY_TIMESTAMP AS TXN_TS,
-           CAST(t.ACTIVITY_TIMESTAMP AS DATE) AS TXN_DT_KEY,
-           hour(t.ACTIVITY_TIMESTAMP) AS TXN_TM_HOUR,
-           minute(t.ACTIVITY_TIMESTAMP) AS TXN_TM_MINUTE,
-           second(t.ACTIVITY_TIMESTAMP) AS TXN_TM_SECOND, '-1' AS CHNL_KEY, g.CNSM_ID,
-           CAST(NULL AS DECIMAL(18,2)) AS RTL_TXN_EXT_DEC_1,
-           CAST(NULL AS DECIMAL(18,2)) AS RTL_TXN_EXT_DEC_2,
-           r.BASE_POINT_VALUE AS RTL_TXN_EXT_DEC_3, r.MOBILE_UID AS RTL_TXN_EXT_CHAR_1,
-           r.MOBILE_OS AS RTL_TXN_EXT_CHAR_2, r.PRODUCTS AS RTL_TXN_EXT_CHAR_3,
-           r.RECEIPT_STATUS AS RTL_TXN_EXT_CHAR_4,
-           try_cast(r.MSG_CODE AS BIGINT) AS RTL_TXN_EXT_CHAR_5, t.ins_dt AS INS_DT
-    FROM SB t
-    LEFT JOIN OL r ON t.App_Transaction_Id = try_cast(r.SBLP_TRANSACTION_ID AS BIGINT)
-    LEFT JOIN REGIS_DIM g ON r.LOYALTY_ID = g.CNSM_ID
-    WHERE t.ins_dt = CAST(:batch_date AS DATE)
-      AND (r.ins_dt = CAST(:batch_date AS DATE) OR r.ins_dt IS NULL)
+USER_SQL = """
+    WITH batch AS (
+      SELECT App_Transaction_Id AS id, TRANSACTION_RETAIL_VALUE AS spent
+      FROM sb WHERE ins_dt = CAST(:batch_date AS DATE)
+    ),
+    slips AS (
+      SELECT try_cast(SBLP_TRANSACTION_ID AS BIGINT) AS id, LOYALTY_ID AS member,
+             size(split(PRODUCTS, ',')) AS items, ins_dt AS received
+      FROM ol
+    )
+    SELECT batch.id, batch.spent, slips.items, regis_dim.REGIS_CITY AS known_as
+    FROM batch
+    LEFT JOIN slips ON batch.id = slips.id
+    LEFT JOIN regis_dim ON slips.member = regis_dim.CNSM_ID
+    WHERE slips.received = CAST(:batch_date AS DATE) OR slips.received IS NULL
 """
 
 
-@query("job_sql_target", ORDER_FACT_SQL)
+@query(
+    "job_sql_target",
+    """
+    SELECT o_orderkey AS id, o_totalprice AS spent,
+           CAST(len(string_split(p_name, ' ')) AS INTEGER) AS items, s_name AS known_as
+    FROM orders
+    LEFT JOIN (lineitem JOIN part ON l_partkey = p_partkey) ON o_orderkey = l_orderkey
+    LEFT JOIN supplier ON l_suppkey = s_suppkey
+    WHERE year(o_orderdate) = 1998 AND (year(l_shipdate) = 1998 OR l_shipdate IS NULL)
+    """,
+)
 def job_sql_target(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL text as a user brings it, over views named after the sources."""
     sources = {
         "SB": standins.order_transactions(spark, sf),
         "OL": standins.receipts(spark, sf),
         "REGIS_DIM": standins.supplier_registrations(spark, sf),
     }
-    return sql_target(spark, sources, USER_FACT_SQL, {"batch_date": "1998-01-01"})
+    return sql_target(spark, sources, USER_SQL, {"batch_date": "1998-01-01"})
 
 
 @query("job_end_to_end", END_TO_END_SQL)

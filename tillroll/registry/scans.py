@@ -11,7 +11,7 @@ from tillroll.plans import schemas
 from tillroll.plans.targets import child_dim
 from tillroll.registry import standins
 from tillroll.registry.base import query, table, write_delimited, write_documents
-from tillroll.session import shared_folder
+from tillroll.session import one_process, shared_folder
 from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage
 from tillroll.sources import (
     read_delimited,
@@ -34,7 +34,7 @@ def database(spark: SparkSession) -> JdbcWarehouse:
     url = spark.conf.get(JDBC_URL_SETTING, None)
     if url:
         return JdbcWarehouse(url)
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_process(spark):
         raise ValueError(f"set {JDBC_URL_SETTING} to a database all executors reach")
     return JdbcWarehouse(IN_PROCESS_URL, {"driver": IN_PROCESS_DRIVER})
 
@@ -107,7 +107,7 @@ def src_warehouse_catalog(spark: SparkSession, sf: str) -> DataFrame:
 def src_warehouse_jdbc(spark: SparkSession, sf: str) -> DataFrame:
     db = database(spark)
     db.overwrite(table(spark, sf, "supplier"), "wh_supplier")
-    return db.read(spark, "wh_supplier", column="s_suppkey", num_partitions=4)
+    return db.read(spark, "wh_supplier", split_on="s_suppkey")
 
 
 def _events_by_day(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,9 +171,9 @@ def sink_table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 @query("sink_jdbc_overwrite", CHILDREN_SQL)
 def sink_jdbc_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     children, db = standins.order_children(spark, sf), database(spark)
-    db.overwrite(child_dim(children, "1997-01-01"), "CHILD_DIM")
-    db.overwrite(child_dim(children, "1998-01-01"), "CHILD_DIM")
-    return db.read(spark, "CHILD_DIM").drop("CHILD_KEY")
+    db.overwrite(child_dim(children, "1997-01-01"), "sink_children")
+    db.overwrite(child_dim(children, "1998-01-01"), "sink_children")
+    return db.read(spark, "sink_children", split_on="CHILD_KEY").drop("CHILD_KEY")
 
 
 @query(

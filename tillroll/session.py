@@ -25,15 +25,20 @@ def tune(spark: SparkSession, time_zone: str | None = None) -> SparkSession:
     return spark
 
 
+def one_process(spark: SparkSession) -> bool:
+    """Whether driver and executors are the same process."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
-    Lies under ``spark.checkpoint.dir``. Only a local master, where driver and executors
-    share one machine, may fall back to a temporary folder.
+    Lies under ``spark.checkpoint.dir``. Only a local master, where the driver is the one
+    executor, may fall back to a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not one_process(spark):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tillroll-")
     return f"{base.rstrip('/')}/tillroll/{label}-{uuid.uuid4().hex}"
