@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 import re
+from dataclasses import replace
 
 import pytest
 from helpers import ADDR, CP, D, OL, OTHER, SB, assert_same_rows, bag, consumer, document
@@ -47,6 +49,27 @@ def test_staging(spark, sources, folder):
     assert all(bag(df.select("ins_dt").distinct()) == [(D,)] for df in back.values())
 
 
+def test_a_batch_that_became_empty_leaves_no_old_rows(spark, sources, folder):
+    stage_sources(sources, folder, OTHER)
+    stage_sources(sources, folder, D)
+    empty = {name: replace(s, read=lambda s=s: s.read().limit(0)) for name, s in sources.items()}
+    for name, path in stage_sources(empty, folder, D).items():
+        assert bag(read_staged(spark, path).select("ins_dt").distinct()) == [(OTHER,)], name
+
+
+def test_static_staging_keeps_the_last_date_only(spark, sources, folder):
+    stage_sources(sources, folder, OTHER, mode="static")
+    for path in stage_sources(sources, folder, D, mode="static").values():
+        assert bag(read_staged(spark, path).select("ins_dt").distinct()) == [(D,)]
+
+
+def test_staging_without_a_date_takes_today(spark, sources, folder):
+    before = datetime.date.today()
+    paths = stage_sources(sources, folder)
+    days = {bag(read_staged(spark, p).select("ins_dt").distinct())[0][0] for p in paths.values()}
+    assert len(days) == 1 and before <= days.pop() <= datetime.date.today()
+
+
 def test_no_sources_is_no_work(folder):
     assert stage_sources({}, folder, D) == {}
 

@@ -13,7 +13,7 @@ from tillroll.functions import date_literal, drop_columns, flatten_struct, with_
 from tillroll.operators import repeated_keys
 from tillroll.plans.targets import child_dim, registration_dim, transaction_fact
 from tillroll.session import tune
-from tillroll.sinks.staging import stage
+from tillroll.sinks.staging import stage, stage_batch
 from tillroll.sinks.warehouse import Warehouse
 from tillroll.sources.files import read_staged
 
@@ -37,14 +37,23 @@ def stage_sources(
     batch_date: str | datetime.date | None = None,
     mode: str = "dynamic",
 ) -> dict[str, str]:
-    """Stage every source under ``root`` with its load date; returns name to path."""
+    """Stage every source under ``root`` with one load date; returns name to path.
+
+    The date is today unless given, the same for all sources. Other dates staged earlier are
+    kept, or with ``mode="static"`` removed.
+    """
     paths = {name: f"{root.rstrip('/')}/{name}" for name in sources}
+    day = batch_date
     for name, source in sources.items():
         df = source.read()
+        day = day or df.sparkSession.range(1).select(F.current_date()).first()[0]
         if source.struct is not None:
             df = flatten_struct(df, source.struct, source.fields)
         df = drop_columns(df, *source.drop)
-        stage(with_batch_date(df, batch_date), paths[name], mode=mode)
+        if mode == "dynamic":
+            stage_batch(df, paths[name], day)
+        else:
+            stage(with_batch_date(df, day), paths[name], mode=mode)
     return paths
 
 

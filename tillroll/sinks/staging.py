@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,13 +18,12 @@ def stage(
 ) -> None:
     """Overwrite staged parquet, one directory per load date.
 
-    ``mode="dynamic"`` replaces only the dates present in ``df``, so a batch can be staged
-    again without losing the others; ``"static"`` replaces the whole path.
+    ``mode="dynamic"`` replaces only the dates present in ``df``, so a date can be staged again
+    without losing the others; ``"static"`` replaces the whole path.
 
-    A batch has one load date, so tasks write straight into its directory without a shuffle.
-    A frame over ``many_dates`` would leave one file per task and date: it is rebalanced by
-    date first, where Spark splits a date that is too large for one task, which a plain
-    ``repartition`` by date would not.
+    A frame of one date is written by its tasks without a shuffle. One over ``many_dates`` would
+    leave a file per task and date: it is rebalanced by date first, where Spark splits a date
+    that is too large for one task, which a plain ``repartition`` by date would not.
     """
     if mode not in ("dynamic", "static"):
         raise ValueError(f"unknown overwrite mode: {mode!r}")
@@ -34,3 +35,24 @@ def stage(
         .partitionBy(batch_column)
         .parquet(path)
     )
+
+
+def stage_batch(
+    df: DataFrame,
+    path: str,
+    batch_date: str | datetime.date,
+    batch_column: str = "ins_dt",
+    max_records_per_file: int = 0,
+) -> None:
+    """Replace one load date of staged parquet by ``df``, whatever dates it held before.
+
+    Writes the directory of the date, so a batch that has become empty leaves an empty date,
+    where a dynamic overwrite would leave the old rows.
+    """
+    day = datetime.date.fromisoformat(str(batch_date))
+    (
+        df.drop(batch_column)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", max_records_per_file)
+        .parquet(f"{path.rstrip('/')}/{batch_column}={day}")
+    )
