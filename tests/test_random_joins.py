@@ -1,0 +1,51 @@
+"""The joins and keys against their plain forms, on small random frames."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from helpers import D, OTHER, assert_same_rows
+from pyspark.sql import functions as F
+
+from tillroll.operators import dense_key, left_join, left_join_batch, left_join_repeated
+
+
+def frames(spark, seed):
+    rng = random.Random(seed)
+    keys = [None, *range(rng.choice([2, 6, 30]))]
+    days = [D, OTHER, None]
+    text = seed % 2 == 1
+
+    def right_key():
+        k = rng.choice([*keys, 77])
+        return str(k) if text and k is not None else k
+
+    left = [(rng.choice(keys), rng.randrange(3)) for _ in range(rng.choice([0, 5, 40]))]
+    right = [(right_key(), rng.randrange(2), rng.choice(days)) for _ in range(rng.choice([0, 5, 40]))]
+    if text:
+        right.append(("x1", 0, D))
+    return (
+        spark.createDataFrame(left, "a bigint, x int"),
+        spark.createDataFrame(right, f"b {'string' if text else 'int'}, y int, d date"),
+    )
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_joins(spark, seed):
+    left, right = frames(spark, seed)
+    same = F.col("a") == F.col("b").try_cast("bigint")
+    plain = left.join(right, same, "left")
+    assert_same_rows(left_join(left, right, "a", "b"), plain)
+    of_batch = plain.filter((F.col("d") == F.lit(D)) | F.col("d").isNull())
+    assert_same_rows(left_join_batch(left, right, "a", "b", "d", D), of_batch)
+    ids = right.select("b")
+    assert_same_rows(left_join_repeated(left, ids, "a", "b"), left.join(ids, same, "left"))
+
+
+@pytest.mark.parametrize("seed", range(10, 14))
+def test_dense_keys_number_every_row(spark, seed):
+    _, right = frames(spark, seed)
+    keyed = dense_key(right, "k", buckets=8)
+    assert sorted(r.k for r in keyed.select("k").collect()) == list(range(1, right.count() + 1))
+    assert_same_rows(keyed.drop("k"), right)
