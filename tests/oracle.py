@@ -37,12 +37,13 @@ def _type(t: pa.DataType) -> str:
 
 
 def differences(spark, con, run, sql: str, sf_dir: str) -> list[str]:
-    got, want = run(spark, sf_dir).toArrow(), con.execute(sql).to_arrow_table()
+    got, want = run(spark, sf_dir).toArrow(), con.sql(sql).to_arrow_table()
     found = []
     got_types = {n: _type(t) for n, t in zip(got.column_names, got.schema.types)}
     want_types = {n: _type(t) for n, t in zip(want.column_names, want.schema.types)}
     if got_types != want_types:
-        odd = {n for n in got_types.keys() | want_types.keys() if got_types.get(n) != want_types.get(n)}
+        names = got_types.keys() | want_types.keys()
+        odd = {n for n in names if got_types.get(n) != want_types.get(n)}
         found.append(f"types: { {n: (got_types.get(n), want_types.get(n)) for n in sorted(odd)} }")
     if got.num_rows != want.num_rows:
         found.append(f"rows: {got.num_rows} against {want.num_rows}")

@@ -9,8 +9,6 @@ from dataclasses import replace
 import pytest
 from helpers import ADDR, CP, D, OL, OTHER, SB, assert_same_rows, bag, consumer, document
 from helpers import physical_plan, receipt, settings, txn
-from pyspark.sql import functions as F
-
 from tillroll.plans import (
     Source,
     build_targets,
@@ -142,23 +140,26 @@ def two_days(spark, rows, folder):
     }
     for name, df in frames.items():
         stage(df, f"{folder}/{name}")
-    return {name: read_staged(spark, f"{folder}/{name}", df.drop("ins_dt").schema) for name, df in frames.items()}
+    return {
+        name: read_staged(spark, f"{folder}/{name}", df.drop("ins_dt").schema)
+        for name, df in frames.items()
+    }
 
 
 def scans(plan):
     """Initial plan's file scans: columns read and partition filters."""
-    return [
-        (
-            set(re.search(r"ReadSchema: struct<(.*?)>", line).group(1).replace(":string", "").replace(":bigint", "").split(",")),
-            re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", line).group(1),
-        )
-        for line in plan.splitlines()
-        if "FileScan parquet" in line
-    ]
+    lines = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    columns = [re.search(r"ReadSchema: struct<(.*?)>", line).group(1) for line in lines]
+    filters = [re.search(r"PartitionFilters: \[(.*?)\], Pushed", line).group(1) for line in lines]
+    return [({c.split(":")[0] for c in cs.split(",")}, f) for cs, f in zip(columns, filters)]
 
 
 def test_fact_plan(spark, rows, two_days):
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__maxMetadataStringLength=2000):
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold=-1,
+        spark__sql__maxMetadataStringLength=2000,
+    ):
         df = transaction_fact(
             two_days["SB"], two_days["OL"], rows([("c1",)], "CNSM_ID string"), D
         )

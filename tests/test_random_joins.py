@@ -22,7 +22,8 @@ def frames(spark, seed):
         return str(k) if text and k is not None else k
 
     left = [(rng.choice(keys), rng.randrange(3)) for _ in range(rng.choice([0, 5, 40]))]
-    right = [(right_key(), rng.randrange(2), rng.choice(days)) for _ in range(rng.choice([0, 5, 40]))]
+    n_right = rng.choice([0, 5, 40])
+    right = [(right_key(), rng.randrange(2), rng.choice(days)) for _ in range(n_right)]
     if text:
         right.append(("x1", 0, D))
     return (

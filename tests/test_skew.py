@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from helpers import D, OL, OTHER, SB, assert_same_rows, physical_plan, settings
+from helpers import D, OTHER, assert_same_rows, physical_plan, settings
 from pyspark.sql import functions as F
 
 from tillroll.operators import left_join, left_join_batch, left_join_repeated
@@ -72,7 +72,9 @@ def test_batch_join(small, hot_side):
 
 
 def test_hot_left_key_that_is_nowhere_on_the_right(small):
-    left = small.range(0, 12_000, 1, 8).select(hot(0.4, F.col("id")).alias("a"), F.col("id").alias("x"))
+    left = small.range(0, 12_000, 1, 8).select(
+        hot(0.4, F.col("id")).alias("a"), F.col("id").alias("x")
+    )
     right = small.range(0, 12_000, 1, 8).select(
         (F.col("id") * 2).alias("b"), F.col("id").alias("y"), dated("d", 3)
     )
@@ -83,8 +85,8 @@ def test_hot_left_key_that_is_nowhere_on_the_right(small):
 
 @pytest.mark.parametrize("hot_side", ["left", "right"])
 def test_left_join(small, hot_side):
-    many = small.range(0, 12_000, 1, 8).select(hot(0.4, F.col("id")).alias("k"), F.col("id").alias("x"))
-    few = small.range(-20, 9000, 1, 8).select((F.col("id") * 2 + 1).alias("k"), F.col("id").alias("y"))
+    many = small.range(0, 12_000, 1, 8).select(hot(0.4, F.col("id")).alias("k"), "id")
+    few = small.range(-20, 9000, 1, 8).select((F.col("id") * 2 + 1).alias("k"), "id")
     left, right = (many, few) if hot_side == "left" else (few, many)
     left, right = left.toDF("a", "x"), right.toDF("b", "y")
     got = left_join(left, right, "a", "b")
@@ -138,33 +140,38 @@ def test_registrations_with_a_hot_consumer(small):
 
 
 def test_fact_with_hot_keys_agrees_with_the_plain_form(small):
+    i, text = F.col("id"), F.col("id").cast("string")
     sb = small.range(0, 3000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("App_Transaction_Id"),
+        F.when(i % 3 > 0, i).alias("App_Transaction_Id"),
         F.lit("2021-07-25 10:11:12").cast("timestamp").alias("ACTIVITY_TIMESTAMP"),
         F.lit(1).alias("TRANSACTION_POINT_VALUE"),
         F.lit(1.0).alias("TRANSACTION_RETAIL_VALUE"),
         F.lit("r").alias("TRANSACTION_EXTERNAL_REFERENCE"),
         dated("ins_dt", 10),
     )
+    plain_columns = ("BASE_POINT_VALUE", "MOBILE_UID", "MOBILE_OS", "RECEIPT_STATUS")
     ol = small.range(0, 6000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, F.lit("1")).otherwise(F.col("id").cast("string")).alias("SBLP_TRANSACTION_ID"),
-        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("LOYALTY_ID"),
+        F.when(i % 3 == 0, F.lit("1")).otherwise(text).alias("SBLP_TRANSACTION_ID"),
+        F.when(i % 2 == 0, F.lit("hot")).otherwise((i % 50).cast("string")).alias("LOYALTY_ID"),
         F.lit("a,b").alias("PRODUCTS"),
-        *(F.lit("5").alias(c) for c in ("BASE_POINT_VALUE", "MOBILE_UID", "MOBILE_OS", "RECEIPT_STATUS")),
-        F.col("id").cast("string").alias("MSG_CODE"),
+        *(F.lit("5").alias(c) for c in plain_columns),
+        text.alias("MSG_CODE"),
         dated("ins_dt", 4),
     )
-    reg = small.range(90).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("CNSM_ID")
-    )
+    reg = small.range(90).select(F.when(i % 3 == 0, F.lit("hot")).otherwise(text).alias("CNSM_ID"))
     got = transaction_fact(sb, ol, reg, D, key="dense").select(
         "TXN_ID", "RTL_TXN_EXT_CHAR_5", "CNSM_ID"
     )
-    rec = ol.withColumnRenamed("ins_dt", "REC_DT")
+    receipt_key = F.col("SBLP_TRANSACTION_ID").try_cast("bigint")
     want = (
-        sb.join(rec, F.col("App_Transaction_Id") == F.col("SBLP_TRANSACTION_ID").try_cast("bigint"), "left")
+        plain(
+            sb.filter(F.col("ins_dt") == F.lit(D)).drop("ins_dt"),
+            ol.withColumn("k", receipt_key).withColumnRenamed("ins_dt", "d"),
+            "App_Transaction_Id",
+            "k",
+            "d",
+        )
         .join(reg, F.col("LOYALTY_ID") == F.col("CNSM_ID"), "left")
-        .filter((F.col("ins_dt") == F.lit(D)) & ((F.col("REC_DT") == F.lit(D)) | F.col("REC_DT").isNull()))
         .select(
             F.col("App_Transaction_Id").cast("string").alias("TXN_ID"),
             F.col("MSG_CODE").cast("bigint").alias("RTL_TXN_EXT_CHAR_5"),

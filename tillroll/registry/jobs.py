@@ -84,7 +84,8 @@ EVENT_FACT_SQL = FACT_SQL.format(
 )
 
 END_TO_END_SQL = FACT_SQL.format(
-    consumers="SELECT DISTINCT o_custkey AS consumer FROM orders JOIN customer ON o_custkey = c_custkey",
+    consumers="""SELECT DISTINCT o_custkey AS consumer
+                 FROM orders JOIN customer ON o_custkey = c_custkey""",
     loyalty="l_partkey",
     **EVENT_COLUMNS,
 )

@@ -1,4 +1,11 @@
 from tillroll.sinks.staging import stage, stage_batch
 from tillroll.sinks.warehouse import CatalogWarehouse, JdbcWarehouse, PathWarehouse, Warehouse
 
-__all__ = ["CatalogWarehouse", "JdbcWarehouse", "PathWarehouse", "Warehouse", "stage", "stage_batch"]
+__all__ = [
+    "CatalogWarehouse",
+    "JdbcWarehouse",
+    "PathWarehouse",
+    "Warehouse",
+    "stage",
+    "stage_batch",
+]
