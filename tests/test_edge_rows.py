@@ -224,6 +224,15 @@ def test_sql_over_views_named_after_the_sources(spark, rows):
     assert bag(sql_target(spark, sources, plain).select("m")) == [("@NULL@",)]
 
 
+def test_unaliased_casts_keep_their_names_in_sql(spark, rows):
+    sql = """
+        SELECT monotonically_increasing_id() k, regis_id, Regis_Cty_Code AS cty
+        FROM (SELECT DISTINCT CAST(REGIS_CTY_CODE AS SMALLINT), CAST(REGIS_ID AS INTEGER) FROM CP) CP
+    """
+    cp = rows([consumer("c1"), consumer("c2")], CP)
+    assert bag(sql_target(spark, {"CP": cp}, sql).drop("k")) == [(1, 12)]
+
+
 def test_time_zone_decides_the_hour(spark, rows):
     from tillroll.functions import time_parts
 

@@ -75,6 +75,17 @@ def test_copies_are_spread_in_parts_of_bounded_size(spark):
     assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
 
 
+def test_a_hot_group_of_copies_is_written_by_many_tasks(spark):
+    """Copies meet in parts of 10,000, wherever the buckets come from."""
+    hot = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id")).alias("v")
+    )
+    for bucket in (None, F.col("v") * 31):
+        tasks = dense_key(hot, "k", bucket=bucket).filter("v = 5")
+        spread = tasks.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(spread) > 4 and max(r["count"] for r in spread) < 100_000
+
+
 def test_unique_key(spark):
     df = unique_key(spark.range(0, 1000, 1, 7), "k")
     assert df.columns == ["k", "id"]

@@ -34,10 +34,10 @@ def dense_key(
 ) -> DataFrame:
     """Keys 1..N that depend only on the rows, not on how they are partitioned.
 
-    Rows are spread over ``buckets`` by hash (or by ``bucket``, an integer expression over
-    the ``order`` columns), numbered within their bucket, and shifted by the rows in all
-    earlier buckets. Only one count per bucket is gathered and broadcast, at most
-    ``MAX_BUCKETS`` rows.
+    Rows are spread over ``buckets`` by hash, numbered within their bucket, and shifted by the
+    rows in all earlier buckets. Only one count per bucket is gathered and broadcast, at most
+    ``MAX_BUCKETS`` rows. ``bucket``, an integer expression over the ``order`` columns, takes
+    the place of the hash; it has to spread the rows as evenly.
 
     ``order`` names the natural key, all columns by default. Set ``unique`` if no two rows
     share it, as after ``distinct()``. Otherwise ``order`` must be all columns: equal rows are
@@ -68,15 +68,19 @@ def dense_key(
 def _dense_key_with_copies(
     df: DataFrame, name: str, columns: list[str], buckets: int, bucket: Column | None
 ) -> DataFrame:
+    spread = None if bucket is None else bucket + F.col(_PART)
     parts = count_copies(df, _PART, _SIZE).withColumn(
-        _BUCKET, _bucket_of([*columns, _PART], buckets, bucket)
+        _BUCKET, _bucket_of([*columns, _PART], buckets, spread)
     )
     running = (
         W.partitionBy(_BUCKET)
         .orderBy(*columns, _PART)
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    numbered = parts.withColumn(_END, F.sum(_SIZE).over(running))
+    # A number of partitions that is asked for is kept, where Spark would merge those whose rows
+    # are few only because copies are still counted.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = parts.repartition(tasks, _BUCKET).withColumn(_END, F.sum(_SIZE).over(running))
     offsets = _offsets(parts.groupBy(_BUCKET).agg(F.sum(_SIZE).alias(_SIZE)))
     placed = numbered.join(offsets, _BUCKET, "left")
     return repeat_copies(placed, _SIZE, _STEP).select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import date_literal, drop_columns, flatten_struct, with_batch_date
 from tillroll.operators import repeated_keys
+from tillroll.operators.keys import DEFAULT_BUCKETS
 from tillroll.plans.targets import child_dim, registration_dim, transaction_fact
 from tillroll.session import tune
 from tillroll.sinks.staging import stage, stage_batch
@@ -64,6 +65,7 @@ def build_targets(
     batch_date: str | datetime.date,
     targets: Collection[str] = tuple(TARGETS),
     fact_key: str = "dense",
+    buckets: int = DEFAULT_BUCKETS,
 ) -> dict[str, DataFrame]:
     """Build targets of one batch from the staged sources and load them; returns them read back.
 
@@ -86,13 +88,14 @@ def build_targets(
     in_batch = F.col("ins_dt") == date_literal(batch_date)
     if "REGIS_DIM" in targets:
         consumers, addresses = staged("CP").filter(in_batch), staged("ADDR").filter(in_batch)
-        warehouse.overwrite(registration_dim(consumers, addresses), "REGIS_DIM")
+        dim = registration_dim(consumers, addresses, buckets=buckets)
+        warehouse.overwrite(dim, "REGIS_DIM")
     if "CHILD_DIM" in targets:
-        warehouse.overwrite(child_dim(staged("CP"), batch_date), "CHILD_DIM")
+        warehouse.overwrite(child_dim(staged("CP"), batch_date, buckets=buckets), "CHILD_DIM")
     if "RTL_TXN_FCT" in targets:
         registrations = loaded("REGIS_DIM")
         fact = transaction_fact(
-            staged("SB"), staged("OL"), registrations, batch_date, key=fact_key
+            staged("SB"), staged("OL"), registrations, batch_date, key=fact_key, buckets=buckets
         )
         warehouse.overwrite(fact, "RTL_TXN_FCT")
     return {name: loaded(name) for name in TARGETS if name in targets}
@@ -106,6 +109,7 @@ def run_batch(
     batch_date: str | datetime.date,
     time_zone: str = "UTC",
     fact_key: str = "dense",
+    buckets: int = DEFAULT_BUCKETS,
 ) -> dict[str, DataFrame]:
     """Stage ``SB``, ``OL``, ``CP`` and ``ADDR``, then build and load all targets.
 
@@ -116,5 +120,7 @@ def run_batch(
     """
     tune(spark, time_zone)
     stage_sources(sources, staging_root, batch_date)
-    loaded = build_targets(spark, staging_root, warehouse, batch_date, fact_key=fact_key)
+    loaded = build_targets(
+        spark, staging_root, warehouse, batch_date, fact_key=fact_key, buckets=buckets
+    )
     return {**loaded, "REPEATED_CONSUMERS": repeated_keys(loaded["REGIS_DIM"], "CNSM_ID")}

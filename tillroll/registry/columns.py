@@ -338,7 +338,7 @@ def surrogate_dense(spark: SparkSession, sf: str) -> DataFrame:
     "surrogate_dense_values",
     """
     WITH placed AS (
-      SELECT l_partkey, l_suppkey, (l_partkey * 31 + l_suppkey) % 64 AS b
+      SELECT l_partkey, l_suppkey, (l_partkey * 31 + l_suppkey) % 4096 AS b
       FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
     )
     SELECT CAST(row_number() OVER (ORDER BY b, l_partkey, l_suppkey) AS BIGINT) AS pair_key,
@@ -350,19 +350,24 @@ def surrogate_dense_values(spark: SparkSession, sf: str) -> DataFrame:
     """With buckets that SQL can name too, the keys themselves can be compared."""
     pairs = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
     bucket = F.col("l_partkey") * 31 + F.col("l_suppkey")
-    return dense_key(pairs, "pair_key", unique=True, buckets=64, bucket=bucket)
+    return dense_key(pairs, "pair_key", unique=True, bucket=bucket)
 
 
 @query(
     "surrogate_dense_copies",
     """
-    WITH placed AS (SELECT o_custkey, o_orderstatus, o_custkey % 64 AS b FROM orders)
-    SELECT CAST(row_number() OVER (ORDER BY b, o_custkey, o_orderstatus) AS BIGINT) AS row_key,
-           o_custkey, o_orderstatus
-    FROM placed
+    WITH counted AS (
+      SELECT o_custkey, o_orderstatus,
+             (row_number() OVER (PARTITION BY o_custkey, o_orderstatus) - 1) // 10000 AS part
+      FROM orders
+    )
+    SELECT CAST(row_number() OVER (
+             ORDER BY (o_custkey * 31 + part) % 4096, o_custkey, o_orderstatus, part
+           ) AS BIGINT) AS row_key, o_custkey, o_orderstatus
+    FROM counted
     """,
 )
 def surrogate_dense_copies(spark: SparkSession, sf: str) -> DataFrame:
     """Rows that repeat get a key each."""
     rows = table(spark, sf, "orders").select("o_custkey", "o_orderstatus")
-    return dense_key(rows, "row_key", buckets=64, bucket=F.col("o_custkey"))
+    return dense_key(rows, "row_key", bucket=F.col("o_custkey") * 31)
