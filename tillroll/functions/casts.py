@@ -9,21 +9,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# The only characters a cast to an integer accepts, blanks at the ends included.
-INTEGER_TEXT = r"^[\x00-\x20\x7F0-9+-]+$"
 INTEGERS = ("tinyint", "smallint", "int", "integer", "bigint")
 
 
 def null_on_error(column: str | Column, to: str | T.DataType) -> Column:
     """Cast text, giving NULL where it does not parse.
 
-    A cast that fails costs far more than one that works, even if the error is swallowed. Text
-    with other characters than an integer can have is therefore not cast to one at all.
+    A cast that fails costs far more than one that works, even if the error is swallowed. The
+    common kinds of text that is no integer (empty, a word, a decimal) are therefore told by
+    comparisons and not cast to one at all.
     """
     text = F.col(column) if isinstance(column, str) else column
     name = to.lower() if isinstance(to, str) else to.simpleString()
     cast = text.try_cast(to)
-    return F.when(text.rlike(INTEGER_TEXT), cast) if name in INTEGERS else cast
+    return F.when(_may_be_integer(text), cast) if name in INTEGERS else cast
+
+
+def _may_be_integer(text: Column) -> Column:
+    """False only for text that is surely no integer.
+
+    Digits, signs, blanks and control characters sort before ``:``, but for DEL, which a cast
+    strips from the ends as well.
+    """
+    start = (text < ":") | (text >= "\x7f")
+    return (text != "") & start & ~text.contains(".")
 
 
 def date_literal(day: str | datetime.date) -> Column:
