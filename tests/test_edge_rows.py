@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from helpers import ADDR, CP, D, OL, OTHER, SB, bag, consumer, document, receipt, txn
+from helpers import ADDR, CP, D, OL, OTHER, SB, bag, consumer, document, physical_plan, receipt, txn
 from pyspark.sql import functions as F
 
 from tillroll.functions import align_keys, flatten_struct, item_count, null_on_error
@@ -56,6 +56,14 @@ def test_integers_are_recognised_as_the_cast_does(rows):
         assert all(r.a == r.b for r in both.collect())
 
 
+def test_numbers_are_cast_as_numbers(rows):
+    df = rows([(12, 12.7), (70_000, 1e12), (None, None)], "i int, f double")
+    got = df.select(null_on_error("i", "smallint").alias("i"), null_on_error("f", "int").alias("f"))
+    assert bag(got) == sorted([(12, 12), (None, None), (None, None)], key=repr)
+    text = rows([("7",)], "t string").select(null_on_error("t", "int").alias("n"))
+    assert "typeof" not in physical_plan(text)
+
+
 def test_keys_of_mixed_type_do_not_raise(rows):
     a, b = rows([(1,), (2,)], "k bigint"), rows([("1",), ("zz",), (None,)], "t string")
     left, right = align_keys(a, "k", b, "t")
@@ -227,7 +235,8 @@ def test_sql_over_views_named_after_the_sources(spark, rows):
 def test_unaliased_casts_keep_their_names_in_sql(spark, rows):
     sql = """
         SELECT monotonically_increasing_id() k, regis_id, Regis_Cty_Code AS cty
-        FROM (SELECT DISTINCT CAST(REGIS_CTY_CODE AS SMALLINT), CAST(REGIS_ID AS INTEGER) FROM CP) CP
+        FROM (SELECT DISTINCT CAST(REGIS_CTY_CODE AS SMALLINT), CAST(REGIS_ID AS INTEGER)
+              FROM CP) CP
     """
     cp = rows([consumer("c1"), consumer("c2")], CP)
     assert bag(sql_target(spark, {"CP": cp}, sql).drop("k")) == [(1, 12)]

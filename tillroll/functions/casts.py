@@ -13,7 +13,7 @@ INTEGERS = ("tinyint", "smallint", "int", "integer", "bigint")
 
 
 def null_on_error(column: str | Column, to: str | T.DataType) -> Column:
-    """Cast text, giving NULL where it does not parse.
+    """Cast, giving NULL where the value does not fit or text does not parse.
 
     A cast that fails costs far more than one that works, even if the error is swallowed. The
     common kinds of text that is no integer (empty, a word, a decimal) are therefore told by
@@ -25,14 +25,15 @@ def null_on_error(column: str | Column, to: str | T.DataType) -> Column:
     return F.when(_may_be_integer(text), cast) if name in INTEGERS else cast
 
 
-def _may_be_integer(text: Column) -> Column:
+def _may_be_integer(column: Column) -> Column:
     """False only for text that is surely no integer.
 
     Digits, signs, blanks and control characters sort before ``:``, but for DEL, which a cast
-    strips from the ends as well.
+    strips from the ends as well. The type is known to the optimizer, which drops its test.
     """
+    text = column.cast("string")
     start = (text < ":") | (text >= "\x7f")
-    return (text != "") & start & ~text.contains(".")
+    return (F.typeof(column) != "string") | ((text != "") & start & ~text.contains("."))
 
 
 def date_literal(day: str | datetime.date) -> Column:

@@ -64,6 +64,7 @@ def build_targets(
     warehouse: Warehouse,
     batch_date: str | datetime.date,
     targets: Collection[str] = tuple(TARGETS),
+    time_zone: str = "UTC",
     fact_key: str = "dense",
     buckets: int = DEFAULT_BUCKETS,
 ) -> dict[str, DataFrame]:
@@ -75,6 +76,7 @@ def build_targets(
     are read on all dates, because a transaction whose receipts came in another batch is not
     one without receipts.
     """
+    tune(spark, time_zone)
     unknown = set(targets) - set(TARGETS)
     if unknown:
         raise ValueError(f"unknown targets: {sorted(unknown)}")
@@ -121,6 +123,12 @@ def run_batch(
     tune(spark, time_zone)
     stage_sources(sources, staging_root, batch_date)
     loaded = build_targets(
-        spark, staging_root, warehouse, batch_date, fact_key=fact_key, buckets=buckets
+        spark,
+        staging_root,
+        warehouse,
+        batch_date,
+        time_zone=time_zone,
+        fact_key=fact_key,
+        buckets=buckets,
     )
     return {**loaded, "REPEATED_CONSUMERS": repeated_keys(loaded["REGIS_DIM"], "CNSM_ID")}
