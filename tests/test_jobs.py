@@ -86,6 +86,22 @@ def test_a_batch_run_again_gives_the_same_tables(spark, sources, folder):
     assert bag(staged) == [(OTHER, 6), (D, 6)]
 
 
+def test_receipts_of_an_earlier_batch_count_as_receipts(spark, rows, sources, folder):
+    """A transaction staged after its receipt is left out, one that never had any is kept."""
+    warehouse = PathWarehouse(f"{folder}/wh")
+
+    def run(day, receipts):
+        frame = rows(receipts, OL).drop("ins_dt")
+        of_day = {**sources, "OL": Source(lambda: frame)}
+        loaded = run_batch(spark, of_day, f"{folder}/staging", warehouse, day)
+        return bag(loaded["RTL_TXN_FCT"].select("TXN_ID", "CNSM_ID"))
+
+    everything = [receipt(str(i)) for i in range(4)]
+    want = [(str(i), "c1") for i in range(4)] + [("4", None), ("5", None)]
+    assert run(OTHER, everything) == sorted(want, key=repr)
+    assert run(D, [receipt("0")]) == [("0", "c1"), ("4", None), ("5", None)]
+
+
 def test_targets_can_be_built_apart(spark, sources, folder):
     warehouse = CatalogWarehouse(f"{folder}/wh")
     stage_sources(sources, f"{folder}/staging", D)

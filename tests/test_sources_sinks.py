@@ -6,13 +6,14 @@ import datetime
 import glob
 import json
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from helpers import D, OTHER, bag, settings
 from pyspark.sql import functions as F
 
 from tillroll.plans import schemas
-from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL
+from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL, database
 from tillroll.session import shared_folder
 from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage
 from tillroll.sources import (
@@ -83,6 +84,15 @@ def test_dates_split_too(spark, db):
     assert df.count() == 40 and len(sizes(df)) == 4
 
 
+@pytest.mark.parametrize("kind", ["decimal(20,0)", "decimal(10,2)", "timestamp", "smallint"])
+def test_other_types_split_too(spark, db, kind):
+    table = f"typed_{uuid.uuid4().hex}"
+    value = F.timestamp_seconds(F.col("id") * 3600) if kind == "timestamp" else F.col("id") * 7
+    db.overwrite(spark.range(1, 41).select(value.cast(kind).alias("c")), table)
+    df = read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "c", 4, PROPERTIES)
+    assert df.count() == 40 and len(sizes(df)) == 4 and max(sizes(df)) < 13
+
+
 def test_filters_and_columns_reach_the_database(spark, ids):
     df = read_jdbc_partitioned(spark, IN_PROCESS_URL, ids, "id", 2, PROPERTIES)
     plan = df.filter("id > 150").select("id")._jdf.queryExecution().executedPlan().toString()
@@ -220,6 +230,17 @@ def test_catalog_warehouse_leaves_the_previous_load_readable(spark, folder):
     assert bag(warehouse.read(spark, "cat_t")) == [(0, 1), (1, 1), (2, 1)]
 
 
+def test_a_cluster_has_to_name_folder_and_database():
+    bare = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default),
+        sparkContext=SimpleNamespace(master="spark://host:7077"),
+    )
+    with pytest.raises(ValueError, match="spark.tillroll.jdbc.url"):
+        database(bare)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(bare, "x")
+
+
 def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_folder(spark, "x"), shared_folder(spark, "x")

@@ -44,8 +44,8 @@ def src_jdbc_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     db = database(spark)
     db.overwrite(table(spark, sf, "orders"), "src_orders")
     parts = spark.sparkContext.defaultParallelism
-    df = read_jdbc_partitioned(spark, db.url, "src_orders", "o_orderkey", parts, db.properties)
-    return df.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    properties = {**db.properties, "preferTimestampNTZ": "true"}
+    return read_jdbc_partitioned(spark, db.url, "src_orders", "o_orderkey", parts, properties)
 
 
 @query("src_delimited_landing", "SELECT * FROM lineitem")
