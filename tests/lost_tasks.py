@@ -1,0 +1,75 @@
+"""Run a batch whose source tasks fail the first time, in a session that tries them again.
+
+Started by test_lost_tasks.py in a process of its own, since retries are a setting of the master.
+"""
+
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+from dataclasses import replace
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+
+from tillroll.operators import unique_key
+from tillroll.plans import run_batch
+from tillroll.registry import jobs
+from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL
+from tillroll.sinks import JdbcWarehouse, PathWarehouse
+
+
+def failing_once(df):
+    """Every other task gives its rows and then fails, unless it was tried before."""
+
+    def rows(batches):
+        yield from batches
+        task = TaskContext.get()
+        if task.attemptNumber() == 0 and task.partitionId() % 2 == 0:
+            raise RuntimeError("lost")
+
+    return df.mapInPandas(rows, df.schema)
+
+
+def contents(tables):
+    return {name: sorted(map(repr, df.collect())) for name, df in tables.items()}
+
+
+def main(sf_dir: str) -> None:
+    spark = (
+        SparkSession.builder.master("local[4,4]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "6")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillroll-lost-"))
+        .config("spark.driver.extraJavaOptions", "-Dderby.stream.error.file=/dev/null")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    sound = jobs._sources(spark, sf_dir)
+    lossy = {
+        name: replace(s, read=lambda s=s: failing_once(s.read().repartition(4)))
+        for name, s in sound.items()
+    }
+    db = JdbcWarehouse(IN_PROCESS_URL, {"driver": IN_PROCESS_DRIVER}, connections=3)
+
+    def run(sources, warehouse):
+        folder = tempfile.mkdtemp(prefix="tillroll-lost-")
+        return contents(run_batch(spark, sources, folder, warehouse, jobs.BATCH))
+
+    want = run(sound, PathWarehouse(tempfile.mkdtemp(prefix="tillroll-lost-")))
+    assert want["RTL_TXN_FCT"]
+    assert run(lossy, PathWarehouse(tempfile.mkdtemp(prefix="tillroll-lost-"))) == want
+    assert run(lossy, db) == want
+
+    keyed = failing_once(unique_key(spark.range(0, 10_000, 1, 8), "k"))
+    db.overwrite(keyed, "lost_tasks")
+    loaded = db.read(spark, "lost_tasks")
+    assert loaded.count() == loaded.select("k").distinct().count() == 10_000
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main(sys.argv[1])
