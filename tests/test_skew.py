@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from helpers import D, OTHER, assert_same_rows, physical_plan, settings
 from pyspark.sql import functions as F
@@ -71,6 +73,20 @@ def test_batch_join(small, hot_side):
         assert not skewed(want)
 
 
+def test_hot_key_in_the_history_of_a_batch(small):
+    """Nearly all of it on other dates, so only the search for keys without a match meets it."""
+    left = small.range(0, 8000, 1, 8).select((F.col("id") - 7).alias("a"), F.col("id").alias("x"))
+    many = small.range(0, 40_000, 1, 8)
+    day = F.when(F.col("id") % 1000 == 0, F.lit(D)).otherwise(F.lit(OTHER)).alias("d")
+    right = many.select(hot(0.5, F.col("id") + 4000).alias("b"), F.col("id").alias("y"), day)
+    got = left_join_batch(left, right, "a", "b", "d", D)
+    assert_same_rows(got, plain(left, right, "a", "b", "d").select(got.columns))
+    # the keys of both sides are reduced within each task before any of them are shuffled
+    reduced = r"HashAggregate\(keys=\[__key.*\n.*Exchange hashpartitioning\(__key.*\n.*"
+    plan = physical_plan(left_join_batch(left, right, "a", "b", "d", D))
+    assert len(re.findall(reduced + r"HashAggregate\(keys=\[__key", plan)) == 2
+
+
 def test_hot_left_key_that_is_nowhere_on_the_right(small):
     left = small.range(0, 12_000, 1, 8).select(
         hot(0.4, F.col("id")).alias("a"), F.col("id").alias("x")
