@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import mixing, sharding
+from tillroll.llm import fingerprints, mixing, sharding
 from tillroll.llm.base import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -37,3 +37,8 @@ SELECT doc_id, size, s AS source_size, target,
 @query("op10_mixing", MIXING_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
