@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import fingerprints, mixing, sharding
+from tillroll.llm import fingerprints, mixing, sharding, url_filter
 from tillroll.llm.base import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -42,3 +42,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_fingerprints")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
+@query("op3_url_filter")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(table(spark, sf_dir, "pages"))
