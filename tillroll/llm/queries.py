@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import fingerprints, mixing, sharding, url_filter
+from tillroll.llm import fingerprints, lsh_forest, mixing, sharding, url_filter
 from tillroll.llm.base import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -47,3 +47,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_url_filter")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.verdicts(table(spark, sf_dir, "pages"))
+
+
+@query("op6_lsh_forest")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_copies(table(spark, sf_dir, "documents"))
