@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import fingerprints, lsh_forest, mixing, sharding, url_filter
+from tillroll.llm import decontaminate, fingerprints, lsh_forest, mixing, sharding, url_filter
 from tillroll.llm.base import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -52,3 +52,25 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_lsh_forest")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_copies(table(spark, sf_dir, "documents"))
+
+
+DECONTAMINATION_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bi AS (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, least(len(w), 10) AS l, array_to_string(w[i:i + 9], ' ') AS p FROM bi),
+di AS (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM bw)),
+h AS (SELECT doc_id, i, di.l, item FROM di JOIN bw ON di.l = bw.l AND array_to_string(w[i:i + di.l - 1], ' ') = p),
+c AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS k FROM h) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS s FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(s, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op7_decontamination", DECONTAMINATION_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
