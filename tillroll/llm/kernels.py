@@ -77,9 +77,14 @@ class Words:
         self.start = np.flatnonzero(inside[1:-1] & ~(inside[:-2] & ~broken[:-1]))
         self.end = np.flatnonzero(inside[1:-1] & ~(inside[2:] & ~broken[1:])) + 1
         self.offsets = np.searchsorted(self.start, offsets)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((_FOLDED if fold else _BYTE)[data] * powers(_BASE, n + 1)[:n], out=total[1:])
-        self.hash = mixed((total[self.end] - total[self.start]) * powers(_UNBASE, n + 1)[self.start])
+        self._total = np.zeros(n + 1, np.uint64)
+        np.cumsum((_FOLDED if fold else _BYTE)[data] * powers(_BASE, n + 1)[:n], out=self._total[1:])
+        self._back = powers(_UNBASE, n + 1)
+        self.hash = self.part(self.start, self.end)
+
+    def part(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of runs of bytes."""
+        return mixed((self._total[end] - self._total[start]) * self._back[start])
 
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of k words in a row, and the offsets of rows; fewer words are one shingle."""

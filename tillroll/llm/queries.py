@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, fingerprints, lsh_forest, mixing, sharding, url_filter
+from tillroll.llm import decontaminate, fingerprints, langid, lsh_forest, mixing, sharding, url_filter
 from tillroll.llm.base import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -74,3 +74,8 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 @query("op7_decontamination", DECONTAMINATION_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_langid")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
