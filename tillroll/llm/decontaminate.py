@@ -22,20 +22,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import BROADCAST_ROWS, fold_case, keep, store
+from tillroll.llm.base import TERM, fold_case, in_slices, joined, keep, store, term_counts, terms
 
 WINDOW = 10
 RAREST = 3
-TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
-def terms(text: Column) -> Column:
-    """The words of a text; none for null."""
-    found = F.regexp_extract_all(fold_case(text), F.lit(TERM), F.lit(0))
-    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -50,26 +43,6 @@ def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
-def in_slices(frame: DataFrame, rows: int) -> list[DataFrame]:
-    """A kept frame of so many rows in parts by hash, small enough to be broadcast."""
-    parts = 1 + 2 * (rows // BROADCAST_ROWS) if rows > BROADCAST_ROWS else 1
-    if parts == 1:
-        return [F.broadcast(frame)]
-    return [F.broadcast(frame.filter(F.pmod(F.xxhash64(*frame.columns), F.lit(parts)) == i)) for i in range(parts)]
-
-
-def joined(frame: DataFrame, other: DataFrame, on: str, columns: list[str]) -> DataFrame:
-    """Inner join with a kept frame of any size, broadcast slice by slice; ``columns`` of the result."""
-    parts = [frame.join(part, on).select(columns) for part in in_slices(other, other.count())]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(term, n): occurrences of the terms of a vocabulary in all documents."""
-    occurring = docs.select(F.explode(terms(F.col("text"))).alias("term"))
-    return joined(occurring, vocabulary, "term", ["term"]).groupBy("term").agg(F.count("*").alias("n"))
-
-
 def order_of_lists(phrases: DataFrame, counts: DataFrame, rarest: int = RAREST) -> DataFrame:
     """(phrase, size, step, term, offset): the terms by which a phrase is sought, rarest first.
 

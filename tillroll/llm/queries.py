@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, fingerprints, langid, lsh_forest, mixing, sharding, toxicity, url_filter
+from tillroll.llm import decontaminate, fingerprints, langid, lsh_forest, mixing, sanitise, sharding, toxicity, url_filter
 from tillroll.llm.base import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -84,3 +84,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_toxicity")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_sanitise")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.report(table(spark, sf_dir, "documents"))
