@@ -65,6 +65,19 @@ def rows_of(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
+class ByteHash:
+    """Hashes of any runs of some bytes; A-Z like a-z if folded."""
+
+    def __init__(self, data: np.ndarray, fold: bool = False):
+        n = len(data)
+        self._total = np.zeros(n + 1, np.uint64)
+        np.cumsum((_FOLDED if fold else _BYTE)[data] * powers(_BASE, n + 1)[:n], out=self._total[1:])
+        self._back = powers(_UNBASE, n + 1)
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self._total[end] - self._total[start]) * self._back[start])
+
+
 class Words:
     """Words of some texts: ``start`` and ``end`` bytes, ``hash``, and ``offsets`` of rows among them."""
 
@@ -77,15 +90,9 @@ class Words:
         self.start = np.flatnonzero(inside[1:-1] & ~(inside[:-2] & ~broken[:-1]))
         self.end = np.flatnonzero(inside[1:-1] & ~(inside[2:] & ~broken[1:])) + 1
         self.offsets = np.searchsorted(self.start, offsets)
-        self._total = np.zeros(n + 1, np.uint64)
-        np.cumsum((_FOLDED if fold else _BYTE)[data] * powers(_BASE, n + 1)[:n], out=self._total[1:])
-        self._back = powers(_UNBASE, n + 1)
+        self.part = ByteHash(data, fold)
         self.hash = self.part(self.start, self.end)
 
-    def part(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of runs of bytes."""
-        return mixed((self._total[end] - self._total[start]) * self._back[start])
-
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of k words in a row, and the offsets of rows; fewer words are one shingle."""
         counts = np.diff(self.offsets)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, fingerprints, langid, lsh_forest, mixing, sanitise, sharding, toxicity, url_filter
+from tillroll.llm import decontaminate, fingerprints, langid, lsh_forest, mixing, sanitise, sharding, suffix_dedup, toxicity, url_filter
 from tillroll.llm.base import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -89,3 +89,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_sanitise")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.report(table(spark, sf_dir, "documents"))
+
+
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
