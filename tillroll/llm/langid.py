@@ -237,3 +237,21 @@ def languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document."""
     rows = docs.select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
     return predicted(rows, fit(rows.filter("NOT held_out")), ["doc_id", "held_out"])
+
+
+#: Least score of a text whose language is taken as known.
+CERTAIN = 0.5
+
+
+def identified(docs: DataFrame, least: float = CERTAIN) -> DataFrame:
+    """The documents whose language is found with at least the score, with the columns they came with.
+
+    Learned from the documents themselves, less those held out.
+    """
+    rows = docs.select("doc_id", "text", "lang").withColumn("__out", held_out(F.col("doc_id")))
+    field = fit(rows.filter("NOT __out"))
+    names = [f"__c{i}" for i in range(len(docs.columns))]
+    renamed = docs.toDF(*names)
+    text = names[[c.lower() for c in docs.columns].index("text")]
+    found = predicted(renamed.withColumn("text", F.col(text)), field, names)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(names).toDF(*docs.columns)
