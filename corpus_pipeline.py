@@ -6,13 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import mixing, sharding
+from tillroll.llm import decontaminate, langid, lsh_forest, mixing, sharding
 from tillroll.llm.base import store, table
 from tillroll.session import tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or in no language with any certainty, go."""
+    return langid.identified(docs)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return lsh_forest.one_of_each(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.without_hits(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks."""
     return mixing.mix(docs)
@@ -23,7 +38,13 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shards(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("mixing", mixed), ("sharding", sharded)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
+    ("near_dedup", one_of_each),
+    ("decontamination", decontaminated),
+    ("mixing", mixed),
+    ("sharding", sharded),
+]
 
 #: Language labels and similarity classes have no SQL form.
 ORACLE_SQL = None
