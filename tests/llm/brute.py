@@ -1,0 +1,137 @@
+"""Plain versions of the corpus operators for small tables, and a table of odd documents."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import re
+
+SF_DIR = "/root/testdata/sf0.001"
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORD = re.compile(r"[^\x20\x09-\x0d]+")
+TERM = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+DOCUMENTS = (
+    "doc_id long, text string, lang string, source string, n_chars long, key string, node string, shard int, size long, "
+    "value double, words string, place long, doc long, tie long, kept boolean, score double, all string, n long"
+)
+_PASSAGE = " ".join(f"word{i % 37}x{i * i % 91}" for i in range(60))
+
+
+def odd_documents(spark):
+    """Nulls in every column, empty, blank, short and very long texts, copies and repeated rows."""
+    texts = [
+        (1, None, "en", "a"),
+        (2, "", "en", "b"),
+        (3, " \t\n ", None, "a"),
+        (4, "one", "en", None),
+        (5, "one two", "en", "c"),
+        (6, _PASSAGE + " and then some more.", "en", "a"),
+        (6, _PASSAGE + " and then some more.", "en", "a"),
+        (7, _PASSAGE + " and then some more.", "fr", "b"),
+        (8, "before it all " + _PASSAGE + " é ü 漢字 𝒳 after", "fr", "b"),
+        (9, "1234567 ... ### 42", "fr", None),
+        (None, "no id but words enough to be read as a text of some length", "en", None),
+        (None, "no id but words enough to be read as a text of some length", "en", None),
+        (None, None, None, None),
+        (10, " ".join(f"l{i}ng w{i % 7}rd" for i in range(30_000)), "en", "a"),
+        (11, "x" * 5_000, "en", "a"),
+        (12, "ONE Two three FOUR five", "fr", "d"),
+        (13, "\0 Ä \0 Ö one", "de", "d"),
+        (13, "another text with an id that is taken", "de", "d"),
+    ]
+    extra = ("k", "n", 3, 7, 0.5, "w", 1, 2, 3, True, 0.25, "a", 9)
+    rows = [(*t, len(t[1]) if t[1] is not None else None, *extra) for t in texts]
+    rows.append((*texts[-1][:4], *([None] * 14)))
+    return spark.createDataFrame(rows, DOCUMENTS)
+
+
+def empty_documents(spark):
+    return spark.createDataFrame([], DOCUMENTS)
+
+
+def components(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
+    """(set size, smallest id of the class) by id; ids are unique."""
+    sets = {}
+    for i, text in docs:
+        w = WORD.findall((text or "").translate(LOWER))
+        sets[i] = frozenset(tuple(w[j : j + 4]) for j in range(max(1, len(w) - 3))) if w else frozenset()
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    by_shingle = {}
+    for i, s in sets.items():
+        for x in s:
+            by_shingle.setdefault(x, []).append(i)
+    for a, b in {p for ids in by_shingle.values() for p in itertools.combinations(sorted(ids), 2)}:
+        common = len(sets[a] & sets[b])
+        if 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def kept_bytes(docs: list[tuple[int, str | None]], length: int = 100) -> dict[int, tuple[int, int, int, str]]:
+    """(bytes, removed, stretches, digest of the rest) by id; ids are unique."""
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        data = (text or "").encode()
+        gone = [False] * len(data)
+        for at in range(len(data) - length + 1):
+            run = data[at : at + length]
+            if run in seen:
+                gone[at : at + length] = [True] * length
+            seen.add(run)
+        starts = sum(g and not (at and gone[at - 1]) for at, g in enumerate(gone))
+        rest = bytes(b for b, g in zip(data, gone) if not g)
+        out[i] = len(data), sum(gone), starts, hashlib.sha256(rest).hexdigest()
+    return out
+
+
+_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _valid(kind: str, hit: str) -> bool:
+    digits = [int(c) for c in hit if c.isdigit()]
+    if kind == "ip":
+        return all(int(part) <= 255 for part in hit.split("."))
+    if kind == "card":
+        total = sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits)))
+        return 12 <= len(digits) <= 19 and total % 10 == 0
+    return kind != "phone" or 9 <= len(digits) <= 15
+
+
+def base_spans(text: str | None) -> list[tuple[int, str, int]]:
+    """(start, kind, end) in order."""
+    found = [
+        (m.start(), order, kind, m.end())
+        for order, (kind, pattern) in enumerate(_PATTERNS.items())
+        for m in re.finditer(pattern, text or "")
+        if _valid(kind, m[0])
+    ]
+    return [(start, kind, end) for start, _, kind, end in sorted(found)]
+
+
+def hits(text: str | None, items: list[tuple[str, str | None]], size: int = 10) -> tuple[int, int, list[str]]:
+    """(words, words hit, items that occur)."""
+    words = TERM.findall((text or "").translate(LOWER))
+    hit, found = set(), set()
+    for item, passage in items:
+        own = TERM.findall((passage or "").translate(LOWER))
+        for i in range(max(1, len(own) - size + 1) if own else 0):
+            window = own[i : i + size]
+            for at in range(len(words) - len(window) + 1):
+                if words[at : at + len(window)] == window:
+                    hit.update(range(at, at + len(window)))
+                    found.add(item)
+    return len(words), len(hit), sorted(found)

@@ -1,0 +1,116 @@
+"""The registered queries against plain versions of them, on the smallest tables."""
+
+from __future__ import annotations
+
+import hashlib
+import heapq
+import zlib
+
+import brute
+import pytest
+
+from tillroll.llm import sharding
+from tillroll.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = spark.read.parquet(f"{brute.SF_DIR}/documents.parquet").collect()
+    return {r["doc_id"]: r for r in rows}
+
+
+def rows_of(spark, name):
+    return {r["doc_id"]: r for r in QUERIES[name](spark, brute.SF_DIR).collect()}
+
+
+def test_languages_of_documents_that_were_held_out(spark, docs):
+    found = rows_of(spark, "op1_langid")
+    assert found.keys() == docs.keys()
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in found.items())
+    out = [i for i, r in found.items() if r["held_out"]]
+    right = sum(found[i]["lang_pred"] == docs[i]["lang"] for i in out)
+    assert right >= 0.95 * len(out)
+    assert all(0 <= r["score"] <= 1 for r in found.values())
+
+
+def test_entities(spark, docs):
+    found = rows_of(spark, "op2_sanitise")
+    for i, r in found.items():
+        spans = brute.base_spans(docs[i]["text"])
+        joined = ",".join(f"{kind}:{start}:{end}" for start, kind, end in spans)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [
+            sum(kind == k for _, kind, _ in spans) for k in ("email", "ip", "card", "phone")
+        ]
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("term")] == [s for s in joined.split(",") if s]
+
+
+def test_repeated_runs(spark, docs):
+    want = brute.kept_bytes([(i, d["text"]) for i, d in docs.items()])
+    found = rows_of(spark, "op4_suffix_dedup")
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in found.items()} == want
+    assert sum(w[1] for w in want.values()) > 0
+
+
+def test_edited_texts_and_likeness(spark, docs):
+    found, ids = rows_of(spark, "op5_fingerprints"), sorted(docs)
+    off = []
+    for i, following in zip(ids, ids[1:] + ids[:1]):
+        text, other = docs[i]["text"], docs[following]["text"]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + other[:half]
+        assert found[i]["n_chars"] == len(text)
+        assert found[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+        def shingles(t):
+            w = brute.WORD.findall(t.translate(brute.LOWER))
+            return {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+
+        for name, b in (("near_edited", edited), ("near_next", other)):
+            x, y = shingles(text), shingles(b)
+            off.append(abs(found[i][name] - (len(x & y) / len(x | y) if x | y else 1.0)))
+    assert max(off) < 0.2 and sum(off) / len(off) < 0.02
+
+
+def test_classes_of_near_copies(spark, docs):
+    want = brute.components([(i, d["text"]) for i, d in docs.items()])
+    found = rows_of(spark, "op6_lsh_forest")
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in found.items()} == want
+    assert all(r["kept"] == (i == r["component_id"]) for i, r in found.items())
+
+
+def test_least_loaded_shards(spark, docs):
+    found = rows_of(spark, "op8_sharding")
+    sizes, shard_of = {}, {}
+    for i, d in docs.items():
+        sizes[d["text"]] = sizes.get(d["text"], 0) + len(d["text"].encode()) + 1
+        assert found[i]["size"] == len(d["text"].encode()) + 1 and found[i]["text_crc32"] == zlib.crc32(d["text"].encode())
+        assert shard_of.setdefault(d["text"], found[i]["shard"]) == found[i]["shard"]
+    heap = [0] * 16
+    for size in sorted(sizes.values(), reverse=True):
+        heapq.heapreplace(heap, heap[0] + size)
+    loads = [0] * 16
+    for r in found.values():
+        loads[r["shard"]] += r["size"]
+    # Groups that are placed in bundles may differ by one bundle.
+    assert max(loads) <= max(heap) + sum(sizes.values()) / (16 * sharding.GRAIN)
+    for s in range(16):
+        assert sorted(r["slot"] for r in found.values() if r["shard"] == s) == list(range(sum(r["shard"] == s for r in found.values())))
+
+
+def test_toxic_scores_tell_classes_apart(spark):
+    found = rows_of(spark, "op9_toxicity")
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{brute.SF_DIR}/labels.parquet").collect()}
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in found.items())
+    known = [(found[i]["score"], t) for i, t in labels.items() if i in found]
+    toxic, other = ([s for s, t in known if t == k] for k in (1, 0))
+    assert sum(toxic) / len(toxic) > sum(other) / len(other)
+    assert all(r["predicted"] == (r["score"] >= 0.5) for r in found.values())
+
+
+def test_pipeline_gives_a_shard_to_each_copy_it_keeps(spark):
+    rows = QUERIES.get("pipeline")
+    import corpus_pipeline
+
+    found = corpus_pipeline.run(spark, brute.SF_DIR).collect()
+    assert rows is None and found and {r["shard"] for r in found} <= set(range(16))

@@ -40,6 +40,8 @@ SLOTS_LOG = 20
 BINS = 2000
 #: Values beyond this many nats a word are put in the outermost bins of the calibration.
 SPAN = 10.0
+#: The curve rises at least so much a nat, however few texts calibrate it.
+LEAST_SLOPE = 0.5
 
 _BITS = 9
 _END, _START = 256, 257
@@ -237,8 +239,9 @@ def curve(found: DataFrame) -> tuple[float, float]:
         p = 1 / (1 + np.exp(-np.clip(w @ at, -30, 30)))
         slope = at @ (n.sum(0) * p - n[1]) + ridge * w
         step = np.linalg.solve((at * (n.sum(0) * p * (1 - p))) @ at.T + np.diag(ridge), slope)
-        w = w - step * min(1.0, 5 / np.abs(step).max()) if step.any() else w
-    return float(w[0]), float(-w[1] / w[0]) if w[0] > 0 else SPAN
+        w = w - step * min(1.0, 5 / max(np.abs(step).max(), 1e-9))
+        w[0] = max(w[0], LEAST_SLOPE)
+    return float(w[0]), float(-w[1] / w[0])
 
 
 def scored(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
