@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pytest
 from helpers import D, OTHER, assert_same_rows, physical_plan, settings
 from pyspark.sql import functions as F
@@ -81,10 +79,24 @@ def test_hot_key_in_the_history_of_a_batch(small):
     right = many.select(hot(0.5, F.col("id") + 4000).alias("b"), F.col("id").alias("y"), day)
     got = left_join_batch(left, right, "a", "b", "d", D)
     assert_same_rows(got, plain(left, right, "a", "b", "d").select(got.columns))
-    # the keys of both sides are reduced within each task before any of them are shuffled
-    reduced = r"HashAggregate\(keys=\[__key.*\n.*Exchange hashpartitioning\(__key.*\n.*"
-    plan = physical_plan(left_join_batch(left, right, "a", "b", "d", D))
-    assert len(re.findall(reduced + r"HashAggregate\(keys=\[__key", plan)) == 2
+
+
+def test_keys_of_the_history_that_no_transaction_has_are_not_shuffled(spark):
+    """With few transactions, the history is reduced to their keys where it is read."""
+    left = spark.range(0, 50).select((F.col("id") * 1000).alias("a"), F.col("id").alias("x"))
+    right = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").alias("b"), F.col("id").alias("y"), dated("d", 3)
+    )
+    got = left_join_batch(left, right, "a", "b", "d", D)
+    assert_same_rows(got, plain(left, right, "a", "b", "d").select(got.columns))
+    got.collect()
+    plan = physical_plan(got)
+    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    # from the history's key column up to its first exchange
+    history = [part for part in final.split("Exchange hashpartitioning(__key")[1:]]
+    semi = [part for part in history if "LeftSemi" in part and "Range (0, 40000" in part]
+    assert semi and all("BroadcastHashJoin" in part[: part.index("LeftSemi")] for part in semi)
+    assert all("LeftSemi" in part or "Range (0, 40000" not in part for part in history)
 
 
 def test_hot_left_key_that_is_nowhere_on_the_right(small):

@@ -33,8 +33,9 @@ def left_join(
 
     It is done as one inner join. A left key that is nowhere in ``right`` is given a single
     empty partner, next to the right rows that pass. To find these keys ``right`` is read once
-    more for its key column alone, de-duplicated before it is shuffled; the other columns are
-    read for rows that pass only. Left rows without a key match nothing and are added at the end.
+    more for its key column alone, reduced to the left keys before it is de-duplicated, so that a
+    few left keys cost no shuffle of all right ones; the other columns are read for rows that pass
+    only. Left rows without a key match nothing and are added at the end.
 
     Against a dimension, with few rows to a key, a plain left join does with less. Both frames
     are read more than once, so they should be tables or cheap to derive from one, and have to
@@ -44,7 +45,8 @@ def left_join(
     left_col, right_col = align_keys(left, left_key, right, right_key)
     passing = right if where is None else right.filter(where)
     wanted = left.select(left_col.alias(_KEY)).filter(F.col(_KEY).isNotNull()).distinct()
-    seen = right.select(right_col.alias(_KEY)).filter(F.col(_KEY).isNotNull()).distinct()
+    keys = right.select(right_col.alias(_KEY)).filter(F.col(_KEY).isNotNull())
+    seen = keys.join(wanted, _KEY, "left_semi").distinct()
     unseen = wanted.join(seen, _KEY, "left_anti")
     partners = passing.withColumn(_KEY, right_col).unionByName(unseen, allowMissingColumns=True)
     found = left.join(partners, left_col == F.col(_KEY), "inner").drop(_KEY)
