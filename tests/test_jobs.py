@@ -15,9 +15,11 @@ from tillroll.plans import (
     child_dim,
     registration_dim,
     run_batch,
+    sql_target,
     stage_sources,
     transaction_fact,
 )
+from tillroll.registry.jobs import history_fact
 from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL
 from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage
 from tillroll.sources import read_staged
@@ -102,6 +104,65 @@ def test_receipts_of_an_earlier_batch_count_as_receipts(spark, rows, sources, fo
     assert run(D, [receipt("0")]) == [("0", "c1"), ("4", None), ("5", None)]
 
 
+def test_a_date_that_was_not_staged_leaves_the_tables_alone(spark, sources, folder):
+    warehouse, staging = PathWarehouse(f"{folder}/wh"), f"{folder}/staging"
+    before = {t: bag(df) for t, df in run_batch(spark, sources, staging, warehouse, D).items()}
+    with pytest.raises(ValueError, match="not staged on 2021-07-24"):
+        build_targets(spark, staging, warehouse, OTHER)
+    stage_sources({"CP": sources["CP"]}, staging, OTHER)
+    with pytest.raises(ValueError, match="ADDR"):
+        build_targets(spark, staging, warehouse, OTHER, ["REGIS_DIM", "CHILD_DIM"])
+    for name in ("REGIS_DIM", "CHILD_DIM", "RTL_TXN_FCT"):
+        assert bag(warehouse.read(spark, name)) == before[name]
+
+
+def test_a_staged_batch_without_rows_loads_empty_tables(spark, sources, folder):
+    empty = {name: replace(s, read=lambda s=s: s.read().limit(0)) for name, s in sources.items()}
+    loaded = run_batch(spark, empty, f"{folder}/staging", PathWarehouse(f"{folder}/wh"), D)
+    assert {name: df.count() for name, df in loaded.items()} == dict.fromkeys(loaded, 0)
+
+
+def test_a_batch_leaves_the_session_as_it_was(spark, sources, folder):
+    names = ("spark.sql.session.timeZone", "spark.sql.adaptive.forceOptimizeSkewedJoin")
+    values = {"spark__sql__session__timeZone": "Europe/Berlin"}
+    with settings(spark, **values, spark__sql__adaptive__forceOptimizeSkewedJoin="false"):
+        run_batch(spark, sources, f"{folder}/staging", PathWarehouse(f"{folder}/wh"), D)
+        assert [spark.conf.get(n) for n in names] == ["Europe/Berlin", "false"]
+
+
+def test_a_sql_target_leaves_views_as_they_were(spark, rows):
+    spark.range(7).createOrReplaceTempView("SB")
+    try:
+        out = sql_target(
+            spark, {"sb": spark.range(3), "OL": spark.range(5)}, "SELECT sb.id FROM sb JOIN ol USING (id)"
+        )
+        assert spark.table("SB").count() == 7 and out.count() == 3
+        assert not any(t.name.lower() == "ol" for t in spark.catalog.listTables())
+        with pytest.raises(Exception, match="nowhere"):
+            sql_target(spark, {"SB": spark.range(3)}, "SELECT * FROM nowhere")
+        assert spark.table("SB").count() == 7
+    finally:
+        spark.catalog.dropTempView("SB")
+
+
+def test_a_column_that_older_dates_lack_is_read(spark, sources, folder):
+    """By the known columns, whichever file is looked at first."""
+    older = replace(sources["OL"], read=lambda: sources["OL"].read().drop("MSG_CODE"))
+    stage_sources({**sources, "OL": older}, f"{folder}/staging", OTHER)
+    loaded = run_batch(spark, sources, f"{folder}/staging", PathWarehouse(f"{folder}/wh"), D)
+    assert loaded["RTL_TXN_FCT"].filter("RTL_TXN_EXT_CHAR_5 = 7").count() > 0
+
+
+def test_the_fact_of_a_staged_history_reads_the_batch_by_partition(spark):
+    with settings(spark, spark__sql__maxMetadataStringLength=2000):
+        found = scans(physical_plan(history_fact(spark, "/root/testdata/sf0.001")))
+    wide = [f for columns, f in found if "PRODUCTS" in columns]
+    assert len(wide) == 1 and "1998-01-01" in wide[0]
+    transactions = [f for columns, f in found if "App_Transaction_Id" in columns]
+    assert transactions and all("1998-01-01" in f for f in transactions)
+    assert [f for columns, f in found if columns == {"SBLP_TRANSACTION_ID"}] == [""]
+
+
 def test_targets_can_be_built_apart(spark, sources, folder):
     warehouse = CatalogWarehouse(f"{folder}/wh")
     stage_sources(sources, f"{folder}/staging", D)

@@ -138,6 +138,30 @@ def test_other_header_is_an_error_not_a_shift(spark, folder):
         df.collect()
 
 
+@pytest.mark.parametrize("line", ["1", "1|2|3"])
+def test_lines_of_another_length(spark, folder, line):
+    with open(f"{folder}/f.csv", "w") as f:
+        f.write(f"a|b\n1|2\n{line}\n")
+    schema = text_schema(["a", "b"])
+    for read in (read_delimited(spark, folder, schema), read_delimited(spark, folder, schema).select("a")):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read.collect()
+    kept = read_delimited(spark, folder, schema, malformed="keep")
+    second = "2" if "|" in line else None
+    assert bag(kept) == sorted([("1", "2", None), ("1", second, line)], key=repr)
+    with pytest.raises(ValueError):
+        read_delimited(spark, folder, schema, malformed="drop")
+
+
+def test_a_truncated_document(spark, folder):
+    with open(f"{folder}/f.json", "w") as f:
+        f.write('{"_id": "d1", "consumer_id": "c1"}\n{"_id": "d2", "consu\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_documents(spark, folder, schemas.ADDRESSES).collect()
+    kept = read_documents(spark, folder, schemas.ADDRESSES, malformed="keep").cache()
+    assert bag(kept.select("consumer_id", "_corrupt_record")) == [("c1", None), (None, '{"_id": "d2", "consu')]
+
+
 def test_delimited_without_header(spark, folder):
     with open(f"{folder}/f.csv", "w") as f:
         f.write("1|2\n3|4\n")

@@ -8,18 +8,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions import date_literal, drop_columns, flatten_struct, with_batch_date
 from tillroll.operators import repeated_keys
 from tillroll.operators.keys import DEFAULT_BUCKETS
+from tillroll.plans.schemas import STAGED
 from tillroll.plans.targets import child_dim, registration_dim, transaction_fact
-from tillroll.session import tune
+from tillroll.session import folder_exists, tuned
 from tillroll.sinks.staging import stage, stage_batch
 from tillroll.sinks.warehouse import Warehouse
 from tillroll.sources.files import read_staged
 
 # The targets, dimensions first, and their keys. Dense keys split evenly.
 TARGETS = {"REGIS_DIM": "REGIS_KEY", "CHILD_DIM": "CHILD_KEY", "RTL_TXN_FCT": "RTL_TXN_KEY"}
+# The staged sources that the targets are built from.
+NEEDED = {"REGIS_DIM": ("CP", "ADDR"), "CHILD_DIM": ("CP",), "RTL_TXN_FCT": ("SB", "OL")}
 
 
 @dataclass(frozen=True)
@@ -67,6 +71,7 @@ def build_targets(
     time_zone: str = "UTC",
     fact_key: str = "dense",
     buckets: int = DEFAULT_BUCKETS,
+    staged_schemas: Mapping[str, T.StructType] = STAGED,
 ) -> dict[str, DataFrame]:
     """Build targets of one batch from the staged sources and load them; returns them read back.
 
@@ -75,32 +80,43 @@ def build_targets(
     keeps earlier dates, and a consumer taken once per date would multiply the fact. Receipts
     are read on all dates, because a transaction whose receipts came in another batch is not
     one without receipts.
+
+    Every source the targets need must have been staged on the date, be it empty; otherwise
+    nothing is loaded. Staged files are read by ``staged_schemas``, not by the footer of one of
+    them; a source that is not named there is read by its footers. The session has its own time
+    zone and settings again when the targets are loaded.
     """
-    tune(spark, time_zone)
     unknown = set(targets) - set(TARGETS)
     if unknown:
         raise ValueError(f"unknown targets: {sorted(unknown)}")
+    root, day = staging_root.rstrip("/"), datetime.date.fromisoformat(str(batch_date))
+    needed = dict.fromkeys(name for target in targets for name in NEEDED[target])
+    missing = [name for name in needed if not folder_exists(spark, f"{root}/{name}/ins_dt={day}")]
+    if missing:
+        raise ValueError(f"not staged on {day}: {missing}")
 
     def staged(name: str) -> DataFrame:
-        return read_staged(spark, f"{staging_root.rstrip('/')}/{name}")
+        return read_staged(spark, f"{root}/{name}", staged_schemas.get(name))
 
     def loaded(name: str) -> DataFrame:
         return warehouse.read(spark, name, split_on=TARGETS[name])
 
     in_batch = F.col("ins_dt") == date_literal(batch_date)
-    if "REGIS_DIM" in targets:
-        consumers, addresses = staged("CP").filter(in_batch), staged("ADDR").filter(in_batch)
-        dim = registration_dim(consumers, addresses, buckets=buckets)
-        warehouse.overwrite(dim, "REGIS_DIM")
-    if "CHILD_DIM" in targets:
-        warehouse.overwrite(child_dim(staged("CP"), batch_date, buckets=buckets), "CHILD_DIM")
-    if "RTL_TXN_FCT" in targets:
-        registrations = loaded("REGIS_DIM")
-        fact = transaction_fact(
-            staged("SB"), staged("OL"), registrations, batch_date, key=fact_key, buckets=buckets
-        )
-        warehouse.overwrite(fact, "RTL_TXN_FCT")
-    return {name: loaded(name) for name in TARGETS if name in targets}
+    with tuned(spark, time_zone):
+        if "REGIS_DIM" in targets:
+            consumers, addresses = staged("CP").filter(in_batch), staged("ADDR").filter(in_batch)
+            dim = registration_dim(consumers, addresses, buckets=buckets)
+            warehouse.overwrite(dim, "REGIS_DIM")
+        if "CHILD_DIM" in targets:
+            children = child_dim(staged("CP"), batch_date, buckets=buckets)
+            warehouse.overwrite(children, "CHILD_DIM")
+        if "RTL_TXN_FCT" in targets:
+            registrations = loaded("REGIS_DIM")
+            fact = transaction_fact(
+                staged("SB"), staged("OL"), registrations, batch_date, key=fact_key, buckets=buckets
+            )
+            warehouse.overwrite(fact, "RTL_TXN_FCT")
+        return {name: loaded(name) for name in TARGETS if name in targets}
 
 
 def run_batch(
@@ -112,6 +128,7 @@ def run_batch(
     time_zone: str = "UTC",
     fact_key: str = "dense",
     buckets: int = DEFAULT_BUCKETS,
+    staged_schemas: Mapping[str, T.StructType] = STAGED,
 ) -> dict[str, DataFrame]:
     """Stage ``SB``, ``OL``, ``CP`` and ``ADDR``, then build and load all targets.
 
@@ -120,8 +137,8 @@ def run_batch(
     Returns the loaded tables, and as ``REPEATED_CONSUMERS`` the consumers on several rows of
     the registration dimension, each of which repeats its facts.
     """
-    tune(spark, time_zone)
-    stage_sources(sources, staging_root, batch_date)
+    with tuned(spark, time_zone):
+        stage_sources(sources, staging_root, batch_date)
     loaded = build_targets(
         spark,
         staging_root,
@@ -130,5 +147,6 @@ def run_batch(
         time_zone=time_zone,
         fact_key=fact_key,
         buckets=buckets,
+        staged_schemas=staged_schemas,
     )
     return {**loaded, "REPEATED_CONSUMERS": repeated_keys(loaded["REGIS_DIM"], "CNSM_ID")}

@@ -29,6 +29,12 @@ ADDRESSES = T.StructType(
         T.StructField("address", text_schema(ADDRESS_FIELDS)),
     ]
 )
+# Sources as they are staged; addresses flat and without their id.
+STAGED = {
+    "OL": RECEIPTS,
+    "CP": CONSUMERS,
+    "ADDR": text_schema(["consumer_id", *ADDRESS_FIELDS]),
+}
 
 # Target column names, in order. A type is enforced where the target's query
 # states one; None keeps the type the source has.

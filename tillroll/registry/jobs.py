@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import with_batch_date
 from tillroll.plans import schemas
-from tillroll.plans.jobs import Source, run_batch, stage_sources
+from tillroll.plans.jobs import Source, build_targets, run_batch, stage_sources
 from tillroll.plans.targets import child_dim, registration_dim, sql_target, transaction_fact
 from tillroll.registry import standins
 from tillroll.registry.base import query, write_delimited, write_documents
 from tillroll.registry.columns import DENSE_FACTS, UNIQUE_FACTS, key_facts
 from tillroll.registry.scans import CHILDREN_SQL
 from tillroll.session import shared_folder
-from tillroll.sinks import PathWarehouse
+from tillroll.sinks import PathWarehouse, stage
 from tillroll.sources import read_delimited, read_documents, read_staged
 
 BATCH = "2021-07-25"
@@ -169,6 +169,25 @@ def target_transaction_fact_events(spark: SparkSession, sf: str) -> DataFrame:
     ).drop("RTL_TXN_KEY")
 
 
+@query("job_staged_history_fact", ORDER_FACT_SQL)
+def job_staged_history_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact of one date from transactions and receipts staged over all years."""
+    return history_fact(spark, sf).drop("RTL_TXN_KEY")
+
+
+def history_fact(spark: SparkSession, sf: str) -> DataFrame:
+    frames = {"SB": standins.order_transactions(spark, sf), "OL": standins.receipts(spark, sf)}
+    root = shared_folder(spark, "history")
+    for name, df in frames.items():
+        stage(df, f"{root}/{name}", many_dates=True)
+    transactions, receipts = (
+        read_staged(spark, f"{root}/{name}", df.drop("ins_dt").schema) for name, df in frames.items()
+    )
+    return transaction_fact(
+        transactions, receipts, standins.supplier_registrations(spark, sf), "1998-01-01"
+    )
+
+
 def _sources(spark: SparkSession, sf: str) -> dict[str, Source]:
     """The four sources as an upstream system leaves them, over the whole tables."""
     landing = write_delimited(
@@ -277,3 +296,41 @@ def job_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
         BATCH,
     )
     return loaded["RTL_TXN_FCT"].drop("RTL_TXN_KEY")
+
+
+def _dimension(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A dimension as a batch loads it, from the files of an upstream system."""
+    sources = _sources(spark, sf)
+    staging = shared_folder(spark, "staging")
+    stage_sources({source: sources[source] for source in ("CP", "ADDR")}, staging, BATCH)
+    warehouse = PathWarehouse(shared_folder(spark, "warehouse"))
+    return build_targets(spark, staging, warehouse, BATCH, [name])[name]
+
+
+@query(
+    "job_end_to_end_registrations",
+    f"""
+    SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS CNSM_ID,
+           CAST(c_nationkey AS SMALLINT) AS CTY_CODE, CAST(c_custkey AS INTEGER) AS REGIS_ID,
+           '{BATCH}' AS REGIS_DATE, c_name AS LTY_ID, c_mktsegment AS REGIS_CHANNEL,
+           CAST(NULL AS VARCHAR) AS REGIS_GENDER, c_mktsegment AS REGIS_CITY, c_name AS Street,
+           n_name AS City, r_name AS State, DATE '{BATCH}' AS INS_DT
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    """,
+)
+def job_end_to_end_registrations(spark: SparkSession, sf: str) -> DataFrame:
+    return _dimension(spark, sf, "REGIS_DIM").drop("REGIS_KEY")
+
+
+@query(
+    "job_end_to_end_children",
+    f"""
+    SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS REGIS_CNSM_ID,
+           CAST(c_nationkey AS VARCHAR) AS REGIS_CTY_CODE, CAST(o_orderkey AS VARCHAR) AS CHILD_ID,
+           o_orderstatus AS CHILD_NB, o_orderpriority AS CHILD_GENDER, DATE '{BATCH}' AS INS_DT
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    """,
+)
+def job_end_to_end_children(spark: SparkSession, sf: str) -> DataFrame:
+    return _dimension(spark, sf, "CHILD_DIM").drop("CHILD_KEY")

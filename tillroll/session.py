@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,24 @@ def tune(spark: SparkSession, time_zone: str | None = None) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def tuned(spark: SparkSession, time_zone: str | None = None) -> Iterator[SparkSession]:
+    """``tune`` for the work inside, all of which has to run inside; then as it was before."""
+    names = [*SKEW_SETTINGS, "spark.sql.session.timeZone"]
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        yield tune(spark, time_zone)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, in whatever store its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def one_process(spark: SparkSession) -> bool:
     """Whether driver and executors are the same process."""
     return spark.sparkContext.master.split("[")[0] == "local"

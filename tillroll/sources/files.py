@@ -13,28 +13,58 @@ def text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _lenience(malformed: str, schema: T.StructType | None) -> tuple[dict[str, str], T.StructType | None]:
+    """Reader options, and the schema with the column that records are kept in."""
+    if malformed == "fail":
+        return {"mode": "FAILFAST"}, schema
+    if malformed != "keep":
+        raise ValueError(f"malformed is 'fail' or 'keep', not {malformed!r}")
+    if schema is None:
+        raise ValueError("keeping malformed records needs a schema")
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}, kept
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | None = None,
     delimiter: str = "|",
     header: bool = True,
+    malformed: str = "fail",
 ) -> DataFrame:
     """Delimited files under a path, a glob or a list of paths, read in splits.
 
     With a header and a schema, a file whose header names other columns is an error rather
     than silently read by position. Without a schema the first header names the columns and
     all are strings; types are never inferred, which would read the data twice.
+
+    A line with too few or too many fields is an error. With ``malformed="keep"`` its fields are
+    read as far as they go, and the line as it is stands in ``_corrupt_record``, NULL for others.
     """
-    reader = spark.read.option("delimiter", delimiter).option("header", header)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", not header)
+    options, read_as = _lenience(malformed, schema)
+    # Otherwise a line is judged by those of its fields that a query asks for.
+    reader = spark.read.options(**options, columnPruning="false")
+    reader = reader.option("delimiter", delimiter).option("header", header)
+    if read_as is not None:
+        # A header is compared with the schema; the column for malformed lines is in no header.
+        reader = reader.schema(read_as).option("enforceSchema", not header or malformed == "keep")
     return reader.csv(path)
 
 
-def read_documents(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """An exported document collection, one JSON document per line, with nested structs."""
-    return spark.read.schema(schema).json(path)
+def read_documents(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, malformed: str = "fail"
+) -> DataFrame:
+    """An exported document collection, one JSON document per line, with nested structs.
+
+    A line that is no document is an error, or with ``malformed="keep"`` a row of NULLs with the
+    line in ``_corrupt_record``. Fields that a document lacks are NULL.
+    """
+    options, read_as = _lenience(malformed, schema)
+    return spark.read.options(**options).schema(read_as).json(path)
 
 
 def read_staged(
