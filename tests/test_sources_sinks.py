@@ -56,18 +56,40 @@ def test_true_bounds_split_evenly(spark, ids):
     assert df.count() == 200 and max(sizes(df)) <= 51
 
 
-def test_cuts_place_partitions_where_the_rows_are(spark, db):
+def test_an_outlier_leaves_the_split_even(spark, db):
     table = f"bunched_{uuid.uuid4().hex}"
+    db.overwrite(spark.range(100_000).union(spark.createDataFrame([(10**12,)], "id long")), table)
+    df = read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "id", 8, PROPERTIES)
+    assert df.count() == 100_001 and sizes(df) == [12_494, *[12_501] * 7]
+
+
+def test_hot_value_and_nulls_are_parts_of_their_own(spark, db):
+    table = f"hot_{uuid.uuid4().hex}"
+    key = F.when(F.col("id") < 40, F.lit(7)).when(F.col("id") < 70, F.col("id"))
+    db.overwrite(spark.range(100).select(key.cast("bigint").alias("k")), table)
+    df = read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "k", 7, PROPERTIES)
+    assert df.count() == 100 and sizes(df) == [10, 10, 10, 30, 40]
+
+
+def test_cuts_are_kept(spark, db):
+    table = f"cut_{uuid.uuid4().hex}"
     bunched = spark.range(100).union(spark.createDataFrame([(10**9,), (None,)], "id long"))
-    db.overwrite(bunched.withColumnRenamed("id", "ID"), table)
-    even = read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "ID", 4, PROPERTIES)
-    assert even.count() == 102 and max(sizes(even)) >= 100
-    cut = read_jdbc_partitioned(
-        spark, IN_PROCESS_URL, table, "ID", 4, PROPERTIES, cuts=[25, 50, 75]
-    )
-    assert cut.count() == 102 and max(sizes(cut)) == 26
-    with pytest.raises(ValueError):
-        read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "ID", 4, PROPERTIES, cuts=[5, 5])
+    db.overwrite(bunched.withColumnRenamed("id", "k"), table)
+
+    def cut(at):
+        return read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "K", 4, PROPERTIES, cuts=at)
+
+    assert sizes(cut([25, 50, 75])) == [1, 25, 25, 25, 26] and cut([]).count() == 102
+    for bad in ([5, 5], ["1; DROP TABLE x"]):
+        with pytest.raises(ValueError):
+            cut(bad)
+
+
+def test_a_column_without_values_cannot_split(spark, db):
+    table = f"nulls_{uuid.uuid4().hex}"
+    db.overwrite(spark.range(1000).select("id", F.lit(None).cast("bigint").alias("k")), table)
+    with pytest.raises(ValueError, match="NULL on all rows"):
+        read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "k", 8, PROPERTIES)
 
 
 def test_empty_table_has_no_bounds(spark, db):
@@ -110,6 +132,50 @@ def test_doubled_rows_fail_the_load(spark, db, ids, monkeypatch):
         db.overwrite(spark.range(5).withColumn("v", F.lit(1).cast("bigint")), ids)
 
 
+@pytest.mark.parametrize("truncate", [True, False])
+def test_a_failed_load_of_a_database_table_leaves_the_old_rows(spark, folder, ids, truncate, monkeypatch):
+    db = JdbcWarehouse(IN_PROCESS_URL, PROPERTIES, connections=4, truncate=truncate)
+    before = bag(db.read(spark, ids))
+    failing = spark.range(5).withColumn("v", F.raise_error(F.lit("no")).cast("bigint"))
+    with pytest.raises(Exception, match="no"):
+        db.overwrite(failing, ids)
+    monkeypatch.setattr(JdbcWarehouse, "_count", lambda *_: 6)
+    with pytest.raises(RuntimeError):
+        db.overwrite(spark.range(5).withColumn("v", F.lit(1).cast("bigint")), ids)
+    assert bag(db.read(spark, ids)) == before
+    monkeypatch.undo()
+    db.overwrite(spark.range(5).withColumn("v", F.lit(1).cast("bigint")), ids)
+    assert bag(db.read(spark, ids)) == [(i, 1) for i in range(5)]
+
+
+@pytest.mark.parametrize("kind", [PathWarehouse, CatalogWarehouse])
+def test_a_failed_load_leaves_the_old_rows(spark, folder, kind):
+    warehouse = kind(folder)
+    name = f"t_{uuid.uuid4().hex}"
+    warehouse.overwrite(spark.range(10), name)
+    failing = spark.range(5).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        warehouse.overwrite(failing, name)
+    assert warehouse.read(spark, name).count() == 10
+    # a table may be rewritten from itself
+    warehouse.overwrite(warehouse.read(spark, name).filter("id < 4"), name)
+    assert warehouse.read(spark, name).count() == 4
+
+
+@pytest.mark.parametrize("kind", [PathWarehouse, CatalogWarehouse])
+def test_earlier_loads_go(spark, folder, kind):
+    warehouse, name = kind(folder, keep=2), f"t_{uuid.uuid4().hex}"
+    for n in range(1, 6):
+        warehouse.overwrite(spark.range(n), name)
+    assert len(glob.glob(f"{folder}/{name}/load-*")) == 2
+    assert warehouse.read(spark, name).count() == 5
+
+
+def test_a_table_that_was_never_loaded(spark, folder):
+    with pytest.raises(LookupError):
+        PathWarehouse(folder).read(spark, "T")
+
+
 def test_credentials_are_not_shown():
     shown = repr(JdbcWarehouse("jdbc:x:", {"user": "u", "password": "secret"}))
     assert "secret" not in shown

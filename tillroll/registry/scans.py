@@ -48,6 +48,21 @@ def src_jdbc_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return read_jdbc_partitioned(spark, db.url, "src_orders", "o_orderkey", parts, properties)
 
 
+@query("src_jdbc_cuts", "SELECT * FROM lineitem")
+def src_jdbc_cuts(spark: SparkSession, sf: str) -> DataFrame:
+    """Split at given values of a column whose name Spark wrote in lower case."""
+    db = database(spark)
+    lines = table(spark, sf, "lineitem")
+    db.overwrite(lines, "src_lines")
+    parts = spark.sparkContext.defaultParallelism
+    shares = [i / parts for i in range(1, parts)]
+    cuts = sorted({int(x) for x in lines.approxQuantile("l_orderkey", shares, 0.01)})
+    properties = {**db.properties, "preferTimestampNTZ": "true"}
+    return read_jdbc_partitioned(
+        spark, db.url, "src_lines", "L_ORDERKEY", parts, properties, cuts=cuts
+    )
+
+
 @query("src_delimited_landing", "SELECT * FROM lineitem")
 def src_delimited_landing(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem")

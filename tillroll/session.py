@@ -39,10 +39,55 @@ def tuned(spark: SparkSession, time_zone: str | None = None) -> Iterator[SparkSe
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file is there, in whatever store its path names."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    place, store = _place(spark, path)
+    return store.exists(place)
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Put a short text in a file; readers see the old text or the new one."""
+    fresh, store = _place(spark, f"{path}-{uuid.uuid4().hex}")
+    out = store.create(fresh, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    hadoop, place = spark._jvm.org.apache.hadoop.fs, _place(spark, path)[0]
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files = hadoop.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+    files.rename(files.makeQualified(fresh), files.makeQualified(place), options)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a file, or None if there is none."""
+    place, store = _place(spark, path)
+    if not store.exists(place):
+        return None
+    stream = store.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place, store = _place(spark, path)
+    store.delete(place, True)
+
+
+def drop_old_loads(spark: SparkSession, path: str, current: str, keep: int) -> None:
+    """Remove the ``load-*`` folders below a path but the current and the latest before it."""
+    place, store = _place(spark, path)
+    found = [(f.getModificationTime(), f.getPath().getName()) for f in store.listStatus(place)]
+    loads = sorted((t, name) for t, name in found if name.startswith("load-") and name != current)
+    for _, name in loads[: max(0, len(loads) - (keep - 1))]:
+        remove_folder(spark, f"{path}/{name}")
 
 
 def one_process(spark: SparkSession) -> bool:
