@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import TERM, fold_case, keep, small, term_counts, terms
+from tillroll.llm.base import TERM, keep, n_terms, small, term_counts, terms
 
 CONTEXT = 80
 GENERALISE = 0.75
@@ -106,15 +106,11 @@ def matches(docs: DataFrame) -> DataFrame:
 def near_terms(found: DataFrame) -> DataFrame:
     """(key, kind, term, start, end, hit, copies) of whole terms within CONTEXT of a match."""
     long_before, long_after = F.length("before") > CONTEXT, F.length("after") > CONTEXT
+    whole_before = F.when(long_before, F.regexp_replace("before", f"^{TERM}", "")).otherwise(F.col("before"))
+    whole_after = F.when(long_after, F.regexp_replace("after", f"{TERM}$", "")).otherwise(F.col("after"))
     sides = F.array(
-        F.struct(
-            F.when(long_before, F.regexp_replace(fold_case(F.col("before")), f"^{TERM}", "")).otherwise(fold_case(F.col("before"))).alias("text"),
-            F.lit(True).alias("is_before"),
-        ),
-        F.struct(
-            F.when(long_after, F.regexp_replace(fold_case(F.col("after")), f"{TERM}$", "")).otherwise(fold_case(F.col("after"))).alias("text"),
-            F.lit(False).alias("is_before"),
-        ),
+        F.struct(whole_before.alias("text"), F.lit(True).alias("is_before")),
+        F.struct(whole_after.alias("text"), F.lit(False).alias("is_before")),
     )
     sided = found.select("key", "kind", "hit", "copies", F.col("start").alias("from"), "end", F.explode(sides).alias("side"))
     cut = sided.select(
@@ -130,9 +126,10 @@ def near_terms(found: DataFrame) -> DataFrame:
     ahead = F.aggregate(F.slice("words", F.lit(1), F.col("nth")), F.lit(0), length) + F.aggregate(
         F.slice("gaps", F.lit(1), F.col("nth") + 1), F.lit(0), length
     )
-    term = F.get(F.col("words"), F.col("nth"))
-    placed = each.select("key", "kind", term.alias("term"), (F.col("base") + ahead).alias("start"), "hit", "copies")
-    return placed.withColumn("end", F.col("start") + F.length("term"))
+    word = F.get(F.col("words"), F.col("nth"))
+    placed = each.select("key", "kind", word.alias("word"), (F.col("base") + ahead).alias("start"), "hit", "copies")
+    end = (F.col("start") + F.length("word")).alias("end")
+    return placed.select("key", "kind", F.lower("word").alias("term"), "start", end, "hit", "copies")
 
 
 def telling(docs: DataFrame, near: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
@@ -143,7 +140,7 @@ def telling(docs: DataFrame, near: DataFrame, support: int = SUPPORT, least: flo
     of_kind = keep(places.groupBy("kind").agg(F.sum("copies").alias("n_k")))
     asked = keep(joint.join(backed, ["kind", "term"]))
     counts = term_counts(docs, keep(asked.select("term").distinct()))
-    n = docs.agg(F.sum(F.regexp_count(fold_case(F.col("text")), F.lit(TERM)))).first()[0] or 0
+    n = docs.agg(F.sum(n_terms(F.col("text")))).first()[0] or 0
     pmi = F.log2(F.lit(float(n)) * F.col("n_tk") / (F.col("n") * F.col("n_k")))
     ic = F.log2(F.lit(float(n)) / F.col("n_k"))
     known = asked.join(counts, "term").join(F.broadcast(of_kind), "kind")  # one row per kind
@@ -193,7 +190,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """The documents with their columns; entities are marked by kind, terms marked or removed."""
-    found = listed(spans(docs.select("text"))).withColumnRenamed("key", "__key")
+    found = listed(spans(docs.select("text"))).select(F.col("key").alias("__key"), F.col("all").alias("__all"))
 
     def replaced(done: Column, s: Column) -> Column:
         fresh = s["start"] >= done["at"]
@@ -206,5 +203,5 @@ def sanitised(docs: DataFrame) -> DataFrame:
 
     first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("text"))
     rest = lambda done: F.concat(done["text"], F.col("text").substr((done["at"] + 1).cast("int"), F.length("text")))
-    changed = F.when(F.col("all").isNull(), F.col("text")).otherwise(F.aggregate("all", first, replaced, rest))
+    changed = F.when(F.col("__all").isNull(), F.col("text")).otherwise(F.aggregate("__all", first, replaced, rest))
     return docs.join(found, F.md5("text") == F.col("__key"), "left").withColumn("text", changed).select(docs.columns)
