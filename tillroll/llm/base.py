@@ -21,8 +21,9 @@ BROADCAST_ROWS = 100_000
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Digits, letters, and all beyond ASCII.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Digits, letters, and all beyond ASCII. The separators are listed one by one: a class of single
+#: characters is one look-up to the regex engine, one of ranges a chain of calls.
+TERM = "[^" + "".join(rf"\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
