@@ -16,7 +16,13 @@ from __future__ import annotations
 
 import numpy as np
 
-LETTER = 20
+LETTER = 25
+
+
+def runs(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place and length of each run, from the places where runs begin."""
+    first = np.flatnonzero(new)
+    return first, np.diff(np.append(first, len(new)))
 
 
 def ordered(letter: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -28,28 +34,29 @@ def ordered(letter: np.ndarray, after: np.ndarray) -> np.ndarray:
     marks = np.count_nonzero(ends)
     rank = letter.astype(np.int64) + marks
     rank[ends] = np.arange(marks)
-    reach = after.copy()
-    while True:
+    reach = after
+    order = np.argsort(rank, kind="stable")
+    new = np.ones(len(rank), bool)
+    new[1:] = rank[order[1:]] != rank[order[:-1]]
+    first, length = runs(new)
+    rank[order] = np.repeat(first, length)
+    tied = order[np.repeat(length > 1, length)]
+    while len(tied):
         # Suffixes that share a rank differ by the rank of what follows the letters compared so far.
-        order = np.argsort(rank, kind="stable")
-        sorted_rank = rank[order]
-        new = np.ones(len(order), bool)
-        new[1:] = sorted_rank[1:] != sorted_rank[:-1]
-        first = np.flatnonzero(new)
-        rank[order] = np.repeat(first, np.diff([*first, len(order)]))
-        if new.all():
-            return order
-        tied = np.repeat(np.diff([*first, len(order)]) > 1, np.diff([*first, len(order)]))
-        some = order[tied]
-        inner = np.lexsort((rank[reach[some]], rank[some]))
-        some, base, next_rank = some[inner], rank[some[inner]], rank[reach[some[inner]]]
-        new = np.ones(len(some), bool)
-        new[1:] = (base[1:] != base[:-1]) | (next_rank[1:] != next_rank[:-1])
-        group = np.ones(len(some), bool)
-        group[1:] = base[1:] != base[:-1]
-        at = np.arange(len(some))
-        rank[some] = base + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
+        key = rank[tied] * np.int64(len(rank)) + rank[reach[tied]]
+        inner = np.argsort(key)
+        tied, key = tied[inner], key[inner]
+        base = rank[tied]
+        new, group = np.ones(len(tied), bool), np.ones(len(tied), bool)
+        new[1:], group[1:] = key[1:] != key[:-1], base[1:] != base[:-1]
+        at = np.arange(len(tied))
+        rank[tied] = base + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
+        length = runs(new)[1]
+        tied = tied[np.repeat(length > 1, length)]
         reach = reach[reach]
+    out = np.empty(len(rank), np.int64)
+    out[rank] = np.arange(len(rank))
+    return out
 
 
 def merged(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +116,7 @@ def repeated(strings: list[bytes], shard: np.ndarray, length: int, letters_of) -
         return suffix, suffix
     new = np.ones(len(block), bool)
     new[1:] = block[1:] != block[:-1]
-    starts = np.flatnonzero(new)
-    earliest = np.repeat(np.minimum.reduceat(suffix, starts), np.diff([*starts, len(block)]))
+    starts, lengths = runs(new)
+    earliest = np.repeat(np.minimum.reduceat(suffix, starts), lengths)
     found = np.sort(suffix[suffix != earliest])
     return string[found], place[found]

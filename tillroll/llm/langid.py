@@ -145,7 +145,7 @@ def learn(texts: list[bytes], labels: list[str]) -> Field:
             found, pairs = field.marginals(field.emissions(places, starts), first, length)
             right = label[batch][rows_of(words.offsets)]
             found[np.arange(len(right)), right] -= 1
-            of_word = np.repeat(np.arange(len(starts)), np.diff([*starts, len(places)]))
+            of_word = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(places))))
             used, at = np.unique(places, return_inverse=True)
             slope = np.stack([np.bincount(at, found[of_word, i], len(used)) for i in range(k)], axis=1) / len(first)
             squares[used] += slope**2

@@ -107,7 +107,7 @@ def spans(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, tie = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for lo, hi, data, offsets in chunks(batch.column(2)):
+            for lo, hi, data, offsets in chunks(batch.column(2), 1 << 19):
                 s = spans_of(data, offsets)
                 packed = s["length"] << 32 | s["left"] << 16 | s["right"]
                 columns = [s["anchor"], s["span"], doc[lo:hi][s["row"]], tie[lo:hi][s["row"]], s["start"], packed]
