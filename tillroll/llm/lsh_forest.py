@@ -10,8 +10,11 @@ by hash, and each node is also paired with the least of its region.
 
 In a region, the part of equal numbers in two signatures estimates their likeness. Nodes that are
 surely alike are joined by a spanning tree; between the groups this gives, each node is paired with
-the ``NEAREST`` likeliest nodes of others. Only these pairs are confirmed, on the full sets, and
-linked nodes are followed to components. A node's pairs are bounded, never its class.
+the ``NEAREST`` likeliest nodes of others. These pairs are confirmed on the full sets, and linked
+nodes are followed to components. Then the regions are looked at once more: a node is open if a node
+of another component is likely to be alike and was not among its pairs. The sets of open nodes are
+brought to their regions, and all pairs between components are confirmed there, so no link depends
+on which pairs were chosen first; what is sent are the links alone.
 
 Cases: texts of one to three words are one shingle; null and empty texts and texts of blanks have
 no shingles and are linked with nothing; equal texts share a class through their node; a row
@@ -20,7 +23,7 @@ without id takes part, and a class without any id has a null one; an empty table
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +45,8 @@ REGION = 1024
 NEAREST = 8
 #: Estimates of 128 numbers err by 0.035 at a likeness of 0.8. Below the first, pairs are not
 #: confirmed; from the second on, two nodes are taken to be in one group when pairs are chosen.
-UNLIKELY = 0.62
-SURE = 0.90
+UNLIKELY = 0.66
+SURE = 0.92
 #: Members compared with one set at a time.
 MEMBERS = 256
 
@@ -130,14 +133,19 @@ def regions(nodes: DataFrame) -> DataFrame:
         level, depth = level.join(small(crowded, many), "region", "left_semi"), depth + 1
 
 
-def chosen(numbers: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of a region's nodes to confirm."""
-    n = len(sizes)
-    alike = np.empty((n, n), np.float32)
-    for i in range(n):
+def likely(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Estimated likeness of a region's nodes, 0 where their sizes forbid a link."""
+    alike = np.empty((len(sizes), len(sizes)), np.float32)
+    for i in range(len(sizes)):
         alike[i] = (numbers == numbers[i]).mean(1)
     alike[100 * np.minimum.outer(sizes, sizes) < PERCENT * np.maximum.outer(sizes, sizes)] = 0
     np.fill_diagonal(alike, 0)
+    return alike
+
+
+def chosen(alike: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of a region's nodes to confirm first."""
+    n = len(alike)
     group, pairs = np.full(n, -1), []
     for first in np.argsort(-(alike >= SURE).sum(1), kind="stable"):
         if group[first] >= 0:
@@ -149,48 +157,107 @@ def chosen(numbers: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
                 group[j] = first
                 pairs.append((i, j))
                 queue.append(j)
-    alike[(alike < UNLIKELY) | (group[:, None] == group)] = 0
-    if alike.any():
+    between = np.where((alike < UNLIKELY) | (group[:, None] == group), 0, alike)
+    if between.any():
         # Of two groups, the nodes of the smaller look for partners in the larger.
         rank = np.bincount(group, minlength=n)[group] * n + group
-        alike[rank[:, None] > rank] = 0
-        best = np.argsort(-alike, axis=1, kind="stable")[:, :NEAREST]
-        pairs += [(j, i) for i in range(n) for j in best[i] if alike[i, j] > 0]
+        between[rank[:, None] > rank] = 0
+        best = np.argsort(-between, axis=1, kind="stable")[:, :NEAREST]
+        pairs += [(j, i) for i in range(n) for j in best[i] if between[i, j] > 0]
     return pairs
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes to confirm, from rows (node, n_shingles, signature)."""
-    members = regions(nodes).join(nodes, "node").select("region", "node", "n_shingles", "signature")
-
-    def pairs_of(rows: pa.Table) -> pa.RecordBatch:
-        names = rows.column("node").to_pylist()
-        numbers = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(len(names), HASHES)
-        pairs = chosen(numbers, rows.column("n_shingles").to_numpy())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([names[i] for i, _ in pairs], pa.binary()), pa.array([names[j] for _, j in pairs], pa.binary())],
-            ["a", "b"],
-        )
+def by_region(rows: DataFrame, handle: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """What ``handle`` makes of the rows of each region, at most REGION + 1 of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
-            region = rows.column("region").to_numpy()
-            cuts = [0, *(np.flatnonzero(region[1:] != region[:-1]) + 1), len(region)]
+            own = pa.Table.from_batches([batch])
+            own = own if rest is None else pa.concat_tables([rest, own]).combine_chunks()
+            region = own.column("region").to_numpy()
+            cuts = [0, *(np.flatnonzero(region[1:] != region[:-1]) + 1).tolist(), len(region)]
             for lo, hi in zip(cuts[:-2], cuts[1:-1]):
-                yield pairs_of(rows.slice(lo, hi - lo))
-            rest = rows.slice(cuts[-2])
+                yield handle(own.slice(lo, hi - lo))
+            rest = own.slice(cuts[-2])
         if rest is not None and rest.num_rows:
-            yield pairs_of(rest)
+            yield handle(rest)
+
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "region").sortWithinPartitions("region", "node").mapInArrow(run, schema)
+
+
+def _likely(rows: pa.Table) -> np.ndarray:
+    numbers = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32)
+    return likely(numbers.reshape(-1, HASHES), rows.column("n_shingles").to_numpy())
 
-    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = members.repartition(tasks, "region").sortWithinPartitions("region", "node").mapInArrow(run, "a binary, b binary")
+
+def _links(names: list[bytes], pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    ends = [pa.array([names[pair[k]] for pair in pairs], pa.binary()) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+
+def candidates(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) to confirm first, from rows (region, node, n_shingles, signature)."""
+
+    def handle(rows: pa.Table) -> pa.RecordBatch:
+        return _links(rows.column("node").to_pylist(), chosen(_likely(rows)))
+
+    found = by_region(members, handle, "a binary, b binary")
     ends = found.withColumn("low", F.least("a", "b")).withColumn("high", F.greatest("a", "b"))
     return ends.dropDuplicates(["low", "high"]).select("a", "b")
 
 
+def open_nodes(members: DataFrame) -> DataFrame:
+    """(region, node) with a likely partner in another component that was not chosen there.
+
+    From rows (region, node, n_shingles, signature, root).
+    """
+
+    def handle(rows: pa.Table) -> pa.RecordBatch:
+        alike = _likely(rows)
+        root = np.unique(rows.column("root").to_pylist(), return_inverse=True)[1]
+        left = (alike >= UNLIKELY) & (root[:, None] != root)
+        if left.any():
+            for i, j in chosen(alike):
+                left[i, j] = left[j, i] = False
+        found = pa.array(left.any(1))
+        return pa.RecordBatch.from_arrays(
+            [rows.column(name).combine_chunks().filter(found) for name in ("region", "node")], ["region", "node"]
+        )
+
+    return by_region(members, handle, "region long, node binary")
+
+
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets, the first not empty."""
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    return int(np.count_nonzero(a[at] == b))
+
+
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    both = common(a, b)
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
+def settled(members: DataFrame) -> DataFrame:
+    """Links (a, b) between components, from rows (region, node, n_shingles, signature, root, shingles)."""
+
+    def handle(rows: pa.Table) -> pa.RecordBatch:
+        alike, names = _likely(rows), rows.column("node").to_pylist()
+        root = np.unique(rows.column("root").to_pylist(), return_inverse=True)[1].ravel()
+        sets = [np.frombuffer(raw, np.uint64) for raw in rows.column("shingles").to_pylist()]
+        pairs = []
+        for i in range(len(names)):
+            for j in np.flatnonzero(alike[i, :i] >= UNLIKELY):
+                if root[i] != root[j] and linked(sets[i], sets[j]):
+                    pairs.append((i, j))
+                    root[root == root[j]] = root[i]
+        return _links(names, pairs)
+
+    return by_region(members, handle, "a binary, b binary")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are alike enough, from rows (node, shingles).
 
@@ -213,9 +280,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 if role == 0:
                     held = own
                     continue
-                at = np.minimum(np.searchsorted(held, own), len(held) - 1)
-                common = int(np.count_nonzero(held[at] == own))
-                if 100 * common >= PERCENT * (len(held) + len(own) - common):
+                if linked(held, own):
                     links.append((a, node))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x for x, _ in links], pa.binary()), pa.array([x for _, x in links], pa.binary())], ["a", "b"]
@@ -247,6 +312,12 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.select("node", "text").mapInArrow(run, "node binary, shingles binary")
 
 
+def sets_by_node(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes asked for, from rows (node, doc_id, key)."""
+    wanted = keep(nodes.join(small(keep(asked.distinct())), "node", "left_semi"))
+    return shingle_sets(docs, small(wanted)).dropDuplicates(["node"])
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, key, n_shingles, component_id, the least id of its class, and kept."""
     rows = store(sketched(docs), "shingles")
@@ -259,15 +330,25 @@ def classes(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["node"]),
         "signatures",
     )
-    pairs = keep(candidates(signed))
-    asked = keep(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    wanted = keep(nodes.join(small(asked), "node", "left_semi"))
-    links = confirmed(pairs, shingle_sets(docs, small(wanted)).dropDuplicates(["node"]))
-    roots = keep(components(links))
+    found = keep(regions(signed))
+    members = found.join(signed, "node").select("region", "node", "n_shingles", "signature")
+    pairs = keep(candidates(members))
+    first = keep(confirmed(pairs, sets_by_node(docs, nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")))))
+    known = keep(components(first))
+    rooted = found.join(small(known), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Of two nodes alone in a region, the pair was confirmed if it was likely.
+    mixed = rooted.groupBy("region").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = keep(mixed.filter("n > 2 AND low != high").select("region"))
+    some = keep(rooted.join(small(mixed), "region", "left_semi"))
+    left = keep(open_nodes(some.join(signed, "node").select("region", "node", "n_shingles", "signature", "root")))
+    rest = some.join(small(left), ["region", "node"], "left_semi").join(signed, "node")
+    rest = rest.join(sets_by_node(docs, nodes, left.select("node")), "node")
+    links = settled(rest.select("region", "node", "n_shingles", "signature", "root", "shingles"))
+    roots = keep(components(links.unionByName(known.select(F.col("root").alias("a"), F.col("node").alias("b")))))
     least = roots.join(nodes, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    linked = keep(roots.join(least, "root").select("node", "component_id"))
-    alone = nodes.join(small(linked), "node", "left_anti").select("node", F.col("doc_id").alias("component_id"))
-    ids = rows.drop("signature").join(linked.unionByName(alone), "node", "left")
+    joined = keep(roots.join(least, "root").select("node", "component_id"))
+    alone = nodes.join(small(joined), "node", "left_anti").select("node", F.col("doc_id").alias("component_id"))
+    ids = rows.drop("signature").join(joined.unionByName(alone), "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return ids.select(
         "doc_id", "key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
