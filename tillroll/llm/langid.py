@@ -36,6 +36,8 @@ AFFIX = 4
 CHAIN = 64
 SAMPLE = 3000
 CHAINS = 6
+#: Chains with more bytes, which hold no ordinary words, are not sampled.
+CHAIN_BYTES = 8192
 EPOCHS = 4
 BATCH = 128
 RATE = 0.2
@@ -176,8 +178,10 @@ def sample(labelled: DataFrame, rows: int = SAMPLE) -> DataFrame:
                 for row in np.unique(of):
                     own = np.flatnonzero(of == row)
                     for i in own[np.unique(np.linspace(0, len(own) - 1, CHAINS).astype(int))]:
-                        langs.append(names[lo + row])
-                        pieces.append(data[words.start[start[i]] : words.end[start[i] + length[i] - 1]].tobytes())
+                        a, b = words.start[start[i]], words.end[start[i] + length[i] - 1]
+                        if b - a <= CHAIN_BYTES:
+                            langs.append(names[lo + row])
+                            pieces.append(data[a:b].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(pieces, pa.binary())], ["lang", "chain"])
 
     return picked.mapInArrow(run, "lang string, chain binary")
@@ -195,37 +199,38 @@ def word_marginals(field: Field, data: np.ndarray, offsets: np.ndarray) -> tuple
     return words, field.marginals(field.emissions(*features(words, data)), *chains(words.offsets))[0]
 
 
-def predicted(docs: DataFrame, field: Field | None, columns: list[str]) -> DataFrame:
+def predicted(docs: DataFrame, field: Field | None, columns: list[str], text: str = "text") -> DataFrame:
     """The columns named, with ``lang_pred`` and ``score`` of the text."""
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     if field is None:
         return docs.select(*columns, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(field)
-    asked = docs.select(*columns, letters.alias("__letters"), F.col("text").alias("__text"))
+    asked = docs.select(*columns, *([] if text in columns else [text]), letters.alias("__letters"))
+    at, kept, n = asked.columns.index(text), docs.select(columns).schema, len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         names = np.array([*known.languages, "und"], object)
         for batch in batches:
             score, best = np.zeros(batch.num_rows), np.full(batch.num_rows, len(known.languages))
-            for lo, hi, data, offsets in chunks(batch.column(len(columns) + 1)):
+            for lo, hi, data, offsets in chunks(batch.column(at)):
                 words, found = word_marginals(known, data, offsets)
                 if not len(found):
                     continue
                 letter = np.add.reduceat(_LETTER[data] & ~BLANK[data], words.start, dtype=np.int64) > 0
                 row = rows_of(words.offsets)[letter]
                 sums = np.stack([np.bincount(row, found[letter, i], hi - lo) for i in range(found.shape[1])], axis=1)
-                n = np.maximum(np.bincount(row, minlength=hi - lo), 1)
-                best[lo:hi], score[lo:hi] = sums.argmax(1), np.clip(sums.max(1) / n, 0, 1)
-            none = ~batch.column(len(columns)).to_numpy(zero_copy_only=False).astype(bool)
+                of_row = np.maximum(np.bincount(row, minlength=hi - lo), 1)
+                best[lo:hi], score[lo:hi] = sums.argmax(1), np.clip(sums.max(1) / of_row, 0, 1)
+            none = ~batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             best[none], score[none] = len(known.languages), 0
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(columns)], pa.array(names[best], pa.string()), pa.array(score)],
-                [*columns, "lang_pred", "score"],
+                [*batch.columns[:n], pa.array(names[best], pa.string()), pa.array(score)],
+                [*kept.names, "lang_pred", "score"],
             )
 
-    kept = asked.select(columns).schema
-    return asked.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double"]))
+    schema = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double"]
+    return asked.mapInArrow(run, ", ".join(schema))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -239,8 +244,8 @@ def languages(docs: DataFrame) -> DataFrame:
     return predicted(rows, fit(rows.filter("NOT held_out")), ["doc_id", "held_out"])
 
 
-#: Least score of a text whose language is taken as known.
-CERTAIN = 0.5
+#: Least score of a text whose language is taken as known: texts in two languages have one.
+CERTAIN = 0.4
 
 
 def identified(docs: DataFrame, least: float = CERTAIN) -> DataFrame:
@@ -253,5 +258,5 @@ def identified(docs: DataFrame, least: float = CERTAIN) -> DataFrame:
     names = [f"__c{i}" for i in range(len(docs.columns))]
     renamed = docs.toDF(*names)
     text = names[[c.lower() for c in docs.columns].index("text")]
-    found = predicted(renamed.withColumn("text", F.col(text)), field, names)
+    found = predicted(renamed, field, names, text)
     return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(names).toDF(*docs.columns)

@@ -113,7 +113,7 @@ class Models:
     def values(self, texts: pa.Array) -> np.ndarray:
         """The value of the most toxic stretch of each text."""
         out = np.zeros(len(texts))
-        for lo, hi, data, offsets in chunks(texts):
+        for lo, hi, data, offsets in chunks(texts, 1 << 19):
             words = Words(data, offsets, _SEPARATOR)
             if not len(words.start):
                 continue
@@ -135,7 +135,7 @@ def count_spellings(labelled: DataFrame) -> DataFrame:
         found = [(np.zeros(0, np.int64), np.zeros(0)) for _ in range(4)]
         for batch in batches:
             group = 2 * batch.column(0).to_numpy() + batch.column(1).to_numpy()
-            for lo, hi, data, offsets in chunks(batch.column(2)):
+            for lo, hi, data, offsets in chunks(batch.column(2), 1 << 19):
                 words = Words(data, offsets, _SEPARATOR)
                 of = group[lo:hi][rows_of(words.offsets)]
                 for g in np.unique(of):
