@@ -2,8 +2,9 @@
 
 Words are summed per source, each source is given a target, and ``rate = target / size`` of its
 source says how often a document is emitted: floor(rate) times, and once more with probability
-``rate - floor(rate)`` by a hash of the seed, the id and the text. The draw needs no other row, so
-a hot source is spread as the input is, and a rerun draws the same.
+``rate - floor(rate)`` by a hash of a seed, the id and the text. The draw needs no other row, so a
+hot source is spread as the input is, and a rerun draws the same. Sums of independent draws stray
+from their target; so each source takes, of ``SEEDS`` seeds, the one whose sum comes nearest.
 
 Cases: a null text has no words and is drawn like any other; null sources are one source, last in
 order; a source without words has target 0 and gives nothing; rows that repeat an id and a text
@@ -21,10 +22,13 @@ from tillroll.llm.base import WORD, keep, small
 WEIGHTS = (1, 2, 3)
 CAP = 3
 SEED = 17
+SEEDS = 16
 
-_SOURCE, _WORDS, _TARGET, _TOTAL, _COPY = (
-    "__mix_source", "__mix_words", "__mix_target", "__mix_total", "__mix_copy",
+_SOURCE, _WORDS, _TARGET, _TOTAL, _COPY, _KNOWN, _SEED = (
+    "__mix_source", "__mix_words", "__mix_target", "__mix_total", "__mix_copy", "__mix_known", "__mix_seed",
 )
+#: Digits of a hash that make one draw, of the 32 there are.
+_DIGITS = 8
 
 
 def words(text: Column) -> Column:
@@ -32,15 +36,18 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def draw(doc_id: Column, text: Column, seed: int = SEED) -> Column:
-    """A number in [0, 1) from the seed, the id and the text."""
-    known = F.concat(
-        F.lit(f"{seed}:"),
-        F.coalesce(doc_id.cast("string"), F.lit("")),
-        F.lit(":"),
-        F.coalesce(F.md5(text), F.lit("")),
-    )
-    return F.conv(F.substring(F.md5(known), 1, 12), 16, 10).cast("long") / F.lit(float(2**48))
+def known_by(doc_id: Column, text: Column, seed: int = SEED) -> Column:
+    """A digest of the seed, the id and the text."""
+    parts = (F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.md5(text), F.lit("")))
+    return F.md5(F.concat(*parts))
+
+
+def draw(known: Column, seed: Column) -> Column:
+    """A number in [0, 1) from a digest, for seeds from 0 up."""
+    each = 32 // _DIGITS
+    digits = F.md5(F.concat(known, F.lit(":"), F.floor(seed / each).cast("string")))
+    drawn = F.substring(digits, (seed % each * _DIGITS + 1).cast("int"), F.lit(_DIGITS))
+    return F.conv(drawn, 16, 10).cast("long") / F.lit(float(16**_DIGITS))
 
 
 def source_targets(
@@ -76,32 +83,56 @@ def source_targets(
     )
 
 
-def planned(
-    docs: DataFrame,
-    weights: tuple[int, ...] = WEIGHTS,
-    cap: int = CAP,
-    seed: int = SEED,
-) -> DataFrame:
-    """Every document with its words, its source's words and target, and how often it is emitted."""
-    sized = docs.withColumn(_WORDS, words(F.col("text")))
-    sizes = sized.groupBy(F.col("source").alias(_SOURCE)).agg(F.sum(_WORDS).alias(_TOTAL))
-    targets = keep(source_targets(sizes, weights, cap))
-    rate = F.when(F.col(_TOTAL) > 0, F.col(_TARGET) / F.col(_TOTAL)).otherwise(0.0)
-    extra = (draw(F.col("doc_id"), F.col("text"), seed) < rate - F.floor(rate)).cast("long")
-    return sized.join(small(targets), F.col("source").eqNullSafe(F.col(_SOURCE))).withColumn(
-        _COPY, F.floor(rate) + extra
+def rate_of(target: Column, total: Column) -> Column:
+    return F.when(total > 0, target / total).otherwise(0.0)
+
+
+def with_seeds(digests: DataFrame, targets: DataFrame, seeds: int = SEEDS) -> DataFrame:
+    """The targets with the seed of each source, from rows (source, words, digest)."""
+    rate = rate_of(F.col(_TARGET), F.col(_TOTAL))
+    extra = rate - F.floor(rate)
+    placed = digests.join(small(targets), F.col("source").eqNullSafe(F.col(_SOURCE)))
+    sums = [
+        F.sum(F.when(draw(F.col(_KNOWN), F.lit(k)) < extra, F.col(_WORDS)).otherwise(0)).alias(f"__{k}") for k in range(seeds)
+    ]
+    drawn = placed.groupBy(_SOURCE, _TOTAL, _TARGET).agg(*sums)
+    off = [F.struct(F.abs(F.floor(rate) * F.col(_TOTAL) + F.col(f"__{k}") - F.col(_TARGET)).alias("off"), F.lit(k).alias("k")) for k in range(seeds)]
+    return drawn.select(_SOURCE, _TOTAL, _TARGET, F.array_min(F.array(*off))["k"].alias(_SEED))
+
+
+def digested(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """doc_id, source, words and digest of every document."""
+    return docs.select(
+        "doc_id", "source", words(F.col("text")).alias(_WORDS), known_by(F.col("doc_id"), F.col("text"), seed).alias(_KNOWN)
     )
 
 
+def plan(digests: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """One row per source: its words, target and seed."""
+    sizes = digests.groupBy(F.col("source").alias(_SOURCE)).agg(F.sum(_WORDS).alias(_TOTAL))
+    return keep(with_seeds(digests, keep(source_targets(sizes, weights, cap))))
+
+
+def copied(rows: DataFrame, plans: DataFrame) -> DataFrame:
+    """Rows with source, words and digest, and how often each is emitted."""
+    rate = rate_of(F.col(_TARGET), F.col(_TOTAL))
+    extra = (draw(F.col(_KNOWN), F.col(_SEED)) < rate - F.floor(rate)).cast("long")
+    placed = rows.join(small(plans), F.col("source").eqNullSafe(F.col(_SOURCE)))
+    return placed.withColumn(_COPY, F.floor(rate) + extra)
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED) -> DataFrame:
     """The mixed corpus: each document as often as planned, with the columns it came with."""
-    plan = planned(docs, weights, cap, seed).filter(F.col(_COPY) > 0)
-    return plan.withColumn(_COPY, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_COPY)))).select(docs.columns)
+    plans = plan(keep(digested(docs, seed)), weights, cap)
+    known = docs.withColumn(_KNOWN, known_by(F.col("doc_id"), F.col("text"), seed))
+    taken = copied(known, plans).filter(F.col(_COPY) > 0)
+    return taken.withColumn(_COPY, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_COPY)))).select(docs.columns)
 
 
 def report(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED) -> DataFrame:
     """One row per document: its words, its source's words and target, and the words taken."""
-    return planned(docs.select("doc_id", "text", "source"), weights, cap, seed).select(
+    digests = keep(digested(docs, seed))
+    return copied(digests, plan(digests, weights, cap)).select(
         "doc_id",
         F.col(_WORDS).alias("size"),
         F.col(_TOTAL).alias("source_size"),

@@ -18,7 +18,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u
+    md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')) AS known
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS s, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT AS w FROM d GROUP BY source),
 r AS (SELECT *, coalesce(sum(s) OVER (ORDER BY s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b,
@@ -28,9 +28,14 @@ c AS (SELECT *, w * (a - 2 * b) >= 3 * s * ws AS capped FROM r),
 o AS (SELECT a - 2 * b AS l, ws FROM c WHERE NOT capped ORDER BY s / w, source NULLS LAST LIMIT 1),
 t AS (SELECT source, s, CASE WHEN capped THEN 3.0::DOUBLE * s ELSE (w * o.l)::DOUBLE / o.ws::DOUBLE END AS target FROM c LEFT JOIN o ON true),
 x AS (SELECT d.*, t.s, t.target, CASE WHEN t.s > 0 THEN t.target / t.s::DOUBLE ELSE 0.0::DOUBLE END AS rate
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, s AS source_size, target,
-  (size * (floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM x
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+u AS (SELECT x.*, k, ('0x' || substr(md5(known || ':' || (k // 4)), (k % 4) * 8 + 1, 8))::BIGINT / 4294967296.0::DOUBLE < rate - floor(rate) AS more
+  FROM x, (SELECT unnest(range(16)) AS k)),
+e AS (SELECT source, k, abs(floor(any_value(rate)) * any_value(s) + sum(CASE WHEN more THEN size ELSE 0 END)::BIGINT - any_value(target)) AS off
+  FROM u GROUP BY source, k),
+b AS (SELECT source, arg_min(k, (off, k)) AS k FROM e GROUP BY source)
+SELECT doc_id, size, s AS source_size, target, (size * (floor(rate)::BIGINT + CASE WHEN more THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source AND u.k = b.k
 """
 
 
