@@ -19,6 +19,8 @@ ORACLES: dict[str, str] = {}
 #: A frame is broadcast by hint only after its rows were counted and found to be at most so many.
 BROADCAST_ROWS = 100_000
 
+BATCH_ROWS = 2_000
+
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Digits, letters, and all beyond ASCII. The separators are listed one by one: a class of single
@@ -65,6 +67,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` over rows that hold texts, in batches of at most BATCH_ROWS.
+
+    The size of batches is a setting of the session and is read when the frame is run, so it is left
+    set. A batch of the default size takes its bytes several times over in each Python worker.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df.mapInArrow(run, schema)
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """A kept frame with a broadcast hint if it has at most BROADCAST_ROWS rows, else as it is.
 

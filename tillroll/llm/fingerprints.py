@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.base import map_batches
 from tillroll.llm.kernels import Words, chunks, distinct
 
 K = 128
@@ -92,9 +93,8 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
                 ["doc_id", "fingerprint"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fingerprint string"
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_batches(rows, run, "doc_id long, fingerprint string")
 
 
 def in_order(docs: DataFrame, per_task: int = 4) -> DataFrame:
@@ -175,4 +175,4 @@ def edited(docs: DataFrame, k: int = K) -> DataFrame:
                 yield compare(ids, texts, follows)
                 ids, texts, follows = ids[-1:], texts[-1:], follows[-1:]
 
-    return in_order(docs).mapInArrow(run, EDITED)
+    return map_batches(in_order(docs), run, EDITED)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import small
+from tillroll.llm.base import map_batches, small
 from tillroll.llm.kernels import BLANK, Words, chunks, mixed, rows_of
 
 SLOTS_LOG = 18
@@ -184,7 +184,7 @@ def sample(labelled: DataFrame, rows: int = SAMPLE) -> DataFrame:
                             pieces.append(data[a:b].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(pieces, pa.binary())], ["lang", "chain"])
 
-    return picked.mapInArrow(run, "lang string, chain binary")
+    return map_batches(picked, run, "lang string, chain binary")
 
 
 def fit(labelled: DataFrame, rows: int = SAMPLE) -> Field | None:
@@ -230,7 +230,7 @@ def predicted(docs: DataFrame, field: Field | None, columns: list[str], text: st
             )
 
     schema = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double"]
-    return asked.mapInArrow(run, ", ".join(schema))
+    return map_batches(asked, run, ", ".join(schema))
 
 
 def held_out(doc_id: Column) -> Column:

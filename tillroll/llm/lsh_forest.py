@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import keep, small, store
+from tillroll.llm.base import keep, map_batches, small, store
 from tillroll.llm.components import components
 from tillroll.llm.kernels import Words, chunks, distinct
 
@@ -95,7 +95,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                     ["doc_id", "key", "n_shingles", "node", "signature"],
                 )
 
-    return keyed(docs).mapInArrow(run, "doc_id long, key string, n_shingles long, node binary, signature binary")
+    return map_batches(keyed(docs), run, "doc_id long, key string, n_shingles long, node binary, signature binary")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -309,7 +309,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = keyed(docs)
     named = wanted.select("node", F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
     found = texts.join(named, texts["doc_id"].eqNullSafe(F.col("__id")) & (texts["key"] == F.col("__key")))
-    return found.select("node", "text").mapInArrow(run, "node binary, shingles binary")
+    return map_batches(found.select("node", "text"), run, "node binary, shingles binary")
 
 
 def sets_by_node(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:

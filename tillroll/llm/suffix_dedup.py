@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import bwt
-from tillroll.llm.base import keep, small, store
+from tillroll.llm.base import keep, map_batches, small, store
 from tillroll.llm.kernels import ByteHash, chunks, rows_of
 
 LENGTH = 100
@@ -113,7 +113,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 columns = [s["anchor"], s["span"], doc[lo:hi][s["row"]], tie[lo:hi][s["row"]], s["start"], packed]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in SPANS.split(", ")])
 
-    return docs.select("doc", "tie", "text").mapInArrow(run, SPANS)
+    return map_batches(docs.select("doc", "tie", "text"), run, SPANS)
 
 
 def met(found: DataFrame) -> DataFrame:
@@ -186,9 +186,8 @@ def strings(docs: DataFrame, asked: DataFrame) -> DataFrame:
                     [anchor, doc, tie, start, pa.array(pieces, pa.binary())], ["anchor", "doc", "tie", "start", "string"]
                 )
 
-    return wanted.select("doc", "tie", "text", "spans").mapInArrow(
-        run, "anchor long, doc long, tie long, start long, string binary"
-    )
+    asked = wanted.select("doc", "tie", "text", "spans")
+    return map_batches(asked, run, "anchor long, doc long, tie long, start long, string binary")
 
 
 def per_text(frame: DataFrame, bytes_of: Column) -> DataFrame:
@@ -345,7 +344,7 @@ def report(docs: DataFrame) -> DataFrame:
                 [batch.column(0), *columns, pa.array([r[3] for r in rows], pa.string())], [f.split()[0] for f in REPORT.split(", ")]
             )
 
-    return covered(docs).mapInArrow(run, REPORT)
+    return map_batches(covered(docs), run, REPORT)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -359,4 +358,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                 left.append(left_over(text, stretches_of(text, cover.as_py(), copied.as_py())))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(left, pa.binary())], ["doc_id", "kept"])
 
-    return covered(docs).mapInArrow(run, "doc_id long, kept binary")
+    return map_batches(covered(docs), run, "doc_id long, kept binary")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import keep, small
+from tillroll.llm.base import keep, map_batches, small
 from tillroll.llm.kernels import Words, chunks, mixed, rows_of
 
 ORDER = 4
@@ -150,7 +150,7 @@ def count_spellings(labelled: DataFrame) -> DataFrame:
                 ["gram", "part", "n"],
             )
 
-    parts = labelled.mapInArrow(run, "gram long, part int, n long")
+    parts = map_batches(labelled, run, "gram long, part int, n long")
     sums = [F.sum(F.when(F.col("part") == g, F.col("n")).otherwise(0)).alias(f"n{g:02b}") for g in range(4)]
     return parts.groupBy("gram").agg(*sums)
 
@@ -222,7 +222,7 @@ def valued(rows: DataFrame, models: Models) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(value)], names)
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "value double"])
-    return rows.select(*kept.names, "text").mapInArrow(run, schema)
+    return map_batches(rows.select(*kept.names, "text"), run, schema)
 
 
 def curve(found: DataFrame) -> tuple[float, float]:
