@@ -144,7 +144,7 @@ def test_near_copies_in_crowded_regions(spark, monkeypatch, region, deepest):
     monkeypatch.setattr(lsh_forest, "REGION", region)
     monkeypatch.setattr(lsh_forest, "DEEPEST", deepest)
     rows, docs = near_copies(spark)
-    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in lsh_forest.near_copies(docs).collect()}
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in lsh_forest.near_copies(docs, 4).collect()}
     want = brute.components(rows)
     assert len({root for _, root in want.values()}) < len(want) - 40
     wrong = sum(found[i] != want[i] for i in want)
@@ -154,9 +154,9 @@ def test_near_copies_in_crowded_regions(spark, monkeypatch, region, deepest):
 
 def test_near_copies_without_broadcasts(spark, one_by_one):
     rows, docs = near_copies(spark)
-    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in lsh_forest.near_copies(docs).collect()}
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in lsh_forest.near_copies(docs, 4).collect()}
     assert found == brute.components(rows)
-    kept = {r["doc_id"] for r in lsh_forest.one_of_each(docs).collect()}
+    kept = {r["doc_id"] for r in lsh_forest.one_of_each(docs, 4).collect()}
     assert kept == {root for _, root in found.values()}
 
 

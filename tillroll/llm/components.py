@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.base import keep
 
+#: Few links are handled by few tasks, whatever the number of shuffle partitions.
+LINKS_PER_TASK = 200_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the links (a, b); root is the least node of its component.
@@ -18,9 +21,10 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges, before = keep(links.select("a", "b").distinct()), None
     while (now := edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()) != before:
-        before = now
+        before, tasks = now, 1 + now[0] // LINKS_PER_TASK
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        edges = keep(_star(_star(both, large=True), large=False))
+        larger = _star(both, large=True).coalesce(tasks)
+        edges = keep(_star(larger, large=False).distinct().coalesce(tasks))
     roots = edges.select(F.col("b").alias("node"), F.col("a").alias("root")).filter("node != root")
     heads = edges.select(F.col("a").alias("node"), F.col("a").alias("root"))
     return roots.unionByName(heads).distinct()
@@ -34,4 +38,4 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     moved = edges.filter(F.col("b") >= F.col("a")) if large else edges
     handed = moved.join(least, "a").select(F.col("least").alias("a"), "b")
     own = least.select(F.col("least").alias("a"), F.col("a").alias("b"))
-    return handed.unionByName(own).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return handed.unionByName(own).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -1,6 +1,6 @@
 """Near copies by an LSH forest, confirmed on whole shingle sets.
 
-Every text becomes its set of distinct shingles of four words and a signature of ``HASHES`` minima.
+Every text becomes its set of distinct shingles of some words and a signature of ``HASHES`` minima.
 Texts with the same set are one node. Each of ``TREES`` trees reads the signature from another
 place, and nodes that agree in its first numbers lie side by side in its order. A region is a run
 of nodes that agree in ``DEPTH`` numbers; where that is more than ``REGION`` nodes, its nodes are
@@ -16,7 +16,7 @@ of another component is likely to be alike and was not among its pairs. The sets
 brought to their regions, and all pairs between components are confirmed there, so no link depends
 on which pairs were chosen first; what is sent are the links alone.
 
-Cases: texts of one to three words are one shingle; null and empty texts and texts of blanks have
+Cases: texts of fewer words are one shingle; null and empty texts and texts of blanks have
 no shingles and are linked with nothing; equal texts share a class through their node; a row
 without id takes part, and a class without any id has a null one; an empty table gives no rows.
 """
@@ -34,7 +34,8 @@ from tillroll.llm.base import keep, map_batches, small, store
 from tillroll.llm.components import components
 from tillroll.llm.kernels import Words, chunks, distinct
 
-SHINGLE = 4
+#: Words in a shingle unless told otherwise.
+SHINGLE = 5
 PERCENT = 80
 HASHES = 128
 TREES = 20
@@ -55,10 +56,10 @@ _TIMES = _random.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np
 _PLUS = _random.integers(0, 2**63, HASHES, dtype=np.uint64)
 
 
-def sets_of(texts: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+def sets_of(texts: pa.Array, shingle: int = SHINGLE) -> Iterator[tuple[int, int, list[np.ndarray]]]:
     """(first row, row after the last, sorted distinct shingles of each text)."""
     for lo, hi, data, offsets in chunks(texts):
-        yield lo, hi, distinct(*Words(data, offsets).shingles(SHINGLE))
+        yield lo, hi, distinct(*Words(data, offsets).shingles(shingle))
 
 
 def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,12 +77,12 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return numbers, digest
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Rows (doc_id, key, n_shingles, node, signature); node and signature null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, sets in sets_of(batch.column(2)):
+            for lo, hi, sets in sets_of(batch.column(2), shingle):
                 numbers, digest = signatures(sets)
                 kept = [len(s) > 0 for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -295,12 +296,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(node, shingles) of the rows (node, doc_id, key) wanted, read from the texts once more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, sets in sets_of(batch.column(1)):
+            for lo, hi, sets in sets_of(batch.column(1), shingle):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array([s.tobytes() for s in sets], pa.binary())],
                     ["node", "shingles"],
@@ -312,15 +313,15 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(found.select("node", "text"), run, "node binary, shingles binary")
 
 
-def sets_by_node(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
+def sets_by_node(docs: DataFrame, nodes: DataFrame, asked: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(node, shingles) of the nodes asked for, from rows (node, doc_id, key)."""
     wanted = keep(nodes.join(small(keep(asked.distinct())), "node", "left_semi"))
-    return shingle_sets(docs, small(wanted)).dropDuplicates(["node"])
+    return shingle_sets(docs, small(wanted), shingle).dropDuplicates(["node"])
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Per row: doc_id, key, n_shingles, component_id, the least id of its class, and kept."""
-    rows = store(sketched(docs), "shingles")
+    rows = store(sketched(docs, shingle), "shingles")
     heads = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "n_shingles")).alias("head")
     nodes = keep(rows.filter("node is not null").groupBy("node").agg(heads).select("node", "head.*"))
     one = rows.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "signature")
@@ -333,7 +334,8 @@ def classes(docs: DataFrame) -> DataFrame:
     found = keep(regions(signed))
     members = found.join(signed, "node").select("region", "node", "n_shingles", "signature")
     pairs = keep(candidates(members))
-    first = keep(confirmed(pairs, sets_by_node(docs, nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")))))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    first = keep(confirmed(pairs, sets_by_node(docs, nodes, ends, shingle)))
     known = keep(components(first))
     rooted = found.join(small(known), "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Of two nodes alone in a region, the pair was confirmed if it was likely.
@@ -342,9 +344,11 @@ def classes(docs: DataFrame) -> DataFrame:
     some = keep(rooted.join(small(mixed), "region", "left_semi"))
     left = keep(open_nodes(some.join(signed, "node").select("region", "node", "n_shingles", "signature", "root")))
     rest = some.join(small(left), ["region", "node"], "left_semi").join(signed, "node")
-    rest = rest.join(sets_by_node(docs, nodes, left.select("node")), "node")
-    links = settled(rest.select("region", "node", "n_shingles", "signature", "root", "shingles"))
-    roots = keep(components(links.unionByName(known.select(F.col("root").alias("a"), F.col("node").alias("b")))))
+    rest = rest.join(sets_by_node(docs, nodes, left.select("node"), shingle), "node")
+    links = keep(settled(rest.select("region", "node", "n_shingles", "signature", "root", "shingles")).distinct())
+    if not links.isEmpty():
+        known = keep(components(links.unionByName(known.select(F.col("root").alias("a"), F.col("node").alias("b")))))
+    roots = known
     least = roots.join(nodes, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     joined = keep(roots.join(least, "root").select("node", "component_id"))
     alone = nodes.join(small(joined), "node", "left_anti").select("node", F.col("doc_id").alias("component_id"))
@@ -355,13 +359,13 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
+def near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id and kept."""
-    return classes(docs).select("doc_id", "n_shingles", "component_id", "kept")
+    return classes(docs, shingle).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The documents without those whose class has a smaller id, with the columns they came with."""
-    gone = keep(classes(docs).filter("NOT kept").select(F.col("doc_id").alias("__gone"), F.col("key").alias("__key")).distinct())
+    gone = keep(classes(docs, shingle).filter("NOT kept").select(F.col("doc_id").alias("__gone"), F.col("key").alias("__key")).distinct())
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")) & F.md5("text").eqNullSafe(F.col("__key"))
     return docs.join(small(gone), same, "left_anti")

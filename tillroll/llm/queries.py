@@ -56,7 +56,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_lsh_forest")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh_forest.near_copies(table(spark, sf_dir, "documents"))
+    return lsh_forest.near_copies(table(spark, sf_dir, "documents"), shingle=4)
 
 
 DECONTAMINATION_SQL = r"""
