@@ -365,3 +365,19 @@ def test_url_models_tell_accepted_from_rejected(spark):
     rows += [(1000 + i, f"http://{w}.org/x/{i}") for i, w in enumerate(good + bad)]
     found = {x["page_id"]: x for x in url_filter.verdicts(spark.createDataFrame(rows, "page_id long, url string")).collect()}
     assert [found[1000 + i]["score"] > 0 for i in range(6)] == [True] * 3 + [False] * 3
+
+
+def around_one_text(spark):
+    """Edited copies of one text at 0.8 and more of it, many of them linked by few others alone."""
+    hub = texts(1, 160, 81)[0]
+    rows = [(500, hub)] + [(i, edited(hub, 0.018 + i % 9 * 0.004, 900 + i)) for i in range(220)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_near_copies_of_different_blocks_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "REGION", 16)
+    monkeypatch.setattr(lsh_forest, "DEEPEST", lsh_forest.DEPTH)
+    rows, docs = around_one_text(spark)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in lsh_forest.near_copies(docs, 4).collect()}
+    want = brute.components(rows)
+    assert sum(found[i] != want[i] for i in want) == 0

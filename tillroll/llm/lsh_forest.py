@@ -6,7 +6,8 @@ place, and nodes that agree in its first numbers lie side by side in its order.
 of nodes that agree in ``DEPTH`` numbers; where that is more than ``REGION`` nodes, its nodes are
 compared by one more number, and so on, so depth follows how crowded a region is. Regions that
 agree to ``DEEPEST`` numbers and are still larger hold near equal texts: they are dealt into blocks,
-by hash, and each node is also paired with the least of its region.
+by hash, and each node is also paired with the least of its region. Once components are known, their
+nodes outside the commonest component are compared with all nodes of the region, tile by tile.
 
 In a region, the part of equal numbers in two signatures estimates their likeness. Nodes that are
 surely alike are joined by a spanning tree; between the groups this gives, each node is paired with
@@ -104,14 +105,15 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.md5("text").alias("key"), F.col("text").cast("string"))
 
 
-def regions(nodes: DataFrame) -> DataFrame:
+def regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(region, node) of every region with two or more nodes, from rows (node, signature).
 
     A region is a tree, a depth and the hash of that many numbers. Where blocks were made, the least
-    node of the region is in each.
+    node of the region is in each. The second frame has (tree, region, node) of the regions whose
+    nodes did not all meet, None without any.
     """
     ring = F.concat("signature", F.substring("signature", 1, 4 * DEEPEST))
-    found, depth = None, DEPTH
+    found, crowd, depth = None, None, DEPTH
     trees = F.array(*map(F.lit, range(TREES)))
     level = nodes.select("node", ring.alias("ring"), F.explode(trees).alias("tree"))
     while True:
@@ -128,9 +130,10 @@ def regions(nodes: DataFrame) -> DataFrame:
             members = blocked.select(F.xxhash64("region", "block").alias("region"), "node")
             leads = blocked.select(F.xxhash64("region", "block").alias("region"), F.col("least").alias("node"))
             fit = fit.unionByName(members).unionByName(leads).distinct()
+            crowd = blocked.select("tree", "region", "node")
         found = fit if found is None else found.unionByName(fit)
         if not many or depth == DEEPEST:
-            return found
+            return found, crowd
         level, depth = level.join(small(crowded, many), "region", "left_semi"), depth + 1
 
 
@@ -230,6 +233,78 @@ def open_nodes(members: DataFrame) -> DataFrame:
     return by_region(members, handle, "region long, node binary")
 
 
+def tiles(crowd: DataFrame) -> DataFrame:
+    """(tree, region, node, root) of tiles in which all nodes of different components meet.
+
+    From rows (tree, region, node, root) of regions of any size. Of two components at least one is not
+    the commonest of the region: blocks of nodes outside that are laid against blocks of all nodes,
+    where sizes, in classes a quarter apart, allow a link. A tile has about REGION nodes.
+    """
+    names = ["tree", "region", "root"]
+    roots = crowd.groupBy("region", "root").agg(F.count("*").alias("n"))
+    main = keep(roots.groupBy("region").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")))
+    main = keep(main.filter("roots > 1").drop("roots"))
+    size = F.floor(F.log("n_shingles") / F.log(F.lit(100 / PERCENT))).alias("size")
+    every = keep(crowd.join(small(main), "region").select(*names, "node", size, (F.col("root") != F.col("main")).alias("rest")))
+    blocks = lambda n: F.ceil(n / (REGION // 2))
+    counts = every.groupBy("region", "size").agg(
+        blocks(F.count("*")).alias("n_all"), blocks(F.sum(F.col("rest").cast("long"))).alias("n_rest")
+    )
+    counts = keep(counts)
+    own, other = counts, counts.select("region", *(F.col(c).alias(f"other_{c}") for c in ("size", "n_all", "n_rest")))
+    near = keep(own.join(other, "region").filter(F.abs(F.col("size") - F.col("other_size")) <= 1))
+    hashed = F.xxhash64("node", F.lit(1))
+
+    def dealt(rows: DataFrame, blocks_of: str, against: str, place: Callable) -> DataFrame:
+        met = rows.join(small(near.filter(F.col(blocks_of) * F.col(against) > 0)), ["region", "size"])
+        met = met.withColumn("mine", F.pmod(hashed, F.col(blocks_of)))
+        met = met.withColumn("theirs", F.explode(F.sequence(F.lit(0).cast("long"), F.col(against) - 1)))
+        return met.select("tree", F.xxhash64("region", *place).alias("region"), "node", "root")
+
+    rest = dealt(every.filter("rest"), "n_rest", "other_n_all", ("size", "mine", "other_size", "theirs"))
+    return rest.unionByName(dealt(every, "n_all", "other_n_rest", ("other_size", "theirs", "size", "mine")))
+
+
+def met_before(numbers: np.ndarray, i: int, others: np.ndarray, tree: int, depth: int) -> np.ndarray:
+    """Whether node i and each of the others also agree in the numbers of an earlier tree."""
+    same = numbers[others] == numbers[i]
+    out = np.zeros(len(others), bool)
+    for t in range(tree):
+        out |= same[:, (t * STEP + np.arange(depth)) % HASHES].all(1)
+    return out
+
+
+def open_across(members: DataFrame, depth: int) -> DataFrame:
+    """(region, node) with a likely partner in another component, in the first tree where they agree.
+
+    From rows (tree, region, node, n_shingles, signature, root) of tiles. The lowest bytes of equal
+    numbers are equal, so counting those first loses no pair.
+    """
+    bytewise = np.uint64(0x0101010101010101)
+
+    def handle(rows: pa.Table) -> pa.RecordBatch:
+        raw, sizes = b"".join(rows.column("signature").to_pylist()), rows.column("n_shingles").to_numpy()
+        numbers = np.frombuffer(raw, np.uint32).reshape(-1, HASHES)
+        low = np.ascontiguousarray(numbers.astype(np.uint8))
+        tree = rows.column("tree")[0].as_py()
+        root = np.unique(rows.column("root").to_pylist(), return_inverse=True)[1].ravel()
+        found = np.zeros(len(root), bool)
+        for i in np.flatnonzero(root != np.bincount(root).argmax()):
+            alike = ((low == low[i]).view(np.uint64).sum(1) * bytewise) >> np.uint64(56)
+            fits = 100 * np.minimum(sizes, sizes[i]) >= PERCENT * np.maximum(sizes, sizes[i])
+            others = np.flatnonzero((alike >= UNLIKELY * HASHES) & fits & (root != root[i]))
+            others = others[(numbers[others] == numbers[i]).mean(1, dtype=np.float32) >= UNLIKELY]
+            others = others[~met_before(numbers, i, others, tree, depth)]
+            if len(others):
+                found[i] = found[others] = True
+        kept = pa.array(found)
+        return pa.RecordBatch.from_arrays(
+            [rows.column(name).combine_chunks().filter(kept) for name in ("region", "node")], ["region", "node"]
+        )
+
+    return by_region(members, handle, "region long, node binary")
+
+
 def common(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted sets, the first not empty."""
     at = np.minimum(np.searchsorted(a, b), len(a) - 1)
@@ -331,21 +406,28 @@ def classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         .dropDuplicates(["node"]),
         "signatures",
     )
-    found = keep(regions(signed))
+    found, crowd = regions(signed)
+    found, crowd = keep(found), crowd and keep(crowd)
     members = found.join(signed, "node").select("region", "node", "n_shingles", "signature")
     pairs = keep(candidates(members))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     first = keep(confirmed(pairs, sets_by_node(docs, nodes, ends, shingle)))
     known = keep(components(first))
     rooted = found.join(small(known), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    numbers = ["region", "node", "n_shingles", "signature", "root"]
     # Of two nodes alone in a region, the pair was confirmed if it was likely.
     mixed = rooted.groupBy("region").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = keep(mixed.filter("n > 2 AND low != high").select("region"))
     some = keep(rooted.join(small(mixed), "region", "left_semi"))
-    left = keep(open_nodes(some.join(signed, "node").select("region", "node", "n_shingles", "signature", "root")))
-    rest = some.join(small(left), ["region", "node"], "left_semi").join(signed, "node")
+    left = open_nodes(some.join(signed, "node").select(numbers))
+    if crowd is not None:
+        sized = crowd.join(signed.select("node", "n_shingles"), "node").join(small(known), "node", "left")
+        laid = tiles(sized.withColumn("root", F.coalesce("root", "node")))
+        left = left.unionByName(open_across(laid.join(signed, "node").select("tree", *numbers), DEEPEST)).distinct()
+    left = keep(left)
+    rest = left.join(small(known), "node", "left").withColumn("root", F.coalesce("root", "node")).join(signed, "node")
     rest = rest.join(sets_by_node(docs, nodes, left.select("node"), shingle), "node")
-    links = keep(settled(rest.select("region", "node", "n_shingles", "signature", "root", "shingles")).distinct())
+    links = keep(settled(rest.select(*numbers, "shingles")).distinct())
     if not links.isEmpty():
         known = keep(components(links.unionByName(known.select(F.col("root").alias("a"), F.col("node").alias("b")))))
     roots = known
