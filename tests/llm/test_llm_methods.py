@@ -381,3 +381,11 @@ def test_near_copies_of_different_blocks_are_compared(spark, monkeypatch):
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in lsh_forest.near_copies(docs, 4).collect()}
     want = brute.components(rows)
     assert sum(found[i] != want[i] for i in want) == 0
+
+
+def test_near_copies_that_fall_apart_at_more_numbers_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "REGION", 16)
+    rows, docs = around_one_text(spark)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in lsh_forest.near_copies(docs, 4).collect()}
+    want = brute.components(rows)
+    assert sum(found[i] != want[i] for i in want) == 0

@@ -6,8 +6,9 @@ place, and nodes that agree in its first numbers lie side by side in its order.
 of nodes that agree in ``DEPTH`` numbers; where that is more than ``REGION`` nodes, its nodes are
 compared by one more number, and so on, so depth follows how crowded a region is. Regions that
 agree to ``DEEPEST`` numbers and are still larger hold near equal texts: they are dealt into blocks,
-by hash, and each node is also paired with the least of its region. Once components are known, their
-nodes outside the commonest component are compared with all nodes of the region, tile by tile.
+by hash, and each node is also paired with the least of its region. More depth only says which nodes
+are compared first: once components are known, the nodes outside the commonest component of a region
+of ``DEPTH`` numbers, of whatever size, are compared with all its nodes, tile by tile.
 
 In a region, the part of equal numbers in two signatures estimates their likeness. Nodes that are
 surely alike are joined by a spanning tree; between the groups this gives, each node is paired with
@@ -109,8 +110,8 @@ def regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(region, node) of every region with two or more nodes, from rows (node, signature).
 
     A region is a tree, a depth and the hash of that many numbers. Where blocks were made, the least
-    node of the region is in each. The second frame has (tree, region, node) of the regions whose
-    nodes did not all meet, None without any.
+    node of the region is in each. The second frame has (tree, region, node) of the regions of DEPTH
+    numbers that were split, None without any.
     """
     ring = F.concat("signature", F.substring("signature", 1, 4 * DEEPEST))
     found, crowd, depth = None, None, DEPTH
@@ -130,8 +131,9 @@ def regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             members = blocked.select(F.xxhash64("region", "block").alias("region"), "node")
             leads = blocked.select(F.xxhash64("region", "block").alias("region"), F.col("least").alias("node"))
             fit = fit.unionByName(members).unionByName(leads).distinct()
-            crowd = blocked.select("tree", "region", "node")
         found = fit if found is None else found.unionByName(fit)
+        if depth == DEPTH and many:
+            crowd = keep(level.join(small(crowded, many), "region").select("tree", "region", "node"))
         if not many or depth == DEEPEST:
             return found, crowd
         level, depth = level.join(small(crowded, many), "region", "left_semi"), depth + 1
@@ -265,16 +267,16 @@ def tiles(crowd: DataFrame) -> DataFrame:
     return rest.unionByName(dealt(every, "n_all", "other_n_rest", ("other_size", "theirs", "size", "mine")))
 
 
-def met_before(numbers: np.ndarray, i: int, others: np.ndarray, tree: int, depth: int) -> np.ndarray:
+def met_before(numbers: np.ndarray, i: int, others: np.ndarray, tree: int) -> np.ndarray:
     """Whether node i and each of the others also agree in the numbers of an earlier tree."""
     same = numbers[others] == numbers[i]
     out = np.zeros(len(others), bool)
     for t in range(tree):
-        out |= same[:, (t * STEP + np.arange(depth)) % HASHES].all(1)
+        out |= same[:, (t * STEP + np.arange(DEPTH)) % HASHES].all(1)
     return out
 
 
-def open_across(members: DataFrame, depth: int) -> DataFrame:
+def open_across(members: DataFrame) -> DataFrame:
     """(region, node) with a likely partner in another component, in the first tree where they agree.
 
     From rows (tree, region, node, n_shingles, signature, root) of tiles. The lowest bytes of equal
@@ -294,7 +296,7 @@ def open_across(members: DataFrame, depth: int) -> DataFrame:
             fits = 100 * np.minimum(sizes, sizes[i]) >= PERCENT * np.maximum(sizes, sizes[i])
             others = np.flatnonzero((alike >= UNLIKELY * HASHES) & fits & (root != root[i]))
             others = others[(numbers[others] == numbers[i]).mean(1, dtype=np.float32) >= UNLIKELY]
-            others = others[~met_before(numbers, i, others, tree, depth)]
+            others = others[~met_before(numbers, i, others, tree)]
             if len(others):
                 found[i] = found[others] = True
         kept = pa.array(found)
@@ -407,7 +409,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         "signatures",
     )
     found, crowd = regions(signed)
-    found, crowd = keep(found), crowd and keep(crowd)
+    found = keep(found)
     members = found.join(signed, "node").select("region", "node", "n_shingles", "signature")
     pairs = keep(candidates(members))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
@@ -423,7 +425,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     if crowd is not None:
         sized = crowd.join(signed.select("node", "n_shingles"), "node").join(small(known), "node", "left")
         laid = tiles(sized.withColumn("root", F.coalesce("root", "node")))
-        left = left.unionByName(open_across(laid.join(signed, "node").select("tree", *numbers), DEEPEST)).distinct()
+        left = left.unionByName(open_across(laid.join(signed, "node").select("tree", *numbers))).distinct()
     left = keep(left)
     rest = left.join(small(known), "node", "left").withColumn("root", F.coalesce("root", "node")).join(signed, "node")
     rest = rest.join(sets_by_node(docs, nodes, left.select("node"), shingle), "node")
