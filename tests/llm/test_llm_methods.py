@@ -389,3 +389,19 @@ def test_near_copies_that_fall_apart_at_more_numbers_are_compared(spark, monkeyp
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in lsh_forest.near_copies(docs, 4).collect()}
     want = brute.components(rows)
     assert sum(found[i] != want[i] for i in want) == 0
+
+
+def test_terms_that_tell_one_entity_are_taken_everywhere(spark):
+    far = "filler words " * 20
+    rows = []
+    for i in range(200):
+        words = texts(1, 30, 2000 + i)[0]
+        held = f"{words} 𝒳 Zweigelt {far} the Anna@site.org or anna@SITE.org here" if i % 20 == 0 else f"{words} 𝒳 {far} the or here"
+        rows.append((i, held + (" zweigelt" if i == 7 else "")))
+    rows += [(300 + i, rows[1][1] + " copied one@other.org") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {x["doc_id"]: x["spans"] for x in sanitise.report(docs).collect()}
+    for i, text in rows:
+        spans = [s.split(":") for s in found[i].split(",") if s]
+        told = [text[int(a) : int(b)] for kind, a, b in spans if kind == "term"]
+        assert told == (["Zweigelt"] if i % 20 == 0 and i < 200 else ["zweigelt"] if i == 7 else []), (i, told)

@@ -5,10 +5,16 @@ estimated from the corpus: with N terms in all, n(k) of them within ``CONTEXT``
 entity of kind k, n(t) occurrences of a term and n(t, k) of these so near, the pointwise mutual
 information is ``PMI = log2(N n(t, k) / (n(t) n(k)))`` and what there is to disclose is
 ``IC = log2(N / n(k))``. A term whose ``PMI / IC`` reaches ``REMOVE`` is removed beside entities of
-the kind, one that reaches ``GENERALISE`` is replaced by a mark. Estimates count all documents,
+the kind, one that reaches ``GENERALISE`` is replaced by a mark. These estimates count all documents,
 copies included; a term needs ``SUPPORT`` different entities of the kind next to it, so copies of one
 text do not make its words telling.
 
+The same is asked of each entity by itself, over whole texts: of D different texts, n(e) hold the
+entity, n(t) the term and n(t, e) both, ``PMI = log2(D n(t, e) / (n(t) n(e)))``, ``IC = log2(D / n(e))``,
+and n(t, e) is at least ``SUPPORT``. Such a term gives the entity away wherever it stands, so all its
+occurrences are taken, in texts without the entity too. Emails are one entity in any case of letters,
+cards and phone numbers in any spacing.
+
 Texts are named by a digest, so that equal texts are searched for spans as one. Only matches and the
 words around them are shuffled. All of it is DataFrame functions.
 
@@ -23,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import TERM, keep, n_terms, small, term_counts, terms
+from tillroll.llm.base import TERM, joined, keep, n_terms, small, store, term_counts, terms
 
 CONTEXT = 80
 GENERALISE = 0.75
@@ -147,13 +153,63 @@ def telling(docs: DataFrame, near: DataFrame, support: int = SUPPORT, least: flo
     return known.select("kind", "term", F.when(ic > 0, pmi / ic).otherwise(0.0).alias("disclosed")).filter(F.col("disclosed") >= least)
 
 
+def different_terms(docs: DataFrame) -> DataFrame:
+    """(key, term): the lower-case terms of each text, once a document."""
+    lower = F.array_distinct(F.transform(terms(F.col("text")), F.lower))
+    # In one step with the explode, the digest of the text would be taken once for each term.
+    listed = docs.filter("text IS NOT NULL").select(F.md5("text").alias("key"), lower.alias("terms"))
+    return listed.select("key", F.explode("terms").alias("term"))
+
+
+def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+    """(key, term, disclosed) of the terms that give a single entity away, in all texts that hold them."""
+    digits = F.regexp_replace("hit", "[^0-9]", "")
+    name = F.when(F.col("kind") == "email", F.lower("hit")).when(F.col("kind") == "ip", F.col("hit")).otherwise(digits)
+    named = keep(found.select("key", F.concat_ws(":", "kind", name).alias("entity")).distinct())
+    often = keep(named.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= support))
+    held = keep(named.join(small(often.select("entity")), "entity", "left_semi"))
+    n = docs.filter("text IS NOT NULL").select(F.md5("text").alias("key")).distinct().count()
+    inside = different_terms(docs).join(small(keep(held.select("key").distinct())), "key", "left_semi").distinct()
+    inside = store(inside, "terms-beside")
+    joint = inside.join(held, "key").groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support)
+    ic = F.log2(F.lit(float(n)) / F.col("n_e"))
+
+    def share(n_t: str) -> Column:
+        return F.when(ic > 0, F.log2(F.lit(float(n)) * F.col("n_te") / (F.col(n_t) * F.col("n_e"))) / ic).otherwise(0.0)
+
+    # A term is in no fewer texts than in those that hold such entities.
+    some = inside.groupBy("term").agg(F.count("*").alias("n_some"))
+    able = joint.join(small(often), "entity").join(some, "term").filter(share("n_some") >= least)
+    able = keep(able.select("term", "n_te", "n_e"))
+    places = keep(joined(different_terms(docs), keep(able.select("term").distinct()), "term", ["key", "term"]).distinct())
+    counts = places.groupBy("term").agg(F.count("*").alias("n"))
+    told = able.join(counts, "term").groupBy("term").agg(F.max(share("n")).alias("disclosed")).filter(F.col("disclosed") >= least)
+    return keep(places.join(small(keep(told)), "term"))
+
+
+def occurrences(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """(key, start, end, disclosed) of each occurrence of the terms told, rows (key, term, disclosed)."""
+    keys = small(keep(told.select("key").distinct()))
+    texts = docs.filter("text IS NOT NULL").select(F.md5("text").alias("key"), "text").join(keys, "key", "left_semi")
+    parts = F.arrays_zip(F.split("text", TERM, -1).alias("gap"), terms(F.col("text")).alias("word"))
+    each = texts.dropDuplicates(["key"]).select("key", F.posexplode(parts).alias("nth", "part")).select("key", "nth", "part.*")
+    passed = Window.partitionBy("key").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    length = F.length("word")
+    ended = each.filter("word IS NOT NULL").select(
+        "key", F.lower("word").alias("term"), length.alias("length"), F.sum(F.length("gap") + length).over(passed).alias("end")
+    )
+    return ended.join(told, ["key", "term"]).select("key", (F.col("end") - F.col("length")).alias("start"), "end", "disclosed")
+
+
 def spans(docs: DataFrame) -> DataFrame:
-    """(key, kind, start, end, removed): entities and telling terms beside them."""
+    """(key, kind, start, end, removed): entities, telling terms beside them, and terms that tell one of them."""
     base = keep(matches(docs))
     near = keep(near_terms(base))
     told = keep(telling(docs, near))
     entities = base.select("key", "kind", "start", "end", F.lit(True).alias("removed"))
-    beside = near.join(small(told), ["kind", "term"]).groupBy("key", "start", "end").agg(F.max("disclosed").alias("disclosed"))
+    beside = near.join(small(told), ["kind", "term"]).select("key", "start", "end", "disclosed")
+    beside = beside.unionByName(occurrences(docs, disclosing(docs, base)))
+    beside = beside.groupBy("key", "start", "end").agg(F.max("disclosed").alias("disclosed"))
     overlaps = (F.col("e.key") == F.col("t.key")) & (F.col("e.start") < F.col("t.end")) & (F.col("t.start") < F.col("e.end"))
     free = beside.alias("t").join(entities.alias("e"), overlaps, "left_anti")
     return entities.unionByName(
