@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, fingerprints, langid, lsh_forest, mixing, sanitise, sharding, suffix_dedup, toxicity, url_filter
+from tillroll.llm import (
+    byte_bpe,
+    collocations,
+    decontaminate,
+    divergence,
+    fingerprints,
+    langid,
+    lsh_forest,
+    mixing,
+    sanitise,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from tillroll.llm.base import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -99,3 +113,67 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_suffix_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_byte_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.report(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+o AS (SELECT k, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+t AS (SELECT lang, term, count(*) AS m FROM o GROUP BY ALL HAVING count(DISTINCT k) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(m) AS m FROM t GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT o.lang, source, o.term, count(*) AS c FROM o JOIN t ON o.lang = t.lang AND o.term = t.term GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, t.term, coalesce(c.c, 0) AS c,
+    1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (coalesce(n.n, 0) + 5 * l.v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (t.m + 5)) // (l.m + 5 * l.v)::HUGEINT AS q
+  FROM g JOIN t ON g.lang = t.lang JOIN l ON l.lang = g.lang
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term
+    LEFT JOIN n ON n.lang = g.lang AND n.source = g.source),
+a AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+e AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(a.value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+    LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM e)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op12_divergence", DIVERGENCE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+COLLOCATION_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+o AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k)),
+f AS (SELECT lang, k, w[i:i + k - 1] AS p, count(*)::HUGEINT AS a FROM o GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT f.lang, f.k, f.p, f.a, j, l.a AS l, r.a AS r, (1000000 * f.a * f.a) // (l.a * r.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM f WHERE k > 1) f
+    JOIN f l ON l.lang = f.lang AND l.p = f.p[1:j] JOIN f r ON r.lang = f.lang AND r.p = f.p[j + 1:]),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+x AS (SELECT lang, p, max(a) AS a FROM (SELECT lang, unnest([p[1:2], p[2:3]]) AS p, a FROM f WHERE k = 3) GROUP BY ALL),
+s AS (SELECT b.* FROM b LEFT JOIN x ON x.lang = b.lang AND x.p = b.p WHERE x.a IS NULL OR 100 * x.a < 50 * b.a),
+r AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM s)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATION_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
