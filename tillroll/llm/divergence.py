@@ -207,7 +207,7 @@ _TILE = ["lang", "block", "other", "part"]
 DIFFERENCES = "lang string, nth int, against int, value long, seen long"
 
 
-def _tiles(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[pa.Table]]]:
+def _tiles(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
     """Stretches of rows with one (lang, block, other, part), which may go over several batches."""
     for batch in sorted_rows:
         keys = list(zip(*(batch.column(c).to_pylist() for c in _TILE)))
@@ -220,26 +220,31 @@ def _tiles(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[
             at = end
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _differences(size: int):
     """Differences of the sources of a block and another, added up over a slice of the terms.
 
     Rows of a tile come sorted by term, first those without a term: each source's number and the
     share of a term it does not hold.
     """
-    open_key, tile = None, None
-    for key, rows in _tiles(batches):
-        if key != open_key:
-            if tile is not None:
-                yield tile.ended()
-            open_key, tile = key, _Tile(key)
-        tile.add(rows)
-    if tile is not None:
-        yield tile.ended()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_key, tile = None, None
+        for key, rows in _tiles(batches):
+            if key != open_key:
+                if tile is not None:
+                    yield tile.ended()
+                open_key, tile = key, _Tile(key, size)
+            tile.add(rows)
+        if tile is not None:
+            yield tile.ended()
+
+    return run
 
 
 class _Tile:
-    def __init__(self, key: tuple):
+    def __init__(self, key: tuple, size: int):
         self.lang, self.block, self.other, _ = key
+        self.size = size
         self.numbers: list[int] = []
         self.absent: list[int] = []
         self.seen, self.sums, self.table = 0, None, None
@@ -247,7 +252,7 @@ class _Tile:
     def _start(self) -> None:
         self.place = {nth: i for i, nth in enumerate(self.numbers)}
         self.none = np.array(self.absent, np.int64)
-        blocks = np.array(self.numbers) // BLOCK
+        blocks = np.array(self.numbers, np.int64) // self.size
         self.left, self.right = np.flatnonzero(blocks == self.block), np.flatnonzero(blocks == self.other)
         self.sums = np.zeros((len(self.left), len(self.right)), np.int64)
         self.table, self.used, self.term = np.tile(self.none, (ROWS, 1)), 0, None
@@ -291,14 +296,14 @@ class _Tile:
         )
 
 
-def distances(kept: DataFrame, groups: DataFrame) -> DataFrame:
+def distances(kept: DataFrame, groups: DataFrame, size: int = BLOCK, laid: int = LAID) -> DataFrame:
     """lang, source, item, value, rank of each source against each other of its language."""
     of_lang = Window.partitionBy("lang")
-    block = (F.col("nth") / BLOCK).cast("int")
+    block = F.floor(F.col("nth") / size).cast("int")
     listed = groups.withColumn("own", block).withColumn("last", F.max(block).over(of_lang))
     none = share(F.lit(0).cast("long"), F.col("total"), F.col("terms"))
     # Each row of a language goes to as many tiles as it has blocks, of which two make one.
-    parts = 1 + F.floor(2 * F.col("rows") / (F.lit(LAID) * (F.col("last") + 2)))
+    parts = 1 + F.floor(2 * F.col("rows") / (F.lit(laid) * (F.col("last") + 2)))
     listed = keep(listed.withColumn("absent", F.coalesce(none, F.lit(0).cast("long"))).withColumn("parts", parts))
     # A source is in the pairs of blocks that hold its own, the lesser block first.
     pair = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("b")
@@ -310,7 +315,7 @@ def distances(kept: DataFrame, groups: DataFrame) -> DataFrame:
     first = listed.select("*", pair).select("*", *tile, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     first = first.withColumn("term", F.lit(None).cast("string")).withColumn("p", F.col("absent")).select(columns)
     dealt = held.unionByName(first).repartition(*_TILE).sortWithinPartitions(*_TILE, "term", "nth")
-    sums = map_batches(dealt, _differences, DIFFERENCES).groupBy("lang", "nth", "against")
+    sums = map_batches(dealt, _differences(size), DIFFERENCES).groupBy("lang", "nth", "against")
     sums = sums.agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
 
     def side(number: str, prefix: str) -> DataFrame:
