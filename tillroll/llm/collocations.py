@@ -11,9 +11,11 @@ the phrase and its parts, in whole numbers of up to 38 digits. Pairs that lie in
 words at least half as frequent are dropped.
 
 What is shuffled is kept short. A word that is not frequent enough by itself is in no candidate, so
-windows end before it (and it is counted as a word). The others travel as *codes*, short strings,
-the most frequent ones the shortest. The code book has at most ``CODES`` words; beyond that, the
-less frequent words travel as they are, with a mark before them. Results do not depend on it.
+windows end before it (and it is counted as a word). The others travel as numbers, a window as one
+number of three. They are listed in a *code book* of at most ``CODES`` words, which every task holds.
+Where more words than that are frequent, windows end before the others too, and windows with any of
+these are counted as they are in a second pass: no phrase is in both, and results do not depend on
+the size of the book.
 
 Cases: null texts are empty, null languages are ``und``; words go by their bytes, A-Z in lower case;
 texts and pieces of any length are read whole, in blocks; repeated rows count each; an empty table
@@ -26,8 +28,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import compress, islice
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,10 +42,11 @@ INSIDE = 50
 TOP = 2_000
 SCALE = 1_000_000
 
-#: Words in the code book, which every task holds.
-CODES = 400_000
-#: Different words or windows a task holds before it hands them on.
-HELD = 300_000
+#: A word takes so many bits of a window; none is 0.
+BITS = 21
+CODES = 2**BITS // 4
+#: Words, windows or different words a task holds before it hands them on.
+HELD = 1_000_000
 #: Longer texts are cut into words a block at a time.
 LONG_TEXT = 1 << 20
 BLOCK = 100_000
@@ -50,9 +54,8 @@ BLOCK = 100_000
 #: Pieces end at these; as none is part of a word, one of them can stand for all.
 _ENDS = b".,;:!?\n\v\f\r"
 _END = bytes.maketrans(_ENDS, b"." * len(_ENDS))
-_DIGITS = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-_"
-_PLAIN = b"\v"
-_NONE = b""
+#: Stands before words that are not in the book; no word holds it.
+_MARK = b"\v"
 
 
 def _blocks(text: bytes) -> Iterator[list[bytes]]:
@@ -93,40 +96,25 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from handed(held)
 
 
-def code(n: int) -> bytes:
-    """The n-th shortest code: 64 of one digit, then those of two, and so on."""
-    digits = b""
-    n += 1
-    while n:
-        n, digit = divmod(n - 1, len(_DIGITS))
-        digits = _DIGITS[digit : digit + 1] + digits
-    return digits
-
-
 class _Codes(dict):
-    """Codes by word; other words are none, or themselves if the book does not hold all that count."""
+    """Numbers of words from 1; ends of pieces and words that are not in the book are 0."""
 
-    whole = True
-
-    def __missing__(self, word: bytes) -> bytes:
-        return _NONE if self.whole or word == b"." else _PLAIN + word
+    def __missing__(self, word: bytes) -> int:
+        return 0
 
 
 @lru_cache(maxsize=1)
-def _coded(book: bytes) -> _Codes:
-    words = book.split(b"\n")
-    codes = _Codes((word, code(n)) for n, word in enumerate(words[1:]))
-    codes.whole = words[0] == b"whole"
-    return codes
+def _listed(book: bytes) -> list[bytes]:
+    return book.split(b"\n")
 
 
 @lru_cache(maxsize=1)
-def _plain(book: bytes) -> dict[str, str]:
-    return {code(n).decode(): word.decode() for n, word in enumerate(book.split(b"\n")[1:])}
+def _coded(book: bytes) -> _Codes:
+    return _Codes((word, n) for n, word in enumerate(_listed(book)) if n)
 
 
-def code_book(named: DataFrame, least: int, codes: int) -> bytes:
-    """The most frequent words, a line each, after a line that says whether these are all that count."""
+def code_book(named: DataFrame, least: int, codes: int) -> tuple[bytes, bool]:
+    """The most frequent words, a line each after an empty one, and whether these are all frequent ones."""
     counted = map_batches(named, _words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     frequent = counted.filter(F.col("n") >= least).groupBy("word").agg(F.sum("n").alias("n"))
     frequent = store(frequent, "words")
@@ -140,68 +128,156 @@ def code_book(named: DataFrame, least: int, codes: int) -> bytes:
         if taken > codes:
             break
         lowest = row["step"]
-    whole = taken <= codes
-    chosen = frequent.filter(step >= lowest).toArrow() if lowest is not None else None
-    words = [] if chosen is None else [w for _, w in sorted((-n, w.encode()) for w, n in zip(chosen["word"].to_pylist(), chosen["n"].to_pylist()))]
-    return b"\n".join([b"whole" if whole else b"part", *words])
+    chosen = [] if lowest is None else frequent.filter(step >= lowest).select("word").toArrow()["word"].to_pylist()
+    return b"\n".join([b"", *sorted(word.encode() for word in chosen)]), taken <= codes
+
+
+def _numbers(blocks: Iterator[list[bytes]], codes: _Codes) -> Iterator[tuple[np.ndarray, int]]:
+    """Windows that begin at a word of the book, block by block, and how many words are not in it."""
+    carried = np.zeros(0, np.int64)
+    for block in blocks:
+        new = np.fromiter(map(codes.__getitem__, block), np.int64, len(block))
+        row = np.concatenate([carried, new])
+        yield _packed(row), int((new == 0).sum()) - block.count(b".")
+        carried = row[-2:]
+    yield _packed(np.concatenate([carried, np.zeros(2, np.int64)])), 0
 
 
-def _rows(text: bytes, codes: _Codes) -> Iterator[tuple[list[bytes], int]]:
-    """The codes of a text in blocks, each followed by the first two of the next, and words without one."""
-    carried: list[bytes] = []
-    for block in _blocks(text):
-        new = list(map(codes.__getitem__, block))
-        yield carried + new, new.count(_NONE) - block.count(b".")
-        carried = (carried + new)[-2:]
-    yield [*carried, _NONE, _NONE], 0
+def _packed(row: np.ndarray) -> np.ndarray:
+    """Each three numbers in a row as one; what follows a 0 is 0, and windows do not begin with one."""
+    if len(row) < 3:
+        return row[:0]
+    first, second, third = row[:-2], row[1:-1], row[2:]
+    key = (first << 2 * BITS) | (second << BITS) | np.where(second > 0, third, 0)
+    return key[first > 0]
+
+
+def _joined(texts: Iterator[bytes]) -> Iterator[list[bytes]]:
+    """The words of several texts, with two ends after each."""
+    for text in texts:
+        yield from _blocks(text)
+        yield [b".", b"."]
 
 
 def windows(named: DataFrame, book: bytes) -> DataFrame:
-    """(key, n): ``w1, w2, w3, lang`` by lines, and how often. What follows an empty word is empty."""
+    """(lang, key, n): windows as numbers, and how often; under 0 the words that begin none."""
+    shared = named.sparkSession.sparkContext.broadcast(book)
+
+    def handed(lang: str, held: list[np.ndarray], other: int) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+        keys, counts = np.append(keys, 0), np.append(counts, other)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts)], names=["lang", "key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _coded(shared.value)
+        held: dict[str, list] = {}
+        for batch in batches:
+            langs = np.array(batch.column("lang").to_pylist(), object)
+            texts = batch.column("text").cast(pa.binary())
+            for lang in dict.fromkeys(langs):
+                own = held.setdefault(lang, [[], 0, 0])
+                chosen = (texts[int(i)].as_py() for i in np.flatnonzero(langs == lang))
+                for keys, other in _numbers(_gathered(_joined(chosen)), codes):
+                    own[0].append(keys)
+                    own[1] += len(keys)
+                    own[2] += other
+                    if own[1] >= HELD:
+                        yield handed(lang, own[0], own[2])
+                        own[:] = [], 0, 0
+        for lang, (keys, _, other) in held.items():
+            yield handed(lang, keys, other)
+
+    return map_batches(named, run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+
+
+def _gathered(blocks: Iterator[list[bytes]]) -> Iterator[list[bytes]]:
+    """Blocks of at least BLOCK words, of what comes in smaller ones."""
+    gathered: list[bytes] = []
+    for block in blocks:
+        gathered += block
+        if len(gathered) >= BLOCK:
+            yield gathered
+            gathered = []
+    yield gathered
+
+
+def plain_windows(named: DataFrame, book: bytes) -> DataFrame:
+    """(lang, w1, w2, w3, n): the windows that hold a word that is not in the book, such words marked."""
     shared = named.sparkSession.sparkContext.broadcast(book)
 
     def handed(lang: str, held: Counter) -> pa.RecordBatch:
-        end, keys = b"\n" + lang.encode(), Counter()
-        for (first, second, third), n in held.items():
-            keys[b"%b\n%b\n%b%b" % (first, second, third if second else _NONE, end)] += n
-        columns = [pa.array(list(keys), pa.binary()).cast(pa.string()), pa.array(list(keys.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["key", "n"])
+        words = [pa.array([key[i] for key in held], pa.binary()).cast(pa.string()) for i in range(3)]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(held), pa.string()), *words, pa.array(list(held.values()), pa.int64())], names=["lang", "w1", "w2", "w3", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _coded(shared.value)
         held: dict[str, Counter] = {}
         for lang, text in _languages(batches):
-            counted = held.setdefault(lang, Counter())
-            for row, uncoded in _rows(text, codes):
-                counted.update(compress(zip(row, row[1:], row[2:]), row))
-                if uncoded:
-                    counted[_NONE, _NONE, _NONE] += uncoded
+            carried: list[bytes] = []
+            for block in (*_blocks(text), [b".", b"."]) if len(text) <= LONG_TEXT else _joined(iter([text])):
+                row = carried + [b"" if w == b"." else w if w in codes else _MARK + w for w in block]
+                counted = held.setdefault(lang, Counter())
+                for first, second, third in zip(row, row[1:], row[2:]):
+                    third = third if second else second
+                    if first and _MARK in first[:1] + second[:1] + third[:1]:
+                        counted[first, second, third] += 1
                 if len(counted) >= HELD:
                     yield handed(lang, held.pop(lang))
-                    counted = held.setdefault(lang, Counter())
+                carried = row[-2:]
         for lang, counted in held.items():
             yield handed(lang, counted)
 
-    return map_batches(named, run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def counts(named: DataFrame, least: int = LEAST, codes: int = CODES) -> tuple[DataFrame, bytes]:
-    """lang, w1, w2, w3, n of phrases that occur often enough, empty after their last word; without
-    any word, all words of the language. Words are codes of the book that comes with them."""
-    book = code_book(named, least, codes)
-    parts = F.split("key", "\n", 4)
-    split = windows(named, book).select(F.get(parts, 3).alias("lang"), *(F.get(parts, i).alias(f"w{i + 1}") for i in range(3)), "n")
-    # Empty words end a window, so a sum over them is not that of a prefix.
-    longest = split.filter((F.col("w3") != "") & (F.col("n") >= least))
-    shorter = split.rollup("lang", "w1", "w2").agg(F.sum("n").alias("n"), F.grouping_id().alias("left_out"))
-    shorter = shorter.filter(
-        F.when(F.col("left_out") == 0, (F.col("w2") != "") & (F.col("n") >= least))
-        .when(F.col("left_out") == 1, (F.col("w1") != "") & (F.col("n") >= least))
-        .otherwise(F.col("left_out") == 3)
+    counted = map_batches(named, run, "lang string, w1 string, w2 string, w3 string, n long")
+    return counted.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("n"))
+
+
+def prefixes(counted: DataFrame, least: int) -> DataFrame:
+    """lang, w1, w2, w3, n, words of windows and their prefixes that occur often enough; ``words`` is
+    how many a prefix has, 0 for all words of a language, and the rest are null.
+
+    Tests of the words themselves come after this is stored: they would be made before the windows are
+    summed, and these then be counted once more for the prefixes.
+    """
+    longest = counted.filter(F.col("n") >= least).select("lang", "w1", "w2", "w3", "n", F.lit(3).alias("words"))
+    summed = counted.sparkSession.sql(
+        "SELECT lang, w1, w2, sum(n) AS n, grouping_id() AS out FROM {counted} GROUP BY lang, ROLLUP (w1, w2)", counted=counted
     )
-    none = F.lit("")
-    shorter = shorter.select("lang", F.coalesce("w1", none).alias("w1"), F.coalesce("w2", none).alias("w2"), none.alias("w3"), "n")
-    return store(longest.unionByName(shorter), "phrases"), book
+    words = F.when(F.col("out") == 0, 2).when(F.col("out") == 1, 1).otherwise(0)
+    shorter = summed.filter((F.col("n") >= least) | (F.col("out") == 3))
+    none = F.lit(None).cast(counted.schema["w3"].dataType)
+    return longest.unionByName(shorter.select("lang", "w1", "w2", none.alias("w3"), "n", words.alias("words")))
+
+
+def counts(named: DataFrame, least: int = LEAST, codes: int = CODES) -> DataFrame:
+    """lang, w1, w2, w3, n, words of phrases that occur often enough, null after their last word."""
+    book, whole = code_book(named, least, codes)
+    place = lambda i: F.shiftright("key", (2 - i) * BITS).bitwiseAND(2**BITS - 1).alias(f"w{i + 1}")
+    counted = windows(named, book).select("lang", place(0), place(1), place(2), "n")
+    grams = store(prefixes(counted, least), "phrases")
+    # A prefix that ends with no word is a shorter one and counted as such.
+    last = F.when(F.col("words") == 3, F.col("w3")).when(F.col("words") == 2, F.col("w2")).when(F.col("words") == 1, F.col("w1"))
+    found = spelled(grams.filter((F.col("words") == 0) | (last != 0)), book)
+    if whole:
+        return found
+    marked = store(prefixes(plain_windows(named, book), least), "plain-phrases")
+    mark = F.lit(_MARK.decode())
+    held = F.concat_ws("", "w1", "w2", "w3").contains(mark) & (F.coalesce(last, F.lit("")) != "") & (F.col("words") > 0)
+    own = marked.filter(held).select("lang", *(F.regexp_replace(f"w{i}", mark, F.lit("")).alias(f"w{i}") for i in (1, 2, 3)), "n", "words")
+    return found.unionByName(own)
+
+
+def spelled(grams: DataFrame, book: bytes) -> DataFrame:
+    """Numbers of the book's words in the columns w1, w2 and w3 as the words they stand for."""
+    shared = grams.sparkSession.sparkContext.broadcast(book)
+    names = ("w1", "w2", "w3")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array(_listed(shared.value), pa.binary()).cast(pa.string())
+        for batch in batches:
+            columns = [words.take(batch.column(c)) if c in names else batch.column(c) for c in batch.schema.names]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return map_batches(grams, run, ", ".join(f"{c} {'string' if c in names else t}" for c, t in grams.dtypes))
 
 
 def score(a: Column, first: Column, rest: Column) -> Column:
@@ -213,12 +289,11 @@ def score(a: Column, first: Column, rest: Column) -> Column:
 
 def scored(grams: DataFrame, inside: int = INSIDE) -> DataFrame:
     """lang, w1, w2, w3, a, l, r, score of the candidates that no longer one makes needless."""
-    ones = grams.filter((F.col("w1") != "") & (F.col("w2") == ""))
-    twos = grams.filter((F.col("w2") != "") & (F.col("w3") == ""))
-    threes = grams.filter(F.col("w3") != "").withColumnRenamed("n", "a")
+    ones, twos = grams.filter("words = 1"), grams.filter("words = 2")
+    threes = grams.filter("words = 3").withColumnRenamed("n", "a").drop("words")
 
     def of_one(word: str, n: str) -> DataFrame:
-        return small(ones.select("lang", F.col("w1").alias(word), F.col("n").alias(n)))
+        return ones.select("lang", F.col("w1").alias(word), F.col("n").alias(n))
 
     def of_two(first: str, second: str, n: str) -> DataFrame:
         return twos.select("lang", F.col("w1").alias(first), F.col("w2").alias(second), F.col("n").alias(n))
@@ -242,29 +317,12 @@ def scored(grams: DataFrame, inside: int = INSIDE) -> DataFrame:
     return pairs.select(triples.columns).unionByName(triples)
 
 
-def spelled(rows: DataFrame, book: bytes) -> DataFrame:
-    """Rows with ``phrase`` in the place of the codes ``w1``, ``w2`` and ``w3``."""
-    shared, kept = rows.sparkSession.sparkContext.broadcast(book), [c for c in rows.columns if c not in ("w1", "w2", "w3")]
-    mark = _PLAIN.decode()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain = _plain(shared.value)
-        word = lambda c: c[1:] if c.startswith(mark) else plain[c]
-        for batch in batches:
-            codes = zip(*(batch.column(w).to_pylist() for w in ("w1", "w2", "w3")))
-            phrases = [" ".join(word(c) for c in row if c) for row in codes]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(phrases, pa.string())], names=[*kept, "phrase"])
-
-    schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes if c in kept) + ", phrase string"
-    return map_batches(rows, run, schema)
-
-
 def phrases(docs: DataFrame, least: int = LEAST, inside: int = INSIDE, top: int = TOP, codes: int = CODES) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of the first phrases of each language."""
     named = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    grams, book = counts(named, least, codes)
-    of_lang = grams.filter(F.col("w1") == "").select("lang", "n")
+    grams = store(counts(named, least, codes), "grams")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = spelled(scored(grams, inside), book).withColumn("rank", F.row_number().over(order).cast("long"))
-    first = ranked.filter(F.col("rank") <= top)
+    ranked = scored(grams, inside).withColumn("phrase", F.concat_ws(" ", "w1", "w2", "w3"))
+    first = ranked.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    of_lang = grams.filter("words = 0").select("lang", "n")
     return first.join(small(keep(of_lang)), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
