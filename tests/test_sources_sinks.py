@@ -292,16 +292,16 @@ def test_a_large_date_is_written_by_several_tasks(spark, folder):
         spark__sql__adaptive__optimizeSkewsInRebalancePartitions__enabled="true",
     ):
         stage(df, f"{folder}/t", many_dates=True)
-    assert len(glob.glob(f"{folder}/t/ins_dt={D}/*.parquet")) > 2
+    assert len(glob.glob(f"{folder}/t/ins_dt={D}/*/*.parquet")) > 2
     for other in glob.glob(f"{folder}/t/ins_dt=*"):
-        assert len(glob.glob(f"{other}/*.parquet")) < 16
+        assert len(glob.glob(f"{other}/*/*.parquet")) < 16
     assert read_staged(spark, f"{folder}/t").count() == 80_000
 
 
 def test_one_batch_is_written_without_a_shuffle(spark, folder):
     df = spark.range(0, 1000, 1, 6).withColumn("ins_dt", F.lit(D))
     stage(df, f"{folder}/t")
-    assert len(glob.glob(f"{folder}/t/ins_dt={D}/*.parquet")) == 6
+    assert len(glob.glob(f"{folder}/t/ins_dt={D}/*/*.parquet")) == 6
 
 
 def test_path_warehouse_replaces_a_table(spark, folder):

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable, Collection, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions import date_literal, drop_columns, flatten_struct, with_batch_date
+from tillroll.functions import date_literal, drop_columns, flatten_struct
+from tillroll.loads import LoadLog
 from tillroll.operators import repeated_keys
 from tillroll.operators.keys import DEFAULT_BUCKETS
 from tillroll.plans.schemas import STAGED
 from tillroll.plans.targets import child_dim, registration_dim, transaction_fact
 from tillroll.session import folder_exists, tuned
-from tillroll.sinks.staging import stage, stage_batch
+from tillroll.sinks.staging import KEEP, publish, write_batch
 from tillroll.sinks.warehouse import Warehouse
 from tillroll.sources.files import read_staged
 
@@ -46,22 +48,65 @@ def stage_sources(
 
     The date is today unless given, the same for all sources. Other dates staged earlier are
     kept, or with ``mode="static"`` removed.
+
+    All sources are written before any is published, so one that cannot be read leaves the date as
+    it was for all of them. A note of the batch, with each source's load, rows and columns, is left
+    at the end; until it is, ``build_targets`` takes the date for half staged.
     """
     paths = {name: f"{root.rstrip('/')}/{name}" for name in sources}
-    day = batch_date
+    day, frames, written = batch_date, {}, {}
     for name, source in sources.items():
         df = source.read()
         day = day or df.sparkSession.range(1).select(F.current_date()).first()[0]
         if source.struct is not None:
             df = flatten_struct(df, source.struct, source.fields)
-        df = drop_columns(df, *source.drop)
-        if mode == "dynamic":
-            stage_batch(df, paths[name], day)
-        else:
-            stage(with_batch_date(df, day), paths[name], mode=mode)
+        frames[name] = drop_columns(df, *source.drop)
+        written[name] = write_batch(frames[name], paths[name], day)
+    for name, load in written.items():
+        publish(frames[name].sparkSession, load, others=mode == "dynamic")
+    if written:
+        spark = next(iter(frames.values())).sparkSession
+        log = LoadLog(spark, root)
+        known = log.current().get(str(day))
+        before = log.facts(known)["sources"] if known else {}
+        loads = {name: load.facts() for name, load in written.items()}
+        log.add(str(day), uuid.uuid4().hex, {"sources": {**before, **loads}})
+        log.trim(str(day), KEEP)
     return paths
 
 
+def check_staged(
+    spark: SparkSession, root: str, names: Iterable[str], day: datetime.date, schemas: Mapping[str, T.StructType]
+) -> None:
+    """Raise unless each source has a complete load of the date, the one the batch was staged with,
+    and its files hold the rows that were staged."""
+    batches = LoadLog(spark, root)
+    batch = batches.current().get(str(day))
+    noted = batches.facts(batch)["sources"] if batch else {}
+    missing, half, short = [], [], []
+    for name in names:
+        log = LoadLog(spark, f"{root}/{name}")
+        current = log.current()
+        if not current and folder_exists(spark, f"{root}/{name}/ins_dt={day}"):
+            continue  # staged by something else, which leaves no log
+        load = current.get(str(day))
+        if load is None:
+            missing.append(name)
+        elif name in noted and noted[name]["load"] != load.load:
+            half.append(name)
+        else:
+            expected = log.facts(load)["rows"]
+            found = read_staged(spark, f"{root}/{name}", schemas.get(name), dates=[day]).count()
+            if found != expected:
+                short.append(f"{name}: {found} rows, {expected} were staged")
+    if missing:
+        raise ValueError(f"not staged on {day}: {missing}")
+    if half:
+        raise ValueError(f"half staged on {day}, stage the batch again: {half}")
+    if short:
+        raise ValueError(f"staged files of {day} are not whole: {short}")
+
+
 def build_targets(
     spark: SparkSession,
     staging_root: str,
@@ -81,8 +126,8 @@ def build_targets(
     are read on all dates, because a transaction whose receipts came in another batch is not
     one without receipts.
 
-    Every source the targets need must have been staged on the date, be it empty; otherwise
-    nothing is loaded. Staged files are read by ``staged_schemas``, not by the footer of one of
+    Every source the targets need must have been staged on the date, be it empty, by a staging that
+    came to its end, and with all its rows; otherwise nothing is loaded. Staged files are read by ``staged_schemas``, not by the footer of one of
     them; a source that is not named there is read by its footers. The session has its own time
     zone and settings again when the targets are loaded.
     """
@@ -91,9 +136,7 @@ def build_targets(
         raise ValueError(f"unknown targets: {sorted(unknown)}")
     root, day = staging_root.rstrip("/"), datetime.date.fromisoformat(str(batch_date))
     needed = dict.fromkeys(name for target in targets for name in NEEDED[target])
-    missing = [name for name in needed if not folder_exists(spark, f"{root}/{name}/ins_dt={day}")]
-    if missing:
-        raise ValueError(f"not staged on {day}: {missing}")
+    check_staged(spark, root, needed, day, staged_schemas)
 
     def staged(name: str) -> DataFrame:
         return read_staged(spark, f"{root}/{name}", staged_schemas.get(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -50,18 +50,15 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(place)
 
 
-def write_note(spark: SparkSession, path: str, text: str) -> None:
-    """Put a short text in a file; readers see the old text or the new one."""
-    fresh, store = _place(spark, f"{path}-{uuid.uuid4().hex}")
+def write_new_note(spark: SparkSession, path: str, text: str) -> None:
+    """Put a short text in a file that is not there yet; readers find all of it or no file."""
+    fresh, store = _place(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
     out = store.create(fresh, True)
     out.write(bytearray(text.encode()))
     out.close()
-    hadoop, place = spark._jvm.org.apache.hadoop.fs, _place(spark, path)[0]
-    rename = getattr(hadoop, "Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    files = hadoop.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
-    files.rename(files.makeQualified(fresh), files.makeQualified(place), options)
+    if not store.rename(fresh, _place(spark, path)[0]):
+        store.delete(fresh, False)
+        raise FileExistsError(path)
 
 
 def read_note(spark: SparkSession, path: str) -> str | None:
@@ -81,13 +78,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     store.delete(place, True)
 
 
-def drop_old_loads(spark: SparkSession, path: str, current: str, keep: int) -> None:
-    """Remove the ``load-*`` folders below a path but the current and the latest before it."""
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it is not there."""
     place, store = _place(spark, path)
-    found = [(f.getModificationTime(), f.getPath().getName()) for f in store.listStatus(place)]
-    loads = sorted((t, name) for t, name in found if name.startswith("load-") and name != current)
-    for _, name in loads[: max(0, len(loads) - (keep - 1))]:
-        remove_folder(spark, f"{path}/{name}")
+    return [f.getPath().getName() for f in store.listStatus(place)] if store.exists(place) else []
+
+
+def find_folders(spark: SparkSession, path: str, pattern: str, inside: str) -> list[str]:
+    """Names of the folders below a path that fit a pattern and hold an entry of a given name."""
+    place, store = _place(spark, f"{path}/{pattern}/{inside}")
+    return sorted(f.getPath().getParent().getName() for f in store.globStatus(place) or ())
+
+
+def drop_other_folders(spark: SparkSession, path: str, prefix: str, keep: Collection[str]) -> None:
+    """Remove the folders below a path that begin with a prefix and are not among those to keep."""
+    for name in list_folder(spark, path):
+        if name.startswith(prefix) and name not in keep:
+            remove_folder(spark, f"{path}/{name}")
 
 
 def one_process(spark: SparkSession) -> bool:

@@ -1,4 +1,4 @@
-from tillroll.sinks.staging import stage, stage_batch
+from tillroll.sinks.staging import Written, publish, stage, stage_batch, write_batch
 from tillroll.sinks.warehouse import CatalogWarehouse, JdbcWarehouse, PathWarehouse, Warehouse
 
 __all__ = [
@@ -6,6 +6,9 @@ __all__ = [
     "JdbcWarehouse",
     "PathWarehouse",
     "Warehouse",
+    "Written",
+    "publish",
     "stage",
     "stage_batch",
+    "write_batch",
 ]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.loads import LOAD, LoadLog, load_folder
+
 
 def text_schema(names: Sequence[str]) -> T.StructType:
     """Every column a string: delimited text is typed later, by named casts."""
@@ -68,15 +72,35 @@ def read_documents(
 
 
 def read_staged(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, batch_column: str = "ins_dt"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    batch_column: str = "ins_dt",
+    dates: Collection[str | datetime.date] | None = None,
 ) -> DataFrame:
-    """Staged parquet with its load-date partition.
+    """Staged parquet with its load-date partition: of each date the load that was published last.
 
-    With a schema the load date is a date even where a path holds no dated partition yet,
-    and no footer is read to find the types.
+    ``dates`` names the dates to read, others are not even listed. With a schema the load date is a
+    date even where a path holds no dated partition yet, and no footer is read to find the types.
+    A path without a log of loads, staged by something else, is read as it is.
     """
-    if schema is None:
-        return spark.read.parquet(path)
-    if batch_column.lower() not in {name.lower() for name in schema.names}:
+    current = LoadLog(spark, path).current()
+    if schema is not None and batch_column.lower() not in {name.lower() for name in schema.names}:
         schema = T.StructType([*schema.fields, T.StructField(batch_column, T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    if not current:
+        plain = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
+        return plain if dates is None else plain.filter(F.col(batch_column).isin([str(d) for d in dates]))
+    wanted = None if dates is None else {str(d) for d in dates}
+    folders = [
+        load_folder(path, batch_column, date, load.load)
+        for date, load in sorted(current.items())
+        if wanted is None or date in wanted
+    ]
+    if not folders:
+        if schema is None:
+            raise LookupError(f"{path} holds none of the dates {sorted(wanted or ())}")
+        return spark.createDataFrame([], schema)
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())]))
+    return reader.parquet(*folders).drop(LOAD)
