@@ -219,6 +219,7 @@ def test_terms_counted_in_small_steps(monkeypatch):
     assert total() == want
     monkeypatch.setattr(divergence, "HELD", 1)
     monkeypatch.setattr(divergence, "LONG_TEXT", 2)
+    monkeypatch.setattr(divergence, "BLOCK_TERMS", 1)
     assert total() == want
 
 
@@ -310,3 +311,24 @@ def test_phrases_of_odd_documents_and_none(spark, odd):
     found = sorted(tuple(r) for r in collocations.phrases(odd).collect())
     assert found == plain_phrases([(r["lang"], r["text"]) for r in odd.collect()])
     assert collocations.phrases(brute.empty_documents(spark)).collect() == []
+
+
+def test_tables_of_shares_that_fill_up(monkeypatch):
+    monkeypatch.setattr(divergence, "ROWS", 2)
+    r = np.random.default_rng(6)
+    shares = r.integers(0, 50, (9, 5)) * (r.random((9, 5)) < 0.6)
+    absent = np.arange(5) + 100
+    rows = [(None, i, int(absent[i])) for i in range(5)]
+    rows += [(f"t{t}", i, int(shares[t, i])) for t in range(9) for i in range(5) if shares[t, i]]
+    held = [t for t in range(9) if shares[t].any()]
+    full = np.where(shares > 0, shares, absent)[held]
+    for cut in (1, 4, 7, 100):
+        batches = []
+        for at in range(0, len(rows), cut):
+            term, nth, p = zip(*rows[at : at + cut])
+            own = [pa.array(["l"] * len(term)), *(pa.array([0] * len(term)) for _ in range(3)), pa.array(term, pa.string()), pa.array(nth), pa.array(p)]
+            batches.append(pa.RecordBatch.from_arrays(own, names=["lang", "block", "other", "part", "term", "nth", "p"]))
+        found = [row for part in divergence._differences(8)(iter(batches)) for row in part.to_pylist()]
+        assert {(x["nth"], x["against"]): (x["value"], x["seen"]) for x in found} == {
+            (i, j): (int(abs(full[:, i] - full[:, j]).sum()), len(held)) for i in range(5) for j in range(5)
+        }

@@ -28,10 +28,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,40 +46,44 @@ TOP = 50
 BLOCK = 128
 
 #: Different terms a task holds before it hands them on.
-HELD = 200_000
-#: Longer texts are searched without a list of their terms.
+HELD = 400_000
+#: Longer texts are cut into terms a block at a time.
 LONG_TEXT = 1 << 20
+BLOCK_TERMS = 100_000
 #: Rows a task reads, besides twice the skyband it holds, before it takes the skyband of all.
 MERGED = 50_000
 #: Kept rows that a task lays out for a pair of blocks.
-LAID = 500_000
+LAID = 100_000
 #: Rows of a table of shares, and candidates compared at once.
 ROWS = 512
 
-#: Letters and all beyond ASCII; bytes and characters give the same terms.
-_TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+#: Terms are letters and all beyond ASCII; bytes and characters give the same ones.
+_APART = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
 
 COUNTED = "lang string, source string, term string, n long, docs long"
 
 
-def _terms(text: bytes) -> Iterable[bytes]:
-    """The terms of a text in bytes, A-Z in lower case, which is all that ``bytes.lower`` changes."""
+def _terms(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text, A-Z in lower case, which is all that ``bytes.lower`` changes; a long text in blocks."""
+    parted = text.lower().translate(_APART)
     if len(text) <= LONG_TEXT:
-        return _TERM.findall(text.lower())
-    return (m[0].lower() for m in _TERM.finditer(text))
+        yield parted.split()
+        return
+    found = (m[0] for m in re.finditer(rb"[^ ]+", parted))
+    while block := list(islice(found, BLOCK_TERMS)):
+        yield block
 
 
-def _handed(held: dict[tuple[str, str], dict[bytes, list[int]]]) -> Iterator[pa.RecordBatch]:
-    for (lang, source), terms in held.items():
-        n = len(terms)
-        counts = np.array(list(terms.values()), np.int64).reshape(n, 2)
+def _handed(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+    for (lang, source), (counts, docs) in held.items():
+        terms = list(counts)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([lang] * n, pa.string()),
-                pa.array([source] * n, pa.string()),
-                pa.array(list(terms), pa.binary()).cast(pa.string()),
-                pa.array(counts[:, 0]),
-                pa.array(counts[:, 1]),
+                pa.array([lang] * len(terms), pa.string()),
+                pa.array([source] * len(terms), pa.string()),
+                pa.array(terms, pa.binary()).cast(pa.string()),
+                pa.array(list(counts.values()), pa.int64()),
+                pa.array(list(map(docs.__getitem__, terms)), pa.int64()),
             ],
             names=["lang", "source", "term", "n", "docs"],
         )
@@ -85,19 +91,18 @@ def _handed(held: dict[tuple[str, str], dict[bytes, list[int]]]) -> Iterator[pa.
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents of each term and group, added up within the task."""
-    held, size = {}, 0
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    size = 0
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
         for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts):
-            terms = held.setdefault((lang, source), {})
-            before = len(terms)
-            for term, n in Counter(_terms(text.as_py())).items():
-                if (known := terms.get(term)) is None:
-                    terms[term] = [n, 1]
-                else:
-                    known[0] += n
-                    known[1] += 1
-            size += len(terms) - before
+            counts, docs = held.setdefault((lang, source), (Counter(), Counter()))
+            before, different = len(counts), set()
+            for block in _terms(text.as_py()):
+                counts.update(block)
+                different.update(block)
+            docs.update(different)
+            size += len(counts) - before
             if size >= HELD:
                 yield from _handed(held)
                 held, size = {}, 0
@@ -165,13 +170,13 @@ def _banded(k: int):
         most = size = 0
 
         def banded() -> list[pa.RecordBatch]:
-            both, groups = pa.Table.from_batches(held), {}
-            names = zip(both.column("lang").to_pylist(), both.column("source").to_pylist())
-            group = np.fromiter((groups.setdefault(g, len(groups)) for g in names), np.int64, both.num_rows)
-            terms = both.column("term").cast(pa.binary()).to_pylist()
-            place = {term: i for i, term in enumerate(sorted(set(terms)))}
-            at = np.fromiter(map(place.__getitem__, terms), np.int64, both.num_rows)
-            rows = skyband(group, both.column("n").to_numpy(), both.column("in_lang").to_numpy(), at, k)
+            both = pa.Table.from_batches(held).combine_chunks()
+            numbered = [both.column(c).chunk(0).dictionary_encode() for c in ("lang", "source")]
+            lang, source = (c.indices.to_numpy().astype(np.int64) for c in numbered)
+            group = lang * len(numbered[1].dictionary) + source
+            place = np.empty(both.num_rows, np.int64)  # a term is in a group once, so ties do not matter
+            place[pc.sort_indices(both.column("term").cast(pa.binary())).to_numpy()] = np.arange(both.num_rows)
+            rows = skyband(group, both.column("n").to_numpy(), both.column("in_lang").to_numpy(), place, k)
             return both.take(pa.array(rows)).combine_chunks().to_batches()
 
         for batch in batches:
@@ -250,7 +255,8 @@ class _Tile:
         self.seen, self.sums, self.table = 0, None, None
 
     def _start(self) -> None:
-        self.place = {nth: i for i, nth in enumerate(self.numbers)}
+        self.order = np.argsort(self.numbers)
+        self.sorted = np.array(self.numbers, np.int64)[self.order]
         self.none = np.array(self.absent, np.int64)
         blocks = np.array(self.numbers, np.int64) // self.size
         self.left, self.right = np.flatnonzero(blocks == self.block), np.flatnonzero(blocks == self.other)
@@ -265,18 +271,28 @@ class _Tile:
         self.table[:], self.used = self.none, 0
 
     def add(self, rows: pa.RecordBatch) -> None:
-        for term, nth, p in zip(rows.column("term").to_pylist(), rows.column("nth").to_pylist(), rows.column("p").to_pylist()):
-            if term is None:
-                self.numbers.append(nth)
-                self.absent.append(p)
-                continue
-            if self.sums is None:
-                self._start()
-            if term != self.term:
-                if self.used == ROWS:
-                    self._flush()
-                self.term, self.used = term, self.used + 1
-            self.table[self.used - 1, self.place[nth]] = p
+        term, nth, p = rows.column("term").cast(pa.binary()), rows.column("nth").to_numpy(), rows.column("p").to_numpy()
+        first = term.null_count
+        self.numbers += nth[:first].tolist()
+        self.absent += p[:first].tolist()
+        if first == len(term):
+            return
+        if self.sums is None:
+            self._start()
+        term, nth, p = term.slice(first), nth[first:], p[first:]
+        fresh = np.ones(len(term), bool)
+        fresh[0] = term[0].as_py() != self.term
+        fresh[1:] = pc.not_equal(term.slice(1), term.slice(0, len(term) - 1)).to_numpy(zero_copy_only=False)
+        line, at = np.cumsum(fresh) + (self.used - 1), self.order[np.searchsorted(self.sorted, nth)]
+        while len(line):
+            here = int(np.searchsorted(line, ROWS))
+            self.table[line[:here], at[:here]] = p[:here]
+            if here:
+                self.used = int(line[here - 1]) + 1
+            if here < len(line):
+                self._flush()
+            line, at, p = line[here:] - ROWS, at[here:], p[here:]
+        self.term = term[len(term) - 1].as_py()
 
     def ended(self) -> pa.RecordBatch:
         if self.sums is None:
