@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime
+import glob
 import re
+import shutil
 from dataclasses import replace
 
 import pytest
 from helpers import ADDR, CP, D, OL, OTHER, SB, assert_same_rows, bag, consumer, document
 from helpers import physical_plan, receipt, settings, txn
+from pyspark.sql import functions as F
+from tillroll.plans import jobs
 from tillroll.plans import (
     Source,
     build_targets,
@@ -116,6 +120,66 @@ def test_a_date_that_was_not_staged_leaves_the_tables_alone(spark, sources, fold
         assert bag(warehouse.read(spark, name)) == before[name]
 
 
+def test_a_staging_that_fails_half_way_leaves_the_date_as_it_was(spark, sources, folder):
+    """SB can be read again, CP cannot: neither changes, and the batch builds from what it had."""
+    warehouse, staging = PathWarehouse(f"{folder}/wh"), f"{folder}/staging"
+    before = {t: bag(df) for t, df in run_batch(spark, sources, staging, warehouse, D).items()}
+    fails = lambda: sources["CP"].read().withColumn("REGIS_ID", F.raise_error(F.lit("no")))
+    again = {"SB": replace(sources["SB"], read=lambda: sources["SB"].read().limit(1)), "CP": replace(sources["CP"], read=fails)}
+    with pytest.raises(Exception, match="no"):
+        stage_sources(again, staging, D)
+    assert read_staged(spark, f"{staging}/SB").count() == 6
+    built = build_targets(spark, staging, warehouse, D)
+    assert {t: bag(df) for t, df in built.items()} == {t: before[t] for t in built}
+    with pytest.raises(Exception, match="no"):
+        stage_sources({**sources, **again}, staging, OTHER)
+    with pytest.raises(ValueError, match=f"not staged on {OTHER}"):
+        build_targets(spark, staging, warehouse, OTHER)
+
+
+def test_a_half_staged_date_is_not_built(spark, sources, folder, monkeypatch):
+    """The driver is lost after SB was published and before OL was."""
+    warehouse, staging = PathWarehouse(f"{folder}/wh"), f"{folder}/staging"
+    before = {t: bag(df) for t, df in run_batch(spark, sources, staging, warehouse, D).items()}
+    publish = jobs.publish
+
+    def lost(spark, written, others=True):
+        if written.path.endswith("/OL"):
+            raise KeyboardInterrupt
+        publish(spark, written, others=others)
+
+    monkeypatch.setattr(jobs, "publish", lost)
+    with pytest.raises(KeyboardInterrupt):
+        stage_sources(sources, staging, D)
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="half staged on 2021-07-25.*'SB'"):
+        build_targets(spark, staging, warehouse, D)
+    assert {t: bag(warehouse.read(spark, t)) for t in ("REGIS_DIM", "CHILD_DIM", "RTL_TXN_FCT")} == {
+        t: before[t] for t in ("REGIS_DIM", "CHILD_DIM", "RTL_TXN_FCT")
+    }
+    stage_sources(sources, staging, D)
+    assert build_targets(spark, staging, warehouse, D)["RTL_TXN_FCT"].count() == len(before["RTL_TXN_FCT"])
+
+
+def test_staged_files_that_lost_rows_are_not_loaded(spark, sources, folder):
+    warehouse, staging = PathWarehouse(f"{folder}/wh"), f"{folder}/staging"
+    stage_sources(sources, staging, D)
+    lost = [f for f in glob.glob(f"{staging}/OL/ins_dt={D}/*/*.parquet") if spark.read.parquet(f).count()]
+    shutil.copy(lost[0], lost[0].replace("part-", "part-9"))
+    with pytest.raises(ValueError, match="OL: .* rows, 8 were staged"):
+        build_targets(spark, staging, warehouse, D)
+    with pytest.raises(LookupError):
+        warehouse.read(spark, "REGIS_DIM")
+
+
+def test_sources_of_a_date_may_be_staged_one_by_one(spark, sources, folder):
+    warehouse, staging = PathWarehouse(f"{folder}/wh"), f"{folder}/staging"
+    for name in sources:
+        stage_sources({name: sources[name]}, staging, D)
+    stage_sources({"CP": sources["CP"]}, staging, D)
+    assert build_targets(spark, staging, warehouse, D)["RTL_TXN_FCT"].count() == 10
+
+
 def test_a_staged_batch_without_rows_loads_empty_tables(spark, sources, folder):
     empty = {name: replace(s, read=lambda s=s: s.read().limit(0)) for name, s in sources.items()}
     loaded = run_batch(spark, empty, f"{folder}/staging", PathWarehouse(f"{folder}/wh"), D)

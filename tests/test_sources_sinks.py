@@ -11,11 +11,14 @@ from types import SimpleNamespace
 import pytest
 from helpers import D, OTHER, bag, settings
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillroll.loads import LoadLog
 from tillroll.plans import schemas
 from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL, database
 from tillroll.session import shared_folder
-from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage
+from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, publish, stage, stage_batch, write_batch
+from tillroll.sinks.swap import swap_of
 from tillroll.sources import (
     column_bounds,
     read_delimited,
@@ -24,6 +27,8 @@ from tillroll.sources import (
     read_staged,
     text_schema,
 )
+from tillroll.sources import jdbc
+from tillroll.sources.jdbc import parts_sql, slice_conditions
 
 PROPERTIES = {"driver": IN_PROCESS_DRIVER}
 
@@ -71,6 +76,88 @@ def test_hot_value_and_nulls_are_parts_of_their_own(spark, db):
     assert df.count() == 100 and sizes(df) == [10, 10, 10, 30, 40]
 
 
+def hot_table(spark, db, text=False):
+    """60 % of 1,000 rows on one value, a tenth without one."""
+    table = f"hot_{uuid.uuid4().hex}"
+    value = F.when(F.col("id") % 10 < 6, F.lit(500)).when(F.col("id") % 10 < 9, F.col("id"))
+    kind = "VARCHAR(20)" if text else "BIGINT"
+    db._execute(spark, f'CREATE TABLE {table} ("k" {kind}, "id" BIGINT, "t" VARCHAR(20))')
+    value = F.concat(F.lit("it's "), F.lpad(value.cast("string"), 5, "0")) if text else value
+    db.overwrite(spark.range(1000).select(value.alias("k"), "id", F.col("id").cast("string").alias("t")), table)
+    return table
+
+
+@pytest.mark.parametrize("text", [False, True])
+def test_a_hot_value_is_dealt_by_another_column(spark, db, text):
+    table = hot_table(spark, db, text)
+    df = read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "K", 8, PROPERTIES, spread="ID")
+    assert sorted(r["id"] for r in df.collect()) == list(range(1000))
+    assert max(sizes(df)) <= 150 and len(sizes(df)) >= 8
+    whole = read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "K", 8, PROPERTIES)
+    assert whole.count() == 1000 and max(sizes(whole)) >= 600
+    with pytest.raises(ValueError, match="whole numbers"):
+        read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "K", 8, PROPERTIES, spread="t")
+
+
+def test_a_text_column_is_cut_evenly(spark, db):
+    table = hot_table(spark, db)
+    df = read_jdbc_partitioned(spark, IN_PROCESS_URL, table, "t", 8, PROPERTIES)
+    assert df.count() == 1000 and sizes(df) == [125] * 8
+
+
+def test_rows_dealt_by_hash(spark, db):
+    df = read_jdbc_partitioned(spark, IN_PROCESS_URL, hot_table(spark, db), "id", 8, PROPERTIES, hashed=True)
+    assert df.count() == 1000 and len(sizes(df)) == 8 and max(sizes(df)) <= 150
+
+
+NTILE = (
+    "SELECT MIN(v) AS v, part FROM (SELECT {c} AS v, NTILE(4) OVER (ORDER BY {c}) AS part"
+    " FROM s.t WHERE {c} IS NOT NULL) q GROUP BY part"
+)
+
+
+@pytest.mark.parametrize(
+    ("url", "column", "text"),
+    [
+        ("jdbc:mysql://h/d", "`a`", "CRC32(`a`)"),
+        ("jdbc:postgresql://h/d", '"a"', 'HASHTEXT(CAST("a" AS TEXT))'),
+        ("jdbc:sqlserver://h", "[a]", "CHECKSUM([a])"),
+        ("jdbc:oracle:thin:@h", '"a"', 'ORA_HASH("a")'),
+    ],
+)
+def test_splits_are_made_in_the_database_and_bounded(url, column, text):
+    assert parts_sql(url, "s.t", column, 4, 1000) == NTILE.format(c=column)
+    mixed = "MOD(MOD(ABS(MOD(COALESCE({}, 0), 30011)) * 18541, 30011), 2) = 1"
+    if "sqlserver" in url:
+        mixed = "((ABS((COALESCE({}, 0) % 30011)) * 18541 % 30011) % 2) = 1"
+    for kind, number in ((T.LongType(), column), (T.DecimalType(20, 0), column), (T.StringType(), text)):
+        assert slice_conditions(url, column, kind, 2)[1] == mixed.format(number)
+    with pytest.raises(ValueError):
+        slice_conditions(url, column, T.DoubleType(), 2)
+
+
+def test_parts_in_a_database_that_cannot_number_by_order():
+    sql = parts_sql("jdbc:derby:memory:x", "t", '"a"', 4, 1001)
+    assert "(r - 1) / 251 AS part" in sql and "ROW_NUMBER() OVER ()" in sql
+
+
+def test_more_parts_than_asked_for_are_an_error(spark, ids, monkeypatch):
+    """As from a database that divides whole numbers to fractions."""
+    monkeypatch.setattr(jdbc, "parts_sql", lambda url, table, quoted, parts, rows: f"SELECT {quoted} AS v, {quoted} AS part FROM {table}")
+    with pytest.raises(RuntimeError, match="4 parts"):
+        read_jdbc_partitioned(spark, IN_PROCESS_URL, ids, "id", 4, PROPERTIES)
+
+
+def test_texts_in_conditions_are_quoted():
+    assert jdbc._literal("jdbc:postgresql:x", "it's \\") == "'it''s \\'"
+    assert jdbc._literal("jdbc:mysql:x", "it's \\") == "'it''s \\\\'"
+    assert jdbc._parts("c", ["a", "a", "b"], repr, lambda n: ["x", "y"] if n > 1 else []) == [
+        "c = 'a' AND x", "c = 'a' AND y", "c > 'a' AND c < 'b'", "c >= 'b'",
+    ]
+    assert jdbc._parts("c", [1, 5, 5], str, lambda n: []) == ["c < 5", "c >= 5"]
+    assert jdbc._parts("c", [1], str, lambda n: []) == ["c >= 1"]
+
+
 def test_cuts_are_kept(spark, db):
     table = f"cut_{uuid.uuid4().hex}"
     bunched = spark.range(100).union(spark.createDataFrame([(10**9,), (None,)], "id long"))
@@ -171,6 +258,155 @@ def test_earlier_loads_go(spark, folder, kind):
     assert warehouse.read(spark, name).count() == 5
 
 
+@pytest.mark.parametrize("kind", [PathWarehouse, CatalogWarehouse])
+def test_frames_of_the_last_good_load_survive_a_failed_one(spark, folder, kind):
+    warehouse, name = kind(folder, keep=2), f"t_{uuid.uuid4().hex}"
+    warehouse.overwrite(spark.range(10), name)
+    first = warehouse.read(spark, name)
+    failing = spark.range(5).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        warehouse.overwrite(failing, name)
+    warehouse.overwrite(spark.range(3), name)
+    assert first.count() == 10 and warehouse.read(spark, name).count() == 3
+    assert len(glob.glob(f"{folder}/{name}/load-*")) == 2
+    warehouse.overwrite(spark.range(4), name)
+    assert warehouse.read(spark, name).count() == 4 and len(glob.glob(f"{folder}/{name}/load-*")) == 2
+
+
+@pytest.mark.parametrize("failing", ["create", "rename"])
+def test_columns_that_cannot_change_leave_the_catalog_table(spark, folder, failing, monkeypatch):
+    from tillroll.sinks import warehouse as module
+
+    warehouse, name = CatalogWarehouse(folder), f"t_{uuid.uuid4().hex}"
+    warehouse.overwrite(spark.range(10), name)
+    rename = module._rename
+
+    def no_rename(spark, table, to):
+        if to == f"default.{name}" and "_new_" in table:
+            raise RuntimeError("no")
+        rename(spark, table, to)
+
+    def no_create(*_, **__):
+        raise RuntimeError("no")
+
+    changed = spark.range(3).withColumn("more", F.lit(1))
+    if failing == "rename":
+        monkeypatch.setattr(module, "_rename", no_rename)
+    else:
+        monkeypatch.setattr(type(spark.catalog), "createTable", no_create)
+    with pytest.raises(RuntimeError, match="no"):
+        warehouse.overwrite(changed, name)
+    monkeypatch.undo()
+    assert warehouse.read(spark, name).columns == ["id"] and warehouse.read(spark, name).count() == 10
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    warehouse.overwrite(changed, name)
+    assert warehouse.read(spark, name).columns == ["id", "more"]
+
+
+SWAPS = {
+    "jdbc:postgresql://h/d": (("DROP TABLE s.t", "ALTER TABLE s.t_1 RENAME TO t"), True, (), ()),
+    "jdbc:derby:memory:x": (("DROP TABLE s.t", "RENAME TABLE s.t_1 TO t"), True, (), ()),
+    "jdbc:db2://h/d": (("DROP TABLE s.t", "RENAME TABLE s.t_1 TO t"), True, (), ()),
+    "jdbc:sqlserver://h": (("DROP TABLE s.t", "EXEC sp_rename 's.t_1', 't'"), True, (), ()),
+    "jdbc:mysql://h/d": (("RENAME TABLE s.t TO s.t_1_old, s.t_1 TO s.t",), False, (), ("DROP TABLE s.t_1_old",)),
+    "jdbc:snowflake://h": (("ALTER TABLE s.t SWAP WITH s.t_1",), False, (), ()),
+    "jdbc:oracle:thin:@h": (
+        ("ALTER TABLE s.t RENAME TO t_1_old", "ALTER TABLE s.t_1 RENAME TO t"), False,
+        ("ALTER TABLE s.t_1_old RENAME TO t",), ("DROP TABLE s.t_1_old",),
+    ),
+    "jdbc:other:x": (
+        ("ALTER TABLE s.t RENAME TO t_1_old", "ALTER TABLE s.t_1 RENAME TO t"), False,
+        ("ALTER TABLE s.t_1_old RENAME TO t",), ("DROP TABLE s.t_1_old",),
+    ),
+}
+
+
+@pytest.mark.parametrize("url", SWAPS)
+def test_tables_are_swapped_as_the_database_can(url):
+    swap = swap_of(url, "s.t", "s.t_1", True)
+    assert (swap.steps, swap.together, swap.undo, swap.after) == SWAPS[url]
+    alone = swap_of(url, "t", "t_1", True)
+    assert [x.replace("s.", "") for x in swap.steps] == list(alone.steps)
+    first = swap_of(url, "s.t", "s.t_1", False)
+    assert len(first.steps) == 1 and "t_1" in first.steps[0] and not first.after and "DROP" not in first.steps[0]
+
+
+@pytest.mark.parametrize("qualified", [False, True])
+def test_a_table_with_other_columns_takes_the_place_of_the_old_one(spark, qualified):
+    db, name = JdbcWarehouse(IN_PROCESS_URL, PROPERTIES, connections=2, truncate=False), f"T{uuid.uuid4().hex}".upper()
+    if qualified:
+        name = f"APP.{name}"
+        db._execute(spark, "CREATE TABLE app.made (a INT)", "DROP TABLE app.made")
+    assert not db._exists(spark, name)
+    db.overwrite(spark.range(10), name)
+    db.overwrite(spark.range(3).withColumn("more", F.lit(1)), name)
+    assert bag(db.read(spark, name)) == [(0, 1), (1, 1), (2, 1)] and db._exists(spark, name.lower())
+
+
+def test_statements_that_commit_alone_are_taken_back(spark, db, ids):
+    """As in a database where a table is renamed away before the new one has its name."""
+    steps = [f"RENAME TABLE {ids} TO {ids}_old", f"RENAME TABLE {ids}_missing TO {ids}"]
+    with pytest.raises(Exception, match="(?i)exist"):
+        db._one_by_one(spark, steps, [f"RENAME TABLE {ids}_old TO {ids}"])
+    assert db.read(spark, ids).count() == 200
+
+
+def test_a_database_that_cannot_be_asked_is_not_one_without_the_table(spark):
+    with pytest.raises(Exception, match="(?i)not_there"):
+        JdbcWarehouse("jdbc:derby:memory:not_there", PROPERTIES)._exists(spark, "t")
+
+
+def test_a_load_is_there_when_its_note_is(spark, folder):
+    log = LoadLog(spark, f"{folder}/t")
+    assert log.loads() == {} and log.current() == {}
+    for n in range(12):
+        log.add("2021-07-25", f"a{n}", {"rows": n})
+    log.add("other", "b", {})
+    assert log.current()["2021-07-25"].load == "a11" and log.facts(log.current()["2021-07-25"]) == {"rows": 11}
+    with open(f"{folder}/t/_loads/.half", "w") as f:
+        f.write('{"ro')
+    assert log.trim("2021-07-25", 2) == {"a10", "a11"} and len(log.loads()["2021-07-25"]) == 2
+    log.drop("2021-07-25")
+    assert list(log.loads()) == ["other"]
+
+
+def failing_rows(spark):
+    return spark.range(5).select(F.raise_error(F.lit("no")).cast("int").alias("n"), F.lit(D).alias("ins_dt"))
+
+
+def test_a_date_that_fails_to_be_staged_again_keeps_its_rows(spark, folder):
+    path = f"{folder}/t"
+    stage_batch(staged(spark, [D] * 10).drop("ins_dt"), path, D)
+    before = read_staged(spark, path)
+    for again in (lambda: stage_batch(failing_rows(spark), path, D), lambda: stage(failing_rows(spark), path, mode="static")):
+        with pytest.raises(Exception, match="no"):
+            again()
+        assert read_staged(spark, path).count() == 10
+    stage_batch(staged(spark, [D] * 3).drop("ins_dt"), path, D)
+    assert read_staged(spark, path).count() == 3 and before.count() == 10
+    stage_batch(staged(spark, [D] * 4).drop("ins_dt"), path, D)
+    assert len(glob.glob(f"{path}/ins_dt={D}/__load=*")) == 2
+
+
+def test_rows_are_there_when_they_are_published(spark, folder):
+    path, rows = f"{folder}/t", staged(spark, [D] * 3).drop("ins_dt")
+    written = write_batch(rows, path, D)
+    assert written.rows == 3 and LoadLog(spark, path).current() == {}
+    publish(spark, written)
+    assert read_staged(spark, path).count() == 3
+
+
+def test_dates_that_are_asked_for(spark, folder):
+    path = f"{folder}/t"
+    stage(staged(spark, [D, D, OTHER]), path)
+    schema = staged(spark, [D]).drop("ins_dt").schema
+    assert bag(read_staged(spark, path, schema, dates=[D]).select("ins_dt")) == [(D,), (D,)]
+    assert len(read_staged(spark, path, schema, dates=[OTHER]).inputFiles()) == 1
+    assert read_staged(spark, path, schema, dates=[datetime.date(2020, 1, 1)]).count() == 0
+    with pytest.raises(LookupError):
+        read_staged(spark, path, dates=[])
+
+
 def test_a_table_that_was_never_loaded(spark, folder):
     with pytest.raises(LookupError):
         PathWarehouse(folder).read(spark, "T")
