@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import re
+from collections import Counter
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -135,3 +137,52 @@ def hits(text: str | None, items: list[tuple[str, str | None]], size: int = 10)
                     hit.update(range(at, at + len(window)))
                     found.add(item)
     return len(words), len(hit), sorted(found)
+
+
+#: Digits, letters of any case, and all beyond ASCII.
+LETTERS = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def term_spans(texts: list[str], context: int, support: int, least: float) -> dict[str, list[tuple[int, int]]]:
+    """Spans of the terms that reveal personal data, by text."""
+    copies, words = Counter(texts), {t: [(m.start(), m.end(), m[0].lower()) for m in LETTERS.finditer(t)] for t in texts}
+    every = Counter(w for t in texts for *_, w in words[t])
+    holders = Counter(w for t in copies for w in {w for *_, w in words[t]})
+
+    def disclosed(n, both, own, other):
+        ic = math.log2(n / other)
+        return math.log2(n * both / (own * other)) / ic if ic > 0 else 0.0
+
+    near, entities = {}, {}
+    for t in copies:
+        for kind, pattern in _PATTERNS.items():
+            found = list(re.finditer(pattern, t))
+            for i, m in enumerate(found):
+                if not _valid(kind, m[0]):
+                    continue
+                digits = "".join(c for c in m[0] if c.isdigit())
+                entities.setdefault((kind, {"email": m[0].lower(), "ip": m[0]}.get(kind, digits)), set()).add(t)
+                lo = max(found[i - 1].end() if i else 0, m.start() - context)
+                hi = min(found[i + 1].start() if i + 1 < len(found) else len(t), m.end() + context)
+                for a, b, w in words[t]:
+                    if lo <= a and b <= m.start() or m.end() <= a and b <= hi:
+                        near.setdefault(kind, {}).setdefault(w, set()).add((t, a, b))
+    out = {t: set() for t in texts}
+    for kind, found in near.items():
+        n_k = sum(copies[t] for places in found.values() for t, *_ in places)
+        for w, places in found.items():
+            if len({t for t, *_ in places}) >= support:
+                if disclosed(sum(every.values()), sum(copies[t] for t, *_ in places), every[w], n_k) >= least:
+                    for t, a, b in places:
+                        out[t].add((a, b))
+    for held in entities.values():
+        for w in {w for t in held for *_, w in words[t]}:
+            both = sum(any(x == w for *_, x in words[t]) for t in held)
+            if both >= support and disclosed(len(copies), both, holders[w], len(held)) >= least:
+                for t in copies:
+                    out[t] |= {(a, b) for a, b, x in words[t] if x == w}
+    clear = {}
+    for t, spans in out.items():
+        own = [(a, b) for a, _, b in base_spans(t)]
+        clear[t] = sorted(s for s in spans if not any(s[0] < b and a < s[1] for a, b in own))
+    return clear

@@ -222,7 +222,7 @@ def test_telling_terms_are_found_and_taken_out(spark):
 
 def test_entities_at_odd_places(spark):
     odd = [
-        "a@b.c_d@e.f x@y z@.q a@b..c 1.2.3.4.5.6.7.8 256.1.1.1 01.002.3.4 999999999999999999999.1.1.1",
+        "a@b.c_d@e.f x@y z@.q a@b..c 1.2.3.4.5.6.7.8 256.1.1.1 01.002.3.4 10.0.0.7 0.00.000.0 300.0.0.1 999999999999999999999.1.1.1",
         "4111 1111 1111 1111 4111-1111-1111-1112 0000000000000 +1 (555) 010-9999 +12 +1234567890123456",
         "𝒳é@b.c " + "x" * 3000 + "@" + "y." * 2000 + "z " + "9" * 5000,
         "+1+2 (3) 4 5 6 7 8 9 0 -. 1.1.1.1@1.1.1.1",

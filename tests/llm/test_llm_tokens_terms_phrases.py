@@ -16,7 +16,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 
-from tillroll.llm import byte_bpe, collocations, divergence
+from tillroll.llm import byte_bpe, collocations, divergence, sanitise
 from tillroll.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -332,3 +332,40 @@ def test_tables_of_shares_that_fill_up(monkeypatch):
         assert {(x["nth"], x["against"]): (x["value"], x["seen"]) for x in found} == {
             (i, j): (int(abs(full[:, i] - full[:, j]).sum()), len(held)) for i in range(5) for j in range(5)
         }
+
+
+# --- terms that give personal data away
+
+
+def private_documents(seed, n=140):
+    r = random.Random(seed)
+    entities = [f"{w}@x.org" for w in "abcde"] + ["10.0.0.7", "4111 1111 1111 1111", "4111111111111111", "+31 20 555 0199", "999.1.1.1", "4111 1111 1111 1112"]
+    beside = {"@": ["mail", "Post"], "+": ["call"], ".": ["host"], " ": ["card"]}
+    common, rare = [f"c{i}" for i in range(25)], [f"r{i}" for i in range(60)]
+    for _ in range(n):
+        parts = r.choices(common, k=r.randrange(3, 50)) + r.choices(rare, k=2)
+        for _ in range(r.choice([0, 0, 1, 2])):
+            entity = r.choice(entities)
+            mark = next((w for c, w in beside.items() if c in entity), ["x"])
+            parts.insert(r.randrange(len(parts)), " ".join([r.choice(mark), entity, f"of{entities.index(entity)}" * r.choice([0, 1])]))
+        yield r.choice([" ", ". ", " é "]).join(parts)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_terms_that_reveal_against_brute_force(spark, seed):
+    texts = list(private_documents(seed))
+    texts += texts[:20] + texts[3:6] * 4
+    want = brute.term_spans(texts, sanitise.CONTEXT, sanitise.SUPPORT, sanitise.GENERALISE)
+    assert sum(map(bool, want.values())) > 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in sanitise.report(docs.repartition(4)).collect():
+        spans = [s.split(":") for s in row["spans"].split(",") if s]
+        found = sorted((int(a), int(b)) for kind, a, b in spans if kind == "term")
+        assert found == want[texts[row["doc_id"]]]
+        assert [s for s in spans if s[0] != "term"] == [[k, str(a), str(b)] for a, k, b in brute.base_spans(texts[row["doc_id"]])]
+
+
+def test_sanitised_rows_with_any_names(spark):
+    docs = spark.createDataFrame([(1, "a b@c.de f", "x", 2)], "key long, text string, all string, row int")
+    out = sanitise.sanitised(docs)
+    assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(1, "a <email> f", "x", 2)]

@@ -6,8 +6,8 @@ entity of kind k, n(t) occurrences of a term and n(t, k) of these so near, the p
 information is ``PMI = log2(N n(t, k) / (n(t) n(k)))`` and what there is to disclose is
 ``IC = log2(N / n(k))``. A term whose ``PMI / IC`` reaches ``REMOVE`` is removed beside entities of
 the kind, one that reaches ``GENERALISE`` is replaced by a mark. These estimates count all documents,
-copies included; a term needs ``SUPPORT`` different entities of the kind next to it, so copies of one
-text do not make its words telling.
+copies included; a term needs ``SUPPORT`` different texts in which it stands beside one, so copies
+of one text do not make its words telling.
 
 The same is asked of each entity by itself, over whole texts: of D different texts, n(e) hold the
 entity, n(t) the term and n(t, e) both, ``PMI = log2(D n(t, e) / (n(t) n(e)))``, ``IC = log2(D / n(e))``,
@@ -15,21 +15,26 @@ and n(t, e) is at least ``SUPPORT``. Such a term gives the entity away wherever
 occurrences are taken, in texts without the entity too. Emails are one entity in any case of letters,
 cards and phone numbers in any spacing.
 
-Texts are named by a digest, so that equal texts are searched for spans as one. Only matches and the
-words around them are shuffled. All of it is DataFrame functions.
+Texts are named by a digest of 16 bytes, so that equal texts are searched for spans as one. The terms
+of whole texts are listed for texts that hold an entity often enough; from these come the terms that
+could reach a threshold, and the corpus is then searched once for those and the terms beside
+entities. Where they stand is counted along the words of each text, without a shuffle. All of it is
+DataFrame functions.
 
 Cases: a null text is an empty one and has no spans; offsets are code points, ends exclusive; a term
 that is telling for several kinds counts once, removal before replacement; terms that overlap an
 entity are part of it; repeated documents get equal rows; an empty table gives no rows. Other
-columns are not read, and ``sanitised`` carries them.
+columns are not read, and ``sanitised`` carries them, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import TERM, joined, keep, n_terms, small, store, term_counts, terms
+from tillroll.llm.base import TERM, in_slices, keep, n_terms, small, store, terms
 
 CONTEXT = 80
 GENERALISE = 0.75
@@ -45,7 +50,13 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = (*PATTERNS, "term")
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}+)"
+#: Of at least one digit; what is left after leading zeros may be nothing.
+_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}+)?+"
+
+
+def digest(text: Column) -> Column:
+    """The name of a text."""
+    return F.unhex(F.md5(text))
 
 
 def luhn(digits: Column) -> Column:
@@ -73,8 +84,9 @@ def valid(kind: Column, hit: Column) -> Column:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """(key, kind, start, end, hit, before, after, copies) of valid matches in different texts."""
-    frame = docs.filter("text IS NOT NULL").select(F.md5("text").alias("key"), "text")
+    """(key, kind, start, end, hit, before, after, goes_on, runs_into, copies) of valid matches in different
+    texts; whether the match before ends, and the next one begins, within what may be a word."""
+    frame = docs.filter("text IS NOT NULL").select(digest(F.col("text")).alias("key"), "text")
     for kind, pattern in PATTERNS.items():
         frame = frame.withColumn(f"hits_{kind}", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
     frame = frame.filter(" OR ".join(f"size(hits_{kind}) > 0" for kind in PATTERNS))
@@ -95,6 +107,8 @@ def matches(docs: DataFrame) -> DataFrame:
                 # One character more than the context tells whether its first word is whole.
                 F.right(gap, F.lit(CONTEXT + 1)).alias("before"),
                 F.left(rest, F.lit(CONTEXT + 1)).alias("after"),
+                F.coalesce(F.get(hits, i - 1).rlike(f"{TERM}\\z"), F.lit(False)).alias("goes_on"),
+                F.coalesce(F.get(hits, i + 1).rlike(f"^{TERM}"), F.lit(False)).alias("runs_into"),
             )
 
         return F.transform(hits, one)
@@ -105,26 +119,33 @@ def matches(docs: DataFrame) -> DataFrame:
     skipped = F.coalesce(F.sum(F.col("gap") + F.length("hit")).over(passed), F.lit(0))
     placed = counted.withColumn("start", (skipped + F.col("gap")).cast("long"))
     return placed.filter(valid(F.col("kind"), F.col("hit"))).select(
-        "key", "kind", "start", (F.col("start") + F.length("hit")).alias("end"), "hit", "before", "after", "copies"
+        "key", "kind", "start", (F.col("start") + F.length("hit")).alias("end"), "hit", "before", "after", "goes_on", "runs_into", "copies"
     )
 
 
 def near_terms(found: DataFrame) -> DataFrame:
-    """(key, kind, term, start, end, hit, copies) of whole terms within CONTEXT of a match."""
-    long_before, long_after = F.length("before") > CONTEXT, F.length("after") > CONTEXT
-    whole_before = F.when(long_before, F.regexp_replace("before", f"^{TERM}", "")).otherwise(F.col("before"))
-    whole_after = F.when(long_after, F.regexp_replace("after", f"{TERM}$", "")).otherwise(F.col("after"))
+    """(key, kind, term, start, end, hit, copies) of whole terms within CONTEXT of a match.
+
+    Words that the context cuts off, or of which a match is a part, are not whole.
+    """
+    first, last = f"^{TERM}", f"{TERM}\\z"
+
+    def without(text: Column, part: str, where: Column) -> Column:
+        return F.when(where, F.regexp_replace(text, part, "")).otherwise(text)
+
+    begun = without(F.col("before"), first, (F.length("before") > CONTEXT) | F.col("goes_on"))
+    ended = without(F.col("after"), first, F.col("hit").rlike(last))
     sides = F.array(
-        F.struct(whole_before.alias("text"), F.lit(True).alias("is_before")),
-        F.struct(whole_after.alias("text"), F.lit(False).alias("is_before")),
+        F.struct((F.col("start") - F.length(begun)).alias("base"), without(begun, last, F.col("hit").rlike(first)).alias("text")),
+        F.struct(
+            (F.col("end") + F.length("after") - F.length(ended)).alias("base"),
+            without(ended, last, (F.length("after") > CONTEXT) | F.col("runs_into")).alias("text"),
+        ),
     )
-    sided = found.select("key", "kind", "hit", "copies", F.col("start").alias("from"), "end", F.explode(sides).alias("side"))
+    sided = found.select("key", "kind", "hit", "copies", F.explode(sides).alias("side"))
     cut = sided.select(
-        "key", "kind", "hit", "copies",
-        F.when(F.col("side.is_before"), F.col("from") - F.length("side.text")).otherwise(F.col("end")).alias("base"),
-        terms(F.col("side.text")).alias("words"),
-        F.split(F.col("side.text"), TERM, -1).alias("gaps"),
-    )
+        "key", "kind", "hit", "copies", "side.base", terms(F.col("side.text")).alias("words"), F.split(F.col("side.text"), TERM, -1).alias("gaps")
+    )
     # A context has at most CONTEXT words, so the sums before each of them are short.
     nth = F.explode(F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1)))
     each = cut.withColumn("nth", nth)
@@ -138,83 +159,112 @@ def near_terms(found: DataFrame) -> DataFrame:
     return placed.select("key", "kind", F.lower("word").alias("term"), "start", end, "hit", "copies")
 
 
-def telling(docs: DataFrame, near: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
-    """(kind, term, disclosed) of terms whose PMI / IC reaches ``least``."""
+def beside(near: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(kind, term, n_tk, n_k) of terms next to entities of a kind, in enough different texts."""
     places = near.groupBy("key", "kind", "term", "start").agg(F.max("copies").alias("copies"))
-    joint = places.groupBy("kind", "term").agg(F.sum("copies").alias("n_tk"))
-    backed = near.groupBy("kind", "term").agg(F.count_distinct("hit").alias("entities")).filter(F.col("entities") >= support)
-    of_kind = keep(places.groupBy("kind").agg(F.sum("copies").alias("n_k")))
-    asked = keep(joint.join(backed, ["kind", "term"]))
-    counts = term_counts(docs, keep(asked.select("term").distinct()))
-    n = docs.agg(F.sum(n_terms(F.col("text")))).first()[0] or 0
-    pmi = F.log2(F.lit(float(n)) * F.col("n_tk") / (F.col("n") * F.col("n_k")))
-    ic = F.log2(F.lit(float(n)) / F.col("n_k"))
-    known = asked.join(counts, "term").join(F.broadcast(of_kind), "kind")  # one row per kind
-    return known.select("kind", "term", F.when(ic > 0, pmi / ic).otherwise(0.0).alias("disclosed")).filter(F.col("disclosed") >= least)
-
-
-def different_terms(docs: DataFrame) -> DataFrame:
-    """(key, term): the lower-case terms of each text, once a document."""
-    lower = F.array_distinct(F.transform(terms(F.col("text")), F.lower))
-    # In one step with the explode, the digest of the text would be taken once for each term.
-    listed = docs.filter("text IS NOT NULL").select(F.md5("text").alias("key"), lower.alias("terms"))
-    return listed.select("key", F.explode("terms").alias("term"))
-
-
-def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
-    """(key, term, disclosed) of the terms that give a single entity away, in all texts that hold them."""
+    joint = places.groupBy("kind", "term").agg(F.sum("copies").alias("n_tk"), F.count_distinct("key").alias("texts"))
+    of_kind = keep(places.groupBy("kind").agg(F.sum("copies").alias("n_k")))  # one row per kind
+    return keep(joint.filter(F.col("texts") >= support).drop("texts").join(F.broadcast(of_kind), "kind"))
+
+
+def _disclosed(all_n: int, both: Column, own: Column, other: Column) -> Column:
+    """PMI / IC of two things seen in ``both`` of ``all_n`` cases, the other of which is to be kept secret."""
+    n = F.lit(float(all_n))
+    ic = F.log2(n / other)
+    return F.when(ic > 0, F.log2(n * both / (own * other)) / ic).otherwise(0.0)
+
+
+def within(docs: DataFrame, found: DataFrame, n_texts: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+    """(term, n_te, n_e) of terms that may give a single entity away, from the texts that hold one.
+
+    A term is in no fewer texts than in those listed here, so what cannot reach the threshold goes.
+    """
     digits = F.regexp_replace("hit", "[^0-9]", "")
     name = F.when(F.col("kind") == "email", F.lower("hit")).when(F.col("kind") == "ip", F.col("hit")).otherwise(digits)
     named = keep(found.select("key", F.concat_ws(":", "kind", name).alias("entity")).distinct())
     often = keep(named.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= support))
-    held = keep(named.join(small(often.select("entity")), "entity", "left_semi"))
-    n = docs.filter("text IS NOT NULL").select(F.md5("text").alias("key")).distinct().count()
-    inside = different_terms(docs).join(small(keep(held.select("key").distinct())), "key", "left_semi").distinct()
-    inside = store(inside, "terms-beside")
-    joint = inside.join(held, "key").groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support)
-    ic = F.log2(F.lit(float(n)) / F.col("n_e"))
-
-    def share(n_t: str) -> Column:
-        return F.when(ic > 0, F.log2(F.lit(float(n)) * F.col("n_te") / (F.col(n_t) * F.col("n_e"))) / ic).otherwise(0.0)
-
-    # A term is in no fewer texts than in those that hold such entities.
-    some = inside.groupBy("term").agg(F.count("*").alias("n_some"))
-    able = joint.join(small(often), "entity").join(some, "term").filter(share("n_some") >= least)
-    able = keep(able.select("term", "n_te", "n_e"))
-    places = keep(joined(different_terms(docs), keep(able.select("term").distinct()), "term", ["key", "term"]).distinct())
-    counts = places.groupBy("term").agg(F.count("*").alias("n"))
-    told = able.join(counts, "term").groupBy("term").agg(F.max(share("n")).alias("disclosed")).filter(F.col("disclosed") >= least)
-    return keep(places.join(small(keep(told)), "term"))
+    often = keep(often.withColumn("nth", F.monotonically_increasing_id()))
+    held = keep(named.join(small(often), "entity").select("key", "nth", "n_e"))
+    keys = keep(held.select("key").distinct())
+    keys = keep(keys.withColumn("place", F.monotonically_increasing_id()))
+    texts = docs.filter("text IS NOT NULL").select(digest(F.col("text")).alias("key"), "text").join(small(keys), "key")
+    once = texts.groupBy("place").agg(F.any_value("text").alias("text"))
+    lower = F.array_distinct(F.transform(terms(F.col("text")), F.lower)).alias("terms")
+    inside = store(once.select("place", lower).select("place", F.explode("terms").alias("term")), "terms-inside")
+    some = inside.groupBy("term").agg(F.count("*").alias("n_some")).filter(F.col("n_some") >= support)
+    held = keep(held.join(small(keys), "key").select("place", "nth", "n_e"))
+    joint = inside.join(small(held), "place").groupBy("nth", "n_e", "term").agg(F.count("*").alias("n_te"))
+    able = joint.filter(F.col("n_te") >= support).join(some, "term")
+    able = able.filter(_disclosed(n_texts, F.col("n_te"), F.col("n_some"), F.col("n_e")) >= least)
+    return keep(able.select("term", "n_te", "n_e").distinct())
+
+
+def searched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, term, n): occurrences of wanted terms, rows (term, by_text), per text where that is asked for."""
+    listed = docs.filter("text IS NOT NULL").select(digest(F.col("text")).alias("key"), F.transform(terms(F.col("text")), F.lower).alias("terms"))
+    each = listed.select("key", F.explode("terms").alias("term"))
+    parts = [
+        each.join(part, "term").select(F.when(F.col("by_text"), F.col("key")).alias("key"), "term")
+        for part in in_slices(wanted, wanted.count())
+    ]
+    return keep(reduce(DataFrame.unionByName, parts).groupBy("key", "term").agg(F.count("*").alias("n")))
+
+
+def telling(docs: DataFrame, found: DataFrame, near: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
+    """(kind, term, disclosed) of terms that tell of a kind, and (key, term, disclosed) of those that
+    give a single entity away, in all texts that hold them."""
+    size = docs.select(n_terms(F.col("text")).alias("n"), digest(F.col("text")).alias("key"))
+    n, n_texts = size.groupBy("key").agg(F.sum("n").alias("n")).agg(F.sum("n"), F.count("key")).first()
+    of_kind, of_entity = beside(near, support), within(docs, found, n_texts, support, least)
+    wanted = of_kind.select("term", F.lit(False).alias("by_text")).unionByName(of_entity.select("term", F.lit(True).alias("by_text")))
+    seen = searched(docs, keep(wanted.groupBy("term").agg(F.max("by_text").alias("by_text"))))
+    counts = seen.groupBy("term").agg(F.sum("n").alias("n"), F.count("key").alias("texts"))
+    kinds = of_kind.join(counts, "term").select("kind", "term", _disclosed(n or 0, F.col("n_tk"), F.col("n"), F.col("n_k")).alias("disclosed"))
+    ones = of_entity.join(counts, "term").select("term", _disclosed(n_texts, F.col("n_te"), F.col("texts"), F.col("n_e")).alias("disclosed"))
+    ones = keep(ones.groupBy("term").agg(F.max("disclosed").alias("disclosed")).filter(F.col("disclosed") >= least))
+    return keep(kinds.filter(F.col("disclosed") >= least)), keep(seen.filter("key IS NOT NULL").select("key", "term").join(small(ones), "term"))
 
 
 def occurrences(docs: DataFrame, told: DataFrame) -> DataFrame:
     """(key, start, end, disclosed) of each occurrence of the terms told, rows (key, term, disclosed)."""
-    keys = small(keep(told.select("key").distinct()))
-    texts = docs.filter("text IS NOT NULL").select(F.md5("text").alias("key"), "text").join(keys, "key", "left_semi")
+    asked = told.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosed"))).alias("told"))  # terms of one text
+    texts = docs.filter("text IS NOT NULL").select(digest(F.col("text")).alias("key"), "text").join(small(keep(asked)), "key")
+    once = texts.groupBy("key").agg(F.any_value("text").alias("text"), F.any_value("told").alias("told"))
     parts = F.arrays_zip(F.split("text", TERM, -1).alias("gap"), terms(F.col("text")).alias("word"))
-    each = texts.dropDuplicates(["key"]).select("key", F.posexplode(parts).alias("nth", "part")).select("key", "nth", "part.*")
-    passed = Window.partitionBy("key").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
-    length = F.length("word")
-    ended = each.filter("word IS NOT NULL").select(
-        "key", F.lower("word").alias("term"), length.alias("length"), F.sum(F.length("gap") + length).over(passed).alias("end")
-    )
-    return ended.join(told, ["key", "term"]).select("key", (F.col("end") - F.col("length")).alias("start"), "end", "disclosed")
+
+    def step(done: Column, part: Column) -> Column:
+        start = done["at"] + F.length(part["gap"])
+        end = start + F.coalesce(F.length(part["word"]), F.lit(0))
+        disclosed = F.try_element_at(F.col("told"), F.coalesce(F.lower(part["word"]), F.lit("")))
+        here = F.struct(start.alias("start"), end.alias("end"), disclosed.alias("disclosed"))
+        return F.struct(end.alias("at"), F.when(disclosed.isNull(), done["hits"]).otherwise(F.concat(done["hits"], F.array(here))).alias("hits"))
+
+    none = F.array().cast("array<struct<start:bigint,end:bigint,disclosed:double>>")
+    first = F.struct(F.lit(0).cast("long").alias("at"), none.alias("hits"))
+    hits = F.aggregate(parts, first, step, lambda done: done["hits"])
+    return once.select("key", F.explode(hits).alias("hit")).select("key", "hit.*")
 
 
 def spans(docs: DataFrame) -> DataFrame:
     """(key, kind, start, end, removed): entities, telling terms beside them, and terms that tell one of them."""
     base = keep(matches(docs))
     near = keep(near_terms(base))
-    told = keep(telling(docs, near))
+    of_kind, of_entity = telling(docs, base, near)
+    told = near.join(small(of_kind), ["kind", "term"]).select("key", "start", "end", "disclosed")
+    told = told.unionByName(occurrences(docs, of_entity)).groupBy("key", "start", "end").agg(F.max("disclosed").alias("disclosed"))
     entities = base.select("key", "kind", "start", "end", F.lit(True).alias("removed"))
-    beside = near.join(small(told), ["kind", "term"]).select("key", "start", "end", "disclosed")
-    beside = beside.unionByName(occurrences(docs, disclosing(docs, base)))
-    beside = beside.groupBy("key", "start", "end").agg(F.max("disclosed").alias("disclosed"))
-    overlaps = (F.col("e.key") == F.col("t.key")) & (F.col("e.start") < F.col("t.end")) & (F.col("t.start") < F.col("e.end"))
-    free = beside.alias("t").join(entities.alias("e"), overlaps, "left_anti")
-    return entities.unionByName(
-        free.select("key", F.lit("term").alias("kind"), "start", "end", (F.col("disclosed") >= REMOVE).alias("removed"))
+    terms_told = told.select("key", F.lit("term").alias("kind"), "start", "end", (F.col("disclosed") >= REMOVE).alias("removed"))
+    # A term overlaps an entity if one that begins no later ends after its start, or the next begins before its end.
+    is_term = F.col("kind") == "term"
+    order = Window.partitionBy("key").orderBy("start", is_term)
+    ahead = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    every = entities.unionByName(terms_told)
+    marked = every.withColumn("ended", F.max(F.when(~is_term, F.col("end"))).over(ahead)).withColumn(
+        "begins", F.min(F.when(~is_term, F.col("start"))).over(behind)
     )
+    apart = (F.coalesce("ended", F.lit(0)) <= F.col("start")) & (F.col("begins").isNull() | (F.col("begins") >= F.col("end")))
+    return marked.filter(~is_term | apart).select(every.columns)
 
 
 def listed(found: DataFrame) -> DataFrame:
@@ -234,7 +284,7 @@ def _count(found: Column, kind: str) -> Column:
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: numbers of entities, the digest of their spans, and all spans."""
     found = listed(spans(docs.select("text")))
-    rows = docs.select("doc_id", F.md5("text").alias("key")).join(found, "key", "left")
+    rows = docs.select("doc_id", digest(F.col("text")).alias("key")).join(found, "key", "left")
     every = F.coalesce("all", F.array().cast("array<struct<start:bigint,order:bigint,kind:string,end:bigint,removed:boolean>>"))
     return rows.select(
         "doc_id",
@@ -246,18 +296,20 @@ def report(docs: DataFrame) -> DataFrame:
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """The documents with their columns; entities are marked by kind, terms marked or removed."""
-    found = listed(spans(docs.select("text"))).select(F.col("key").alias("__key"), F.col("all").alias("__all"))
+    found = listed(spans(docs.select("text")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), digest(F.col("text")).alias("key")).join(found, "key", "left")
+    text = F.col("row.text")
 
     def replaced(done: Column, s: Column) -> Column:
         fresh = s["start"] >= done["at"]
         mark = F.when(s["kind"] != "term", F.concat(F.lit("<"), s["kind"], F.lit(">"))).when(s["removed"], "").otherwise("<term>")
-        between = F.col("text").substr((done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int"))
+        between = text.substr((done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int"))
         return F.struct(
             F.greatest(done["at"], s["end"]).alias("at"),
             F.when(fresh, F.concat(done["text"], between, mark)).otherwise(done["text"]).alias("text"),
         )
 
     first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("text"))
-    rest = lambda done: F.concat(done["text"], F.col("text").substr((done["at"] + 1).cast("int"), F.length("text")))
-    changed = F.when(F.col("__all").isNull(), F.col("text")).otherwise(F.aggregate("__all", first, replaced, rest))
-    return docs.join(found, F.md5("text") == F.col("__key"), "left").withColumn("text", changed).select(docs.columns)
+    rest = lambda done: F.concat(done["text"], text.substr((done["at"] + 1).cast("int"), F.length(text)))
+    changed = F.when(F.col("all").isNull(), text).otherwise(F.aggregate("all", first, replaced, rest))
+    return rows.select(*((changed if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns))
