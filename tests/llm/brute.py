@@ -147,7 +147,7 @@ def term_spans(texts: list[str], context: int, support: int, least: float) -> di
     """Spans of the terms that reveal personal data, by text."""
     copies, words = Counter(texts), {t: [(m.start(), m.end(), m[0].lower()) for m in LETTERS.finditer(t)] for t in texts}
     every = Counter(w for t in texts for *_, w in words[t])
-    holders = Counter(w for t in copies for w in {w for *_, w in words[t]})
+    holders = Counter(w for t in texts for w in {w for *_, w in words[t]})
 
     def disclosed(n, both, own, other):
         ic = math.log2(n / other)
@@ -177,8 +177,8 @@ def term_spans(texts: list[str], context: int, support: int, least: float) -> di
                         out[t].add((a, b))
     for held in entities.values():
         for w in {w for t in held for *_, w in words[t]}:
-            both = sum(any(x == w for *_, x in words[t]) for t in held)
-            if both >= support and disclosed(len(copies), both, holders[w], len(held)) >= least:
+            both = [t for t in held if any(x == w for *_, x in words[t])]
+            if len(both) >= support and disclosed(len(texts), sum(map(copies.get, both)), holders[w], sum(map(copies.get, held))) >= least:
                 for t in copies:
                     out[t] |= {(a, b) for a, b, x in words[t] if x == w}
     clear = {}

@@ -9,17 +9,17 @@ the kind, one that reaches ``GENERALISE`` is replaced by a mark. These estimates
 copies included; a term needs ``SUPPORT`` different texts in which it stands beside one, so copies
 of one text do not make its words telling.
 
-The same is asked of each entity by itself, over whole texts: of D different texts, n(e) hold the
-entity, n(t) the term and n(t, e) both, ``PMI = log2(D n(t, e) / (n(t) n(e)))``, ``IC = log2(D / n(e))``,
-and n(t, e) is at least ``SUPPORT``. Such a term gives the entity away wherever it stands, so all its
-occurrences are taken, in texts without the entity too. Emails are one entity in any case of letters,
-cards and phone numbers in any spacing.
+The same is asked of each entity by itself, over whole texts: of D documents, n(e) hold the entity,
+n(t) the term and n(t, e) both, ``PMI = log2(D n(t, e) / (n(t) n(e)))``, ``IC = log2(D / n(e))``, and
+at least ``SUPPORT`` different texts hold both. Such a term gives the entity away wherever it stands,
+so all its occurrences are taken, in texts without the entity too. Emails are one entity in any case
+of letters, cards and phone numbers in any spacing.
 
 Texts are named by a digest of 16 bytes, so that equal texts are searched for spans as one. The terms
 of whole texts are listed for texts that hold an entity often enough; from these come the terms that
-could reach a threshold, and the corpus is then searched once for those and the terms beside
-entities. Where they stand is counted along the words of each text, without a shuffle. All of it is
-DataFrame functions.
+could reach a threshold. Those, and the terms beside entities, are counted in the corpus, where each
+task sends one row a term; only texts that hold a term found to be telling are looked up. Where it
+stands is counted along the words of each text, without a shuffle. All of it is DataFrame functions.
 
 Cases: a null text is an empty one and has no spans; offsets are code points, ends exclusive; a term
 that is telling for several kinds counts once, removal before replacement; terms that overlap an
@@ -29,12 +29,10 @@ columns are not read, and ``sanitised`` carries them, whatever their names.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import TERM, in_slices, keep, n_terms, small, store, terms
+from tillroll.llm.base import TERM, joined, keep, n_terms, small, store, term_counts, terms
 
 CONTEXT = 80
 GENERALISE = 0.75
@@ -174,55 +172,52 @@ def _disclosed(all_n: int, both: Column, own: Column, other: Column) -> Column:
     return F.when(ic > 0, F.log2(n * both / (own * other)) / ic).otherwise(0.0)
 
 
-def within(docs: DataFrame, found: DataFrame, n_texts: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def within(docs: DataFrame, found: DataFrame, all_docs: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """(term, n_te, n_e) of terms that may give a single entity away, from the texts that hold one.
 
-    A term is in no fewer texts than in those listed here, so what cannot reach the threshold goes.
+    A term is in no fewer documents than in those listed here, so what cannot reach the threshold goes.
     """
     digits = F.regexp_replace("hit", "[^0-9]", "")
     name = F.when(F.col("kind") == "email", F.lower("hit")).when(F.col("kind") == "ip", F.col("hit")).otherwise(digits)
-    named = keep(found.select("key", F.concat_ws(":", "kind", name).alias("entity")).distinct())
-    often = keep(named.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= support))
-    often = keep(often.withColumn("nth", F.monotonically_increasing_id()))
-    held = keep(named.join(small(often), "entity").select("key", "nth", "n_e"))
-    keys = keep(held.select("key").distinct())
+    named = found.groupBy("key", F.concat_ws(":", "kind", name).alias("entity")).agg(F.max("copies").alias("copies"))
+    named = keep(named)
+    often = named.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("texts")).filter(F.col("texts") >= support)
+    often = keep(often.drop("texts").withColumn("nth", F.monotonically_increasing_id()))
+    held = keep(named.join(small(often), "entity").select("key", "copies", "nth", "n_e"))
+    keys = keep(held.groupBy("key").agg(F.max("copies").alias("copies")))
     keys = keep(keys.withColumn("place", F.monotonically_increasing_id()))
     texts = docs.filter("text IS NOT NULL").select(digest(F.col("text")).alias("key"), "text").join(small(keys), "key")
-    once = texts.groupBy("place").agg(F.any_value("text").alias("text"))
+    once = texts.groupBy("place", "copies").agg(F.any_value("text").alias("text"))
     lower = F.array_distinct(F.transform(terms(F.col("text")), F.lower)).alias("terms")
-    inside = store(once.select("place", lower).select("place", F.explode("terms").alias("term")), "terms-inside")
-    some = inside.groupBy("term").agg(F.count("*").alias("n_some")).filter(F.col("n_some") >= support)
-    held = keep(held.join(small(keys), "key").select("place", "nth", "n_e"))
-    joint = inside.join(small(held), "place").groupBy("nth", "n_e", "term").agg(F.count("*").alias("n_te"))
-    able = joint.filter(F.col("n_te") >= support).join(some, "term")
-    able = able.filter(_disclosed(n_texts, F.col("n_te"), F.col("n_some"), F.col("n_e")) >= least)
+    inside = store(once.select("place", "copies", lower).select("place", "copies", F.explode("terms").alias("term")), "terms-inside")
+    some = inside.groupBy("term").agg(F.sum("copies").alias("n_some"), F.count("*").alias("texts")).filter(F.col("texts") >= support)
+    held = keep(held.join(small(keys.select("key", "place")), "key").select("place", "nth", "n_e"))
+    joint = inside.join(small(held), "place").groupBy("nth", "n_e", "term").agg(F.sum("copies").alias("n_te"), F.count("*").alias("texts"))
+    able = joint.filter(F.col("texts") >= support).join(some.select("term", "n_some"), "term")
+    able = able.filter(_disclosed(all_docs, F.col("n_te"), F.col("n_some"), F.col("n_e")) >= least)
     return keep(able.select("term", "n_te", "n_e").distinct())
 
 
-def searched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, term, n): occurrences of wanted terms, rows (term, by_text), per text where that is asked for."""
-    listed = docs.filter("text IS NOT NULL").select(digest(F.col("text")).alias("key"), F.transform(terms(F.col("text")), F.lower).alias("terms"))
-    each = listed.select("key", F.explode("terms").alias("term"))
-    parts = [
-        each.join(part, "term").select(F.when(F.col("by_text"), F.col("key")).alias("key"), "term")
-        for part in in_slices(wanted, wanted.count())
-    ]
-    return keep(reduce(DataFrame.unionByName, parts).groupBy("key", "term").agg(F.count("*").alias("n")))
+def document_terms(docs: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (key, term) and what ``wanted`` has besides, each wanted term of a document once; the ``columns`` of it."""
+    lower = F.array_distinct(F.transform(terms(F.col("text")), F.lower))
+    # In one step with the explode, the digest of the text would be taken once for each term.
+    listed = docs.filter("text IS NOT NULL").select(digest(F.col("text")).alias("key"), lower.alias("terms"))
+    return joined(listed.select("key", F.explode("terms").alias("term")), wanted, "term", columns)
 
 
 def telling(docs: DataFrame, found: DataFrame, near: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
     """(kind, term, disclosed) of terms that tell of a kind, and (key, term, disclosed) of those that
     give a single entity away, in all texts that hold them."""
-    size = docs.select(n_terms(F.col("text")).alias("n"), digest(F.col("text")).alias("key"))
-    n, n_texts = size.groupBy("key").agg(F.sum("n").alias("n")).agg(F.sum("n"), F.count("key")).first()
-    of_kind, of_entity = beside(near, support), within(docs, found, n_texts, support, least)
-    wanted = of_kind.select("term", F.lit(False).alias("by_text")).unionByName(of_entity.select("term", F.lit(True).alias("by_text")))
-    seen = searched(docs, keep(wanted.groupBy("term").agg(F.max("by_text").alias("by_text"))))
-    counts = seen.groupBy("term").agg(F.sum("n").alias("n"), F.count("key").alias("texts"))
+    n, all_docs = docs.agg(F.sum(n_terms(F.col("text"))), F.count("text")).first()
+    of_kind, of_entity = beside(near, support), within(docs, found, all_docs, support, least)
+    counts = term_counts(docs, keep(of_kind.select("term").distinct()))
     kinds = of_kind.join(counts, "term").select("kind", "term", _disclosed(n or 0, F.col("n_tk"), F.col("n"), F.col("n_k")).alias("disclosed"))
-    ones = of_entity.join(counts, "term").select("term", _disclosed(n_texts, F.col("n_te"), F.col("texts"), F.col("n_e")).alias("disclosed"))
+    held = document_terms(docs, keep(of_entity.select("term").distinct()), ["term"]).groupBy("term").agg(F.count("*").alias("n_t"))
+    ones = of_entity.join(held, "term").select("term", _disclosed(all_docs, F.col("n_te"), F.col("n_t"), F.col("n_e")).alias("disclosed"))
     ones = keep(ones.groupBy("term").agg(F.max("disclosed").alias("disclosed")).filter(F.col("disclosed") >= least))
-    return keep(kinds.filter(F.col("disclosed") >= least)), keep(seen.filter("key IS NOT NULL").select("key", "term").join(small(ones), "term"))
+    places = document_terms(docs, ones, ["key", "term", "disclosed"]).distinct()
+    return keep(kinds.filter(F.col("disclosed") >= least)), keep(places)
 
 
 def occurrences(docs: DataFrame, told: DataFrame) -> DataFrame:
