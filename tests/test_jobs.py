@@ -12,7 +12,8 @@ import pytest
 from helpers import ADDR, CP, D, OL, OTHER, SB, assert_same_rows, bag, consumer, document
 from helpers import physical_plan, receipt, settings, txn
 from pyspark.sql import functions as F
-from tillroll.plans import jobs
+from tillroll.operators import key_filter
+from tillroll.plans import jobs, schemas
 from tillroll.plans import (
     Source,
     build_targets,
@@ -25,8 +26,8 @@ from tillroll.plans import (
 )
 from tillroll.registry.jobs import history_fact
 from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL
-from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage
-from tillroll.sources import read_staged
+from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage, stage_batch
+from tillroll.sources import dates_with_keys, read_staged
 
 
 @pytest.fixture
@@ -180,6 +181,59 @@ def test_sources_of_a_date_may_be_staged_one_by_one(spark, sources, folder):
     assert build_targets(spark, staging, warehouse, D)["RTL_TXN_FCT"].count() == 10
 
 
+def test_dates_without_a_key_of_the_batch_are_not_opened(spark, rows, folder):
+    staging, days = f"{folder}/staging", [datetime.date(2021, 6, 1) + datetime.timedelta(days=i) for i in range(12)]
+    schema = schemas.STAGED["OL"]
+    for i, day in enumerate(days):
+        ids = [f" 00{1000 * i + j}" if j % 2 else str(1000 * i + j) for j in range(200)] + ["x", None]
+        stage_sources({"OL": Source(lambda: rows([receipt(x) for x in ids], OL).drop("ins_dt"))}, staging, day)
+    asked = rows([txn(i) for i in (3005, 7100, 7101, 9999)], SB)
+    assert dates_with_keys(spark, f"{staging}/OL", asked, "App_Transaction_Id") == [str(days[3]), str(days[7])]
+    as_text = asked.withColumn("App_Transaction_Id", F.lit("x"))
+    assert dates_with_keys(spark, f"{staging}/OL", as_text, "App_Transaction_Id") == [str(d) for d in days]
+    none = asked.withColumn("App_Transaction_Id", F.lit(None).cast("bigint"))
+    assert dates_with_keys(spark, f"{staging}/OL", none, "App_Transaction_Id") == []
+    decimals = asked.withColumn("App_Transaction_Id", F.lit(1).cast("decimal(20,0)"))
+    assert dates_with_keys(spark, f"{staging}/OL", decimals, "App_Transaction_Id") is None
+    stage_batch(rows([receipt("1")], OL), f"{staging}/OL", days[0])  # no filter: always opened
+    found = dates_with_keys(spark, f"{staging}/OL", asked, "App_Transaction_Id")
+    assert found == [str(days[0]), str(days[3]), str(days[7])]
+    files = read_staged(spark, f"{staging}/OL", schema, dates=found).inputFiles()
+    assert {f.split("ins_dt=")[1][:10] for f in files} == set(found)
+
+
+def test_a_batch_reads_the_dates_that_may_hold_its_receipts(spark, rows, sources, folder, monkeypatch):
+    """The receipts of twenty dates, three of them with one for a transaction of the batch."""
+    warehouse, staging = PathWarehouse(f"{folder}/wh"), f"{folder}/staging"
+    for i in range(20):
+        frame = rows([receipt(str(j)) for j in ([i] if i < 3 else range(100 * i, 100 * i + 50))], OL).drop("ins_dt")
+        stage_sources({"OL": Source(lambda: frame)}, staging, datetime.date(2021, 6, 1 + i))
+    opened = []
+    read = jobs.read_staged
+
+    def watched(spark, path, schema=None, batch_column="ins_dt", dates=None):
+        opened.append((path[-2:], dates))
+        return read(spark, path, schema, batch_column, dates)
+
+    monkeypatch.setattr(jobs, "read_staged", watched)
+    only = {**sources, "OL": Source(lambda: rows([receipt("3")], OL).drop("ins_dt"))}
+    fact = bag(run_batch(spark, only, staging, warehouse, D)["RTL_TXN_FCT"].select("TXN_ID"))
+    assert fact == [("3",), ("4",), ("5",)]
+    dates = next(d for name, d in reversed(opened) if name == "OL")
+    assert dates == {"2021-06-01", "2021-06-02", "2021-06-03", str(D)}
+
+
+def test_filters_hold_their_keys_and_few_others(spark):
+    keys = spark.range(20_000).select((F.col("id") * 7).cast("string").alias("k"))
+    made = key_filter.key_filter(keys.union(keys), "k", 40_000).withColumn("d", F.lit("a")).cache()
+    size = 2 ** made.first()["size"]
+    assert 20_000 / 8 <= size <= 4 * 20_000 / 8 and made.count() <= size
+    held = key_filter.may_hold(made, keys.select(F.col("k").cast("bigint").alias("n")), "n")
+    assert held.count() == 20_000
+    others = spark.range(200_000).select((F.col("id") * 7 + 3).alias("n"))
+    assert key_filter.may_hold(made, others, "n").count() <= 5
+
+
 def test_a_staged_batch_without_rows_loads_empty_tables(spark, sources, folder):
     empty = {name: replace(s, read=lambda s=s: s.read().limit(0)) for name, s in sources.items()}
     loaded = run_batch(spark, empty, f"{folder}/staging", PathWarehouse(f"{folder}/wh"), D)

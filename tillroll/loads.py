@@ -14,6 +14,9 @@ from tillroll.session import list_folder, read_note, remove_folder, write_new_no
 #: The partition column that tells loads of a date apart.
 LOAD = "__load"
 
+#: Where filters of keys lie, below a staged path.
+KEYS = "_keys"
+
 _NAME = re.compile(r"(?P<key>.*)\.(?P<number>\d{8,})\.(?P<load>[^.]+)\.json")
 
 

@@ -20,13 +20,16 @@ from tillroll.plans.targets import child_dim, registration_dim, transaction_fact
 from tillroll.session import folder_exists, tuned
 from tillroll.sinks.staging import KEEP, publish, write_batch
 from tillroll.sinks.warehouse import Warehouse
-from tillroll.sources.files import read_staged
+from tillroll.sources.files import dates_with_keys, read_staged
 
 # The targets, dimensions first, and their keys. Dense keys split evenly.
 TARGETS = {"REGIS_DIM": "REGIS_KEY", "CHILD_DIM": "CHILD_KEY", "RTL_TXN_FCT": "RTL_TXN_KEY"}
 # The staged sources that the targets are built from.
 NEEDED = {"REGIS_DIM": ("CP", "ADDR"), "CHILD_DIM": ("CP",), "RTL_TXN_FCT": ("SB", "OL")}
 
+# Sources that other dates are looked up in, and the column they are looked up by.
+KEYED = {"OL": "SBLP_TRANSACTION_ID"}
+
 
 @dataclass(frozen=True)
 class Source:
@@ -61,7 +64,8 @@ def stage_sources(
         if source.struct is not None:
             df = flatten_struct(df, source.struct, source.fields)
         frames[name] = drop_columns(df, *source.drop)
-        written[name] = write_batch(frames[name], paths[name], day)
+        key = KEYED.get(name)
+        written[name] = write_batch(frames[name], paths[name], day, key=key if key in frames[name].columns else None)
     for name, load in written.items():
         publish(frames[name].sparkSession, load, others=mode == "dynamic")
     if written:
@@ -123,8 +127,9 @@ def build_targets(
     Dimensions come before the fact, which joins the registrations as read back from the
     warehouse, whether loaded now or earlier. The dimensions are those of the batch: staging
     keeps earlier dates, and a consumer taken once per date would multiply the fact. Receipts
-    are read on all dates, because a transaction whose receipts came in another batch is not
-    one without receipts.
+    are read on all dates that may hold one for a transaction of the batch, by the filters of keys
+    that staging left, because a transaction whose receipts came in another batch is not one
+    without receipts.
 
     Every source the targets need must have been staged on the date, be it empty, by a staging that
     came to its end, and with all its rows; otherwise nothing is loaded. Staged files are read by ``staged_schemas``, not by the footer of one of
@@ -138,8 +143,8 @@ def build_targets(
     needed = dict.fromkeys(name for target in targets for name in NEEDED[target])
     check_staged(spark, root, needed, day, staged_schemas)
 
-    def staged(name: str) -> DataFrame:
-        return read_staged(spark, f"{root}/{name}", staged_schemas.get(name))
+    def staged(name: str, dates: Collection[str] | None = (str(day),)) -> DataFrame:
+        return read_staged(spark, f"{root}/{name}", staged_schemas.get(name), dates=dates)
 
     def loaded(name: str) -> DataFrame:
         return warehouse.read(spark, name, split_on=TARGETS[name])
@@ -154,9 +159,11 @@ def build_targets(
             children = child_dim(staged("CP"), batch_date, buckets=buckets)
             warehouse.overwrite(children, "CHILD_DIM")
         if "RTL_TXN_FCT" in targets:
-            registrations = loaded("REGIS_DIM")
+            registrations, transactions = loaded("REGIS_DIM"), staged("SB")
+            held = dates_with_keys(spark, f"{root}/OL", transactions, "App_Transaction_Id")
+            receipts = staged("OL", None if held is None else {*held, str(day)})
             fact = transaction_fact(
-                staged("SB"), staged("OL"), registrations, batch_date, key=fact_key, buckets=buckets
+                transactions, receipts, registrations, batch_date, key=fact_key, buckets=buckets
             )
             warehouse.overwrite(fact, "RTL_TXN_FCT")
         return {name: loaded(name) for name in TARGETS if name in targets}

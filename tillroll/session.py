@@ -84,10 +84,11 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in store.listStatus(place)] if store.exists(place) else []
 
 
-def find_folders(spark: SparkSession, path: str, pattern: str, inside: str) -> list[str]:
-    """Names of the folders below a path that fit a pattern and hold an entry of a given name."""
-    place, store = _place(spark, f"{path}/{pattern}/{inside}")
-    return sorted(f.getPath().getParent().getName() for f in store.globStatus(place) or ())
+def find_folders(spark: SparkSession, path: str, pattern: str) -> list[tuple[str, str]]:
+    """Names of the folders two levels below a path that fit a pattern, with that they lie in."""
+    place, store = _place(spark, f"{path}/{pattern}")
+    found = (f.getPath() for f in store.globStatus(place) or ())
+    return sorted((p.getParent().getName(), p.getName()) for p in found)
 
 
 def drop_other_folders(spark: SparkSession, path: str, prefix: str, keep: Collection[str]) -> None:

@@ -16,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.loads import LOAD, LoadLog, load_folder
+from tillroll.loads import KEYS, LOAD, LoadLog, load_folder
+from tillroll.operators.key_filter import key_filter
 from tillroll.session import drop_other_folders, find_folders, remove_folder
 
 KEEP = 2
@@ -32,9 +33,10 @@ class Written:
     load: str
     rows: int
     columns: str
+    key: str | None = None
 
     def facts(self) -> dict[str, object]:
-        return {"load": self.load, "rows": self.rows, "columns": self.columns}
+        return {"load": self.load, "rows": self.rows, "columns": self.columns, "key": self.key}
 
 
 def write_batch(
@@ -43,14 +45,23 @@ def write_batch(
     batch_date: str | datetime.date,
     batch_column: str = "ins_dt",
     max_records_per_file: int = 0,
+    key: str | None = None,
 ) -> Written:
-    """Write ``df`` as a load of one date, whatever dates it held before, to be published later."""
+    """Write ``df`` as a load of one date, whatever dates it held before, to be published later.
+
+    With a ``key`` column a filter of its values is written beside, by which readers tell whether
+    the date may hold some keys without reading it.
+    """
     spark, day, load = df.sparkSession, datetime.date.fromisoformat(str(batch_date)), uuid.uuid4().hex
     rows = df.drop(batch_column)
     folder = load_folder(path, batch_column, str(day), load)
     rows.write.option("maxRecordsPerFile", max_records_per_file).parquet(folder)
     n = spark.read.schema(rows.schema).parquet(folder).count()  # from the footers
-    return Written(path.rstrip("/"), batch_column, str(day), load, n, rows.schema.simpleString())
+    written = Written(path.rstrip("/"), batch_column, str(day), load, n, rows.schema.simpleString(), key)
+    if key is not None:
+        kept = key_filter(spark.read.schema(rows.schema).parquet(folder), key, n)
+        kept.write.parquet(load_folder(f"{written.path}/{KEYS}", batch_column, str(day), load))
+    return written
 
 
 def publish(spark: SparkSession, written: Written, others: bool = True) -> None:
@@ -58,7 +69,8 @@ def publish(spark: SparkSession, written: Written, others: bool = True) -> None:
     log = LoadLog(spark, written.path)
     log.add(written.date, written.load, written.facts())
     kept = {f"{LOAD}={load}" for load in log.trim(written.date, KEEP)}
-    drop_other_folders(spark, f"{written.path}/{written.batch_column}={written.date}", f"{LOAD}=", kept)
+    for base in (written.path, f"{written.path}/{KEYS}"):
+        drop_other_folders(spark, f"{base}/{written.batch_column}={written.date}", f"{LOAD}=", kept)
     if not others:
         _drop_dates(spark, written.path, written.batch_column, log.loads().keys() - {written.date})
 
@@ -67,7 +79,8 @@ def _drop_dates(spark: SparkSession, path: str, batch_column: str, dates: Iterab
     log = LoadLog(spark, path)
     for date in dates:
         log.drop(date)
-        remove_folder(spark, f"{path}/{batch_column}={date}")
+        for base in (path, f"{path}/{KEYS}"):
+            remove_folder(spark, f"{base}/{batch_column}={date}")
 
 
 def stage_batch(
@@ -115,7 +128,7 @@ def stage(
         .parquet(path)
     )
     columns, log = df.drop(batch_column).schema, LoadLog(spark, path)
-    dates = [folder.split("=", 1)[1] for folder in find_folders(spark, path, f"{batch_column}=*", f"{LOAD}={load}")]
+    dates = [folder.split("=", 1)[1] for folder, _ in find_folders(spark, path, f"{batch_column}=*/{LOAD}={load}")]
     for date in dates:
         n = spark.read.schema(columns).parquet(load_folder(path, batch_column, date, load)).count()
         publish(spark, Written(path, batch_column, date, load, n, columns.simpleString()))

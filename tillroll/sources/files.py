@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.loads import LOAD, LoadLog, load_folder
+from tillroll.loads import KEYS, LOAD, LoadLog, load_folder
+from tillroll.operators.key_filter import FILTER, comparable, may_hold
+from tillroll.session import find_folders
 
 
 def text_schema(names: Sequence[str]) -> T.StructType:
@@ -104,3 +106,26 @@ def read_staged(
     if schema is not None:
         reader = reader.schema(T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())]))
     return reader.parquet(*folders).drop(LOAD)
+
+
+def dates_with_keys(
+    spark: SparkSession, path: str, df: DataFrame, column: str, batch_column: str = "ins_dt"
+) -> list[str] | None:
+    """The staged dates that may hold a key of ``df``, by the filters written with them; None for all.
+
+    Dates staged without a filter are among them. False positives cost reads, never rows. The filters
+    are small beside the key column, and only lines of the keys' blocks are joined.
+    """
+    if not comparable(df.schema[column].dataType):
+        return None
+    path = path.rstrip("/")
+    current = LoadLog(spark, path).current()
+    kept = set(find_folders(spark, f"{path}/{KEYS}", f"{batch_column}=*/{LOAD}=*"))
+    filtered = sorted(d for d, load in current.items() if (f"{batch_column}={d}", f"{LOAD}={load.load}") in kept)
+    if not filtered:
+        return None
+    folders = [load_folder(f"{path}/{KEYS}", batch_column, date, current[date].load) for date in filtered]
+    schema = T.StructType([*FILTER.fields, T.StructField(batch_column, T.StringType()), T.StructField(LOAD, T.StringType())])
+    filters = spark.read.option("basePath", f"{path}/{KEYS}").schema(schema).parquet(*folders)
+    found = {row[0] for row in may_hold(filters, df, column).select(batch_column).distinct().collect()}
+    return sorted(found | (current.keys() - set(filtered)))
