@@ -16,7 +16,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 
-from tillroll.llm import byte_bpe, collocations, divergence, sanitise
+from tillroll.llm import byte_bpe, collocations, divergence, langid, sanitise
 from tillroll.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -369,3 +369,32 @@ def test_sanitised_rows_with_any_names(spark):
     docs = spark.createDataFrame([(1, "a b@c.de f", "x", 2)], "key long, text string, all string, row int")
     out = sanitise.sanitised(docs)
     assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(1, "a <email> f", "x", 2)]
+
+
+# --- languages
+
+
+def test_texts_in_several_languages_stay(spark):
+    import corpus_pipeline
+
+    r = random.Random(9)
+    words = {"en": "the of and water river", "de": "der und wasser fluss nicht", "fr": "le des eau rivière pas"}
+    plain = [(i, " ".join(r.choices(words[l].split(), k=40)), l, "s", 1) for i, l in enumerate(r.choices(list(words), k=120))]
+    mixed = [(1000 + i, " ".join(r.choices(sum((words[l].split() for l in ls), []), k=60)), None, "s", 1) for i, ls in enumerate([("en", "de"), ("de", "fr"), ("en", "de", "fr")] * 5)]
+    none = [(2000, None, "en", "s", 1), (2001, "", "en", "s", 1), (2002, "12 ... 34", "de", "s", 1)]
+    docs = spark.createDataFrame(plain + mixed + none, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.known_language(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(x["doc_id"] for x in kept.collect()) == sorted(x[0] for x in plain + mixed)
+
+
+def test_the_sample_of_languages_is_the_first_by_hash(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"word{i} other words", "en" if i % 10 else "fr") for i in range(9_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hashes = {x["doc_id"]: x["h"] for x in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    found = langid.sample(docs, 600).collect()
+    for lang in ("en", "fr"):
+        own = sorted((hashes[i], i, t) for i, t, l in rows if l == lang)[:300]
+        assert sorted(bytes(x["chain"]).decode() for x in found if x["lang"] == lang) == sorted(t for *_, t in own)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import map_batches, small
+from tillroll.llm.base import keep, map_batches, small
 from tillroll.llm.kernels import BLANK, Words, chunks, mixed, rows_of
 
 SLOTS_LOG = 18
@@ -163,9 +163,15 @@ def learn(texts: list[bytes], labels: list[str]) -> Field:
 def sample(labelled: DataFrame, rows: int = SAMPLE) -> DataFrame:
     """(lang, chain) of a bounded number of labelled documents (doc_id, text, lang)."""
     usable = labelled.filter("text IS NOT NULL AND lang IS NOT NULL")
-    each = max(1, rows // max(1, usable.select("lang").distinct().count()))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("__rank", F.row_number().over(by_hash)).filter(F.col("__rank") <= each)
+    counts = keep(usable.groupBy("lang").agg(F.count("*").alias("__n")))
+    each = max(1, rows // max(1, counts.count()))
+    # Only rows that are likely to be among the first of their language are ranked, so that no task
+    # gathers them from all the others: twice as many as asked for, and a few.
+    by_hash = F.xxhash64("doc_id")
+    ahead = (by_hash.cast("double") + 2.0**63) / 2.0**64 < (2 * each + 100) / F.col("__n")
+    ranked = Window.partitionBy("lang").orderBy(by_hash, "doc_id")
+    ids = usable.select("doc_id", "lang").join(small(counts), "lang").filter(ahead).drop("__n")
+    ids = ids.withColumn("__rank", F.row_number().over(ranked)).filter(F.col("__rank") <= each)
     picked = usable.join(small(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,19 +250,15 @@ def languages(docs: DataFrame) -> DataFrame:
     return predicted(rows, fit(rows.filter("NOT held_out")), ["doc_id", "held_out"])
 
 
-#: Least score of a text whose language is taken as known: texts in two languages have one.
-CERTAIN = 0.4
+def identified(docs: DataFrame) -> DataFrame:
+    """The documents in which a language is found, with the columns they came with.
 
-
-def identified(docs: DataFrame, least: float = CERTAIN) -> DataFrame:
-    """The documents whose language is found with at least the score, with the columns they came with.
-
-    Learned from the documents themselves, less those held out.
+    Learned from the documents themselves, less those held out. What goes is null, empty or without
+    letters; texts in several languages stay, however their words divide between them.
     """
     rows = docs.select("doc_id", "text", "lang").withColumn("__out", held_out(F.col("doc_id")))
     field = fit(rows.filter("NOT __out"))
     names = [f"__c{i}" for i in range(len(docs.columns))]
     renamed = docs.toDF(*names)
     text = names[[c.lower() for c in docs.columns].index("text")]
-    found = predicted(renamed, field, names, text)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(names).toDF(*docs.columns)
+    return predicted(renamed, field, names, text).filter(F.col("lang_pred") != "und").select(names).toDF(*docs.columns)
