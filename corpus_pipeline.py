@@ -14,7 +14,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or in no language with any certainty, go."""
+    """Documents without letters, which are in no language, go."""
     return langid.identified(docs)
 
 
