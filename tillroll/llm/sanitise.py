@@ -221,10 +221,12 @@ def telling(docs: DataFrame, found: DataFrame, near: DataFrame, support: int = S
 
 
 def occurrences(docs: DataFrame, told: DataFrame) -> DataFrame:
-    """(key, start, end, disclosed) of each occurrence of the terms told, rows (key, term, disclosed)."""
+    """(key, start, end, disclosed) of each occurrence of the terms told, rows (key, term, disclosed).
+
+    Copies of a text are searched each by itself and give equal rows, so no text is shuffled.
+    """
     asked = told.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosed"))).alias("told"))  # terms of one text
     texts = docs.filter("text IS NOT NULL").select(digest(F.col("text")).alias("key"), "text").join(small(keep(asked)), "key")
-    once = texts.groupBy("key").agg(F.any_value("text").alias("text"), F.any_value("told").alias("told"))
     parts = F.arrays_zip(F.split("text", TERM, -1).alias("gap"), terms(F.col("text")).alias("word"))
 
     def step(done: Column, part: Column) -> Column:
@@ -237,7 +239,7 @@ def occurrences(docs: DataFrame, told: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<start:bigint,end:bigint,disclosed:double>>")
     first = F.struct(F.lit(0).cast("long").alias("at"), none.alias("hits"))
     hits = F.aggregate(parts, first, step, lambda done: done["hits"])
-    return once.select("key", F.explode(hits).alias("hit")).select("key", "hit.*")
+    return texts.select("key", F.explode(hits).alias("hit")).select("key", "hit.*")
 
 
 def spans(docs: DataFrame) -> DataFrame:
