@@ -337,9 +337,12 @@ def test_spelling_models_give_distributions(spark):
     r = random.Random(61)
     plain = ["".join(r.choices("abcde", k=r.randrange(1, 6))) for _ in range(200)]
     rows = [(int(i % 5 == 0), int(i % 4 == 0), " ".join(r.choices(plain, k=20) + (["vile"] if i % 5 == 0 else []))) for i in range(100)]
-    models, _ = toxicity.fit(spark.createDataFrame(rows, "toxic int, calibrates int, text string"))
-    value = models.values(pa.array(["abc de", "abc vile de", "", None]))
-    assert value[1] > 0.3 > value[0] and value[2] == value[3] == 0
+    labelled = spark.createDataFrame(rows, "toxic int, calibrates int, text string")
+    asked = spark.createDataFrame([("abc de",), ("abc vile de",), ("",), (None,)], "text string")
+    found, _, both = toxicity.fit(labelled)
+    value = [x["value"] for x in toxicity.valued(asked.coalesce(1), found).collect()]
+    assert both and len(found) == 1 and value[1] > 0.3 > value[0] and value[2] == value[3] == 0
+    models = found[0]
     # What the longest context and the shared ones give all symbols after "a" sums to one.
     symbols = np.arange(258) + 1
     for context in ((toxicity._START + 1) << 9, (98 << 9) | ((toxicity._START + 1) << 18)):
@@ -348,9 +351,9 @@ def test_spelling_models_give_distributions(spark):
         n = 1 if context < 1 << 18 else 2
         for length in range(n):
             own = toxicity.cut(gram, length)
-            at = toxicity.slot(own >> 9)
-            kept = np.maximum(models.follows[toxicity.slot(own)] - 0.75, 0) + 0.75 * models.kinds[at] * shared
-            shared = np.where(models.all_follow[at] > 0, kept / np.maximum(models.all_follow[at], 1), shared)
+            seen, kinds = models.after[own >> 9].T
+            kept = np.maximum(models.follows[own][:, 0] - 0.75, 0) + 0.75 * kinds * shared
+            shared = np.where(seen > 0, kept / np.maximum(seen, 1), shared)
         assert abs(shared.sum() - 1) < 1e-4
 
 

@@ -1,0 +1,169 @@
+"""The language models of toxic texts and of urls against plain ones, and in slices."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import brute
+import numpy as np
+import pytest
+
+from tillroll.llm import grams, toxicity, url_filter
+from tillroll.llm.queries import QUERIES
+
+START = ("start",)
+
+
+def plain_kneser_ney(texts):
+    """P(word | class) of class-conditional models of order 5 with shared lower orders."""
+    top, followers = (Counter(), Counter()), set()
+
+    def spelled(word):
+        row = [START, *word.lower().encode(), "end"]
+        for i in range(1, len(row)):
+            yield tuple(row[max(0, i - toxicity.ORDER) : i + 1])
+
+    for kind, text in texts:
+        for word in brute.LETTERS.findall(text):
+            for gram in spelled(word.translate(brute.LOWER)):
+                top[kind][gram] += 1
+                for cut in range(len(gram) - 1):
+                    followers.add(gram[cut:])
+    follows = Counter(gram[1:] for gram in followers if len(gram) > 1)
+    after, kinds = Counter(), Counter()
+    for gram, n in follows.items():
+        after[gram[:-1]] += n
+        kinds[gram[:-1]] += 1
+    sums, freed = (Counter(), Counter()), (Counter(), Counter())
+    for kind in (0, 1):
+        for gram, n in top[kind].items():
+            sums[kind][gram[:-1]] += n
+            freed[kind][gram[:-1]] += min(n, toxicity.DISCOUNT)
+
+    def value(word):
+        total = 0.0
+        for gram in spelled(word.translate(brute.LOWER)):
+            shared = 1 / 258
+            for n in range(min(len(gram) - 1, toxicity.ORDER)):
+                own = gram[len(gram) - 1 - n :]
+                if after[own[:-1]]:
+                    shared = (max(follows[own] - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * kinds[own[:-1]] * shared) / after[own[:-1]]
+            p = [
+                (max(top[k][gram] - toxicity.DISCOUNT, 0) + freed[k][gram[:-1]] * shared) / sums[k][gram[:-1]] if sums[k][gram[:-1]] else shared
+                for k in (0, 1)
+            ]
+            total += math.log(p[1]) - math.log(p[0])
+        return total
+
+    return value
+
+
+def labelled_texts(n=90, seed=17):
+    r = random.Random(seed)
+    words = ["".join(r.choices("abcdeé", k=r.randrange(1, 8))) for _ in range(120)]
+    for i in range(n):
+        yield int(i % 4 == 0), " ".join(r.choices(words, k=r.randrange(1, 30)) + ["Vilest"] * (i % 4 == 0))
+
+
+@pytest.mark.parametrize("size", [10**6, 200])
+def test_values_of_texts_are_those_of_plain_models(spark, size):
+    rows = list(labelled_texts())
+    asked = [t for _, t in rows[:40]] + ["", "one", "vilest", None, "x" * 50, "vilest " * 30 + "abc " * 40]
+    value = plain_kneser_ney(rows)
+    want = []
+    for text in asked:
+        each = [value(w) for w in brute.LETTERS.findall(text or "")]
+        width = min(len(each), toxicity.STRETCH)
+        want.append(max((sum(each[i : i + width]) / width for i in range(len(each) - width + 1)), default=0.0) if each else 0.0)
+    labelled = spark.createDataFrame([(k, 0, t) for k, t in rows], "toxic int, calibrates int, text string")
+    models, rest, both = toxicity.fit(labelled, size)
+    assert both and len(models) == len(rest) and (len(models) > 1) == (size == 200)
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    for found in (models, rest):
+        got = {x["doc_id"]: x["value"] for x in toxicity.valued(docs.repartition(3), found).collect()}
+        assert np.allclose([got[i] for i in range(len(asked))], want, atol=1e-4)
+
+
+def test_a_passage_has_its_value_wherever_it_stands(spark):
+    rows = list(labelled_texts())
+    models = toxicity.fit(spark.createDataFrame([(k, 0, t) for k, t in rows], "toxic int, calibrates int, text string"))[0]
+    docs = [(i, "abc " * i + "vilest " * 8 + "abc " * (40 - i)) for i in range(12)]
+    got = [x["value"] for x in toxicity.valued(spark.createDataFrame(docs, "doc_id long, text string"), models).collect()]
+    assert max(got) - min(got) < 1e-6
+
+
+def test_toxic_scores_of_documents_that_were_held_out(spark):
+    found = {r["doc_id"]: r for r in QUERIES["op9_toxicity"](spark, "/root/testdata/sf0.01").collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    out = [(found[i]["score"], t) for i, t in labels.items() if i in found and found[i]["held_out"]]
+    toxic, other = ([s for s, t in out if t == k] for k in (1, 0))
+    assert len(toxic) > 3 and len(other) > 30
+    assert sum((a > b) + (a == b) / 2 for a in toxic for b in other) / (len(toxic) * len(other)) > 0.75
+
+
+def plain_witten_bell(urls):
+    """log P(url) per class, each byte after up to four before it and one mark ahead of the first."""
+    counts, successors = (Counter(), Counter()), ({}, {})
+
+    def spelled(url):
+        row = [START, *url.encode()]
+        for i in range(1, len(row)):
+            yield [tuple(row[i - n : i + 1]) for n in range(min(i, url_filter.ORDER - 1) + 1)]
+
+    for kind, url in urls:
+        for orders in spelled(url):
+            for gram in orders:
+                counts[kind][gram] += 1
+                successors[kind].setdefault(gram[:-1], set()).add(gram[-1])
+    sums = (Counter(), Counter())
+    for kind in (0, 1):
+        for gram, n in counts[kind].items():
+            sums[kind][gram[:-1]] += n
+
+    def log(kind, url):
+        total = 0.0
+        for orders in spelled(url):
+            p = 1 / 256
+            for gram in orders:
+                seen, kinds = sums[kind][gram[:-1]], len(successors[kind].get(gram[:-1], ()))
+                p = (counts[kind][gram] + kinds * p) / (seen + kinds) if seen else p
+            total += math.log(p)
+        return total
+
+    return log
+
+
+@pytest.mark.parametrize("size", [10**6, 100])
+def test_scores_of_urls_are_those_of_plain_models(spark, size):
+    r = random.Random(5)
+    urls = [(k, f"http://{r.choice(('news', 'wiki') if k else ('spin', 'luck'))}{r.randrange(40)}.org/é/{r.randrange(999)}") for k in r.choices((0, 1), k=150)]
+    asked = [u for _, u in urls[:40]] + ["", "x", "http://other.net/", "http://spin1.org/" + "y" * 300]
+    log = plain_witten_bell(urls)
+    models, both = url_filter.fit(spark.createDataFrame(urls, "kind int, url string"), size)
+    assert both and (len(models) > 1) == (size == 100)
+    frame = spark.createDataFrame(list(enumerate(asked)), "n int, url string").repartition(3)
+    got = {x["n"]: x["score"] for x in url_filter.differences(frame, models).collect()}
+    want = [(log(1, u) - log(0, u)) / max(1, len(u.encode())) for u in asked]
+    assert np.allclose([got[i] for i in range(len(asked))], want, atol=1e-5)
+
+
+def test_tables_hold_what_was_put_in_them():
+    r = np.random.default_rng(3)
+    for n in (0, 1, 5, 3_000):
+        keys = np.unique(r.integers(0, 1 << 45, n))
+        table = grams.Table(keys, np.stack([keys % 1000, keys % 7], 1).astype(float).reshape(len(keys), 2))
+        assert len(table) == len(keys)
+        asked = np.concatenate([keys, r.integers(1 << 45, 1 << 46, 500)])
+        rows = table[asked]
+        assert (rows[: len(keys)] == np.stack([keys % 1000, keys % 7], 1).reshape(-1, 2)).all() and not rows[len(keys) :].any()
+
+
+def test_urls_in_any_order_and_very_long_ones(spark):
+    rows = [(i, f"http://{'news' if i % 2 else 'spin'}{i % 50}.{'com' if i % 2 else 'net'}/{'a' if i % 2 else 'es'}/{i}") for i in range(200)]
+    rows += [(1000 + i, "http://hot.org/x") for i in range(300)] + [(2000, "http://a.org/" + "z" * 100_000), (2001, None), (2001, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    plain = lambda found: sorted(str(tuple(x)) for x in found.collect())
+    first = plain(url_filter.verdicts(pages))
+    assert len(first) == len(rows) and first == plain(url_filter.verdicts(pages.repartition(7, "page_id")))

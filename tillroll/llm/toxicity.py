@@ -7,13 +7,13 @@ distributions are shared: there, a byte counts as often as it follows different
 either class. So a rare spelling is about as likely in both, and what tells them apart is what one
 class has often and the other has not.
 
-Per word, the difference of the two log-likelihoods is summed over stretches of ``STRETCH`` words
-and divided by that length, the same for all texts; a text has the value of its most toxic stretch.
-A logistic curve turns values into scores. It is fitted on every fourth labelled text, which the
+Per word, the difference of the two log-likelihoods is averaged over each ``STRETCH`` words in a row,
+wherever they begin, or over all words of a text that has fewer; a text has the value of its most
+toxic stretch. A logistic curve turns values into scores. It is fitted on every fourth labelled text, which the
 models it is fitted for have not seen; the final models count all labelled texts.
 
-Counts cover all labelled texts and are summed by Spark. The models are then held in tables of
-``SLOTS`` places by hash, whatever the size of the corpus; spellings that share a place share counts.
+Counts cover all labelled texts, are summed by Spark, and are exact. They grow with the corpus: tasks
+hold them in slices of a bounded size (``grams``), each of which gives its part of every word.
 
 Cases: a text without words, or null, has the value 0, and the score that belongs to it; a labelled
 id without text teaches nothing; an id labelled both ways counts for both; without labelled texts
@@ -30,20 +30,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import keep, map_batches, small
-from tillroll.llm.kernels import Words, chunks, mixed, rows_of
+from tillroll.llm.base import keep, map_batches, small, store
+from tillroll.llm.grams import BITS, SLICE, Table, in_slice, ours, slice_numbers, table_of
+from tillroll.llm.kernels import Words, chunks, rows_of
 
 ORDER = 4
 STRETCH = 8
 DISCOUNT = 0.75
-SLOTS_LOG = 20
 BINS = 2000
 #: Values beyond this many nats a word are put in the outermost bins of the calibration.
 SPAN = 10.0
 #: The curve rises at least so much a nat, however few texts calibrate it.
 LEAST_SLOPE = 0.5
 
-_BITS = 9
 _END, _START = 256, 257
 _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -67,65 +66,72 @@ def spelled(words: Words, data: np.ndarray, which: np.ndarray) -> tuple[np.ndarr
         before = np.zeros(len(word), np.int64)
         before[back:] = np.where(place[back:] >= back, symbol[: max(0, len(word) - back)] + 1, 0)
         before[place == back - 1] = _START + 1
-        gram = gram | before << (_BITS * back)
+        gram = gram | before << (BITS * back)
     return gram, np.minimum(place + 1, ORDER), word
 
 
 def cut(gram: np.ndarray, length: int) -> np.ndarray:
     """A gram with its context shortened to so many symbols."""
-    return gram & ((1 << _BITS * (length + 1)) - 1)
-
-
-def slot(gram: np.ndarray) -> np.ndarray:
-    return (mixed(gram.astype(np.uint64) + np.uint64(1)) >> np.uint64(64 - SLOTS_LOG)).astype(np.int64)
+    return gram & ((1 << BITS * (length + 1)) - 1)
 
 
 @dataclass
 class Models:
-    """Tables by place: shared successors, and counts of both classes."""
+    """One slice of the counts of both classes; ``of`` is the column of each class in the tables."""
 
-    follows: np.ndarray  # different longer contexts of a gram
-    all_follow: np.ndarray  # the same, summed over the successors of a context
-    kinds: np.ndarray  # different successors of a context
-    gram: np.ndarray  # [class] counts at the longest context
-    context: np.ndarray  # [class] their sums by context
-    freed: np.ndarray  # [class] what the discount takes off them
+    grams: Table  # counts at the longest context, by class
+    contexts: Table  # their sums by context, and what the discount takes off them
+    follows: Table  # different longer contexts of a gram
+    after: Table  # the same summed over the successors of a context, and how many successors
+    of: tuple[int, int]
+    nth: int
+    numbers: Table | None
 
     def differences(self, words: Words, data: np.ndarray) -> np.ndarray:
-        """Log-likelihood of each word as toxic less that as ordinary."""
+        """What the slice adds to the log-likelihood of each word as toxic less that as ordinary."""
         _, first, same = np.unique(words.hash, return_index=True, return_inverse=True)
         gram, length, word = spelled(words, data, first)
+        own = ours(gram >> BITS, self.nth, self.numbers)
+        gram, length, word = gram[own], length[own], word[own]
         shared = np.full(len(gram), 1 / 258)
         for n in range(ORDER):
             at = np.flatnonzero(length > n)
-            own = cut(gram[at], n)
-            seen, context = self.all_follow[slot(own >> _BITS)], slot(own >> _BITS)
-            kept = np.maximum(self.follows[slot(own)] - DISCOUNT, 0) + DISCOUNT * self.kinds[context] * shared[at]
+            cut_to = cut(gram[at], n)
+            seen, kinds = self.after[cut_to >> BITS].T
+            kept = np.maximum(self.follows[cut_to][:, 0] - DISCOUNT, 0) + DISCOUNT * kinds * shared[at]
             shared[at] = np.where(seen > 0, kept / np.maximum(seen, 1), shared[at])
-        place, context = slot(gram), slot(gram >> _BITS)
+        counts, context = self.grams[gram], self.contexts[gram >> BITS]
         log = []
-        for kind in (0, 1):
-            seen = self.context[kind][context]
-            kept = np.maximum(self.gram[kind][place] - DISCOUNT, 0) + self.freed[kind][context] * shared
-            log.append(np.log(np.clip(np.where(seen > 0, kept / np.maximum(seen, 1), shared), 1e-12, 1)))
+        for kind in self.of:
+            seen, freed = context[:, kind], context[:, kind + self.grams.values.shape[1]]
+            kept = np.maximum(counts[:, kind] - DISCOUNT, 0) + freed * shared
+            log.append(np.log(np.where(seen > 0, kept / np.maximum(seen, 1), shared)))
         return np.bincount(word, log[1] - log[0], len(first))[same]
 
-    def values(self, texts: pa.Array) -> np.ndarray:
-        """The value of the most toxic stretch of each text."""
-        out = np.zeros(len(texts))
+    def add(self, texts: pa.Array, before: pa.Array | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(sums of each word, offsets of rows) of some texts at a time, with those of slices before."""
         for lo, hi, data, offsets in chunks(texts, 1 << 19):
             words = Words(data, offsets, _SEPARATOR)
-            if not len(words.start):
-                continue
-            counts = np.diff(words.offsets)
-            stretches = -(-counts // STRETCH)
-            begin = np.cumsum(stretches) - stretches
-            row = np.repeat(np.arange(hi - lo), stretches)
-            starts = words.offsets[:-1][row] + (np.arange(len(row)) - begin[row]) * STRETCH
-            sums = np.add.reduceat(self.differences(words, data), starts) / STRETCH
-            has = counts > 0
-            out[lo:hi][has] = np.maximum.reduceat(sums, begin[has])
-        return out
+            found = self.differences(words, data) if len(words.start) else np.zeros(0)
+            if before is not None:
+                found = found + np.frombuffer(b"".join(before.slice(lo, hi - lo).to_pylist()), np.float64)
+            yield found, words.offsets
+
+
+def most(sums: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The highest mean of STRETCH words in a row of each text, of all words where there are fewer; 0 without."""
+    total = np.concatenate([[0.0], np.cumsum(sums)])
+    counts = np.diff(offsets)
+    width = np.minimum(counts, STRETCH)
+    n = np.where(counts > 0, counts - width + 1, 0)
+    row = rows_of(np.concatenate([[0], np.cumsum(n)]))
+    at = offsets[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    means = (total[at + width[row]] - total[at]) / np.maximum(width[row], 1)
+    out = np.zeros(len(counts))
+    has = n > 0
+    if has.any():
+        out[has] = np.maximum.reduceat(means, (np.cumsum(n) - n)[has])
+    return np.round(out, 9)  # the running total depends on the texts before
 
 
 def count_spellings(labelled: DataFrame) -> DataFrame:
@@ -155,74 +161,72 @@ def count_spellings(labelled: DataFrame) -> DataFrame:
     return parts.groupBy("gram").agg(*sums)
 
 
-def by_place(rows: DataFrame, key: str) -> pa.Table:
-    """Sums of all other columns by the place of a gram; at most SLOTS rows."""
-    names = [c for c in rows.columns if c != key]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = slot(batch.column(0).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(place), *batch.columns[1:]], ["place", *names])
-
-    placed = rows.select(key, *(F.col(c).cast("double") for c in names)).mapInArrow(
-        run, ", ".join(["place long", *(f"{c} double" for c in names)])
-    )
-    return placed.groupBy("place").agg(*(F.sum(c).alias(c) for c in names)).toArrow()
-
-
-def tables(found: pa.Table) -> dict[str, np.ndarray]:
-    out = {}
-    for name in found.column_names[1:]:
-        out[name] = np.zeros(1 << SLOTS_LOG, np.float32)
-        out[name][found["place"].to_numpy()] = found[name].to_numpy()
-    return out
+def fit(labelled: DataFrame, size: int = SLICE) -> tuple[list[Models], list[Models], bool]:
+    """Models of all rows (toxic, calibrates, text), and of those that do not calibrate, slice by slice;
+    and whether there are texts of both classes."""
+    counts = store(count_spellings(labelled), "spellings")
+    total = [F.col("n00") + F.col("n01"), F.col("n10") + F.col("n11"), F.col("n00"), F.col("n10")]
+    names = ["all0", "all1", "rest0", "rest1"]
+    top = counts.select("gram", F.shiftright("gram", BITS).alias("context"), *(c.alias(k) for c, k in zip(total, names)))
+    freed = [F.sum(F.least(F.col(k), F.lit(DISCOUNT))).alias(f"freed_{k}") for k in names]
+    contexts = top.groupBy("context").agg(*(F.sum(k).alias(k) for k in names), *freed)
 
-
-def fit(labelled: DataFrame) -> tuple[Models, Models]:
-    """Models of all rows (toxic, calibrates, text), and of those that do not calibrate."""
-    counts = keep(count_spellings(labelled))
-    total = {"all0": F.col("n00") + F.col("n01"), "all1": F.col("n10") + F.col("n11"), "rest0": F.col("n00"), "rest1": F.col("n10")}
-    top = counts.select("gram", F.shiftright("gram", _BITS).alias("context"), *(c.alias(k) for k, c in total.items()))
-    grams = tables(by_place(top.drop("context"), "gram"))
-    freed = [F.least(F.col(k), F.lit(DISCOUNT)).alias(f"freed_{k}") for k in total]
-    contexts = tables(by_place(top.select("context", *total, *freed), "context"))
-
-    lengths = [F.lit((1 << _BITS * (n + 1)) - 1) for n in range(ORDER + 1)]
+    lengths = [F.lit((1 << BITS * (n + 1)) - 1) for n in range(ORDER + 1)]
     shorter = F.filter(F.transform(F.array(*lengths), lambda m: F.col("gram").bitwiseAND(m)), lambda g: g <= F.col("gram"))
     every = counts.select(F.explode(F.array_distinct(shorter)).alias("gram")).distinct()
     # The highest symbol goes: the longest mask below the gram.
     less = F.array_max(F.filter(F.array(*lengths[:-1]), lambda m: m < F.col("gram")))
-    shared = keep(every.filter(less.isNotNull()).groupBy(F.col("gram").bitwiseAND(less).alias("gram")).agg(F.count("*").alias("follows")))
-    follows = tables(by_place(shared, "gram"))
-    after = shared.select(F.shiftright("gram", _BITS).alias("context"), F.col("follows").alias("all_follow"), F.lit(1).alias("kinds"))
-    follows |= tables(by_place(after, "context"))
-
-    def models(name: str) -> Models:
-        return Models(
-            follows["follows"],
-            follows["all_follow"],
-            follows["kinds"],
-            np.stack([grams[f"{name}{k}"] for k in (0, 1)]),
-            np.stack([contexts[f"{name}{k}"] for k in (0, 1)]),
-            np.stack([contexts[f"freed_{name}{k}"] for k in (0, 1)]),
+    shared = store(every.filter(less.isNotNull()).groupBy(F.col("gram").bitwiseAND(less).alias("gram")).agg(F.count("*").alias("follows")), "follows")
+    after = shared.groupBy(F.shiftright("gram", BITS).alias("context")).agg(F.sum("follows").alias("all_follow"), F.count("*").alias("kinds"))
+
+    rows, *both = top.agg(F.count("*"), F.sum("all0"), F.sum("all1"), F.sum("rest0"), F.sum("rest1")).first()
+    n = 1 + rows // size
+    numbers = slice_numbers(labelled.sparkSession, n)
+    out: tuple[list[Models], list[Models]] = [], []
+    for i in range(n):
+        of_gram, of_context = in_slice(F.shiftright("gram", BITS), i, n), in_slice(F.col("context"), i, n)
+        held = (
+            table_of(top.filter(of_gram).drop("context"), "gram"),
+            table_of(contexts.filter(of_context), "context"),
+            table_of(shared.filter(of_gram), "gram"),
+            table_of(after.filter(of_context), "context"),
         )
+        out[0].append(Models(*held, (0, 1), i, numbers))
+        out[1].append(Models(*held, (2, 3), i, numbers))
+    return *out, bool(both[0] and both[1])
 
-    return models("all"), models("rest")
 
+def valued(rows: DataFrame, models: list[Models]) -> DataFrame:
+    """The columns of rows but ``text``, with ``value`` of the text.
 
-def valued(rows: DataFrame, models: Models) -> DataFrame:
-    """The columns of rows but ``text``, with ``value`` of the text."""
-    sent = rows.sparkSession.sparkContext.broadcast(models)
-    kept = rows.drop("text").schema
-    names = [*kept.names, "value"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            value = sent.value.values(batch.column(batch.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(value)], names)
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "value double"])
-    return map_batches(rows.select(*kept.names, "text"), run, schema)
+    Where the models have several slices, the sums of words so far are written beside the texts.
+    """
+    kept = [f for f in rows.schema if f.name != "text"]
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
+
+    def step(frame: DataFrame, model: Models, last: bool) -> DataFrame:
+        sent, started = frame.sparkSession.sparkContext.broadcast(model), "__sums" in frame.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch.column(len(kept))
+                found = list(sent.value.add(texts, batch.column(len(kept) + 1) if started else None))
+                own = batch.columns[: len(kept)]
+                if last:
+                    made = [pa.array(np.concatenate([np.zeros(0), *(most(*x) for x in found)]))]
+                else:
+                    made = [texts, pa.array([part.tobytes() for sums, at in found for part in np.split(sums, at[1:-1])], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*own, *made], [*(f.name for f in kept), *(["value"] if last else ["text", "__sums"])])
+
+        ends = ["value double"] if last else ["text string", "__sums binary"]
+        return map_batches(frame, run, ", ".join([*columns, *ends]))
+
+    frame = rows.select(*(f.name for f in kept), "text")
+    for i, model in enumerate(models):
+        last = i == len(models) - 1
+        frame = step(frame, model, last)
+        frame = frame if last else store(frame, "word-sums")
+    return frame
 
 
 def curve(found: DataFrame) -> tuple[float, float]:
@@ -251,8 +255,8 @@ def scored(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     known = docs.select("doc_id", "text").filter("text IS NOT NULL").join(small(keep(taught)), "doc_id")
     known = known.select("toxic", calibrates.alias("calibrates"), "text")
     held_out = F.coalesce(~learn, F.lit(False)).alias("held_out")
-    final, rest = fit(known)
-    if not (final.context[0].any() and final.context[1].any()):
+    final, rest, both = fit(known)
+    if not both:
         return docs.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     slope, middle = curve(valued(known.filter("calibrates = 1").drop("calibrates"), rest))
     score = 1 / (1 + F.exp(F.least(F.lit(50.0), F.lit(slope) * (F.lit(middle) - F.col("value")))))

@@ -7,8 +7,8 @@ decides is judged by the difference of its two log-likelihoods per byte. The thr
 the two shares of wrong verdicts together are least, on a tenth of the decided urls, chosen by
 hash, that the models have not seen.
 
-Counts are summed by Spark over all decided urls. The models are then held in tables of ``SLOTS``
-places, by hash, whatever the number of urls; grams that share a place share their counts.
+Counts are summed by Spark over all decided urls, and are exact. They grow with the urls: tasks hold
+them in slices of a bounded size (``grams``), each of which gives its part of every url's score.
 
 Cases: a null url, or one without '://', has an empty host and path, fits no rule, and is judged by
 its whole text; an empty one has nothing to judge by and is allowed; without decided urls of both
@@ -27,8 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.base import fold_case, keep
-from tillroll.llm.kernels import chunks, mixed, rows_of
+from tillroll.llm.base import fold_case, store
+from tillroll.llm.grams import BITS, SLICE, Table, in_slice, ours, slice_numbers, table_of
+from tillroll.llm.kernels import chunks, rows_of
 
 #: (host, path, verdict); fixed values.
 RULES = (
@@ -39,15 +40,10 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 ORDER = 5
-SLOTS = 1 << 18
 BINS = 1 << 10
 #: Differences per byte beyond this many nats are put in the outermost bins of the calibration.
 SPAN = 8.0
 
-_random = np.random.Generator(np.random.PCG64(77))
-_AT = _random.integers(1, 2**63, (ORDER, 257), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
 def parts(url: Column) -> tuple[Column, Column]:
     """Host, with A-Z in lower case, and path of a url."""
     at = F.locate("://", F.coalesce(url, F.lit("")))
@@ -71,99 +67,103 @@ def decided(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES) -
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Hashes of each byte with its context, and of the context alone, from the shortest up."""
+    """Each byte with its context as one number, from the shortest context up, and which have one.
+
+    Before the first byte stands one mark; a longer context than there is is that of the order below.
+    """
     place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
-    gram, context = np.zeros(len(data), np.uint64), np.zeros(len(data), np.uint64)
+    gram = data.astype(np.int64) + 1
     for back in range(ORDER):
-        before = np.full(len(data), 256)
-        before[back:] = np.where(place[back:] >= back, data[: len(data) - back], 256)
-        gram = gram + _AT[back][before]
         if back:
-            context = context + _AT[back][before]
-        salt = np.uint64(back + 1)
-        yield mixed(gram + salt), mixed(context + salt)
+            before = np.full(len(data), _START + 1, np.int64)
+            before[back:] = np.where(place[back:] >= back, data[: len(data) - back].astype(np.int64) + 1, _START + 1)
+            gram = gram | np.where(place >= back - 1, before, 0) << (BITS * back)
+        yield gram, place >= back - 1
 
 
-def slot(h: np.ndarray) -> np.ndarray:
-    return (h.astype(np.uint64) % np.uint64(SLOTS)).astype(np.int64)
+_START = 256
 
 
 @dataclass
 class Model:
-    """Counts of one class by place: grams, contexts, and successors of contexts."""
+    """A slice of the counts of both classes: grams, and contexts with their sums and successors."""
 
-    gram: np.ndarray
-    context: np.ndarray
-    successors: np.ndarray
+    grams: Table  # by kind
+    contexts: Table  # sums by kind, then successors by kind
+    nth: int
+    numbers: Table | None
 
-    def log_likelihoods(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Mean log-likelihood of a byte in each text, 0 for an empty one."""
-        p = np.full(len(data), 1 / 256)
-        for gram, context in grams(data, offsets):
-            kinds, at = self.successors[slot(context)], self.context[slot(context)]
-            p = np.where(at > 0, (self.gram[slot(gram)] + kinds * p) / np.maximum(at + kinds, 1), p)
-        n = np.diff(offsets)
-        # A gram that shares its place may count more than its context.
-        return np.bincount(rows_of(offsets), np.log(np.clip(p, 1e-12, 1.0)), len(n)) / np.maximum(n, 1)
+    def differences(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """What the slice adds to the log-likelihood of each text as accepted less that as rejected."""
+        p = np.full((2, len(data)), 1 / 256)
+        for gram, there in grams(data, offsets):
+            counts, context = self.grams[gram], self.contexts[gram >> BITS]
+            for kind in (0, 1):
+                seen, kinds = context[:, kind], context[:, 2 + kind]
+                p[kind] = np.where(there & (seen > 0), (counts[:, kind] + kinds * p[kind]) / np.maximum(seen + kinds, 1), p[kind])
+        own = ours(gram >> BITS, self.nth, self.numbers)
+        return np.bincount(rows_of(offsets)[own], np.log(p[1][own] / p[0][own]), len(offsets) - 1)
 
 
 def count_grams(urls: DataFrame) -> DataFrame:
-    """(kind, gram, context, n) of all rows (kind, url), summed over the rows."""
+    """(gram, n0, n1) of all rows (kind, url), summed over the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kinds = batch.column(0).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in chunks(batch.column(1)):
                 kind = kinds[lo:hi][rows_of(offsets)]
-                for gram, context in grams(data, offsets):
+                for gram, there in grams(data, offsets):
                     for k in (0, 1):
-                        own, first, n = np.unique(gram[kind == k], return_index=True, return_counts=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(own), k, np.int32)),
-                                pa.array(own.view(np.int64)),
-                                pa.array(context[kind == k][first].view(np.int64)),
-                                pa.array(n),
-                            ],
-                            ["kind", "gram", "context", "n"],
-                        )
-
-    counted = urls.mapInArrow(run, "kind int, gram long, context long, n long")
-    return counted.groupBy("kind", "gram", "context").agg(F.sum("n").alias("n"))
-
-
-def fit(urls: DataFrame) -> list[Model]:
-    """The models of kinds 0 and 1, from rows (kind, url). At most SLOTS places reach the driver."""
-    counts = keep(count_grams(urls))
-
-    def by_place(hash_column: str, *sums: Column) -> pa.Table:
-        # The place is that of the unsigned hash; SLOTS divides 2**64.
-        place = F.pmod(F.col(hash_column), F.lit(SLOTS)).alias("place")
-        return counts.groupBy("kind", place).agg(*sums).toArrow()
-
-    tables = np.zeros((3, 2, SLOTS))
-    found = by_place("gram", F.sum("n").alias("n"))
-    tables[0, found["kind"], found["place"]] = found["n"]
-    found = by_place("context", F.sum("n").alias("n"), F.count("*").alias("kinds"))
-    tables[1, found["kind"], found["place"]] = found["n"]
-    tables[2, found["kind"], found["place"]] = found["kinds"]
-    return [Model(*tables[:, kind]) for kind in (0, 1)]
+                        own, n = np.unique(gram[there & (kind == k)], return_counts=True)
+                        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), k, np.int32)), pa.array(n)], ["gram", "kind", "n"])
+
+    counted = urls.mapInArrow(run, "gram long, kind int, n long")
+    return counted.groupBy("gram").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (0, 1)))
+
+
+def fit(urls: DataFrame, size: int = SLICE) -> tuple[list[Model], bool]:
+    """The models of rows (kind, url) slice by slice, and whether there are urls of both kinds."""
+    counts = store(count_grams(urls), "url-grams").withColumn("context", F.shiftright("gram", BITS))
+    sums = [F.sum(f"n{k}").alias(f"n{k}") for k in (0, 1)]
+    kinds = [F.count_if(F.col(f"n{k}") > 0).alias(f"kinds{k}") for k in (0, 1)]
+    contexts = counts.groupBy("context").agg(*sums, *kinds)
+    rows, *both = counts.agg(F.count("*"), F.sum("n0"), F.sum("n1")).first()
+    n = 1 + rows // size
+    numbers = slice_numbers(urls.sparkSession, n)
+    models = []
+    for i in range(n):
+        held = counts.filter(in_slice(F.col("context"), i, n)).drop("context"), contexts.filter(in_slice(F.col("context"), i, n))
+        models.append(Model(table_of(held[0], "gram"), table_of(held[1], "context"), i, numbers))
+    return models, bool(both[0] and both[1])
 
 
 def differences(frame: DataFrame, models: list[Model]) -> DataFrame:
     """Adds ``score``: log-likelihood of a byte of ``url`` as accepted less that as rejected."""
-    sent = frame.sparkSession.sparkContext.broadcast(models)
     at = frame.columns.index("url")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rejected, accepted = sent.value
-        for batch in batches:
-            score = np.zeros(batch.num_rows)
-            for lo, hi, data, offsets in chunks(batch.column(at)):
-                score[lo:hi] = accepted.log_likelihoods(data, offsets) - rejected.log_likelihoods(data, offsets)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
+    def step(frame: DataFrame, model: Model, last: bool) -> DataFrame:
+        sent, started = frame.sparkSession.sparkContext.broadcast(model), "score" in frame.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                score = batch.column(batch.num_columns - 1).to_numpy().copy() if started else np.zeros(batch.num_rows)
+                for lo, hi, data, offsets in chunks(batch.column(at)):
+                    score[lo:hi] += sent.value.differences(data, offsets)
+                    if last:
+                        score[lo:hi] /= np.maximum(np.diff(offsets), 1)
+                own = batch.columns[:-1] if started else batch.columns
+                names = batch.schema.names[:-1] if started else batch.schema.names
+                yield pa.RecordBatch.from_arrays([*own, pa.array(score)], [*names, "score"])
+
+        fields = [f for f in frame.schema.fields if not (started and f.name == "score")]
+        return frame.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
 
-    return frame.mapInArrow(run, T.StructType([*frame.schema, T.StructField("score", T.DoubleType())]))
+    for i, model in enumerate(models):
+        last = i == len(models) - 1
+        frame = step(frame, model, last)
+        frame = frame if last else store(frame, "url-scores")
+    return frame
 
 
 def threshold(scored: DataFrame) -> float:
@@ -186,8 +186,8 @@ def verdicts(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES)
     kind = (F.col("verdict") == "allow").cast("int").alias("kind")
     ruled = urls.filter(F.col("rule").isNotNull()).select(kind, "url")
     held_out = F.pmod(F.crc32("url"), F.lit(10)) == 0
-    models = fit(ruled.filter(~held_out))
-    if not all(model.context.any() for model in models):
+    models, both = fit(ruled.filter(~held_out))
+    if not both:
         return urls.withColumn("verdict", F.coalesce("verdict", F.lit("allow"))).withColumn("score", F.lit(0.0)).drop("url")
     least = threshold(differences(ruled.filter(held_out), models))
     judged = F.when((F.coalesce(F.length("url"), F.lit(0)) == 0) | (F.col("score") >= least), "allow").otherwise("block")
