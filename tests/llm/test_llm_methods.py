@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import random
 import re
 
@@ -286,14 +287,40 @@ def test_copies_come_near_the_targets(spark):
     assert mixed.agg(F.sum(F.col("doc_id") % 50 + 1)).first()[0] == mixing.report(docs).agg(F.sum("taken")).first()[0]
 
 
-def test_bundles_keep_shards_even_and_groups_whole(spark):
-    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("y"), (F.col("id") % 700).cast("int")).alias("text"))
-    for grain in (4, 512):
-        rows = sharding.shards(docs, 16, grain, buckets=8).collect()
-        loads = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(16)]
-        assert max(loads) - min(loads) <= sum(loads) / (16 * grain) * 4
+def test_shards_are_those_of_plain_scheduling(spark):
+    """Many groups of a size, copies, one group larger than a shard; loads as if taken one by one."""
+    r = random.Random(71)
+    rows = [(i, "x" * r.choice([0, 3, 3, 3, 40, 41, r.randrange(200)]) + f"{i % 900:04}") for i in range(3_000)]
+    rows += [(5_000 + i, "copy " * 30) for i in range(400)] + [(6_000, None), (6_001, "")]
+    sizes = {}
+    for _, text in rows:
+        sizes[text] = sizes.get(text, 0) + len(text or "") + 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for shards, buckets in ((16, 8), (3, 1), (1, 2)):
+        heap = [0] * shards
+        for size in sorted(sizes.values(), reverse=True):
+            heapq.heapreplace(heap, heap[0] + size)
+        found = sharding.shards(docs, shards, buckets).collect()
+        loads = [sum(x["size"] for x in found if x["shard"] == s) for s in range(shards)]
+        assert len(found) == len(rows) and sorted(loads) == sorted(heap)
         shard_of = {}
-        assert all(shard_of.setdefault(r["text_crc32"], r["shard"]) == r["shard"] for r in rows)
+        assert all(shard_of.setdefault((x["text_crc32"], x["size"]), x["shard"]) == x["shard"] for x in found)
+    again = {x["doc_id"]: x["shard"] for x in sharding.shards(docs.repartition(5, "text"), 16, 8).collect()}
+    assert again == {x["doc_id"]: x["shard"] for x in sharding.shards(docs, 16, 8).collect()}
+
+
+def test_many_groups_of_a_size_are_dealt_as_one_by_one():
+    r = random.Random(72)
+    for _ in range(300):
+        loads, size, n = [r.randrange(60) for _ in range(r.randrange(1, 7))], r.randrange(1, 20), r.randrange(0, 90)
+        heap = [(load, shard) for shard, load in enumerate(loads)]
+        heapq.heapify(heap)
+        counts = [0] * len(loads)
+        for _ in range(n):
+            load, shard = heap[0]
+            heapq.heapreplace(heap, (load + size, shard))
+            counts[shard] += 1
+        assert sharding.shares(loads, size, n) == counts
 
 
 def test_words_of_two_languages_in_one_text(spark):
