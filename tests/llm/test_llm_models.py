@@ -167,3 +167,17 @@ def test_urls_in_any_order_and_very_long_ones(spark):
     plain = lambda found: sorted(str(tuple(x)) for x in found.collect())
     first = plain(url_filter.verdicts(pages))
     assert len(first) == len(rows) and first == plain(url_filter.verdicts(pages.repartition(7, "page_id")))
+
+
+def test_numbers_of_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.llm import fingerprints
+
+    r = random.Random(8)
+    for n in (0, 1, 2, 9, 500):
+        cuts = sorted({r.choice([-(2**63), 2**63 - 1, r.randrange(-1000, 1000)]) for _ in range(n)})
+        places = [(x,) for x in (-(2**63), -1001, -5, 0, 7, 999, 2**63 - 1, *cuts)]
+        rows = spark.createDataFrame(places, "place long")
+        found = {x["place"]: x["n"] for x in rows.select("place", fingerprints.number_of(F.col("place"), cuts).alias("n")).collect()}
+        assert found == {p: sum(c <= p for c in cuts) for (p,) in places}

@@ -12,6 +12,7 @@ have equal sketches; very long texts are hashed whole.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import map_batches
+from tillroll.llm.base import map_batches, small
 from tillroll.llm.kernels import Words, chunks, distinct
 
 K = 128
@@ -102,7 +103,8 @@ def in_order(docs: DataFrame, per_task: int = 4) -> DataFrame:
 
     Columns: range, is_next, doc_id, text. Null ids come first, equal ids are in the order of their
     texts, and after the last row comes the first. The driver sees one cut and one first id of each
-    range, ``per_task`` ranges to a shuffle partition.
+    range, ``per_task`` ranges to a shuffle partition; a row is held against as many cuts as twice
+    the root of their number, and the first of a range finds the range before by a join.
     """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -114,21 +116,17 @@ def in_order(docs: DataFrame, per_task: int = 4) -> DataFrame:
     n = tasks * per_task
     found = keyed.approxQuantile("place", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
     cuts = sorted({min(max(int(x), -(2**63)), 2**63 - 1) for x in found})
-    place = F.col("place")
-    own = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda cut: cut <= place)) if cuts else F.lit(0)
-    ranged = keyed.withColumn("range", own)
+    ranged = keyed.withColumn("range", number_of(F.col("place"), cuts))
     firsts = sorted((r["range"], r["first"]) for r in ranged.groupBy("range").agg(F.min("place").alias("first")).collect())
     ranges = [r for r, _ in firsts]
-    before = {first: ranges[i - 1] for i, (_, first) in enumerate(firsts)}
-    copies = F.lit(None).cast("int")
-    if before:
-        known = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))
-        copies = F.element_at(known, place)
+    before = [(first, ranges[i - 1]) for i, (_, first) in enumerate(firsts)]
+    known = spark.createDataFrame(before, "place long, copies int")
     here = F.struct(F.col("range"), F.lit(False).alias("is_next"))
-    there = F.struct(copies.alias("range"), F.lit(True).alias("is_next"))
-    dealt = F.when(copies.isNull(), F.array(here)).otherwise(F.array(here, there))
+    there = F.struct(F.col("copies").alias("range"), F.lit(True).alias("is_next"))
+    dealt = F.when(F.col("copies").isNull(), F.array(here)).otherwise(F.array(here, there))
     return (
-        ranged.withColumn("to", F.explode(dealt))
+        ranged.join(small(known, len(before)), "place", "left")
+        .withColumn("to", F.explode(dealt))
         .select("to.range", "to.is_next", "place", "doc_id", "text")
         .repartition(tasks, "range")
         .sortWithinPartitions("range", "is_next", "place", "text")
@@ -136,6 +134,21 @@ def in_order(docs: DataFrame, per_task: int = 4) -> DataFrame:
     )
 
 
+def number_of(place: Column, cuts: list[int]) -> Column:
+    """How many of the ascending cuts are at or below a place: first by blocks of them, then in one."""
+    if not cuts:
+        return F.lit(0)
+    size = max(1, math.isqrt(len(cuts)))
+    blocks = [cuts[i : i + size] for i in range(0, len(cuts), size)]
+    # One text each, which is made an array once, when the plan is.
+    listed = F.split(F.lit(";".join(",".join(map(str, block)) for block in blocks)), ";")
+    block = F.transform(listed, lambda part: F.split(part, ",").cast("array<bigint>"))
+    heads = F.split(F.lit(",".join(str(part[0]) for part in blocks)), ",").cast("array<bigint>")
+    at = F.size(F.filter(heads, lambda head: head <= place))
+    inside = F.size(F.filter(F.get(block, at - 1), lambda cut: cut <= place))
+    return F.when(at == 0, 0).otherwise((at - 1) * size + inside).cast("int")
+
+
 EDITED = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
