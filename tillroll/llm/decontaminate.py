@@ -8,6 +8,10 @@ from its rarest term on: a posting gives the place where the window would have t
 further list must hold its term at that place plus its own offset. What is left is compared with the
 words around the first posting, which are kept with it.
 
+The same lists tell where a window is paraphrased or cut up: a text holds it *nearly* if its two
+rarest terms are at most ``WINDOW`` words apart there, in any order. Their postings meet by text and
+stretch of the text, never all of a text with all.
+
 Terms are counted and sought in lower case of all alphabets, which is at least as wide as that of A-Z
 and cheap on whole texts; the comparison at the end takes A-Z alone.
 
@@ -112,21 +116,45 @@ def proximity_matches(index: DataFrame, one: str, other: str, within: int) -> Da
     return left.join(right, ["key", "__s"]).filter((apart <= within) & (apart > 0 if one == other else F.lit(True))).drop("__s")
 
 
-def matches(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(phrase, key, start, size) of all occurrences, and the windows (phrase, words, item)."""
+def near_windows(index: DataFrame, lists: DataFrame, within: int = WINDOW) -> DataFrame:
+    """(key, phrase) of texts in which the rarest two terms of a phrase, or its one, stand at most
+    ``within`` words apart, whatever is between them and in either order."""
+    one = keep(lists.filter("step = 1").select("phrase", "term"))
+    two = keep(lists.filter("step = 2").select("phrase", F.col("term").alias("other")))
+    leads = index.filter("near IS NOT NULL").select("term", "key", "position")
+    found = joined(leads, one, "term", ["phrase", "key", "position"])
+    asked = joined(found, two, "phrase", ["phrase", "key", "position", "other"])
+    stretch = F.floor(F.col("position") / within)
+    left = asked.select("phrase", "key", F.col("other").alias("term"), F.col("position").alias("from"), stretch.alias("stretch"))
+    around = F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("stretch")
+    right = index.select("term", "key", "position", around)
+    apart = F.abs(F.col("from") - F.col("position"))
+    near = left.join(right, ["term", "key", "stretch"]).filter((apart > 0) & (apart <= within)).select("key", "phrase")
+    alone = one.join(two, "phrase", "left_anti").select("phrase", "term")
+    return near.unionByName(joined(leads, keep(alone), "term", ["key", "phrase"])).distinct()
+
+
+def searched(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The index of the terms by which windows are sought, their lists, and the windows (phrase, words, item)."""
     cut = keep(windows(items))
     phrases = cut.select("phrase", "words").distinct()
     vocabulary = keep(phrases.select(F.explode("words").alias("word")).select(F.lower("word").alias("term")).distinct())
     lists = keep(order_of_lists(phrases, term_counts(docs, vocabulary)))
     sought = keep(lists.groupBy("term").agg(F.max(F.col("step") == 1).alias("leads")))
-    index = store(postings(docs, sought), "postings")
-    return phrase_matches(index, lists), cut
+    return store(postings(docs, sought), "postings"), lists, cut
+
+
+def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(phrase, key, start, size) of all occurrences."""
+    index, lists, _ = searched(docs, items)
+    return phrase_matches(index, lists)
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(key, n_hit, n_items, items_sha256) of every text with an occurrence."""
-    found, cut = matches(docs, items)
-    found = keep(found)
+    """(key, n_near, n_hit, n_items, items_sha256) of every text with a phrase or its rarest terms near."""
+    index, lists, cut = searched(docs, items)
+    near = near_windows(index, lists).groupBy("key").agg(F.count("*").alias("n_near"))
+    found = keep(phrase_matches(index, lists))
     end = F.col("start") + F.col("size")
     ordered = Window.partitionBy("key").orderBy("start", "size")
     reached = F.coalesce(F.max(end).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -134,8 +162,9 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     covered = found.select("key", fresh.alias("n")).groupBy("key").agg(F.sum("n").cast("long").alias("n_hit"))
     of = joined(found.select("key", "phrase").distinct(), cut.select("phrase", "item"), "phrase", ["key", "item"])
     named = of.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    return covered.join(named, "key").select(
+    return near.join(covered.join(named, "key"), "key", "full").select(
         "key",
+        "n_near",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
@@ -143,7 +172,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document: n_words, n_hit, n_items, items_sha256, contaminated."""
+    """One row per document: n_words, n_hit, n_items, items_sha256, n_near (windows held nearly), contaminated."""
     found = hits(docs.select("text"), items)
     rows = docs.select("doc_id", F.md5("text").alias("key"), n_terms(F.col("text")).alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
@@ -151,15 +180,16 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
-        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
-        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        F.when(n_hit > 0, F.col("n_items")).otherwise(0).cast("long").alias("n_items"),
+        F.coalesce(F.when(n_hit > 0, F.col("items_sha256")), F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         (n_hit > 0).alias("contaminated"),
     )
 
 
 def without_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents in which no window occurs, with the columns they came with."""
-    found, _ = matches(docs.select("text"), items)
+    found = matches(docs.select("text"), items)
     keys = keep(found.select(F.col("key").alias("__hit")).distinct())
     kept = docs
     for part in in_slices(keys, keys.count()):

@@ -83,10 +83,22 @@ bw AS (SELECT DISTINCT item, least(len(w), 10) AS l, array_to_string(w[i:i + 9],
 di AS (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM bw)),
 h AS (SELECT doc_id, i, di.l, item FROM di JOIN bw ON di.l = bw.l AND array_to_string(w[i:i + di.l - 1], ' ') = p),
 c AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS k FROM h) GROUP BY doc_id),
-n AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS s FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+n AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS s FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id),
+dp AS (SELECT doc_id, lower(unnest(w)) AS term, unnest(range(len(w))) AS at FROM d),
+dc AS (SELECT term, count(*) AS n FROM dp GROUP BY term),
+q AS (SELECT DISTINCT p, string_split(p, ' ') AS w FROM bw),
+k AS (SELECT p, len(w) AS size, lower(unnest(w)) AS term, unnest(range(len(w))) AS at FROM q),
+o AS (SELECT k.*, n, count(*) OVER (PARTITION BY p) AS known, row_number() OVER (PARTITION BY p ORDER BY n, k.term, k.at) AS step
+  FROM k JOIN dc ON dc.term = k.term),
+l AS (SELECT p, size, min(CASE WHEN step = 1 THEN term END) AS one, min(CASE WHEN step = 2 THEN term END) AS two
+  FROM o WHERE known = size GROUP BY p, size),
+e AS (SELECT DISTINCT x.doc_id, p FROM l JOIN dp x ON x.term = l.one JOIN dp y ON y.term = l.two AND y.doc_id = x.doc_id
+    WHERE abs(x.at - y.at) BETWEEN 1 AND 10
+  UNION SELECT x.doc_id, p FROM l JOIN dp x ON x.term = l.one WHERE l.two IS NULL),
+g AS (SELECT doc_id, count(*) AS n_near FROM e GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  coalesce(s, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+  coalesce(s, sha256('')) AS items_sha256, coalesce(n_near, 0)::BIGINT AS n_near, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id)
 """
 
 
