@@ -223,6 +223,15 @@ def test_a_batch_reads_the_dates_that_may_hold_its_receipts(spark, rows, sources
     assert dates == {"2021-06-01", "2021-06-02", "2021-06-03", str(D)}
 
 
+def test_sources_staged_by_something_else_are_read_on_all_dates(spark, rows, sources, folder):
+    staging, warehouse = f"{folder}/staging", PathWarehouse(f"{folder}/wh")
+    stage_sources({n: sources[n] for n in ("SB", "CP", "ADDR")}, staging, D)
+    both = rows([receipt("0", day=OTHER), receipt("1")], OL)
+    both.write.partitionBy("ins_dt").parquet(f"{staging}/OL")
+    fact = build_targets(spark, staging, warehouse, D)["RTL_TXN_FCT"]
+    assert bag(fact.select("TXN_ID")) == [("1",), ("2",), ("3",), ("4",), ("5",)]
+
+
 def test_filters_hold_their_keys_and_few_others(spark):
     keys = spark.range(20_000).select((F.col("id") * 7).cast("string").alias("k"))
     made = key_filter.key_filter(keys.union(keys), "k", 40_000).withColumn("d", F.lit("a")).cache()

@@ -160,7 +160,8 @@ def build_targets(
             warehouse.overwrite(children, "CHILD_DIM")
         if "RTL_TXN_FCT" in targets:
             registrations, transactions = loaded("REGIS_DIM"), staged("SB")
-            held = dates_with_keys(spark, f"{root}/OL", transactions, "App_Transaction_Id")
+            alone = LoadLog(spark, f"{root}/OL").current().keys() == {str(day)}
+            held = [] if alone else dates_with_keys(spark, f"{root}/OL", transactions, "App_Transaction_Id")
             receipts = staged("OL", None if held is None else {*held, str(day)})
             fact = transaction_fact(
                 transactions, receipts, registrations, batch_date, key=fact_key, buckets=buckets
