@@ -233,13 +233,13 @@ def test_sql_over_views_named_after_the_sources(spark, rows):
 
 
 def test_unaliased_casts_keep_their_names_in_sql(spark, rows):
+    visits = rows([("12", "3.5", "n"), ("12", "3.5", "n")], "Shop_No string, Weight string, note string")
     sql = """
-        SELECT monotonically_increasing_id() k, regis_id, Regis_Cty_Code AS cty
-        FROM (SELECT DISTINCT CAST(REGIS_CTY_CODE AS SMALLINT), CAST(REGIS_ID AS INTEGER)
-              FROM CP) CP
+        SELECT SHOP_NO + 1 AS following, weight FROM (
+            SELECT CAST(shop_no AS BIGINT), CAST(Weight AS DOUBLE), count(*) FROM visits GROUP BY ALL
+        ) v
     """
-    cp = rows([consumer("c1"), consumer("c2")], CP)
-    assert bag(sql_target(spark, {"CP": cp}, sql).drop("k")) == [(1, 12)]
+    assert bag(sql_target(spark, {"visits": visits}, sql)) == [(13, 3.5)]
 
 
 def test_time_zone_decides_the_hour(spark, rows):
