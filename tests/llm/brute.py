@@ -53,12 +53,12 @@ def empty_documents(spark):
     return spark.createDataFrame([], DOCUMENTS)
 
 
-def components(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
-    """(set size, smallest id of the class) by id; ids are unique."""
+def components(docs: list[tuple[int, str | None]], k: int = 4) -> dict[int, tuple[int, int]]:
+    """(set size, smallest id of the class) by id, of shingles of k words; ids are unique."""
     sets = {}
     for i, text in docs:
         w = WORD.findall((text or "").translate(LOWER))
-        sets[i] = frozenset(tuple(w[j : j + 4]) for j in range(max(1, len(w) - 3))) if w else frozenset()
+        sets[i] = frozenset(tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))) if w else frozenset()
     root = {i: i for i in sets}
 
     def find(i):
