@@ -26,7 +26,7 @@ from tillroll.plans import (
 )
 from tillroll.registry.jobs import history_fact
 from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL
-from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage, stage_batch
+from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage, stage_batch, write_batch
 from tillroll.sources import dates_with_keys, read_staged
 
 
@@ -162,6 +162,19 @@ def test_a_half_staged_date_is_not_built(spark, sources, folder, monkeypatch):
     assert build_targets(spark, staging, warehouse, D)["RTL_TXN_FCT"].count() == len(before["RTL_TXN_FCT"])
 
 
+def test_rows_that_nobody_published_are_not_read(spark, sources, folder):
+    """The driver is lost before the first staging of a source is published."""
+    staging = f"{folder}/staging"
+    stage_sources({n: sources[n] for n in ("SB", "ADDR")}, staging, D)
+    for name in ("CP", "OL"):
+        write_batch(sources[name].read(), f"{staging}/{name}", D)
+        assert read_staged(spark, f"{staging}/{name}", schemas.STAGED[name]).count() == 0
+        with pytest.raises(LookupError):
+            read_staged(spark, f"{staging}/{name}")
+    with pytest.raises(ValueError, match="not staged on 2021-07-25.*CP"):
+        build_targets(spark, staging, PathWarehouse(f"{folder}/wh"), D)
+
+
 def test_staged_files_that_lost_rows_are_not_loaded(spark, sources, folder):
     warehouse, staging = PathWarehouse(f"{folder}/wh"), f"{folder}/staging"
     stage_sources(sources, staging, D)

@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 
-from tillroll.session import list_folder, read_note, remove_folder, write_new_note
+from tillroll.session import find_folders, list_folder, read_note, remove_folder, write_new_note
 
 #: The partition column that tells loads of a date apart.
 LOAD = "__load"
@@ -83,3 +83,14 @@ class LoadLog:
         """Forget all loads of a key."""
         for load in self.loads().get(key, []):
             remove_folder(self.spark, f"{self.path}/{load.name}")
+
+
+def staged_loads(spark: SparkSession, path: str, batch_column: str = "ins_dt") -> dict[str, Load] | None:
+    """The current load of each date of a staged path; None where it was staged by something else.
+
+    Files of a load that nobody published, say because its driver was lost, are not read as such.
+    """
+    current = LoadLog(spark, path).current()
+    if current or find_folders(spark, path.rstrip("/"), f"{batch_column}=*/{LOAD}=*"):
+        return current
+    return None

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import date_literal, drop_columns, flatten_struct
-from tillroll.loads import LoadLog
+from tillroll.loads import LoadLog, staged_loads
 from tillroll.operators import repeated_keys
 from tillroll.operators.keys import DEFAULT_BUCKETS
 from tillroll.plans.schemas import STAGED
@@ -89,17 +89,16 @@ def check_staged(
     noted = batches.facts(batch)["sources"] if batch else {}
     missing, half, short = [], [], []
     for name in names:
-        log = LoadLog(spark, f"{root}/{name}")
-        current = log.current()
-        if not current and folder_exists(spark, f"{root}/{name}/ins_dt={day}"):
+        current = staged_loads(spark, f"{root}/{name}")
+        if current is None and folder_exists(spark, f"{root}/{name}/ins_dt={day}"):
             continue  # staged by something else, which leaves no log
-        load = current.get(str(day))
+        load = (current or {}).get(str(day))
         if load is None:
             missing.append(name)
         elif name in noted and noted[name]["load"] != load.load:
             half.append(name)
         else:
-            expected = log.facts(load)["rows"]
+            expected = LoadLog(spark, f"{root}/{name}").facts(load)["rows"]
             found = read_staged(spark, f"{root}/{name}", schemas.get(name), dates=[day]).count()
             if found != expected:
                 short.append(f"{name}: {found} rows, {expected} were staged")
@@ -160,7 +159,7 @@ def build_targets(
             warehouse.overwrite(children, "CHILD_DIM")
         if "RTL_TXN_FCT" in targets:
             registrations, transactions = loaded("REGIS_DIM"), staged("SB")
-            alone = LoadLog(spark, f"{root}/OL").current().keys() == {str(day)}
+            alone = set(staged_loads(spark, f"{root}/OL") or ()) == {str(day)}
             held = [] if alone else dates_with_keys(spark, f"{root}/OL", transactions, "App_Transaction_Id")
             receipts = staged("OL", None if held is None else {*held, str(day)})
             fact = transaction_fact(

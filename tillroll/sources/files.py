@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.loads import KEYS, LOAD, LoadLog, load_folder
+from tillroll.loads import KEYS, LOAD, load_folder, staged_loads
 from tillroll.operators.key_filter import FILTER, comparable, may_hold
 from tillroll.session import find_folders
 
@@ -84,12 +84,12 @@ def read_staged(
 
     ``dates`` names the dates to read, others are not even listed. With a schema the load date is a
     date even where a path holds no dated partition yet, and no footer is read to find the types.
-    A path without a log of loads, staged by something else, is read as it is.
+    A path without loads, staged by something else, is read as it is.
     """
-    current = LoadLog(spark, path).current()
+    current = staged_loads(spark, path, batch_column)
     if schema is not None and batch_column.lower() not in {name.lower() for name in schema.names}:
         schema = T.StructType([*schema.fields, T.StructField(batch_column, T.DateType())])
-    if not current:
+    if current is None:
         plain = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
         return plain if dates is None else plain.filter(F.col(batch_column).isin([str(d) for d in dates]))
     wanted = None if dates is None else {str(d) for d in dates}
@@ -100,7 +100,7 @@ def read_staged(
     ]
     if not folders:
         if schema is None:
-            raise LookupError(f"{path} holds none of the dates {sorted(wanted or ())}")
+            raise LookupError(f"{path} holds none of the dates asked for")
         return spark.createDataFrame([], schema)
     reader = spark.read.option("basePath", path)
     if schema is not None:
@@ -119,7 +119,7 @@ def dates_with_keys(
     if not comparable(df.schema[column].dataType):
         return None
     path = path.rstrip("/")
-    current = LoadLog(spark, path).current()
+    current = staged_loads(spark, path, batch_column) or {}
     kept = set(find_folders(spark, f"{path}/{KEYS}", f"{batch_column}=*/{LOAD}=*"))
     filtered = sorted(d for d, load in current.items() if (f"{batch_column}={d}", f"{LOAD}={load.load}") in kept)
     if not filtered:
