@@ -149,8 +149,7 @@ def test_near_copies_in_crowded_regions(spark, monkeypatch, region, deepest):
     want = brute.components(rows)
     assert len({root for _, root in want.values()}) < len(want) - 40
     wrong = sum(found[i] != want[i] for i in want)
-    # Where regions are cut into blocks, a pair may never meet.
-    assert wrong == 0 if region == 1024 else wrong <= 0.1 * len(want)
+    assert wrong == 0
 
 
 def test_near_copies_without_broadcasts(spark, one_by_one):
