@@ -24,6 +24,7 @@ from tillroll.plans import (
     stage_sources,
     transaction_fact,
 )
+from tillroll.plans.targets import most_copies
 from tillroll.registry.jobs import history_fact
 from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL
 from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage, stage_batch, write_batch
@@ -270,6 +271,31 @@ def test_a_batch_leaves_the_session_as_it_was(spark, sources, folder):
         assert [spark.conf.get(n) for n in names] == ["Europe/Berlin", "false"]
 
 
+def test_copies_of_a_fact_row_are_bounded_by_its_keys(rows):
+    known = rows([("c1",), ("c1",), ("c2",), (None,), (None,), (None,)], "CNSM_ID string")
+    one_each, nobody = rows([("c1",)], "CNSM_ID string"), rows([], "CNSM_ID string")
+    transactions = rows([txn(1), txn(1), txn(2), txn(None), txn(None), txn(None)], SB)
+    receipts = rows([receipt("1"), receipt("01"), receipt("2"), *[receipt("3")] * 9, receipt(None)], OL)
+    assert most_copies(transactions, receipts, known) == 8  # two, by '1' and '01', by twice c1
+    assert most_copies(transactions, receipts, one_each) == 4
+    assert most_copies(transactions, receipts.filter("SBLP_TRANSACTION_ID = '2'"), nobody) == 3
+    assert most_copies(transactions.limit(0), receipts, known) == 0
+
+
+def test_a_batch_counts_copies_only_where_there_may_be_many(spark, sources, folder, monkeypatch):
+    asked, built = [], jobs.transaction_fact
+    monkeypatch.setattr(
+        jobs, "transaction_fact", lambda *a, **k: asked.append(k["few_copies"]) or built(*a, **k)
+    )
+    facts = []
+    for most in (10_000, 1):
+        monkeypatch.setattr(jobs, "COPIES_PER_PART", most)
+        loaded = run_batch(spark, sources, folder, PathWarehouse(f"{folder}/wh-{most}"), D)
+        facts.append(loaded["RTL_TXN_FCT"])
+    assert asked == [True, False]
+    assert bag(facts[0]) == bag(facts[1]) and facts[0].count() > 6
+
+
 def test_a_sql_target_leaves_views_as_they_were(spark, rows):
     spark.range(7).createOrReplaceTempView("SB")
     try:

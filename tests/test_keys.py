@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 
 import pytest
+from helpers import physical_plan
 from pyspark.sql import functions as F
 
 from tillroll.operators import add_key, dense_key, unique_key
@@ -86,6 +87,23 @@ def test_a_hot_group_of_copies_is_written_by_many_tasks(spark):
         assert len(spread) > 4 and max(r["count"] for r in spread) < 100_000
 
 
+def test_few_copies_give_the_same_keys_with_one_shuffle_of_rows_less(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 7 != 0, F.col("id") % 400).alias("v"),
+        F.when(F.col("id") % 2 == 0, F.lit("x")).alias("n"),
+    )
+    for bucket in (None, F.coalesce("v", F.lit(5))):
+        counted = dense_key(df, "k", buckets=16, bucket=bucket)
+        plain = dense_key(df.repartition(3), "k", buckets=16, bucket=bucket, few_copies=True)
+        assert collections.Counter(counted.collect()) == collections.Counter(plain.collect())
+    plans = [
+        physical_plan(dense_key(df, "k", few_copies=few)).split("BroadcastExchange")[0]
+        for few in (False, True)
+    ]
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [2, 1]
+    assert dense_key(df.filter("v < 0"), "k", few_copies=True).count() == 0
+
+
 def test_unique_key(spark):
     df = unique_key(spark.range(0, 1000, 1, 7), "k")
     assert df.columns == ["k", "id"]

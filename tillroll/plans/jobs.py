@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 from tillroll.functions import date_literal, drop_columns, flatten_struct
 from tillroll.loads import LoadLog, staged_loads
 from tillroll.operators import repeated_keys
+from tillroll.operators.copies import COPIES_PER_PART
 from tillroll.operators.keys import DEFAULT_BUCKETS
 from tillroll.plans.schemas import STAGED
-from tillroll.plans.targets import child_dim, registration_dim, transaction_fact
+from tillroll.plans.targets import child_dim, most_copies, registration_dim, transaction_fact
 from tillroll.session import folder_exists, tuned
 from tillroll.sinks.staging import KEEP, publish, write_batch
 from tillroll.sinks.warehouse import Warehouse
@@ -162,8 +163,17 @@ def build_targets(
             alone = set(staged_loads(spark, f"{root}/OL") or ()) == {str(day)}
             held = [] if alone else dates_with_keys(spark, f"{root}/OL", transactions, "App_Transaction_Id")
             receipts = staged("OL", None if held is None else {*held, str(day)})
+            few = fact_key == "dense" and (
+                most_copies(transactions, receipts, registrations) <= COPIES_PER_PART
+            )
             fact = transaction_fact(
-                transactions, receipts, registrations, batch_date, key=fact_key, buckets=buckets
+                transactions,
+                receipts,
+                registrations,
+                batch_date,
+                key=fact_key,
+                buckets=buckets,
+                few_copies=few,
             )
             warehouse.overwrite(fact, "RTL_TXN_FCT")
         return {name: loaded(name) for name in TARGETS if name in targets}
