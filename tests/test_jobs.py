@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime
 import glob
+import os
 import re
 import shutil
+import time
 from dataclasses import replace
 
 import pytest
@@ -24,11 +26,12 @@ from tillroll.plans import (
     stage_sources,
     transaction_fact,
 )
-from tillroll.plans.targets import most_copies
+from tillroll.plans.targets import most_copies, transaction_fact_parts
+from tillroll.registry.base import write_delimited, write_documents
 from tillroll.registry.jobs import history_fact
 from tillroll.registry.scans import IN_PROCESS_DRIVER, IN_PROCESS_URL
 from tillroll.sinks import CatalogWarehouse, JdbcWarehouse, PathWarehouse, stage, stage_batch, write_batch
-from tillroll.sources import dates_with_keys, read_staged
+from tillroll.sources import dates_with_keys, read_delimited, read_documents, read_staged, text_schema
 
 
 @pytest.fixture
@@ -296,6 +299,122 @@ def test_a_batch_counts_copies_only_where_there_may_be_many(spark, sources, fold
     assert bag(facts[0]) == bag(facts[1]) and facts[0].count() > 6
 
 
+class Plain:
+    """A warehouse that only takes whole tables."""
+
+    def __init__(self, root):
+        self.inner = PathWarehouse(root)
+
+    def overwrite(self, df, table):
+        self.inner.overwrite(df, table)
+
+    def read(self, spark, table, split_on=None):
+        return self.inner.read(spark, table, split_on)
+
+
+@pytest.mark.parametrize("key, most, kinds", [
+    ("dense", 10_000, [PathWarehouse, CatalogWarehouse, Plain]),
+    ("dense", 1, [PathWarehouse]),
+    ("unique", 1, [PathWarehouse]),
+])
+def test_a_fact_made_in_passes_is_the_same(spark, rows, sources, folder, monkeypatch, key, most, kinds):
+    monkeypatch.setattr(jobs, "COPIES_PER_PART", most)
+    monkeypatch.setattr(jobs, "MOST_PASSES", 3)
+    ids = [None, None, 1, 1, 2, 3, 5, 6, *range(20, 40)]
+    texts = [None, "1", "01", "2", "2", "2", "x", "", "7", *map(str, range(25, 60))]
+    more = {
+        "SB": Source(lambda: rows([txn(i) for i in ids], SB).drop("ins_dt")),
+        "OL": Source(
+            lambda: rows([receipt(t, loyalty=f"c{len(t or '')}") for t in texts], OL).drop("ins_dt")
+        ),
+    }
+    other = Source(lambda: rows([receipt("6"), receipt("21")], OL).drop("ins_dt"))
+    stage_sources({**sources, "OL": other}, f"{folder}/staging", OTHER)
+
+    def fact(warehouse):
+        batch = {**sources, **more}
+        loaded = run_batch(spark, batch, f"{folder}/staging", warehouse, D, fact_key=key)["RTL_TXN_FCT"]
+        if key == "unique":
+            assert loaded.select("RTL_TXN_KEY").distinct().count() == loaded.count()
+            loaded = loaded.drop("RTL_TXN_KEY")
+        return bag(loaded)
+
+    want = fact(PathWarehouse(f"{folder}/one"))
+    assert len(want) > 20
+    monkeypatch.setattr(jobs, "ROWS_PER_PASS", 1)
+    asked, build = [], jobs.transaction_fact_parts
+    monkeypatch.setattr(
+        jobs, "transaction_fact_parts", lambda *a, **k: asked.append(k["few_copies"]) or build(*a, **k)
+    )
+    for i, kind in enumerate(kinds):
+        assert fact(kind(f"{folder}/{i}")) == want
+    assert asked == [key == "dense" and most > 1] * len(kinds)
+    assert not glob.glob(f"{folder}/staging/_passes*")
+
+
+def test_a_fact_that_fails_half_way_leaves_the_table_and_no_stored_rows(spark, sources, folder, monkeypatch):
+    warehouse = PathWarehouse(f"{folder}/wh")
+    want = bag(run_batch(spark, sources, f"{folder}/staging", warehouse, D)["RTL_TXN_FCT"])
+    build = jobs.transaction_fact_parts
+
+    def breaks_off(*a, **k):
+        yield next(build(*a, **k))
+        raise RuntimeError("no")
+
+    monkeypatch.setattr(jobs, "ROWS_PER_PASS", 1)
+    monkeypatch.setattr(jobs, "transaction_fact_parts", breaks_off)
+    with pytest.raises(RuntimeError, match="no"):
+        run_batch(spark, sources, f"{folder}/staging", warehouse, D)
+    assert bag(warehouse.read(spark, "RTL_TXN_FCT")) == want
+    assert not glob.glob(f"{folder}/staging/_passes*")
+
+
+def test_an_empty_batch_and_keys_that_are_not_dealt_take_passes_too(spark, rows, sources, folder):
+    def facts(transactions, receipts, passes):
+        known = rows([("c1",), ("c1",)], "CNSM_ID string")
+        frames = (transactions, receipts, known, D)
+        if passes == 1:
+            return transaction_fact(*frames, key="dense")
+        parts = transaction_fact_parts(*frames, f"{folder}/{passes}", passes, key="dense")
+        return spark.createDataFrame([r for part in parts for r in part.collect()], schema)
+
+    transactions, receipts = rows([txn(i) for i in range(9)], SB), rows([receipt("3"), receipt("4.0")], OL)
+    schema = transaction_fact(transactions, receipts, rows([], "CNSM_ID string"), D).schema
+    assert facts(transactions.limit(0), receipts, 3).isEmpty()
+    shutil.rmtree(f"{folder}/3")
+    halves = transactions.withColumn("App_Transaction_Id", F.col("App_Transaction_Id") / 2)
+    assert bag(facts(halves, receipts, 3)) == bag(facts(halves, receipts, 1))
+
+
+def test_a_batch_leaves_no_shuffle_files(spark, sources, folder):
+    def files():
+        places = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for place in places for f in glob.glob(f"{place}/*/shuffle_*")}
+
+    before = files()
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+        run_batch(spark, sources, f"{folder}/staging", PathWarehouse(f"{folder}/wh"), D)
+        left = files() - before
+        for _ in range(50):  # they are removed beside the driver's own work
+            if not left:
+                break
+            time.sleep(0.1)
+            left = files() - before
+    assert not left
+
+
+def test_text_that_stands_for_another_system_is_packed(spark, rows):
+    df = rows([(i, f"name {i % 7}", None) for i in range(5000)], "a int, b string, c string")
+    for path, read in (
+        (write_delimited(df, spark, "packed"), lambda p: read_delimited(spark, p, text_schema(["a", "b", "c"]))),
+        (write_documents(df, spark, "packed"), lambda p: read_documents(spark, p, df.schema)),
+    ):
+        files = glob.glob(f"{path}/part-*")
+        assert files and all(name.endswith(".gz") for name in files)
+        assert sum(map(os.path.getsize, files)) < 60_000
+        assert bag(read(path)) == bag(df.select(F.col("a").cast(read(path).schema["a"].dataType), "b", "c"))
+
+
 def test_a_sql_target_leaves_views_as_they_were(spark, rows):
     spark.range(7).createOrReplaceTempView("SB")
     try:

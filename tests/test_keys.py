@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import glob
 
 import pytest
 from helpers import physical_plan
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import add_key, dense_key, unique_key
 from tillroll.operators.copies import count_copies, repeat_copies
+from tillroll.operators.passes import key_parts
 
 
 def keyed(df, **options):
@@ -104,6 +106,27 @@ def test_few_copies_give_the_same_keys_with_one_shuffle_of_rows_less(spark):
     assert dense_key(df.filter("v < 0"), "k", few_copies=True).count() == 0
 
 
+@pytest.mark.parametrize("few", [False, True])
+def test_rows_numbered_in_parts_have_the_same_keys(spark, folder, few):
+    """Also where copies of a row need several parts of their own."""
+    hot = 0 if few else 25_000
+    df = spark.range(30_000).select(
+        F.when(F.col("id") >= hot, F.col("id") % 400).otherwise(-1).alias("v"),
+        F.when(F.col("id") % 2 == 0, F.lit("x")).alias("n"),
+    )
+    want = collections.Counter(dense_key(df, "k", buckets=32).collect())
+    parts = (df.filter(F.pmod("v", F.lit(3)) == i) for i in range(3))
+    found = collections.Counter()
+    for part in key_parts(parts, "k", "dense", folder, 5, buckets=32, few_copies=few):
+        found.update(part.collect())
+    assert found == want and max(r.k for r in found) == 30_000
+    assert not glob.glob(f"{folder}/dealt/__slice=*")
+    with pytest.raises(ValueError):
+        next(key_parts(iter([df]), "k", "other", folder, 2))
+    with pytest.raises(ValueError):
+        next(key_parts(iter([df]), "k", "dense", folder, 2, buckets=0))
+
+
 def test_unique_key(spark):
     df = unique_key(spark.range(0, 1000, 1, 7), "k")
     assert df.columns == ["k", "id"]

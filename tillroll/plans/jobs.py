@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 import uuid
 from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -16,9 +17,16 @@ from tillroll.loads import LoadLog, staged_loads
 from tillroll.operators import repeated_keys
 from tillroll.operators.copies import COPIES_PER_PART
 from tillroll.operators.keys import DEFAULT_BUCKETS
+from tillroll.operators.passes import store_parts
 from tillroll.plans.schemas import STAGED
-from tillroll.plans.targets import child_dim, most_copies, registration_dim, transaction_fact
-from tillroll.session import folder_exists, tuned
+from tillroll.plans.targets import (
+    child_dim,
+    most_copies,
+    registration_dim,
+    transaction_fact,
+    transaction_fact_parts,
+)
+from tillroll.session import folder_exists, remove_folder, tidy, tuned
 from tillroll.sinks.staging import KEEP, publish, write_batch
 from tillroll.sinks.warehouse import Warehouse
 from tillroll.sources.files import dates_with_keys, read_staged
@@ -31,6 +39,10 @@ NEEDED = {"REGIS_DIM": ("CP", "ADDR"), "CHILD_DIM": ("CP",), "RTL_TXN_FCT": ("SB
 # Sources that other dates are looked up in, and the column they are looked up by.
 KEYED = {"OL": "SBLP_TRANSACTION_ID"}
 
+# The fact is made in a pass for every so many staged rows, up to a number beyond which the disk
+# they save is little beside the files of the tables.
+ROWS_PER_PASS, MOST_PASSES = 2_000_000, 4
+
 
 @dataclass(frozen=True)
 class Source:
@@ -141,7 +153,8 @@ def build_targets(
         raise ValueError(f"unknown targets: {sorted(unknown)}")
     root, day = staging_root.rstrip("/"), datetime.date.fromisoformat(str(batch_date))
     needed = dict.fromkeys(name for target in targets for name in NEEDED[target])
-    check_staged(spark, root, needed, day, staged_schemas)
+    with tidy(spark):
+        check_staged(spark, root, needed, day, staged_schemas)
 
     def staged(name: str, dates: Collection[str] | None = (str(day),)) -> DataFrame:
         return read_staged(spark, f"{root}/{name}", staged_schemas.get(name), dates=dates)
@@ -166,16 +179,23 @@ def build_targets(
             few = fact_key == "dense" and (
                 most_copies(transactions, receipts, registrations) <= COPIES_PER_PART
             )
-            fact = transaction_fact(
-                transactions,
-                receipts,
-                registrations,
-                batch_date,
-                key=fact_key,
-                buckets=buckets,
-                few_copies=few,
-            )
-            warehouse.overwrite(fact, "RTL_TXN_FCT")
+            frames = (transactions, receipts, registrations, batch_date)
+            options = {"key": fact_key, "buckets": buckets, "few_copies": few}
+            passes = math.ceil((transactions.count() + receipts.count()) / ROWS_PER_PASS)
+            if passes <= 1:
+                warehouse.overwrite(transaction_fact(*frames, **options), "RTL_TXN_FCT")
+            else:
+                scratch = f"{root}/_passes-{uuid.uuid4().hex}"
+                try:
+                    parts = transaction_fact_parts(
+                        *frames, f"{scratch}/fact", min(passes, MOST_PASSES), **options
+                    )
+                    if hasattr(warehouse, "overwrite_parts"):
+                        warehouse.overwrite_parts(parts, "RTL_TXN_FCT")
+                    else:
+                        warehouse.overwrite(store_parts(parts, f"{scratch}/all"), "RTL_TXN_FCT")
+                finally:
+                    remove_folder(spark, scratch)
         return {name: loaded(name) for name in TARGETS if name in targets}
 
 

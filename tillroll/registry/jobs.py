@@ -197,7 +197,7 @@ def _sources(spark: SparkSession, sf: str) -> dict[str, Source]:
     documents = write_documents(standins.customer_documents(spark, sf), spark, "documents")
     return {
         "SB": Source(lambda: standins.event_transactions(spark, sf)),
-        "OL": Source(lambda: read_delimited(spark, f"{landing}/*.csv", schemas.RECEIPTS)),
+        "OL": Source(lambda: read_delimited(spark, f"{landing}/*.csv.gz", schemas.RECEIPTS)),
         "CP": Source(lambda: read_delimited(spark, extract, schemas.CONSUMERS)),
         "ADDR": Source(
             lambda: read_documents(spark, documents, schemas.ADDRESSES),
